@@ -1 +1,313 @@
-"""Registered queries."""
+"""Registered incremental-load, mutation and set-operation queries
+(G1-G11, K5-K9, K1+K12 round trip, U1-U5, P3-P5, S11, S12)."""
+
+from __future__ import annotations
+
+import datetime as dt
+import warnings
+
+from pyspark.sql import functions as F
+
+from carelake.operators.setops import id_difference, union_distinct, union_ragged, union_tagged
+from carelake.operators.shape import add_missing, rename_positional
+from carelake.plans.registry import query
+from carelake.session import work_dir
+from carelake.sinks import gates as G
+from carelake.sinks import tables as K
+
+
+def _ts(y, m, d):
+    return dt.datetime(y, m, d)
+
+
+@query("new_rows_by_key", """
+WITH batch AS (SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderdate >= TIMESTAMP '2001-01-01'
+               UNION ALL SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderdate >= TIMESTAMP '2001-07-01')
+SELECT * FROM batch WHERE NOT EXISTS (SELECT 1 FROM orders t WHERE t.o_orderdate < TIMESTAMP '2001-03-01'
+                                      AND t.o_orderkey = batch.o_orderkey)
+""")
+def new_rows_by_key(t):
+    """Batch rows whose key is not in the target; in-batch duplicates kept."""
+    o = t.orders.select("o_orderkey", "o_orderdate")
+    batch = o.filter(F.col("o_orderdate") >= F.lit(_ts(2001, 1, 1))).unionByName(
+        o.filter(F.col("o_orderdate") >= F.lit(_ts(2001, 7, 1))))
+    target = o.filter(F.col("o_orderdate") < F.lit(_ts(2001, 3, 1)))
+    return G.new_rows(batch, target, "o_orderkey")
+
+
+@query("new_rows_recent", """
+SELECT o_orderkey, o_orderdate FROM orders b WHERE o_orderdate >= TIMESTAMP '2000-12-01'
+AND NOT EXISTS (SELECT 1 FROM orders t WHERE t.o_orderdate < TIMESTAMP '2001-03-01'
+                AND t.o_orderdate >= TIMESTAMP '2001-02-01' AND t.o_orderkey = b.o_orderkey)
+""")
+def new_rows_recent(t):
+    """Dedupe only against the target's last month."""
+    o = t.orders.select("o_orderkey", "o_orderdate")
+    batch = o.filter(F.col("o_orderdate") >= F.lit(_ts(2000, 12, 1)))
+    target = o.filter(F.col("o_orderdate") < F.lit(_ts(2001, 3, 1)))
+    return G.new_rows(batch, target, "o_orderkey", since=_ts(2001, 2, 1), since_col="o_orderdate")
+
+
+@query("new_rows_composite", """
+SELECT o_orderkey, o_custkey, o_orderpriority FROM orders b
+WHERE NOT EXISTS (SELECT 1 FROM orders t WHERE t.o_orderstatus = 'F' AND t.o_custkey = b.o_custkey
+                  AND CAST(t.o_orderdate AS DATE) = CAST(b.o_orderdate AS DATE) AND t.o_orderpriority = b.o_orderpriority)
+""")
+def new_rows_composite(t):
+    """Composite key (patient, day, code) joined as a column tuple."""
+    o = t.orders.withColumn("day", F.to_date("o_orderdate"))
+    target = o.filter(F.col("o_orderstatus") == "F")
+    keys = ["o_custkey", "day", "o_orderpriority"]
+    return G.new_rows(o, target, keys).select("o_orderkey", "o_custkey", "o_orderpriority")
+
+
+@query("new_ids_as_text", """
+SELECT DISTINCT user_id FROM events WHERE CAST(user_id AS VARCHAR) NOT IN
+  (SELECT CAST(c_custkey AS VARCHAR) FROM customer WHERE c_custkey < 100)
+""")
+def new_ids_as_text(t):
+    """Ids compared as text on both sides."""
+    known = t.customer.filter(F.col("c_custkey") < 100).select(F.col("c_custkey").cast("string").alias("id"))
+    return G.new_ids(t.events.select("user_id").distinct(), known, "user_id", ids_key="id")
+
+
+_SRC_SQL = """SELECT l_partkey, CASE WHEN l_partkey % 10 = 0 THEN NULL ELSE max(l_extendedprice / l_quantity) END AS p_retailprice
+FROM lineitem WHERE l_shipdate >= TIMESTAMP '2001-01-01' GROUP BY l_partkey"""
+
+
+@query("merge_update", f"""
+SELECT p_partkey, p_brand, coalesce(CASE WHEN s.l_partkey IS NOT NULL THEN 1 END, 0) AS matched,
+       CASE WHEN s.l_partkey IS NOT NULL THEN s.p_retailprice ELSE t.p_retailprice END AS p_retailprice
+FROM part t LEFT JOIN ({_SRC_SQL}) s ON t.p_partkey = s.l_partkey
+""")
+def merge_update(t):
+    """K8: update matched keys from the source (a matched NULL overwrites)."""
+    li = t.lineitem.filter(F.col("l_shipdate") >= F.lit(_ts(2001, 1, 1)))
+    src = li.groupBy("l_partkey").agg(F.max(F.col("l_extendedprice") / F.col("l_quantity")).alias("v")).select(
+        F.col("l_partkey").alias("p_partkey"),
+        F.when(F.col("l_partkey") % 10 != 0, F.col("v")).alias("p_retailprice"))
+    target = t.part.select("p_partkey", "p_brand", "p_retailprice")
+    marked = target.join(src.select("p_partkey").withColumn("matched", F.lit(1)), "p_partkey", "left").fillna(
+        0, ["matched"])
+    return K.merge_update_df(marked, src, "p_partkey", ["p_retailprice"])
+
+
+_POP_SQL = """SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, c_nationkey AS site,
+  CAST(count(*) AS BIGINT) AS n, CAST(count(*) AS BIGINT) AS month_total
+FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2"""
+
+
+@query("update_from_window", f"""
+WITH t AS ({_POP_SQL}),
+s AS (SELECT month, site, CAST(sum(n) OVER (PARTITION BY month) AS BIGINT) AS month_total FROM t)
+SELECT t.month, t.site, t.n,
+  CASE WHEN t.month >= DATE '2000-01-01' AND t.month_total <> s.month_total THEN s.month_total
+       ELSE t.month_total END AS month_total
+FROM t LEFT JOIN s ON t.month = s.month AND t.site = s.site
+""")
+def update_from_window(t):
+    """K9: set the network total of each (month, site) row from a windowed
+    total where it differs, only from a date floor on."""
+    from carelake.operators.sequence import partition_total
+    o = t.orders.join(t.customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+    pop = o.groupBy(F.trunc(F.to_date("o_orderdate"), "MM").alias("month"), F.col("c_nationkey").alias("site")).agg(
+        F.count(F.lit(1)).alias("n"))
+    target = pop.withColumn("month_total", F.col("n"))
+    src = partition_total(pop, "month", "n", "month_total")
+    return K.update_from_df(target, src, ["month", "site"], ["month_total"], floor_col="month",
+                            floor=dt.date(2000, 1, 1))
+
+
+@query("refresh_window", """
+SELECT o_orderkey, o_orderdate, o_totalprice FROM orders WHERE o_orderdate < TIMESTAMP '2001-03-01'
+UNION ALL
+SELECT o_orderkey, o_orderdate, round(o_totalprice * 2, 2) FROM orders WHERE o_orderdate >= TIMESTAMP '2001-03-01'
+""")
+def refresh_window(t):
+    """K5: delete rows from the window start, append the reloaded window."""
+    o = t.orders.select("o_orderkey", "o_orderdate", "o_totalprice")
+    target = o.filter(F.col("o_orderdate") < F.lit(_ts(2001, 6, 1)))
+    new = o.filter(F.col("o_orderdate") >= F.lit(_ts(2001, 3, 1))).withColumn(
+        "o_totalprice", F.round(F.col("o_totalprice") * 2, 2))
+    return K.refresh_window_df(target, new, "o_orderdate", _ts(2001, 3, 1))
+
+
+@query("replace_period", """
+SELECT l_orderkey, l_linenumber, period, l_quantity FROM (
+  SELECT *, strftime(l_shipdate, '%Y%m') AS period FROM lineitem) x WHERE period <> '200006'
+UNION ALL
+SELECT l_orderkey, l_linenumber, period, l_quantity + 1 FROM (
+  SELECT *, strftime(l_shipdate, '%Y%m') AS period FROM lineitem) x WHERE period = '200006' AND l_returnflag = 'N'
+""")
+def replace_period(t):
+    """K6: every row of period 200006 replaced by the new extract of it."""
+    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag",
+                           F.date_format("l_shipdate", "yyyyMM").alias("period"))
+    new = li.filter(F.col("l_returnflag") == "N").withColumn("l_quantity", F.col("l_quantity") + 1)
+    return K.replace_period_df(li.drop("l_returnflag"), new.drop("l_returnflag"), "period", "200006")
+
+
+_LOG_SQL = """SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderdate AS fechaCargue, CAST(1 AS BIGINT) AS totalRegistros,
+  'tabla_' || o_orderpriority AS idBigquery FROM orders"""
+
+
+def _log(t):
+    return t.orders.select(F.col("o_orderkey").cast("string").alias("id"), F.col("o_orderdate").alias("fechaCargue"),
+                           F.lit(1).cast("bigint").alias("totalRegistros"),
+                           F.concat(F.lit("tabla_"), F.col("o_orderpriority")).alias("idBigquery"))
+
+
+_GATE_ON = dt.date(2001, 3, 4)    # a Sunday
+
+
+def _gate_sql(name, lo, hi):
+    return (f"(SELECT CAST(count(*) AS BIGINT) FROM ({_LOG_SQL}) l WHERE idBigquery = 'tabla_1-URGENT' AND "
+            f"fechaCargue >= TIMESTAMP '{lo}' AND fechaCargue < TIMESTAMP '{hi}') AS {name}")
+
+
+@query("load_gate", "SELECT " + ", ".join(
+    _gate_sql(f"n_{g}{'_legacy' if lg else ''}", *G.load_window(g, _GATE_ON, lg))
+    for g, lg in (("daily", False), ("monthly", False), ("weekly", False), ("weekly", True))))
+def load_gate(t):
+    """Loads already logged today / this month / this week (half-open
+    7 days, and the legacy window that leaves out the Sunday)."""
+    log = _log(t).cache()
+    out = None
+    for g, lg in (("daily", False), ("monthly", False), ("weekly", False), ("weekly", True)):
+        n = G.gate(log, "tabla_1-URGENT", g, _GATE_ON, legacy_week=lg).select(
+            F.col("totalCargues").alias(f"n_{g}{'_legacy' if lg else ''}"))
+        out = n if out is None else out.crossJoin(n)
+    return out
+
+
+@query("range_empty", """
+SELECT (SELECT CAST(count(*) AS BIGINT) FROM (SELECT 1 FROM orders WHERE o_orderdate BETWEEN TIMESTAMP '2001-07-01'
+        AND TIMESTAMP '2001-07-31' LIMIT 1)) AS has_rows_jul,
+       (SELECT CAST(count(*) AS BIGINT) FROM (SELECT 1 FROM orders WHERE o_orderdate BETWEEN TIMESTAMP '2001-09-01'
+        AND TIMESTAMP '2001-09-30' LIMIT 1)) AS has_rows_sep
+""")
+def range_empty(t):
+    """Does the target already hold rows in a date range (0/1)."""
+    a = G.range_probe(t.orders, "o_orderdate", _ts(2001, 7, 1), _ts(2001, 7, 31)).withColumnRenamed(
+        "has_rows", "has_rows_jul")
+    b = G.range_probe(t.orders, "o_orderdate", _ts(2001, 9, 1), _ts(2001, 9, 30)).withColumnRenamed(
+        "has_rows", "has_rows_sep")
+    return a.crossJoin(b)
+
+
+@query("high_watermark", """
+WITH w AS (SELECT max(o_orderdate) AS watermark FROM orders WHERE o_orderdate < TIMESTAMP '2001-01-01')
+SELECT w.watermark, CAST(count(o.o_orderkey) AS BIGINT) AS n_after FROM w LEFT JOIN orders o ON o.o_orderdate > w.watermark
+GROUP BY w.watermark
+""")
+def high_watermark(t):
+    """target's max date, then only rows after it (the value stays in the plan)."""
+    w = G.watermark_of(t.orders.filter(F.col("o_orderdate") < F.lit(_ts(2001, 1, 1))), "o_orderdate")
+    after = t.orders.join(F.broadcast(w), F.col("o_orderdate") > F.col("watermark"), "inner")
+    n = after.agg(F.count(F.lit(1)).alias("n_after"))
+    return w.crossJoin(n)
+
+
+@query("fallback_period", """
+WITH pop AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS period, o_orderpriority,
+                    CAST(count(*) AS BIGINT) AS n FROM orders GROUP BY 1, 2)
+SELECT DATE '2001-09-15' AS period, o_orderpriority, n FROM pop
+WHERE period = (SELECT max(period) FROM pop WHERE period <= DATE '2001-09-15')
+""")
+def fallback_period(t):
+    """This month has no population: reuse the latest earlier period."""
+    pop = t.orders.groupBy(F.trunc(F.to_date("o_orderdate"), "MM").alias("period"), "o_orderpriority").agg(
+        F.count(F.lit(1)).alias("n"))
+    return G.fallback_period(pop, "period", dt.date(2001, 9, 15))
+
+
+@query("new_vs_previous", """
+WITH cur AS (SELECT DISTINCT o_custkey FROM orders WHERE o_orderdate >= TIMESTAMP '2001-01-01'),
+prev AS (SELECT DISTINCT o_custkey FROM orders WHERE o_orderdate >= TIMESTAMP '2000-07-01' AND o_orderdate < TIMESTAMP '2001-01-01')
+SELECT cur.o_custkey, CASE WHEN prev.o_custkey IS NULL THEN 'SI' ELSE 'NO' END AS nuevo
+FROM cur LEFT JOIN prev ON cur.o_custkey = prev.o_custkey
+""")
+def new_vs_previous(t):
+    """New (SI) vs already on the previous roster (NO)."""
+    o = t.orders.select("o_custkey", "o_orderdate")
+    cur = o.filter(F.col("o_orderdate") >= F.lit(_ts(2001, 1, 1))).select("o_custkey").distinct()
+    prev = o.filter((F.col("o_orderdate") >= F.lit(_ts(2000, 7, 1))) & (F.col("o_orderdate") < F.lit(_ts(2001, 1, 1))))
+    return G.mark_new_vs_previous(cur, prev, "o_custkey")
+
+
+@query("keyed_load_roundtrip", """
+SELECT o_orderkey, o_custkey, o_orderdate FROM orders
+""")
+def keyed_load_roundtrip(t):
+    """L1 end to end: seed a target table, then load a batch through the
+    keyed dedupe (G5), append (K1) and log (K12); return the table read back.
+
+    The batch overlaps the seeded target (from 2000 on), so only its new
+    keys are appended; the final table holds every encounter exactly once.
+    """
+    spark = t.orders.sparkSession
+    base = work_dir(spark, "keyed-load")
+    path, log_path = f"{base}/table", f"{base}/log"
+    o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    K.overwrite(o.filter(F.col("o_orderdate") < F.lit(_ts(2001, 1, 1))), path)
+    batch = o.filter(F.col("o_orderdate") >= F.lit(_ts(2000, 1, 1)))
+    target = spark.read.parquet(path)
+    fresh = G.new_rows(batch, target, "o_orderkey").checkpoint(eager=True)
+    n = K.append(fresh, path)
+    K.log_load(spark, log_path, n, "encounters", _ts(2001, 1, 2))
+    return spark.read.parquet(path)
+
+
+@query("union_distinct", """
+SELECT o_custkey, o_orderstatus FROM orders WHERE o_orderdate >= TIMESTAMP '2000-01-01' AND o_orderdate < TIMESTAMP '2001-01-01'
+UNION
+SELECT o_custkey, o_orderstatus FROM orders WHERE o_orderpriority = '1-URGENT'
+""")
+def union_distinct_q(t):
+    """Distinct union of two result shapes."""
+    o = t.orders
+    a = o.filter((F.col("o_orderdate") >= F.lit(_ts(2000, 1, 1))) & (F.col("o_orderdate") < F.lit(_ts(2001, 1, 1))))
+    b = o.filter(F.col("o_orderpriority") == "1-URGENT")
+    return union_distinct(a.select("o_custkey", "o_orderstatus"), b.select("o_custkey", "o_orderstatus"))
+
+
+@query("union_ragged", """
+SELECT o_orderkey, o_totalprice, NULL::DOUBLE AS l_quantity FROM orders WHERE o_orderpriority = '5-LOW'
+UNION ALL
+SELECT l_orderkey AS o_orderkey, NULL::DOUBLE AS o_totalprice, l_quantity FROM lineitem WHERE l_returnflag = 'R'
+""")
+def union_ragged_q(t):
+    """Union of differing schemas; absent columns NULL."""
+    a = t.orders.filter(F.col("o_orderpriority") == "5-LOW").select("o_orderkey", "o_totalprice")
+    b = t.lineitem.filter(F.col("l_returnflag") == "R").select(F.col("l_orderkey").alias("o_orderkey"), "l_quantity")
+    return union_ragged(a, b)
+
+
+@query("id_difference", """
+SELECT DISTINCT o_custkey FROM orders WHERE o_orderdate < TIMESTAMP '2001-01-01'
+EXCEPT
+SELECT o_custkey FROM orders WHERE o_orderdate >= TIMESTAMP '2001-01-01'
+""")
+def id_difference_q(t):
+    """U4: ids in the first set and not the second."""
+    o = t.orders
+    return id_difference(o.filter(F.col("o_orderdate") < F.lit(_ts(2001, 1, 1))),
+                         o.filter(F.col("o_orderdate") >= F.lit(_ts(2001, 1, 1))), "o_custkey")
+
+
+@query("schema_drift_union", """
+SELECT c_custkey AS id, c_name AS name, c_nationkey AS site, 0.0 AS balance, 0 AS flag, 'customer' AS part FROM customer
+UNION ALL
+SELECT s_suppkey AS id, s_name AS name, 0 AS site, s_acctbal AS balance, 0 AS flag, 'supplier' AS part FROM supplier
+""")
+def schema_drift_union(t):
+    """Positional renames (count mismatch tolerated), ragged
+    union with a provenance tag, absent columns created as 0."""
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        a = rename_positional(t.customer.select("c_custkey", "c_name", "c_nationkey"), ["id", "name", "site", "extra"])
+        b = rename_positional(t.supplier.select("s_suppkey", "s_name", "s_acctbal"), ["id", "name", "balance"])
+    u = union_tagged({"customer": a, "supplier": b}, "part")
+    u = u.withColumns({"site": F.coalesce(F.col("site"), F.lit(0)),
+                       "balance": F.coalesce(F.col("balance"), F.lit(0.0))})
+    return add_missing(u, ["flag"], 0).select("id", "name", "site", "balance", "flag", "part")
