@@ -1 +1,84 @@
-"""Registered queries."""
+"""Registered streaming queries.
+
+Each reads the ``events`` file as a stream (file source over the table's
+folder), runs with ``availableNow``, writes a Parquet table under the shared
+work folder and returns that table; the oracle is the batch equivalent.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from carelake.plans.registry import query
+from carelake.session import work_dir
+from carelake.streaming.streams import (
+    file_stream, run_available, stream_append_new, stream_counts, stream_dedupe, stream_refresh,
+)
+
+
+def _events_stream(t):
+    spark = t.events.sparkSession
+    return file_stream(spark, t._dir, t.events.schema, glob="events.parquet")
+
+
+@query("stream_dedupe", """
+SELECT DISTINCT user_id, event_type FROM events
+""")
+def stream_dedupe_q(t):
+    """One row per (patient, test) within a delay that covers the data."""
+    spark = t.events.sparkSession
+    base = work_dir(spark, "stream-dedupe")
+    s = stream_dedupe(_events_stream(t), ["user_id", "event_type"], "ts", "60 days")
+    w = s.select("user_id", "event_type").writeStream.format("parquet").option("path", f"{base}/out")
+    run_available(w, f"{base}/chk")
+    return spark.read.parquet(f"{base}/out")
+
+
+@query("stream_keyed_load", """
+SELECT event_id, user_id, ts FROM events
+""")
+def stream_keyed_load(t):
+    """Target seeded with the first half of the month; the stream of all
+    events appends only the keys it lacks."""
+    spark = t.events.sparkSession
+    base = work_dir(spark, "stream-keyed")
+    cols = ["event_id", "user_id", "ts"]
+    t.events.filter(F.col("ts") < F.lit(dt.datetime(2024, 1, 15))).select(*cols).write.parquet(f"{base}/table")
+    stream_append_new(_events_stream(t).select(*cols), f"{base}/table", "event_id", f"{base}/chk")
+    return spark.read.parquet(f"{base}/table")
+
+
+@query("stream_daily_counts", """
+WITH w AS (SELECT max(ts) - INTERVAL 1 DAY AS wm FROM events)
+SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start,
+       CAST(date_trunc('day', ts) + INTERVAL 1 DAY AS TIMESTAMP) AS window_end,
+       event_type, CAST(count(*) AS BIGINT) AS n
+FROM events, w GROUP BY 1, 2, 3, wm HAVING max(date_trunc('day', ts) + INTERVAL 1 DAY) <= wm
+""")
+def stream_daily_counts(t):
+    """Daily counts per test; a day is emitted once the watermark
+    (latest event - 1 day) has passed its end."""
+    spark = t.events.sparkSession
+    base = work_dir(spark, "stream-counts")
+    c = stream_counts(_events_stream(t), "ts", "1 day", "event_type", "1 day")
+    out = c.select(F.col("window.start").cast("timestamp_ntz").alias("window_start"),
+                   F.col("window.end").cast("timestamp_ntz").alias("window_end"), "event_type", "n")
+    run_available(out.writeStream.format("parquet").outputMode("append").option("path", f"{base}/out"),
+                  f"{base}/chk")
+    return spark.read.parquet(f"{base}/out")
+
+
+@query("stream_refresh", """
+SELECT event_id, user_id, value, CAST(ts AS DATE) AS day FROM events
+""")
+def stream_refresh_q(t):
+    """T4: a stale copy (values doubled) is refreshed period by period."""
+    spark = t.events.sparkSession
+    base = work_dir(spark, "stream-refresh")
+    e = t.events.select("event_id", "user_id", "value", F.to_date("ts").alias("day"))
+    e.withColumn("value", F.col("value") * 2).write.partitionBy("day").parquet(f"{base}/table")
+    s = _events_stream(t).select("event_id", "user_id", "value", F.to_date("ts").alias("day"))
+    stream_refresh(s, f"{base}/table", "day", f"{base}/chk")
+    return spark.read.parquet(f"{base}/table").select("event_id", "user_id", "value", "day")
