@@ -1 +1,481 @@
-"""Registered queries."""
+"""Registered domain plans (D6-D11, D13-D15, D18, D19, D21, D28) on the
+driver tables (stand-ins in :mod:`carelake.plans.standins`)."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from carelake.functions import coerce as C
+from carelake.functions.dates import in_range, mid_month
+from carelake.functions.labels import bins, label
+from carelake.operators import filters as FL
+from carelake.operators.aggregate import all_of, grouped_with_total, ratio
+from carelake.operators.lookup import (
+    StatusRule, enrich, fill_for_codes, flag_in, last_value, match_marker, status_by_priority,
+)
+from carelake.operators.sequence import dedupe, last_per
+from carelake.operators.setops import union_distinct, union_tagged
+from carelake.operators.shape import broadcast_scalar, split_key
+from carelake.plans.chronic import compensation
+from carelake.plans.registry import query
+from carelake.plans.standins import AFFILIATES_SQL, VISIT_SQL, affiliates, visit_type
+
+
+def _ts(y, m, d):
+    return dt.datetime(y, m, d)
+
+
+def _sites(t):
+    return t.nation.select("n_nationkey", "n_name")
+
+
+def _with_site(df, t, key="c_nationkey"):
+    # 25-row site dimension: size-bounded broadcast.
+    return enrich(df, _sites(t), key, right_on="n_nationkey", how="inner", small=True)
+
+
+# ---------------------------------------------------------------- D7
+@query("encounter_audit", f"""
+WITH enc AS (SELECT o.o_orderkey, o.o_custkey, CAST(o.o_orderdate AS DATE) AS day, n.n_name, {VISIT_SQL} AS visit_type
+   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+   WHERE o.o_orderdate >= TIMESTAMP '2001-02-01' AND o.o_orderdate < TIMESTAMP '2001-03-01'),
+d AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey, day, visit_type ORDER BY o_orderkey) AS rn
+                     FROM enc) x WHERE rn = 1),
+cnt AS (SELECT n_name, visit_type, CAST(count(*) AS BIGINT) AS n_encounters FROM d GROUP BY 1, 2),
+pop AS (SELECT n_name, CAST(count(*) AS BIGINT) AS population FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1)
+SELECT cnt.n_name, visit_type, n_encounters, population,
+       (SELECT CAST(sum(population) AS BIGINT) FROM pop) AS network_population,
+       n_encounters * 1000 // population AS per_1000
+FROM cnt LEFT JOIN pop ON cnt.n_name = pop.n_name
+""")
+def encounter_audit(t):
+    """month's encounters -> site -> visit type -> keyed dedupe (patient,
+    day, type) -> counts with the site and network populations."""
+    enc = t.orders.filter(in_range("o_orderdate", _ts(2001, 2, 1), _ts(2001, 3, 1)))
+    enc = enrich(enc, t.customer.select("c_custkey", "c_nationkey"), "o_custkey", right_on="c_custkey", how="inner")
+    enc = _with_site(enc, t).select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("day"), "n_name",
+                                    visit_type().alias("visit_type"))
+    enc = dedupe(enc, ["o_custkey", "day", "visit_type"], keep="first", order="o_orderkey")
+    cnt = enc.groupBy("n_name", "visit_type").agg(F.count(F.lit(1)).alias("n_encounters"))
+    pop = _with_site(t.customer, t).groupBy("n_name").agg(F.count(F.lit(1)).alias("population"))
+    net = pop.agg(F.sum("population").alias("network_population"))
+    out = broadcast_scalar(enrich(cnt, pop, "n_name"), net)
+    return out.withColumn("per_1000", F.expr("n_encounters * 1000 div population"))
+
+
+# ---------------------------------------------------------------- D8
+_BIN_EDGES = [0, 5, 14, 44, 59, float("inf")]
+_BIN_LABELS = ["0-5", "6-14", "15-44", "45-59", "60+"]
+_BIN_SQL = ("CASE WHEN age >= 0 AND age <= 5 THEN '0-5' WHEN age > 5 AND age <= 14 THEN '6-14' "
+            "WHEN age > 14 AND age <= 44 THEN '15-44' WHEN age > 44 AND age <= 59 THEN '45-59' "
+            "WHEN age > 59 THEN '60+' END")
+
+
+@query("demographics", f"""
+WITH a AS (SELECT c_custkey, sex, {_BIN_SQL} AS age_bin FROM ({AFFILIATES_SQL}) x),
+e AS (SELECT sex, age_bin, CAST(count(*) AS BIGINT) AS n_encounters FROM orders JOIN a ON o_custkey = c_custkey
+      WHERE o_orderdate >= TIMESTAMP '2001-01-01' AND o_orderdate < TIMESTAMP '2001-02-01' GROUP BY 1, 2),
+p AS (SELECT sex, age_bin, CAST(count(*) AS BIGINT) AS population FROM a GROUP BY 1, 2)
+SELECT p.sex, p.age_bin, coalesce(e.n_encounters, 0) AS n_encounters, p.population
+FROM p LEFT JOIN e ON p.sex = e.sex AND p.age_bin = e.age_bin
+""")
+def demographics(t):
+    """Month encounters and population by sex x age bin (every bin and
+    sex kept: the 6-14 bin and unmapped sexes are not dropped)."""
+    a = affiliates(t.customer).select("c_custkey", "sex", bins("age", _BIN_EDGES, _BIN_LABELS).alias("age_bin"))
+    e = t.orders.filter(in_range("o_orderdate", _ts(2001, 1, 1), _ts(2001, 2, 1)))
+    e = enrich(e, a, "o_custkey", right_on="c_custkey", how="inner").groupBy("sex", "age_bin").agg(
+        F.count(F.lit(1)).alias("n_encounters"))
+    p = a.groupBy("sex", "age_bin").agg(F.count(F.lit(1)).alias("population"))
+    return enrich(p, e, ["sex", "age_bin"], defaults={"n_encounters": 0}).select(
+        "sex", "age_bin", "n_encounters", "population")
+
+
+# ---------------------------------------------------------------- D9
+_PROGRAM = {"3-MEDIUM": "CONTROL PRENATAL", "4-NOT SPECIFIED": "CONSULTA", "5-LOW": "CURSO"}
+_PROGRAM_SQL = ("CASE o_orderpriority WHEN '3-MEDIUM' THEN 'CONTROL PRENATAL' WHEN '4-NOT SPECIFIED' THEN 'CONSULTA' "
+                "WHEN '5-LOW' THEN 'CURSO' ELSE 'OTRO' END")
+
+
+@query("prenatal_summary", f"""
+SELECT n_name, CASE WHEN grouping(program) = 1 THEN 'TOTAL' ELSE program END AS program,
+       CAST(count(o_orderkey) AS BIGINT) AS n
+FROM (SELECT o_orderkey, n_name, {_PROGRAM_SQL} AS program
+      FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+      WHERE o_orderdate >= TIMESTAMP '2000-01-01' AND o_orderdate < TIMESTAMP '2001-01-01') x
+GROUP BY GROUPING SETS ((n_name, program), (n_name))
+""")
+def prenatal_summary(t):
+    """Encounters per site and program plus per-site totals."""
+    o = t.orders.filter(in_range("o_orderdate", _ts(2000, 1, 1), _ts(2001, 1, 1)))
+    o = enrich(o, t.customer.select("c_custkey", "c_nationkey"), "o_custkey", right_on="c_custkey", how="inner")
+    o = _with_site(o, t).withColumn("program", label("o_orderpriority", _PROGRAM, default="OTRO"))
+    return grouped_with_total(o, ["n_name", "program"], [F.count("o_orderkey").alias("n")], "TOTAL", "program")
+
+
+@query("prenatal_indicator", f"""
+WITH w AS (SELECT a.*, n_name FROM ({AFFILIATES_SQL}) a JOIN nation ON c_nationkey = n_nationkey
+           WHERE sex = 'F' AND age BETWEEN 15 AND 49),
+u AS (SELECT n_name, 1 AS num, 0 AS den FROM orders JOIN w ON o_custkey = c_custkey
+      WHERE o_orderpriority = '3-MEDIUM' AND o_orderdate >= TIMESTAMP '2000-06-01' AND o_orderdate < TIMESTAMP '2001-03-01'
+      UNION ALL SELECT n_name, 0, 1 FROM w)
+SELECT CASE WHEN grouping(n_name) = 1 THEN 'NETWORK TOTAL' ELSE n_name END AS n_name,
+       CAST(sum(num) AS BIGINT) AS numerator, CAST(sum(den) AS BIGINT) AS denominator,
+       round(sum(num)::DOUBLE / sum(den), 4) AS ratio
+FROM u GROUP BY GROUPING SETS ((n_name), ())
+""")
+def prenatal_indicator(t):
+    """Prenatal controls in 9 months per woman aged 15-49, per site
+    and network (numerator and denominator rows in one aggregation)."""
+    w = _with_site(affiliates(t.customer), t).filter((F.col("sex") == "F") & F.col("age").between(15, 49))
+    o = t.orders.filter((F.col("o_orderpriority") == "3-MEDIUM") &
+                        in_range("o_orderdate", _ts(2000, 6, 1), _ts(2001, 3, 1)))
+    num = enrich(o.select("o_custkey"), w.select("c_custkey", "n_name"), "o_custkey", right_on="c_custkey",
+                 how="inner").select("n_name", F.lit(1).alias("num"), F.lit(0).alias("den"))
+    den = w.select("n_name", F.lit(0).alias("num"), F.lit(1).alias("den"))
+    return ratio(num.unionByName(den), "n_name", F.col("num").cast("bigint"), F.col("den").cast("bigint"),
+                 total_label="NETWORK TOTAL")
+
+
+# ---------------------------------------------------------------- D11
+_RUN = dt.date(2001, 6, 1)
+_LB = _RUN - dt.timedelta(days=211)
+
+
+def _fl_sql(where: str) -> str:
+    return f"""r AS (SELECT o_custkey AS patient, o_orderdate AS result_date, o_orderkey AS result_id,
+                  round(o_totalprice / 40000, 1) AS result FROM orders WHERE {where}),
+o AS (SELECT *, row_number() OVER (PARTITION BY patient ORDER BY result_date, result_id) AS rf,
+             row_number() OVER (PARTITION BY patient ORDER BY result_date DESC, result_id DESC) AS rl,
+             count(*) OVER (PARTITION BY patient) AS n FROM r),
+fl AS (SELECT f.patient, f.result AS first_value, l.result AS last_value, f.n AS n_results,
+              date_diff('day', f.result_date, l.result_date) AS span_days, f.result - l.result AS drop_
+       FROM o f JOIN o l ON f.patient = l.patient AND f.rf = 1 AND l.rl = 1)"""
+
+
+_IMPROVED = """CASE WHEN n_results > 1 AND span_days >= 335 AND (
+      (first_value > 10 AND round(drop_ * 100) >= 200) OR (first_value >= 8 AND first_value <= 10 AND round(drop_ * 100) >= 100)
+      OR (first_value < 8 AND round(drop_ * 100) >= 50)) THEN 1 ELSE 0 END"""
+
+
+@query("chronic_panel", f"""
+WITH reg AS (SELECT a.*, n_name FROM ({AFFILIATES_SQL}) a JOIN nation ON c_nationkey = n_nationkey
+             WHERE c_mktsegment IN ('AUTOMOBILE', 'MACHINERY')),
+lb AS (SELECT * FROM orders WHERE o_orderdate > TIMESTAMP '{_LB}' AND o_orderdate < TIMESTAMP '{_RUN}'),
+flags AS (SELECT c_custkey, n_name, age,
+  CASE WHEN c_custkey IN (SELECT o_custkey FROM lb) THEN 1 ELSE 0 END AS covered,
+  CASE WHEN c_custkey IN (SELECT o_custkey FROM lb WHERE o_orderpriority = '1-URGENT') THEN 1 ELSE 0 END AS exam_a,
+  CASE WHEN c_custkey IN (SELECT o_custkey FROM lb WHERE o_orderstatus = 'F') THEN 1 ELSE 0 END AS exam_b,
+  CASE WHEN c_custkey IN (SELECT o_custkey FROM lb WHERE o_totalprice > 300000) THEN 1 ELSE 0 END AS exam_c
+  FROM reg),
+{_fl_sql(f"o_orderdate < TIMESTAMP '{_RUN}'")},
+comp AS (SELECT patient, CASE WHEN (age < 65 AND round(last_value * 100) <= 700) OR (age >= 65 AND round(last_value * 100) <= 800)
+                  THEN 1 ELSE {_IMPROVED} END AS compensated FROM fl JOIN reg ON c_custkey = patient)
+SELECT CASE WHEN grouping(n_name) = 1 THEN 'NETWORK TOTAL' ELSE n_name END AS n_name,
+  CAST(count(*) AS BIGINT) AS n_registered, CAST(sum(covered) AS BIGINT) AS n_covered,
+  CAST(sum(CASE WHEN exam_a = 1 AND exam_b = 1 AND exam_c = 1 THEN 1 ELSE 0 END) AS BIGINT) AS n_screened,
+  CAST(count(comp.patient) AS BIGINT) AS n_with_result, CAST(coalesce(sum(compensated), 0) AS BIGINT) AS n_compensated
+FROM flags LEFT JOIN comp ON patient = c_custkey GROUP BY GROUPING SETS ((n_name), ())
+""")
+def chronic_panel(t):
+    """Register -> coverage in the strict 211-day lookback -> screening
+    flags (all-of) -> last results and compensation -> per-site totals and
+    the network row."""
+    reg = _with_site(affiliates(t.customer), t).filter(F.col("c_mktsegment").isin("AUTOMOBILE", "MACHINERY"))
+    reg = reg.select("c_custkey", "n_name", "age")
+    lb = t.orders.filter(in_range("o_orderdate", _LB, _RUN, lo_inclusive=False))
+    reg = flag_in(reg, lb, "c_custkey", "covered", right_on="o_custkey")
+    for name, pred in (("exam_a", F.col("o_orderpriority") == "1-URGENT"), ("exam_b", F.col("o_orderstatus") == "F"),
+                       ("exam_c", F.col("o_totalprice") > 300000)):
+        reg = flag_in(reg, lb.filter(pred), "c_custkey", name, right_on="o_custkey")
+    res = t.orders.filter(F.col("o_orderdate") < F.lit(_ts(_RUN.year, _RUN.month, _RUN.day))).select(
+        F.col("o_custkey").alias("patient"), F.col("o_orderdate").alias("result_date"),
+        F.col("o_orderkey").alias("result_id"), F.round(F.col("o_totalprice") / 40000, 1).alias("result"))
+    comp = compensation(res, reg.select(F.col("c_custkey").alias("patient"), "age")).select(
+        "patient", "compensated")
+    j = enrich(reg, comp, "c_custkey", right_on="patient").withColumn(
+        "screened", all_of("exam_a", "exam_b", "exam_c")).withColumn("has_result", F.col("compensated").isNotNull())
+    aggs = [F.count(F.lit(1)).alias("n_registered"), F.sum("covered").cast("bigint").alias("n_covered"),
+            F.sum("screened").cast("bigint").alias("n_screened"),
+            F.count_if("has_result").alias("n_with_result"),
+            F.coalesce(F.sum("compensated"), F.lit(0)).cast("bigint").alias("n_compensated")]
+    return grouped_with_total(j, ["n_name"], aggs, "NETWORK TOTAL")
+
+
+# ---------------------------------------------------------------- D13
+@query("invoice_enrichment", f"""
+WITH l AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate FROM lineitem),
+p AS (SELECT p_partkey, p_retailprice AS tariff, p_brand AS section FROM part WHERE p_size <= 40),
+st AS (SELECT s_suppkey, max(CASE WHEN s_acctbal > 5000 THEN 2 WHEN s_acctbal > 0 THEN 1 END) AS lvl
+       FROM supplier WHERE s_suppkey % 10 <> 0 GROUP BY 1),
+rich AS (SELECT c_custkey FROM customer WHERE c_acctbal > 5000),
+j AS (SELECT l.*, 
+        CASE WHEN l_suppkey IN (1, 2, 3) AND tariff IS NULL THEN 0.0 ELSE tariff END AS tariff,
+        CASE WHEN l_suppkey IN (1, 2, 3) AND section IS NULL THEN 'SIN TARIFA' ELSE section END AS section,
+        o_orderpriority, coalesce(n_name, 'OTRA SEDE') AS n_name,
+        CASE WHEN st.lvl = 2 THEN 'ACTIVO' WHEN st.lvl = 1 THEN 'INACTIVO' ELSE 'EXTERNO' END AS prof_status,
+        CASE WHEN o_custkey IN (SELECT c_custkey FROM rich) THEN 'SI' ELSE 'NO' END AS attended
+      FROM l LEFT JOIN p ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey
+      LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey
+      LEFT JOIN st ON l_suppkey = s_suppkey)
+SELECT * EXCLUDE (rn, l_quantity, l_shipdate) FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_partkey
+  ORDER BY l_linenumber DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC, l_shipdate DESC) AS rn FROM j) x
+WHERE rn = 1
+""")
+def invoice_enrichment(t):
+    """Invoice lines + catalog tariff (J3) with a fixed fill for three
+    providers (J15) + authorization (J4) + patient site (J1, J17) +
+    professional state (J18) + attended marker (J16), then keep the last
+    line per (order, code) (W4)."""
+    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+                           "l_extendedprice", "l_shipdate")
+    cat = t.part.filter(F.col("p_size") <= 40).select("p_partkey", F.col("p_retailprice").alias("tariff"),
+                                                      F.col("p_brand").alias("section"))
+    j = enrich(li, cat, "l_partkey", right_on="p_partkey")
+    j = fill_for_codes(j, "l_suppkey", [1, 2, 3], {"tariff": 0.0, "section": "SIN TARIFA"})
+    j = enrich(j, t.orders.select("o_orderkey", "o_custkey", "o_orderpriority"), "l_orderkey",
+               right_on="o_orderkey", how="inner")
+    j = enrich(j, t.customer.select("c_custkey", "c_nationkey"), "o_custkey", right_on="c_custkey")
+    j = enrich(j, _sites(t), "c_nationkey", right_on="n_nationkey", small=True, defaults={"n_name": "OTRA SEDE"})
+    staff = t.supplier.filter(F.col("s_suppkey") % 10 != 0)
+    prof = status_by_priority(t.supplier.select("s_suppkey"), staff, "s_suppkey",
+                              [StatusRule("ACTIVO", F.col("s_acctbal") > 5000), StatusRule("INACTIVO", F.col("s_acctbal") > 0)],
+                              "EXTERNO", name="prof_status")
+    j = enrich(j, prof, "l_suppkey", right_on="s_suppkey")
+    j = j.withColumn("prof_status", F.coalesce("prof_status", F.lit("EXTERNO")))
+    j = match_marker(j, t.customer.filter(F.col("c_acctbal") > 5000), "o_custkey", "attended", right_on="c_custkey")
+    j = dedupe(j, ["l_orderkey", "l_partkey"], keep="last",
+               order=["l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"])
+    return j.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "tariff", "section",
+                    "o_orderpriority", "n_name", "prof_status", "attended")
+
+
+# ---------------------------------------------------------------- D18
+_REV_SQL = """SELECT r_name AS site, year(l_shipdate) AS y, month(l_shipdate) AS m,
+  CAST(round(sum(l_extendedprice)) AS BIGINT) AS v, CAST(round(sum(l_extendedprice * l_discount)) AS BIGINT) AS d
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1, 2, 3"""
+
+
+@query("budget_compliance", f"""
+WITH rev AS ({_REV_SQL}),
+sheet AS (SELECT site, y, m, 'INGRESOS NETOS' AS item, replace(format('{{:,}}', v), ',', '.') AS txt FROM rev
+          UNION ALL SELECT site, y, m, 'DESCUENTOS', replace(format('{{:,}}', d), ',', '.') FROM rev),
+net AS (SELECT site, y, m, CAST(TRY_CAST(replace(txt, '.', '') AS DOUBLE) AS BIGINT) AS actual FROM sheet
+        WHERE item = 'INGRESOS NETOS'),
+cmp AS (SELECT a.site, a.y, a.m, a.actual, b.actual AS budget FROM net a JOIN net b
+        ON a.site = b.site AND a.m = b.m AND a.y = b.y + 1),
+tot AS (SELECT 'RED SIN ASIA' AS site, y, m, CAST(sum(actual) AS BIGINT) AS actual, CAST(sum(budget) AS BIGINT) AS budget
+        FROM cmp WHERE site <> 'ASIA' GROUP BY y, m)
+SELECT site, y, m, actual, budget, round(actual::DOUBLE / budget, 4) AS compliance FROM (
+  SELECT * FROM cmp UNION ALL SELECT * FROM tot) z
+""")
+def budget_compliance(t):
+    """Per-site revenue sheets (text with dot thousands) are unioned
+    with an item tag, the net-income rows parsed, compared with the same
+    month of the previous year (suffixed self join), and a network total
+    excluding one site is appended."""
+    li = enrich(t.lineitem.select("l_orderkey", "l_shipdate", "l_extendedprice", "l_discount"),
+                t.orders.select("o_orderkey", "o_custkey"), "l_orderkey", right_on="o_orderkey", how="inner")
+    li = enrich(li, t.customer.select("c_custkey", "c_nationkey"), "o_custkey", right_on="c_custkey", how="inner")
+    li = enrich(li, t.nation.select("n_nationkey", "n_regionkey"), "c_nationkey", right_on="n_nationkey",
+                how="inner", small=True)
+    li = enrich(li, t.region.select("r_regionkey", F.col("r_name").alias("site")), "n_regionkey",
+                right_on="r_regionkey", how="inner", small=True)
+    rev = li.groupBy("site", F.year("l_shipdate").alias("y"), F.month("l_shipdate").alias("m")).agg(
+        F.round(F.sum("l_extendedprice")).cast("bigint").alias("v"),
+        F.round(F.sum(F.col("l_extendedprice") * F.col("l_discount"))).cast("bigint").alias("d"))
+
+    def txt(c):
+        return F.replace(F.format_number(F.col(c), 0), F.lit(","), F.lit("."))
+    sheet = union_tagged({"INGRESOS NETOS": rev.select("site", "y", "m", txt("v").alias("txt")),
+                          "DESCUENTOS": rev.select("site", "y", "m", txt("d").alias("txt"))}, "item")
+    net = sheet.filter(F.col("item") == "INGRESOS NETOS").select(
+        "site", "y", "m", C.locale_number("txt", as_int=True).alias("actual"))
+    a, b = net.alias("a"), net.alias("b")
+    cmp = a.join(b, (F.col("a.site") == F.col("b.site")) & (F.col("a.m") == F.col("b.m")) &
+                 (F.col("a.y") == F.col("b.y") + 1)).select(
+        F.col("a.site").alias("site"), F.col("a.y").alias("y"), F.col("a.m").alias("m"),
+        F.col("a.actual").alias("actual"), F.col("b.actual").alias("budget"))
+    tot = cmp.filter(F.col("site") != "ASIA").groupBy("y", "m").agg(
+        F.sum("actual").alias("actual"), F.sum("budget").alias("budget")).withColumn("site", F.lit("RED SIN ASIA"))
+    out = cmp.unionByName(tot)
+    return out.withColumn("compliance", F.round(F.col("actual").cast("double") / F.col("budget"), 4))
+
+
+# ---------------------------------------------------------------- D19
+@query("referral_panel", f"""
+WITH a AS (SELECT x.*, n_name FROM ({AFFILIATES_SQL}) x JOIN nation ON c_nationkey = n_nationkey),
+u AS (SELECT n_name, 1 AS is_ref, o_custkey AS pat, date_trunc('month', o_orderdate) AS mon,
+             CASE WHEN sex = 'F' THEN o_custkey END AS woman, 0 AS pop
+      FROM orders JOIN a ON o_custkey = c_custkey
+      WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_orderdate >= TIMESTAMP '2000-01-01' AND o_orderdate < TIMESTAMP '2001-01-01'
+      UNION ALL SELECT n_name, 0, NULL, NULL, NULL, 1 FROM a)
+SELECT CASE WHEN grouping(n_name) = 1 THEN 'NETWORK TOTAL' ELSE n_name END AS n_name,
+  CAST(sum(is_ref) AS BIGINT) AS n_referrals, CAST(count(DISTINCT (pat, mon)) FILTER (WHERE pat IS NOT NULL) AS BIGINT) AS n_patient_months,
+  CAST(count(DISTINCT woman) AS BIGINT) AS n_women, CAST(sum(pop) AS BIGINT) AS population
+FROM u GROUP BY GROUPING SETS ((n_name), ())
+""")
+def referral_panel(t):
+    """Referrals, distinct patient-months (A10), women referred and the
+    population per site plus the network row, in one aggregation."""
+    a = _with_site(affiliates(t.customer), t).select("c_custkey", "sex", "n_name")
+    r = t.orders.filter(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH") &
+                        in_range("o_orderdate", _ts(2000, 1, 1), _ts(2001, 1, 1)))
+    r = enrich(r.select("o_custkey", "o_orderdate"), a, "o_custkey", right_on="c_custkey", how="inner").select(
+        "n_name", F.lit(1).alias("is_ref"), F.col("o_custkey").alias("pat"),
+        F.trunc(F.to_date("o_orderdate"), "MM").alias("mon"),
+        F.when(F.col("sex") == "F", F.col("o_custkey")).alias("woman"), F.lit(0).alias("pop"))
+    p = a.select("n_name", F.lit(0).alias("is_ref"), F.lit(None).cast("bigint").alias("pat"),
+                 F.lit(None).cast("date").alias("mon"), F.lit(None).cast("bigint").alias("woman"), F.lit(1).alias("pop"))
+    aggs = [F.sum("is_ref").cast("bigint").alias("n_referrals"),
+            F.count_distinct("pat", "mon").alias("n_patient_months"),
+            F.count_distinct("woman").alias("n_women"), F.sum("pop").cast("bigint").alias("population")]
+    return grouped_with_total(r.unionByName(p), ["n_name"], aggs, "NETWORK TOTAL")
+
+
+# ---------------------------------------------------------------- D6
+@query("family_planning", f"""
+WITH w AS (SELECT c_custkey, age FROM ({AFFILIATES_SQL}) a WHERE sex = 'F' AND age BETWEEN 14 AND 49),
+f AS (SELECT c_custkey, age,
+  CASE WHEN c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT') THEN 1 ELSE 0 END AS f_urgent,
+  CASE WHEN c_custkey IN (SELECT o_custkey FROM orders WHERE year(o_orderdate) = 2000) THEN 1 ELSE 0 END AS f_2000,
+  CASE WHEN c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'O' AND o_totalprice > 400000) THEN 1 ELSE 0 END AS f_open,
+  CASE WHEN c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '5-LOW' AND o_orderstatus = 'P') THEN 1 ELSE 0 END AS f_low
+  FROM w)
+SELECT f.*, lc.last_control FROM f
+LEFT JOIN (SELECT o_custkey, max(o_orderdate) AS last_control FROM orders WHERE o_orderpriority = '3-MEDIUM' GROUP BY 1) lc
+ON lc.o_custkey = f.c_custkey
+WHERE NOT coalesce(age >= 18 AND f_urgent = 0 AND f_2000 = 0 AND f_open = 0 AND f_low = 0, FALSE)
+""")
+def family_planning(t):
+    """Women 14-49, four risk flags (J8), last control date (J12), adults
+    with no flag excluded (F16)."""
+    w = affiliates(t.customer).filter((F.col("sex") == "F") & F.col("age").between(14, 49)).select("c_custkey", "age")
+    o = t.orders
+    for name, pred in (("f_urgent", F.col("o_orderpriority") == "1-URGENT"),
+                       ("f_2000", F.year("o_orderdate") == 2000),
+                       ("f_open", (F.col("o_orderstatus") == "O") & (F.col("o_totalprice") > 400000)),
+                       ("f_low", (F.col("o_orderpriority") == "5-LOW") & (F.col("o_orderstatus") == "P"))):
+        w = flag_in(w, o.filter(pred), "c_custkey", name, right_on="o_custkey")
+    w = last_value(w, o, "c_custkey", "o_orderdate", "last_control", right_on="o_custkey",
+                   predicate=F.col("o_orderpriority") == "3-MEDIUM")
+    return FL.wide_exclusion(w, ["f_urgent", "f_2000", "f_open", "f_low"], when=F.col("age") >= 18)
+
+
+# ---------------------------------------------------------------- D14
+@query("allergen_totals", """
+SELECT CAST(date_trunc('month', l_shipdate) AS DATE) + 14 AS period,
+       regexp_replace(CAST(l_partkey AS VARCHAR) || '.0', '\\.0$', '') AS code,
+       round(sum(l_extendedprice), 2) AS total
+FROM lineitem WHERE l_shipdate >= TIMESTAMP '2001-01-01' AND l_shipdate < TIMESTAMP '2001-02-01' GROUP BY 1, 2
+""")
+def allergen_totals(t):
+    """Codes cleaned of '.0', mid-month period key, order totals for the period."""
+    li = t.lineitem.filter(in_range("l_shipdate", _ts(2001, 1, 1), _ts(2001, 2, 1)))
+    li = li.select(mid_month("l_shipdate").alias("period"),
+                   C.strip_dot_zero(F.concat(F.col("l_partkey").cast("string"), F.lit(".0"))).alias("code"),
+                   "l_extendedprice")
+    return li.groupBy("period", "code").agg(F.round(F.sum("l_extendedprice"), 2).alias("total"))
+
+
+# ---------------------------------------------------------------- D15
+@query("clinical_followup", """
+WITH res AS (SELECT user_id, event_type, value FROM events WHERE event_type = 'purchase'
+             UNION SELECT user_id, event_type, value FROM events WHERE event_type = 'view' AND value > 50),
+contact AS (SELECT c_custkey, c_name FROM customer)
+SELECT res.user_id, event_type, value, c_name FROM res JOIN contact ON res.user_id = contact.c_custkey
+""")
+def clinical_followup(t):
+    """Single and panel results (distinct union) joined with patient contacts."""
+    e = t.events
+    res = union_distinct(e.filter(F.col("event_type") == "purchase").select("user_id", "event_type", "value"),
+                         e.filter((F.col("event_type") == "view") & (F.col("value") > 50)).select(
+                             "user_id", "event_type", "value"))
+    contact = dedupe(t.customer.select("c_custkey", "c_name"))
+    return enrich(res, contact, "user_id", right_on="c_custkey", how="inner")
+
+
+# ---------------------------------------------------------------- D21
+_DENTAL_RUN = dt.date(2001, 6, 1)
+_DENTAL_LO = _DENTAL_RUN - dt.timedelta(days=152)
+
+
+@query("dental_control", f"""
+WITH ids AS (SELECT o_orderkey, o_orderdate,
+   CASE WHEN o_orderkey % 17 = 0 THEN 'P1-x-000-' ELSE 'P1-x-' || CAST(o_custkey AS VARCHAR) || '-' END
+   || strftime(o_orderdate, '%Y-%m-%d') AS id FROM orders
+   WHERE o_orderdate >= TIMESTAMP '{_DENTAL_LO}' AND o_orderdate < TIMESTAMP '{_DENTAL_RUN}'),
+p AS (SELECT string_split(id, '-')[3] AS patient,
+             string_split(id, '-')[4] || '-' || string_split(id, '-')[5] || '-' || string_split(id, '-')[6] AS visit_day
+      FROM ids),
+v AS (SELECT patient, CAST(count(DISTINCT visit_day) AS BIGINT) AS visit_days FROM p
+      WHERE patient IS NOT NULL AND trim(patient) NOT IN ('', '0', '00', '000', 'noencontrado') GROUP BY 1)
+SELECT v.patient, v.visit_days, c.c_name FROM v LEFT JOIN customer c ON v.patient = CAST(c.c_custkey AS VARCHAR)
+""")
+def dental_control(t):
+    """Composed visit ids split into patient and day (P13), placeholder
+    ids dropped (F15), distinct visit days in the lookback (A10), names (J1)."""
+    o = t.orders.filter(in_range("o_orderdate", _DENTAL_LO, _DENTAL_RUN))
+    pid = F.when(F.col("o_orderkey") % 17 == 0, F.lit("P1-x-000-")).otherwise(
+        F.concat(F.lit("P1-x-"), F.col("o_custkey").cast("string"), F.lit("-")))
+    ids = o.select(F.concat(pid, F.date_format("o_orderdate", "yyyy-MM-dd")).alias("id"))
+    p = split_key(ids, "id", "-", {2: "patient", 3: "y", 4: "m", 5: "d"}).select(
+        "patient", F.concat_ws("-", "y", "m", "d").alias("visit_day"))
+    p = FL.drop_sentinels(p, "patient")
+    v = p.groupBy("patient").agg(F.count_distinct("visit_day").alias("visit_days"))
+    names = t.customer.select(F.col("c_custkey").cast("string").alias("ck"), "c_name")
+    return enrich(v, names, "patient", right_on="ck")
+
+
+# ---------------------------------------------------------------- D10
+@query("diagnosis_enrichment", """
+SELECT l_orderkey, l_linenumber, s_name AS professional, coalesce(p_type, 'OTRAS PATOLOGIAS') AS chapter,
+       CASE WHEN s_nationkey IS NULL THEN '' ELSE CAST(s_nationkey AS VARCHAR) END AS prof_site
+FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey
+LEFT JOIN (SELECT * FROM part WHERE p_size > 5) p ON l_partkey = p_partkey
+WHERE l_shipdate >= TIMESTAMP '2001-02-01' AND l_shipdate < TIMESTAMP '2001-03-01'
+""")
+def diagnosis_enrichment(t):
+    """month's encounters + professional (J3) + diagnosis catalog with
+    a default chapter (J17) and null-literal cleanup (X10)."""
+    from carelake.functions.dates import lagged_month
+    lo, hi = lagged_month(dt.date(2001, 3, 10), 25)
+    li = t.lineitem.filter(in_range("l_shipdate", lo, hi + dt.timedelta(days=1)))
+    li = li.select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey")
+    j = enrich(li, t.supplier.select("s_suppkey", F.col("s_name").alias("professional"), "s_nationkey"),
+               "l_suppkey", right_on="s_suppkey")
+    j = enrich(j, t.part.filter(F.col("p_size") > 5).select("p_partkey", F.col("p_type").alias("chapter")),
+               "l_partkey", right_on="p_partkey", defaults={"chapter": "OTRAS PATOLOGIAS"})
+    return j.select("l_orderkey", "l_linenumber", "professional", "chapter",
+                    C.null_literals(F.col("s_nationkey").cast("string"), "").alias("prof_site"))
+
+
+# ---------------------------------------------------------------- D28
+@query("message_matching", """
+WITH inbox AS (SELECT conv_id, turn, role FROM conversations WHERE role = 'user'),
+seen AS (SELECT conv_id, turn FROM conversations WHERE turn <= 1)
+SELECT DISTINCT i.conv_id FROM inbox i
+WHERE NOT EXISTS (SELECT 1 FROM seen s WHERE s.conv_id = i.conv_id AND s.turn = i.turn)
+""")
+def message_matching(t):
+    """D28 (data part): unread messages by id anti-join, distinct threads."""
+    c = t.conversations
+    inbox = c.filter(F.col("role") == "user").select("conv_id", "turn")
+    seen = c.filter(F.col("turn") <= 1).select("conv_id", "turn")
+    from carelake.operators.lookup import anti
+    return anti(inbox, seen, ["conv_id", "turn"]).select("conv_id").distinct()
+
+
+# ---------------------------------------------------------------- W2 on results
+@query("last_visit_per_patient", """
+SELECT o_custkey, o_orderkey, o_orderdate, o_orderpriority FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders) x
+WHERE rn = 1
+""")
+def last_visit_per_patient(t):
+    """The latest encounter row per patient (whole-row pick)."""
+    o = t.orders.select("o_custkey", "o_orderkey", "o_orderdate", "o_orderpriority")
+    return last_per(o, "o_custkey", ["o_orderdate", "o_orderkey"])

@@ -22,3 +22,20 @@ def affiliates(customer: DataFrame) -> DataFrame:
         "age": F.greatest(F.floor(F.col("c_acctbal") / 100).cast("int"), F.lit(0)),
         "sex": F.when(F.col("c_custkey") % 2 == 0, "F").otherwise("M"),
     })
+
+
+def visit_type(pr="o_orderpriority", st="o_orderstatus"):
+    """Visit-type classification stand-in on encounter priority and status."""
+    from carelake.functions.labels import classify
+    p, s = F.col(pr), F.col(st)
+    return classify([(p.isin("1-URGENT", "2-HIGH") & (s == "O"), "URGENCIA"),
+                     (p.isin("1-URGENT", "2-HIGH"), "PRIORITARIA"),
+                     (p == "3-MEDIUM", "CONTROL"),
+                     ((s == "F") & (p == "4-NOT SPECIFIED"), "PRIMERA VEZ")], "OTRO")
+
+
+VISIT_SQL = """CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_orderstatus = 'O' THEN 'URGENCIA'
+  WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'PRIORITARIA'
+  WHEN o_orderpriority = '3-MEDIUM' THEN 'CONTROL'
+  WHEN o_orderstatus = 'F' AND o_orderpriority = '4-NOT SPECIFIED' THEN 'PRIMERA VEZ'
+  ELSE 'OTRO' END"""
