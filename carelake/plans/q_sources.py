@@ -1 +1,89 @@
-"""Registered queries."""
+"""Registered source queries.
+
+Each query lands driver-table data as the file shapes the sources read
+(headerless ';' roll files with footer lines, sheet envelopes, monthly
+extracts with lock files) in the shared work folder, reads them back with
+the readers, and returns the table; the oracle is the same data in SQL.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from carelake.functions.dates import period_path
+from carelake.plans.registry import query
+from carelake.session import work_dir
+from carelake.sources import readers as R
+
+ROLL_NAMES = ["id", "name", "site", "balance", "segment"]
+
+
+@query("roll_files_footer", """
+SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, CAST(c_nationkey AS VARCHAR) AS site,
+       c_acctbal AS balance, c_mktsegment AS segment, CAST(c_nationkey % 5 AS VARCHAR) AS branch
+FROM customer
+""")
+def roll_files_footer(t):
+    """Five branch files (headerless ';', ISO-8859-1, two
+    footer lines each) read in one scan with an imposed header; footers
+    dropped by predicate; branch from the file path."""
+    spark = t.customer.sparkSession
+    base = work_dir(spark, "roll-files")
+    c = t.customer.select(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("name"),
+                          F.col("c_nationkey").cast("string").alias("site"), F.col("c_acctbal").cast("string").alias("balance"),
+                          F.col("c_mktsegment").alias("segment"), (F.col("c_nationkey") % 5).alias("branch"),
+                          F.lit(0).alias("footer"))
+    feet = c.groupBy("branch").agg(F.count(F.lit(1)).cast("string").alias("name")).select(
+        F.lit("TOTAL").alias("id"), "name", *[F.lit(None).cast("string").alias(x) for x in ("site", "balance", "segment")],
+        "branch", F.lit(1).alias("footer"))
+    feet = feet.unionByName(feet.select(F.lit("Generado").alias("id"), *[F.lit(None).cast("string").alias(x) for x in
+                                                                           ("name", "site", "balance", "segment")],
+                                        "branch", F.lit(2).alias("footer")))
+    # One file per branch, footer lines last.
+    (c.unionByName(feet).repartition("branch").sortWithinPartitions("footer", "id").drop("footer")
+     .write.partitionBy("branch").option("sep", ";").option("encoding", "ISO-8859-1").csv(f"{base}/roll"))
+    paths = [f"{base}/roll/branch={b}" for b in range(5)] + [f"{base}/roll/branch=missing"]
+    df = R.scan_union(spark, paths, names=ROLL_NAMES, sep=";", encoding="ISO-8859-1",
+                      dtypes={"balance": T.DoubleType()})
+    df = R.drop_footer_rows(df, "id")
+    return df.withColumn("branch", F.regexp_extract("source_file", r"branch=([0-9]+)", 1)).drop("source_file")
+
+
+@query("sheet_envelope", """
+SELECT CAST(n_nationkey AS VARCHAR) AS codigo, n_name AS nombre, r_name AS sheet
+FROM nation JOIN region ON n_regionkey = r_regionkey
+""")
+def sheet_envelope(t):
+    """One sheet per network region in the {columns, rows}
+    envelope (bounded by the site list), read back as strings, tagged."""
+    spark = t.nation.sparkSession
+    base = work_dir(spark, "sheets")
+    n = t.nation.join(F.broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey"))
+    env = n.groupBy(F.col("r_name").alias("sheet")).agg(
+        F.collect_list(F.array(F.col("n_nationkey").cast("string"), F.col("n_name"))).alias("rows")).withColumn(
+        "columns", F.array(F.lit("codigo"), F.lit("nombre")))
+    env.write.json(f"{base}/env")
+    return R.scan_sheet(spark, f"{base}/env")
+
+
+@query("latest_extract", """
+SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+WHERE o_orderdate >= TIMESTAMP '2001-06-01' AND o_orderdate < TIMESTAMP '2001-07-01'
+""")
+def latest_extract(t):
+    """Monthly extracts named by period; lock files ignored; the
+    newest period is read."""
+    spark = t.orders.sparkSession
+    base = work_dir(spark, "extracts")
+    o = t.orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    for m in (4, 5, 6):
+        run = dt.date(2001, m, 1)
+        name = period_path("facturas_{yyyymm}", run)
+        part = o.filter((F.year("o_orderdate") == 2001) & (F.month("o_orderdate") == m)).drop("o_orderdate")
+        part.write.parquet(f"{base}/{name}")
+    o.limit(0).drop("o_orderdate").write.parquet(f"{base}/~$facturas_209912")
+    path = R.latest_file(spark, base, "*facturas_*")
+    return spark.read.parquet(path)
