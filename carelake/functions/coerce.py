@@ -8,6 +8,8 @@ where a plain ``cast`` raises.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -50,14 +52,38 @@ def int_if_digits(c) -> Column:
     return F.when(s.rlike(r"^[0-9]+$"), s.try_cast("bigint"))
 
 
+def _shape(fmt: str) -> str:
+    """Regex of the text shape a datetime pattern accepts (digits per letter run)."""
+    out, i = [], 0
+    while i < len(fmt):
+        ch = fmt[i]
+        j = i
+        while j < len(fmt) and fmt[j] == ch:
+            j += 1
+        run = j - i
+        if ch.isalpha():
+            if ch not in "yMdHhmsS":
+                out.append(r"\S+")
+            elif run == 1:
+                out.append(r"\d{1,2}" if ch != "y" else r"\d+")
+            else:
+                out.append(r"\d{%d}" % run)
+        else:
+            out.append(re.escape(fmt[i:j]))
+        i = j
+    return "^" + "".join(out) + "$"
+
+
 def coerce_ts(c, *fmts: str) -> Column:
     """First format that parses wins; none parses -> NULL.
 
-    With no format the ISO forms are tried (``yyyy-MM-dd[ HH:mm:ss]``).
+    With no format the ISO forms are tried (``yyyy-MM-dd[ HH:mm:ss]``). Each
+    attempt is guarded by a cheap shape test so that only plausible text
+    reaches the parser (a failed parse is the expensive path).
     """
     fmts = fmts or ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd")
     s = F.trim(as_col(c).cast("string"))
-    return F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in fmts])
+    return F.coalesce(*[F.when(s.rlike(_shape(f)), F.try_to_timestamp(s, F.lit(f))) for f in fmts])
 
 
 def coerce_date(c, *fmts: str) -> Column:
@@ -66,7 +92,7 @@ def coerce_date(c, *fmts: str) -> Column:
 
 def locale_number(c, as_int: bool = False) -> Column:
     """``'1.234,5'`` -> 1234.5 (``.`` thousands, ``,`` decimals); bad -> 0."""
-    s = F.regexp_replace(F.regexp_replace(as_col(c).cast("string"), r"\.", ""), ",", ".")
+    s = F.translate(F.translate(as_col(c).cast("string"), ".", ""), ",", ".")
     return coerce_int(s) if as_int else coerce_float(s)
 
 
@@ -77,7 +103,7 @@ def percent(c, blank: str = "zero") -> Column:
     NULL (X7). Unparsable text is NULL in both modes; count it with
     :func:`bad_value`.
     """
-    s = F.trim(F.regexp_replace(F.regexp_replace(as_col(c).cast("string"), "%", ""), ",", "."))
+    s = F.trim(F.translate(F.translate(as_col(c).cast("string"), "%", ""), ",", "."))
     v = to_double(s) / F.lit(100.0)
     if blank == "zero":
         return F.when(s == "", F.lit(0.0)).otherwise(v)

@@ -24,8 +24,10 @@ def _order(order) -> Column:
 
 def _pick(df: DataFrame, key, order, fn) -> DataFrame:
     keys = [key] if isinstance(key, str) else list(key)
-    row = F.struct(*[F.col(c) for c in df.columns])
-    return df.groupBy(*keys).agg(fn(row, _order(order)).alias("__r")).select("__r.*")
+    rest = [c for c in df.columns if c not in keys]
+    row = F.struct(*[F.col(c) for c in rest])
+    picked = df.groupBy(*keys).agg(fn(row, _order(order)).alias("__r"))
+    return picked.select(*[F.col(c) if c in keys else F.col(f"__r.{c}").alias(c) for c in df.columns])
 
 
 def last_per(df: DataFrame, key, order) -> DataFrame:
