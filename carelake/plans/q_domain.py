@@ -479,3 +479,95 @@ def last_visit_per_patient(t):
     """The latest encounter row per patient (whole-row pick)."""
     o = t.orders.select("o_custkey", "o_orderkey", "o_orderdate", "o_orderpriority")
     return last_per(o, "o_custkey", ["o_orderdate", "o_orderkey"])
+
+
+# ---------------------------------------------------------------- G13
+@query("month_window_incremental", """
+WITH batch AS (SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '2001-02-01' AND o_orderdate < TIMESTAMP '2001-03-01'),
+log AS (SELECT o_orderdate AS fechaCargue, 'novedades' AS idBigquery FROM orders WHERE o_orderpriority = '9-NEVER')
+SELECT o_orderkey, o_custkey FROM batch
+WHERE (SELECT count(*) FROM log WHERE idBigquery = 'novedades' AND fechaCargue >= TIMESTAMP '2001-03-01'
+       AND fechaCargue < TIMESTAMP '2001-04-01') = 0
+  AND NOT EXISTS (SELECT 1 FROM orders t WHERE t.o_orderdate < TIMESTAMP '2001-02-15' AND t.o_orderkey = batch.o_orderkey)
+""")
+def month_window_incremental(t):
+    """Previous month's novelties (F8 lag window), keyed dedupe (G5),
+    loaded only when this month's gate is open (G2): the gate is a one-row
+    frame joined into the plan, not a driver-side branch."""
+    from carelake.functions.dates import lagged_month
+    from carelake.sinks.gates import gate, new_rows
+    lo, hi = lagged_month(dt.date(2001, 3, 10), 15)
+    batch = t.orders.filter(in_range("o_orderdate", lo, hi + dt.timedelta(days=1))).select("o_orderkey", "o_custkey")
+    target = t.orders.filter(F.col("o_orderdate") < F.lit(_ts(2001, 2, 15)))
+    log = t.orders.filter(F.col("o_orderpriority") == "9-NEVER").select(
+        F.col("o_orderdate").alias("fechaCargue"), F.lit("novedades").alias("idBigquery"))
+    g = gate(log, "novedades", "monthly", dt.date(2001, 3, 10)).select("proceed")
+    return new_rows(batch, target, "o_orderkey").crossJoin(F.broadcast(g)).filter("proceed = 1").drop("proceed")
+
+
+@query("sorted_report", """
+SELECT n_name, CAST(count(*) AS BIGINT) AS n_customers, round(sum(c_acctbal), 2) AS balance
+FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name ORDER BY balance DESC, n_name
+""")
+def sorted_report(t):
+    """O1/O2: a report sorted on output (the only place a sort belongs)."""
+    c = _with_site(t.customer, t)
+    return c.groupBy("n_name").agg(F.count(F.lit(1)).alias("n_customers"),
+                                   F.round(F.sum("c_acctbal"), 2).alias("balance")).orderBy(F.desc("balance"), "n_name")
+
+
+@query("tariff_correction_staged", """
+SELECT p_partkey, CASE WHEN s.k IS NOT NULL THEN s.v ELSE p_retailprice END AS p_retailprice, p_size
+FROM part LEFT JOIN (SELECT p_partkey AS k, round(p_retailprice * 1.1, 2) AS v FROM part WHERE p_size = 7) s ON p_partkey = s.k
+""")
+def tariff_correction_staged(t):
+    """The correction list is staged as a temporary view,
+    merged by key into the tariff table, then the view is dropped."""
+    from carelake.sinks.tables import merge_update_df
+    spark = t.part.sparkSession
+    view = "stage_tariff_fix"
+    t.part.filter(F.col("p_size") == 7).select(
+        "p_partkey", F.round(F.col("p_retailprice") * 1.1, 2).alias("p_retailprice")).createOrReplaceTempView(view)
+    return merge_update_df(t.part.select("p_partkey", "p_retailprice", "p_size"), spark.table(view),
+                           "p_partkey", ["p_retailprice"])
+
+
+@query("audit_forms", """
+WITH f AS (SELECT 'consultas' AS form, CAST(o_orderkey AS VARCHAR) AS id,
+             CASE WHEN o_orderkey % 50 = 0 THEN '' ELSE o_orderpriority END AS pregunta,
+             CASE WHEN o_orderkey % 50 = 0 THEN NULL WHEN o_orderkey % 23 = 0 THEN 'n/a'
+                  ELSE CAST(CAST(trunc(o_totalprice) AS BIGINT) % 100 AS VARCHAR) || ',5%' END AS calificacion
+           FROM orders WHERE o_orderstatus = 'F'
+           UNION ALL
+           SELECT 'cirugia', CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR), l_returnflag,
+                  CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || '%'
+           FROM lineitem WHERE l_linestatus = 'O' AND l_returnflag = 'R')
+SELECT form, id, pregunta, TRY_CAST(replace(replace(calificacion, '%', ''), ',', '.') AS DOUBLE) / 100 AS calificacion
+FROM f WHERE NOT ((pregunta IS NULL OR trim(pregunta) = '') AND (calificacion IS NULL OR trim(calificacion) = ''))
+""")
+def audit_forms(t):
+    """Per-form extracts with their own headers are cleaned (P12),
+    renamed with a checked map (P4), blank rows dropped (F12), percents
+    parsed (X7), tagged and unioned (S11/U3)."""
+    import warnings
+    from carelake.functions.names import clean_headers, rename_with
+    from carelake.operators.shape import rename_checked
+    k = F.col("o_orderkey")
+    a = t.orders.filter(F.col("o_orderstatus") == "F").select(
+        k.cast("string").alias(" ID\n"),
+        F.when(k % 50 == 0, F.lit("")).otherwise(F.col("o_orderpriority")).alias('"Pregunta"'),
+        F.when(k % 50 == 0, F.lit(None).cast("string")).when(k % 23 == 0, F.lit("n/a")).otherwise(
+            F.concat((F.col("o_totalprice").cast("bigint") % 100).cast("string"), F.lit(",5%"))).alias("Calificación "))
+    b = t.lineitem.filter((F.col("l_linestatus") == "O") & (F.col("l_returnflag") == "R")).select(
+        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("ID"),
+        F.col("l_returnflag").alias("Pregunta"),
+        F.concat(F.col("l_quantity").cast("bigint").cast("string"), F.lit("%")).alias("Calificación"))
+    mapping = {"ID": "id", "Pregunta": "pregunta", "Calificación": "calificacion", "Observaciones": "obs"}
+    parts = {}
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        for name, df in (("consultas", a), ("cirugia", b)):
+            df, _missing = rename_checked(rename_with(df, clean_headers), mapping)
+            df = FL.drop_blank_rows(df, ["pregunta", "calificacion"])
+            parts[name] = df.withColumn("calificacion", C.percent("calificacion", "null"))
+    return union_tagged(parts, "form").select("form", "id", "pregunta", "calificacion")

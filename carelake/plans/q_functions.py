@@ -265,3 +265,34 @@ def age_years_months(t):
     return j.select("l_orderkey", "l_linenumber", age_years("o_orderdate", "l_shipdate").alias("age_years"),
                     age_months("o_orderdate", "l_shipdate").alias("age_months"),
                     mid_month("l_shipdate").alias("mid_month"))
+
+
+@query("cast_groups", """
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name,
+       coalesce(CAST(trunc(TRY_CAST(CASE WHEN c_custkey % 9 = 0 THEN 'x' ELSE CAST(c_nationkey AS VARCHAR) END AS DOUBLE)) AS BIGINT), 0) AS c_nationkey,
+       c_acctbal, coalesce(c_mktsegment, 'SIN SEGMENTO') AS c_mktsegment
+FROM (SELECT c_custkey, c_name, c_nationkey, c_acctbal,
+             CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_mktsegment END AS c_mktsegment FROM customer) x
+""")
+def cast_groups_q(t):
+    """List-driven tolerant casts, the rest to string, NULL fill."""
+    from carelake.operators.shape import cast_all_but, cast_groups
+    c = t.customer.withColumns({
+        "c_nationkey": F.when(F.col("c_custkey") % 9 == 0, F.lit("x")).otherwise(F.col("c_nationkey").cast("string")),
+        "c_mktsegment": F.when(F.col("c_custkey") % 5 != 0, F.col("c_mktsegment"))})
+    c = cast_groups(c, ints=["c_nationkey"], floats=["c_acctbal"])
+    c = cast_all_but(c, ["c_nationkey", "c_acctbal"])
+    return c.na.fill({"c_mktsegment": "SIN SEGMENTO"})
+
+
+@query("utc_normalize", """
+SELECT event_id, ts AS ts_utc, CAST(timezone('UTC', timezone('America/Bogota', ts)) AS TIMESTAMP) AS ts_from_bogota,
+       year(ts) AS y, month(ts) AS m, strftime(ts, '%Y-%m') AS ym, CAST(ts AS DATE) AS d
+FROM events
+""")
+def utc_normalize(t):
+    """Naive local times to UTC wall clock; SQL date parts."""
+    e = t.events
+    return e.select("event_id", C.to_utc("ts").alias("ts_utc"), C.to_utc("ts", "America/Bogota").alias("ts_from_bogota"),
+                    F.year("ts").alias("y"), F.month("ts").alias("m"), F.date_format("ts", "yyyy-MM").alias("ym"),
+                    F.to_date("ts").alias("d"))
