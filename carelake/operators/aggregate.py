@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from carelake.functions._col import as_col
 
 __all__ = [
-    "Cohort", "cohort", "cohort_counts", "grouped_with_total", "with_grand_total",
+    "Cohort", "cohort", "cohort_counts", "grouped_with_total", "with_grand_total", "with_total_row",
     "pivot_count", "ratio", "conditional_sums", "count_distinct_pairs",
     "indicator_sum", "all_of",
 ]
@@ -86,10 +86,12 @@ def cohort_counts(df: DataFrame, keys, cohorts, age: str = "age", sex: str = "se
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     aggs = [F.count_if(c.predicate(as_col(age), as_col(sex))).alias(c.name) for c in cohorts]
-    if total_label is None:
-        out = df.groupBy(*keys).agg(*aggs)
-    else:
-        out = grouped_with_total(df, keys, aggs, total_label, label_col or keys[-1])
+    out = df.groupBy(*keys).agg(*aggs)
+    if total_label is not None:
+        # Counts re-aggregate exactly, so the total row is summed from the
+        # per-group result (one row per group) instead of expanding every
+        # input row for a grouping set; the shuffle is reused, not repeated.
+        out = with_total_row(out, keys, [c.name for c in cohorts], total_label, label_col or keys[-1])
     if strict:
         out = out.filter(reduce(lambda x, y: x & y, [F.col(c.name) > 0 for c in cohorts]))
     return out
@@ -113,6 +115,14 @@ def grouped_with_total(df: DataFrame, keys, aggs, label: str, label_col: str | N
     ])
 
 
+def with_total_row(agg: DataFrame, keys, sum_cols, label: str, label_col: str) -> DataFrame:
+    """A5 for additive measures: append ``sum(col)`` over ``label_col`` (per
+    remaining keys) to an aggregated frame, labelled ``label``."""
+    outer = [k for k in keys if k != label_col]
+    tot = agg.groupBy(*outer).agg(*[F.sum(c).alias(c) for c in sum_cols]).withColumn(label_col, F.lit(label))
+    return agg.withColumn(label_col, F.col(label_col).cast("string")).unionByName(tot.select(*agg.columns))
+
+
 def with_grand_total(df: DataFrame, label_col: str, label: str, sum_cols=None) -> DataFrame:
     """A5 on an already-aggregated (small) frame: append one row with the sum
     of every numeric column (or ``sum_cols``) and ``label`` in ``label_col``."""
