@@ -311,3 +311,37 @@ def schema_drift_union(t):
     u = u.withColumns({"site": F.coalesce(F.col("site"), F.lit(0)),
                        "balance": F.coalesce(F.col("balance"), F.lit(0.0))})
     return add_missing(u, ["flag"], 0).select("id", "name", "site", "balance", "flag", "part")
+
+
+_STAR = {
+    "dim_site": ("nation", ["n_nationkey", "n_name"], ["n_nationkey"], "n_regionkey < 2"),
+    "dim_professional": ("supplier", ["s_suppkey", "s_name"], ["s_suppkey"], "s_nationkey < 10"),
+    "dim_exam": ("part", ["p_partkey", "p_type"], ["p_partkey"], "p_size < 20"),
+    "fact_study": ("lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"],
+                   ["l_orderkey", "l_linenumber"], "l_shipdate < TIMESTAMP '2000-01-01'"),
+}
+
+
+@query("imaging_star_load", " UNION ALL ".join(
+    f"""SELECT '{n}' AS table_name, CAST(count(*) AS BIGINT) AS n_rows FROM (
+      SELECT {', '.join(c)} FROM {tb} WHERE {sd}
+      UNION ALL SELECT {', '.join('b.' + x for x in c)} FROM {tb} b
+      WHERE NOT EXISTS (SELECT 1 FROM (SELECT * FROM {tb} WHERE {sd}) s WHERE {' AND '.join(f's.{k} = b.{k}' for k in ks)}))"""
+    for n, (tb, c, ks, sd) in _STAR.items()))
+def imaging_star_load(t):
+    """Three dimensions and a fact, each loaded through its own keyed
+    dedupe (G5) and append (K1) into tables seeded with an earlier load;
+    returns the row count of every table read back."""
+    spark = t.orders.sparkSession
+    base = work_dir(spark, "star")
+    out = None
+    for name, (table, cols, keys, seed) in _STAR.items():
+        src = getattr(t, table)
+        path = f"{base}/{name}"
+        K.overwrite(src.filter(seed).select(*cols), path)
+        fresh = G.new_rows(src.select(*cols), spark.read.parquet(path), keys).checkpoint(eager=True)
+        K.append(fresh, path)
+        n = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(name).alias("table_name"), "n_rows")
+        out = n if out is None else out.unionByName(n)
+    return out

@@ -87,3 +87,40 @@ def latest_extract(t):
     o.limit(0).drop("o_orderdate").write.parquet(f"{base}/~$facturas_209912")
     path = R.latest_file(spark, base, "*facturas_*")
     return spark.read.parquet(path)
+
+
+@query("affiliate_roll_load", """
+SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, c_nationkey AS site,
+       CAST(DATE '1990-01-01' + CAST(c_custkey % 9000 AS INTEGER) AS DATE) AS birth_date,
+       CASE WHEN c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'F')
+            THEN 1 ELSE 0 END AS sw_insulina,
+       DATE '2001-03-15' AS fecha_capita
+FROM customer
+""")
+def affiliate_roll_load(t):
+    """Headerless ';' roll file with an imposed header and one typed
+    column (S5), dates parsed from text (X1), insulin mark from a semi-join
+    flag (J8), monthly gate (G2) and a dual write (K4); the warehouse copy
+    is returned."""
+    import datetime as dt
+    from carelake.functions.coerce import coerce_date
+    from carelake.operators.lookup import flag_in
+    from carelake.sinks.gates import gate
+    from carelake.sinks.tables import LOG_SCHEMA, append, dual_write, log_load, overwrite
+    spark = t.customer.sparkSession
+    base = work_dir(spark, "roll-load")
+    born = F.date_add(F.lit(dt.date(1990, 1, 1)), (F.col("c_custkey") % 9000).cast("int"))
+    raw = t.customer.select(F.col("c_custkey").cast("string"), "c_name", F.col("c_nationkey").cast("string"),
+                            F.date_format(born, "dd/MM/yyyy"))
+    raw.write.option("sep", ";").csv(f"{base}/landing")
+    roll = R.scan_csv(spark, f"{base}/landing", names=["id", "name", "site", "birth_date"], sep=";",
+                      dtypes={"site": T.IntegerType()})
+    roll = roll.withColumn("birth_date", coerce_date("birth_date", "dd/MM/yyyy"))
+    ins = t.orders.filter((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "F"))
+    roll = flag_in(roll, ins.select(F.col("o_custkey").cast("string").alias("k")), "id", "sw_insulina", right_on="k")
+    roll = roll.withColumn("fecha_capita", F.lit(dt.date(2001, 3, 15)))
+    log = spark.createDataFrame([], LOG_SCHEMA)
+    if gate(log, "capita", "monthly", dt.date(2001, 3, 15)).first()["proceed"] == 1:
+        n, _ = dual_write(roll, lambda d: overwrite(d, f"{base}/operational"), lambda d: append(d, f"{base}/warehouse"))
+        log_load(spark, f"{base}/log", n, "capita", dt.datetime(2001, 3, 15, 6))
+    return spark.read.parquet(f"{base}/warehouse")
