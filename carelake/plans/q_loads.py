@@ -9,7 +9,7 @@ import warnings
 from pyspark.sql import functions as F
 
 from carelake.operators.setops import id_difference, union_distinct, union_ragged, union_tagged
-from carelake.operators.shape import add_missing, rename_positional
+from carelake.operators.shape import add_missing, cast_all_but, rename_positional
 from carelake.plans.registry import query
 from carelake.session import work_dir
 from carelake.sinks import gates as G
@@ -345,3 +345,51 @@ def imaging_star_load(t):
             F.lit(name).alias("table_name"), "n_rows")
         out = n if out is None else out.unionByName(n)
     return out
+
+
+@query("roll_history", """
+SELECT CAST(c_custkey AS VARCHAR) AS identificacion, c_name AS nombre, CAST(c_nationkey AS VARCHAR) AS sede,
+       '0' AS sw_cronicos, CAST(c_acctbal AS VARCHAR) AS saldo, '202101' AS periodo FROM customer WHERE c_nationkey < 10
+UNION ALL
+SELECT CAST(c_custkey AS VARCHAR), c_name, CAST(c_nationkey AS VARCHAR),
+       CAST(c_custkey % 2 AS VARCHAR), '0', '202102' FROM customer WHERE c_nationkey >= 10
+""")
+def roll_history(t):
+    """Monthly roll snapshots whose columns drift (renamed, added,
+    missing) are renamed by map (P2), completed with 0 (P5), cast to text
+    (P17) and unioned with their period."""
+    from carelake.operators.shape import rename
+    c = t.customer
+    jan = c.filter(F.col("c_nationkey") < 10).select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
+    feb = c.filter(F.col("c_nationkey") >= 10).select(
+        F.col("c_custkey").alias("ID"), F.col("c_name").alias("NOMBRE"), F.col("c_nationkey").alias("SEDE"),
+        (F.col("c_custkey") % 2).alias("SW_CRONICOS"))
+    mapping = {"c_custkey": "identificacion", "c_name": "nombre", "c_nationkey": "sede", "c_acctbal": "saldo",
+               "ID": "identificacion", "NOMBRE": "nombre", "SEDE": "sede", "SW_CRONICOS": "sw_cronicos"}
+    cols = ["identificacion", "nombre", "sede", "sw_cronicos", "saldo"]
+    parts = []
+    for period, df in (("202101", jan), ("202102", feb)):
+        df = add_missing(rename(df, mapping), cols, 0).select(*cols)
+        parts.append(cast_all_but(df).withColumn("periodo", F.lit(period)))
+    return parts[0].unionByName(parts[1])
+
+
+@query("weekly_refresh_load", """
+SELECT o_orderkey, o_orderdate, o_totalprice FROM orders WHERE o_orderdate < TIMESTAMP '2001-03-05'
+UNION ALL
+SELECT o_orderkey, o_orderdate, o_totalprice FROM orders
+WHERE o_orderdate >= TIMESTAMP '2001-03-05' AND o_orderdate < TIMESTAMP '2001-03-08'
+""")
+def weekly_refresh_load(t):
+    """D23/D24/D25 shape: the current week (Monday..run day, F7) is re-extracted
+    and replaces what an earlier run loaded for it (K5), idempotently."""
+    from carelake.functions.dates import current_week, in_days
+    run = dt.date(2001, 3, 7)
+    lo, hi = current_week(run)
+    o = t.orders.select("o_orderkey", "o_orderdate", "o_totalprice")
+    loaded = o.filter(F.col("o_orderdate") < F.lit(_ts(2001, 3, 8)))
+    stale = loaded.withColumn("o_totalprice", F.when(in_days("o_orderdate", lo, hi), F.col("o_totalprice") * 0.5)
+                              .otherwise(F.col("o_totalprice")))
+    fresh = o.filter(in_days("o_orderdate", lo, hi))
+    once = K.refresh_window_df(stale, fresh, "o_orderdate", _ts(lo.year, lo.month, lo.day))
+    return K.refresh_window_df(once, fresh, "o_orderdate", _ts(lo.year, lo.month, lo.day))
