@@ -253,7 +253,7 @@ def invoice_enrichment(t):
 
 
 # ---------------------------------------------------------------- D18
-_REV_SQL = """SELECT r_name AS site, year(l_shipdate) AS y, month(l_shipdate) AS m,
+_REV_SQL = """SELECT r_name AS site, CAST(year(l_shipdate) AS INTEGER) AS y, CAST(month(l_shipdate) AS INTEGER) AS m,
   CAST(round(sum(l_extendedprice)) AS BIGINT) AS v, CAST(round(sum(l_extendedprice * l_discount)) AS BIGINT) AS d
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
 JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1, 2, 3"""

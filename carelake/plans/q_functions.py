@@ -287,7 +287,7 @@ def cast_groups_q(t):
 
 @query("utc_normalize", """
 SELECT event_id, ts AS ts_utc, CAST(timezone('UTC', timezone('America/Bogota', ts)) AS TIMESTAMP) AS ts_from_bogota,
-       year(ts) AS y, month(ts) AS m, strftime(ts, '%Y-%m') AS ym, CAST(ts AS DATE) AS d
+       CAST(year(ts) AS INTEGER) AS y, CAST(month(ts) AS INTEGER) AS m, strftime(ts, '%Y-%m') AS ym, CAST(ts AS DATE) AS d
 FROM events
 """)
 def utc_normalize(t):
