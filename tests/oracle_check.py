@@ -53,6 +53,17 @@ def rows_of(cols, records):
     return sorted("|".join(canon(r[i]) for i in order) for r in records)
 
 
+SPARK_TO_DUCK = {"IntegerType()": "INTEGER", "LongType()": "BIGINT", "DoubleType()": "DOUBLE",
+                 "StringType()": "VARCHAR", "DateType()": "DATE", "TimestampNTZType()": "TIMESTAMP",
+                 "TimestampType()": "TIMESTAMP WITH TIME ZONE", "BooleanType()": "BOOLEAN"}
+
+
+def type_diff(df, rel):
+    st = {f.name: SPARK_TO_DUCK.get(repr(f.dataType), repr(f.dataType)) for f in df.schema.fields}
+    dt_ = {n: str(t) for n, t in zip(rel.columns, rel.types)}
+    return {c: (st[c], dt_.get(c)) for c in st if st[c] != dt_.get(c)}
+
+
 def duck(sf_dir):
     con = duckdb.connect()
     for t in TABLES:
@@ -91,8 +102,11 @@ def compare(spark, sf_dir, keys=None, verbose=True):
             if verbose:
                 print(f"{k:32s} SQL_ERROR {results[k][1]}", flush=True)
             continue
+        tdiff = type_diff(df, con.sql(os_[k]))
         if sorted(scols) != sorted(dcols):
             results[k] = ("COLS", (sorted(scols), sorted(dcols)))
+        elif tdiff:
+            results[k] = ("TYPES", tdiff)
         else:
             a, b = rows_of(scols, srows), rows_of(dcols, drows)
             if a == b:
