@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from carelake.llm import decontaminate, near_dedup, quality
+from carelake.llm import decontaminate, mixing, near_dedup, packing, quality
 
 QUERIES = {
+    "op2_source_mixing": mixing.op2_source_mixing,
+    "op3_token_packing": packing.op3_token_packing,
     "op7_near_dedup": near_dedup.op7_near_dedup,
     "op8_quality_rules": quality.op8_quality_rules,
     "op10_benchmark_decontamination": decontaminate.op10_benchmark_decontamination,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_source_mixing": mixing.ORACLE,
+}

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from carelake.llm import base, decontaminate, near_dedup, quality
+from carelake.llm import base, decontaminate, mixing, near_dedup, packing, quality
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,10 +26,22 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return decontaminate.clean(docs, base.table(spark, sf_dir, "benchmark"))
 
 
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each row as often as its source's target takes it, in order of virtual finish time."""
+    return mixing.mix(docs)
+
+
+def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packed rows of token ids."""
+    return packing.pack(docs)
+
+
 STAGES = [
     ("quality_rules", quality_rules),
     ("near_dedup", near_dedup_stage),
     ("decontamination", decontamination),
+    ("source_mix", source_mix),
+    ("token_output", token_output),
 ]
 
 
