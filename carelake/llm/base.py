@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,6 +54,12 @@ def stash(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def share(spark: SparkSession, value) -> Callable[[], object]:
+    """Broadcast an object of this package's own classes by value; call the result in a task to get it."""
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: cloudpickle.loads(sent.value)
+
+
 def fold(col: F.Column | str, n: int) -> F.Column:
     """crc32(id as text) mod n; a null id has fold -1 and is in no fold."""
     c = F.col(col) if isinstance(col, str) else col

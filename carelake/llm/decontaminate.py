@@ -194,11 +194,11 @@ FIELDS = [("n_words", T.LongType()), ("spans", T.ArrayType(T.ArrayType(T.Integer
 
 def _scan(docs: DataFrame, auto: ItemAutomaton, keep: list[str], text_col: str,
           cut_from: int | None = None) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(auto)
+    shared = base.share(docs.sparkSession, auto)
     fields = FIELDS if cut_from is None else [*FIELDS, ("cut", T.StringType())]
 
     def make():
-        a = shared.value
+        a = shared()
 
         def fn(texts):
             rows = []

@@ -2,8 +2,8 @@
 
 Method
     Word unigrams and bigrams are hashed to ``BUCKETS`` bins. Two multinomials are
-    counted over all rows: the raw corpus (every document) and the trusted target
-    (documents whose ``labels.quality`` is 1). With a Dirichlet prior of ``PRIOR``
+    counted: the raw corpus (every document) and the trusted target (about
+    ``TRUSTED_SAMPLE`` documents whose ``labels.quality`` is 1). With a Dirichlet prior of ``PRIOR``
     raw-distributed counts, ``llr = mean over n-grams of log p_target - log p_raw``,
     so length does not matter. A rare n-gram, seen or not, stays near 0.
     The threshold is the value between the scores of trusted (1) and rejected (0)
@@ -13,7 +13,8 @@ Method
 Scale
     Pass 1 sends at most BUCKETS partial counts a task to a native sum; pass 2
     scores with the broadcast table (BUCKETS doubles, a fixed size) and writes one
-    narrow row a document, joined with the labels by id. No text is shuffled.
+    narrow row a document, joined with the labels by id. The sample's ids (a
+    bounded list) are broadcast. No text is shuffled.
 
 Defined results
     Null, empty or blank text: no words, all counts 0, ``base_failed`` true. Rows with
@@ -31,10 +32,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from carelake.llm import base
+from carelake.llm import base, ftrl
 
 BUCKETS = 1 << 16
 PRIOR = 20_000.0
+#: About so many trusted documents, drawn by a hash of the id, make the target multinomial.
+TRUSTED_SAMPLE = 50_000
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
 #: Score bins in which the threshold is looked for: 1/200 wide, from -10 to 10.
@@ -94,10 +97,12 @@ def base_counts(text: str | None, h: np.ndarray) -> tuple[int, int, int, int, in
 
 
 def fit_ratio(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> QualityModel:
-    """Both multinomials over all rows, in one scan: each row carries its label as a flag."""
-    good = labels.where("quality = 1").select(F.col("doc_id").alias("l_id")).distinct()
+    """Both multinomials in one scan: each row carries a flag if it is in the trusted sample."""
+    good = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("l_id")).distinct()
+    part = ftrl.share(good.count(), TRUSTED_SAMPLE)
+    good = good.where(F.pmod(F.xxhash64("l_id"), F.lit(1_000_000)) < part * 1_000_000)
     tagged = (docs.select(F.col(id_col).alias("l_id"), F.col(text_col).alias("l_text"))
-              .join(good.withColumn("l_good", F.lit(True)), "l_id", "left"))
+              .join(F.broadcast(good.withColumn("l_good", F.lit(True))), "l_id", "left"))
 
     def run(batches):
         n = np.zeros((2, BUCKETS), np.int64)
