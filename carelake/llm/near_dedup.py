@@ -15,14 +15,16 @@ Method
 
 How large groups stay linear
     1. Exact copies (same words) are one node from the start.
-    2. In each bucket the members are checked against one leader, the one that shares
-       buckets with most others (the original of a family of copies), not against each other.
-       Members that don't match it elect a leader of their own, ``PEEL`` times over.
+    2. In each bucket the members are checked against LEADERS leaders, those that share
+       buckets with most others (the originals of a family of copies), not against each other.
+       Members that match none of them elect leaders of their own, once more.
     3. What is then still in another component than its leader is checked against the other members of
-       that leader's group, but only against those that can reach the similarity: with
-       i = words shared with the leader and s = shared shingles outside of the leader,
-       the intersection is at most min(i_a, i_b) + s. Both parts are plain joins, so no link
-       between candidates is lost and members of one component are never paired.
+       that leader's group, but only against those that can reach the similarity. Let R be the
+       shingles outside of the leader that at most RARE members have, i a text's shingles not in R, and s the
+       ones of R that two texts share: their intersection is at most min(i_a, i_b) + s. Pairs that
+       min(i_a, i_b) alone allows and pairs that share of R are two plain joins (a shingle of
+       R meets RARE members at most), so no link between candidates is lost, and
+       members of one component are never paired.
 
 Defined results
     Texts without words (null, empty) and rows with a null id are in no class but their own.
@@ -33,7 +35,8 @@ Defined results
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
@@ -45,7 +48,8 @@ BANDS, ROWS = 20, 4
 K = BANDS * ROWS
 #: Similarity from which documents are linked, as a fraction (4/5).
 NUM, DEN = 4, 5
-PEEL = 3
+#: Leaders of a bucket, elections, members that share a rare shingle, and bits of the id filter at most.
+LEADERS, TURNS, RARE, MOST_BITS = 4, 2, 8, 1 << 27
 
 
 def shingles(ws: list[bytes]) -> np.ndarray:
@@ -136,16 +140,50 @@ def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", by_c
     return base.emit(ids, [id_col, text_col], f"doc_id {kind}, digest binary, n int, keys array<long>", run)
 
 
+def id_bits(nodes: DataFrame, most: int = MOST_BITS) -> tuple[np.ndarray, int]:
+    """A Bloom filter of the ids in ``nodes (node)``: its words, and its size in bits (at most ``most``)."""
+    n = nodes.count()
+    size = min(most, max(1024, 1 << (16 * n).bit_length()))
+    spots = nodes.select(F.explode(F.array(*_spots("node", size))).alias("p"))
+    words = spots.groupBy(F.shiftright("p", 6).alias("w")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("b"))
+    bits = np.zeros(size // 64, np.int64)
+    for r in words.toLocalIterator():  # size / 64 rows at most
+        bits[r.w] = r.b
+    return bits, size
+
+
+def _spots(col: str, size: int) -> list[F.Column]:
+    return [F.pmod(F.xxhash64(col, F.lit(seed)), F.lit(size)) for seed in range(3)]
+
+
 def shingle_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``node, toks``: the different shingles of the documents in ``nodes (node)``."""
-    def run(batches):
-        for b, a, z, texts in base.read_texts(batches, 1):
-            yield {"node": b.column(0).slice(a, z - a),
-                   "toks": [np.unique(shingles(fold_words(t))).view(np.int64) for t in texts]}
+    """``node, toks``: the different shingles of the documents in ``nodes (node)``, and of few others.
+
+    Documents are picked by a broadcast filter of bounded size, so texts are not shuffled; what it
+    lets through wrongly finds no partner in the joins that follow.
+    """
+    bits, size = id_bits(nodes)
+    shared = docs.sparkSession.sparkContext.broadcast(bits)
 
-    some = docs.select("doc_id", "text").join(nodes.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
+    def run(batches):
+        have = shared.value
+        for b in batches:
+            if not b.num_rows:
+                continue
+            ok = np.ones(b.num_rows, bool)
+            for k in range(2, 5):
+                p = b.column(k).to_numpy(zero_copy_only=False)
+                ok &= (have[p >> 6] >> (p & 63)) & 1 == 1
+            b = b.filter(pa.array(ok))
+            for c, a, z, texts in base.read_texts([b], 1):
+                yield {"node": c.column(0).slice(a, z - a),
+                       "toks": [np.unique(shingles(fold_words(t))).view(np.int64) for t in texts]}
+
+    ids = docs.where("doc_id is not null").select(
+        "doc_id", "text", *[x.alias(f"p{i}") for i, x in enumerate(_spots("doc_id", size))])
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return base.emit(some, ["doc_id", "text"], f"node {kind}, toks array<long>", run).dropDuplicates(["node"])
+    return base.emit(ids, ids.columns, f"node {kind}, toks array<long>", run).dropDuplicates(["node"])
 
 
 def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -162,10 +200,11 @@ def similar(both="both", na="na", nb="nb") -> F.Column:
 
 
 def leaders(members: DataFrame) -> DataFrame:
-    """``key, leader``: of each bucket's members (key, node, size) the one that shares buckets with most."""
+    """``key, rank, leader``: of each bucket's members (key, node, size) the LEADERS that share buckets with most."""
     rank = members.groupBy("node").agg(F.sum("size").alias("c"))
-    return (members.join(rank, "node").groupBy("key").agg(F.max(F.struct("c", (-F.col("node")).alias("m"))).alias("x"))
-            .select("key", (-F.col("x.m")).alias("leader")))
+    by = Window.partitionBy("key").orderBy(F.desc("c"), "node")
+    top = members.join(rank, "node").withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= LEADERS)
+    return top.select("key", "rank", F.col("node").alias("leader"))
 
 
 def near_classes(docs: DataFrame) -> DataFrame:
@@ -186,23 +225,22 @@ def _classes(docs: DataFrame, reps: DataFrame) -> DataFrame:
     members = base.stash(rows.join(sizes, "key"), "members")
     sets = base.stash(shingle_sets(docs, members.select("node").distinct()), "sets")
     links, groups = None, None
-    for turn in range(PEEL):
-        lead = base.stash(leaders(members), "leaders")
-        led = members.join(lead, "key").where("node <> leader")
+    for turn in range(TURNS):
+        led = base.stash(members.join(leaders(members), "key").where("node <> leader")
+                         .select("key", "rank", "leader", "node"), "led")
         pairs = led.select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
         checked = base.stash(verify(pairs, sets), "checked")
         if groups is None:
-            groups = checked
+            groups = led.where("rank = 1").select("leader", "node").distinct()
         new = checked.where(similar()).select(F.col("a").alias("u"), F.col("b").alias("v"))
         links = new if links is None else links.unionAll(new)
-        if turn + 1 == PEEL:
-            break
-        left = led.join(checked.where(~similar()).select(F.col("a").alias("leader"), F.col("b").alias("node")),
-                        ["leader", "node"], "left_semi").select("key", "node")
-        sizes = left.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-        members = base.stash(left.join(sizes, "key"), "members")
-        if members.isEmpty():
-            break
+        if turn + 1 < TURNS:  # members without a link to any of their bucket's leaders elect their own
+            tied = new.toDF("leader", "node")
+            tied = tied.unionAll(new.toDF("node", "leader").select("leader", "node"))
+            left = (led.join(tied.withColumn("ok", F.lit(1)), ["leader", "node"], "left")
+                    .groupBy("key", "node").agg(F.max("ok").alias("ok")).where("ok is null").select("key", "node"))
+            sizes = left.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+            members = base.stash(left.join(sizes, "key"), "members")
     comps = base.stash(components(links), "comps")
     extra = base.stash(_rest(groups, comps, sets), "rest")
     if extra.isEmpty():
@@ -217,28 +255,30 @@ def _classes(docs: DataFrame, reps: DataFrame) -> DataFrame:
 
 def _rest(groups: DataFrame, comps: DataFrame, sets: DataFrame) -> DataFrame:
     """Links between members of a leader's group that are still in different components (step 3)."""
-    name = comps.select(F.col("node").alias("b"), F.col("comp").alias("c"))
-    g = groups.join(name, "b", "left").withColumn("c", F.coalesce("c", "b"))
-    g = g.join(name.toDF("a", "ca"), "a", "left").withColumn("ca", F.coalesce("ca", "a"))
-    g = base.stash(g.select(F.col("a").alias("lead"), F.col("b").alias("node"), F.col("nb").alias("n"),
-                            F.col("both").alias("i"), "c", (F.col("c") != F.col("ca")).alias("out")), "groups")
-    if g.where("out").isEmpty():
-        return groups.select(F.col("a").alias("u"), F.col("b").alias("v")).limit(0)
-    odd, all_ = g.where("out").alias("x"), g.alias("y")
+    name = comps.select(F.col("node"), F.col("comp").alias("c"))
+    g = groups.join(name, "node", "left").withColumn("c", F.coalesce("c", "node"))
+    g = g.join(name.toDF("leader", "cl"), "leader", "left").withColumn("cl", F.coalesce("cl", "leader"))
+    g = g.select("leader", "node", "c", (F.col("c") != F.col("cl")).alias("out"))
+    open_ = g.where("out").select("leader").distinct()
+    g = (g.join(open_, "leader", "left_semi").join(sets.toDF("node", "tn"), "node")
+         .join(sets.toDF("leader", "tl"), "leader")
+         .select("leader", "node", "c", "out", F.size("tn").alias("n"), F.explode_outer(F.array_except("tn", "tl")).alias("tok")))
+    g = base.stash(g, "outside")
+    rare = g.where("tok is not null").groupBy("leader", "tok").agg(F.count("*").alias("df")).where(f"df <= {RARE}")
+    g = base.stash(g.join(rare, ["leader", "tok"], "left"), "rare")
+    member = g.groupBy("leader", "node").agg(F.any_value("c").alias("c"), F.any_value("out").alias("out"),
+                                             (F.any_value("n") - F.count("df")).alias("i"), F.any_value("n").alias("n"))
+    member = base.stash(member, "groups")
     once = ~F.col("y.out") | (F.col("x.node") < F.col("y.node"))
-    apart = (F.col("x.c") != F.col("y.c")) & once
-    alike = odd.join(all_, F.expr("x.lead = y.lead") & apart
-                     & ((NUM + DEN) * F.least("x.i", "y.i") >= NUM * (F.col("x.n") + F.col("y.n"))))
+    apart = (F.col("x.leader") == F.col("y.leader")) & (F.col("x.c") != F.col("y.c")) & once
+    x, y = member.where("out").alias("x"), member.alias("y")
+    alike = x.join(y, apart & ((NUM + DEN) * F.least("x.i", "y.i") >= NUM * (F.col("x.n") + F.col("y.n"))))
     pairs = alike.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-    groups_out = odd.select("lead").distinct()
-    outside = (g.join(groups_out, "lead", "left_semi")
-               .join(sets.toDF("node", "tn"), "node").join(sets.toDF("lead", "tl"), "lead")
-               .select("lead", "node", "n", "i", "c", "out", F.explode(F.array_except("tn", "tl")).alias("tok")))
-    outside = base.stash(outside, "outside")
-    x, y = outside.where("out").alias("x"), outside.alias("y")
-    shared = (x.join(y, F.expr("x.lead = y.lead and x.tok = y.tok") & apart)
-              .groupBy("x.lead", "x.node", "y.node", "x.n", "y.n", "x.i", "y.i").agg(F.count("*").alias("s"))
-              .toDF("lead", "a", "b", "nx", "ny", "ix", "iy", "s")
+    shared = g.where("df > 1").join(member.select("leader", "node", "i"), ["leader", "node"])
+    x, y = shared.where("out").alias("x"), shared.alias("y")
+    shared = (x.join(y, (F.col("x.tok") == F.col("y.tok")) & apart)
+              .groupBy("x.leader", "x.node", "y.node", "x.n", "y.n", "x.i", "y.i").agg(F.count("*").alias("s"))
+              .toDF("leader", "a", "b", "nx", "ny", "ix", "iy", "s")
               .where((NUM + DEN) * (F.least("ix", "iy") + F.col("s")) >= NUM * (F.col("nx") + F.col("ny"))))
     pairs = pairs.unionAll(shared.select("a", "b")).distinct()
     return verify(pairs, sets).where(similar()).select(F.col("a").alias("u"), F.col("b").alias("v"))
