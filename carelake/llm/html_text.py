@@ -111,6 +111,9 @@ class Page:
                         break
                     if inline and own in BLOCK:
                         break
+                else:
+                    if name == "p":  # an end without a start is an empty paragraph
+                        runs.append((stack[-1], None))
                 continue
             if name in CLOSES or name in BLOCK:
                 ends = CLOSES.get(name, ())
