@@ -38,11 +38,14 @@ def coerce_float(c, default: float | None = 0.0) -> Column:
 
 
 def coerce_int(c, default: int | None = 0) -> Column:
-    """X3 integer: coerce through double, missing -> default, truncate toward 0.
+    """X3 integer: coerce through decimal(38,9), missing -> default, truncate toward 0.
 
     ``'2.9'`` -> 2, ``'-2.9'`` -> -2, ``' 7 '`` -> 7, ``'x'``/NULL/``'nan'`` -> 0.
+    Every bigint keeps its value (a double would corrupt ids above 2**53).
     """
-    i = to_double(c).try_cast("bigint")
+    d = as_col(c).try_cast("decimal(38,9)")
+    whole = F.when(d < 0, F.ceil(d)).otherwise(F.floor(d))
+    i = whole.try_cast("bigint")
     return i if default is None else F.coalesce(i, F.lit(int(default)).cast("bigint"))
 
 

@@ -10,7 +10,11 @@ import re
 
 __all__ = ["camel", "camel_safe", "snake", "clean_headers", "rename_with"]
 
+# What a word of a header is, the name of a header without one,
+# and what stands before a leading digit.
 _WORD = re.compile(r"[A-Za-zÀ-ÿ0-9]+")
+NO_WORDS = "col"
+DIGIT_PREFIX = "c_"
 
 
 def _cap(w: str) -> str:
@@ -43,22 +47,32 @@ def camel(name: str, variant: str = "keep_first", sep: str = "_") -> str:
     raise ValueError(f"unknown camel variant {variant!r}")
 
 
+def _safe_base(name: str) -> str:
+    """One header as an identifier: lower camel case of its words."""
+    first, *rest = _WORD.findall(name) or [NO_WORDS]
+    text = first.lower() + camel("_".join(["", *rest])) if rest else first.lower()
+    return text if text[0].isalpha() else DIGIT_PREFIX + text
+
+
 def camel_safe(names: list[str]) -> list[str]:
-    """P10: regex tokens joined in camel case; ``col`` when no token; ``c_``
-    before a leading digit; ``_2``, ``_3``... appended on collision."""
-    used: set[str] = set()
-    out = []
-    for n in names:
-        toks = _WORD.findall(str(n))
-        base = (toks[0].lower() + "".join(_cap(t) for t in toks[1:])) if toks else "col"
-        if base[0].isdigit():
-            base = "c_" + base
-        cand, k = base, 2
-        while cand in used:
-            cand, k = f"{base}_{k}", k + 1
-        used.add(cand)
-        out.append(cand)
-    return out
+    """P10: unique identifiers for a list of headers, in order.
+
+    A header that repeats an earlier name gets the next free number of that
+    name (counted per name): ``x``, ``x_2``, ``x_3``.
+    """
+    taken: dict[str, int] = {}
+
+    def unique(base: str) -> str:
+        taken[base] = taken.get(base, 0) + 1
+        if taken[base] == 1:
+            return base
+        name = f"{base}_{taken[base]}"
+        if name in taken:  # a header of its own has that name already
+            return unique(base)
+        taken[name] = 1
+        return name
+
+    return [unique(_safe_base(str(n))) for n in names]
 
 
 def snake(name: str, fold_enye: bool = True) -> str:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from carelake.functions._col import as_col
 
 __all__ = [
-    "Cohort", "cohort", "cohort_counts", "grouped_with_total", "with_grand_total", "with_total_row",
+    "Cohort", "cohort", "cohort_counts", "grouped_with_total", "with_total_row",
     "pivot_count", "ratio", "conditional_sums", "count_distinct_pairs",
     "indicator_sum", "all_of",
 ]
@@ -82,18 +82,19 @@ def cohort_counts(df: DataFrame, keys, cohorts, age: str = "age", sex: str = "se
 
     ``total_label`` adds the network-total row (A5) in the same aggregation
     through grouping sets; ``strict=True`` keeps only groups whose every
-    cohort count is > 0 (what chained inner joins of per-cohort frames do).
+    cohort count is > 0 (what chained inner joins of per-cohort frames do);
+    the total is over the groups that are kept.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     aggs = [F.count_if(c.predicate(as_col(age), as_col(sex))).alias(c.name) for c in cohorts]
     out = df.groupBy(*keys).agg(*aggs)
+    if strict:  # before the total: dropped groups are not part of it
+        out = out.filter(reduce(lambda x, y: x & y, [F.col(c.name) > 0 for c in cohorts]))
     if total_label is not None:
         # Counts re-aggregate exactly, so the total row is summed from the
         # per-group result (one row per group) instead of expanding every
         # input row for a grouping set; the shuffle is reused, not repeated.
         out = with_total_row(out, keys, [c.name for c in cohorts], total_label, label_col or keys[-1])
-    if strict:
-        out = out.filter(reduce(lambda x, y: x & y, [F.col(c.name) > 0 for c in cohorts]))
     return out
 
 
@@ -123,15 +124,6 @@ def with_total_row(agg: DataFrame, keys, sum_cols, label: str, label_col: str) -
     return agg.withColumn(label_col, F.col(label_col).cast("string")).unionByName(tot.select(*agg.columns))
 
 
-def with_grand_total(df: DataFrame, label_col: str, label: str, sum_cols=None) -> DataFrame:
-    """A5 on an already-aggregated (small) frame: append one row with the sum
-    of every numeric column (or ``sum_cols``) and ``label`` in ``label_col``."""
-    numeric = sum_cols or [f.name for f in df.schema.fields
-                           if f.dataType.typeName() in ("integer", "long", "double", "float", "decimal", "short")]
-    total = df.agg(*[F.sum(c).alias(c) for c in numeric]).withColumn(label_col, F.lit(label))
-    return df.unionByName(total, allowMissingColumns=True)
-
-
 def pivot_count(df: DataFrame, keys, col: str, values, fill: int = 0,
                 name=lambda v: str(v)) -> DataFrame:
     """Count per ``keys`` x listed values of ``col`` (missing combos -> 0).
@@ -165,14 +157,10 @@ def conditional_sums(df: DataFrame, keys, measures: dict, predicates: dict) -> D
     aggs = []
     for m, mc in measures.items():
         for p, pc in predicates.items():
-            aggs.append(F.coalesce(F.sum(F.when(pc, mc)), F.lit(0).cast(_zero_type(mc))).alias(f"{m}_{p}"))
+            aggs.append(F.coalesce(F.sum(F.when(pc, mc)), F.lit(0)).alias(f"{m}_{p}"))
     return df.groupBy(*keys).agg(*aggs)
 
 
-def _zero_type(c: Column) -> str:
-    return "double"
-
-
 def count_distinct_pairs(df: DataFrame, keys, *cols, name: str = "n_distinct") -> DataFrame:
     """A10: distinct-then-count, one aggregate (Spark plans the two-level
     aggregation with partial combining on both levels)."""

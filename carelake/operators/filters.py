@@ -60,10 +60,13 @@ def like_any(df: DataFrame, col: str, patterns) -> DataFrame:
 
 
 def latest_period(df: DataFrame, col: str) -> DataFrame:
-    """rows of the latest period (``= (SELECT max(col))``, a scalar subquery
-    computed once as a one-row aggregate)."""
-    m = df.agg(F.max(col).alias("__max"))
-    return df.crossJoin(F.broadcast(m)).filter(F.col(col) == F.col("__max")).drop("__max")
+    """rows of the latest period (none when every period is NULL).
+
+    The period is one value on the driver: as a literal it reaches the scan's
+    filters, so only its partitions or row groups are read.
+    """
+    top = df.agg(F.max(col)).first()[0]
+    return df.filter(F.col(col) == F.lit(top)) if top is not None else df.filter(F.lit(False))
 
 
 def either_equals(df: DataFrame, cols, value) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from carelake.functions._col import as_col
 
 __all__ = [
-    "enrich", "flag_in", "inverse_flag", "match_marker", "count_matching", "last_value",
+    "enrich", "flag_in", "flags_in", "inverse_flag", "match_marker", "count_matching", "last_value",
     "status_by_priority", "fill_from", "overwrite_from", "fill_for_codes", "anti", "semi",
     "StatusRule",
 ]
@@ -95,6 +95,22 @@ def match_marker(df: DataFrame, dim: DataFrame, on, name: str, yes="SI", no="NO"
     return flag_in(df, dim, on, name, hit=yes, miss=no, right_on=right_on)
 
 
+def flags_in(df: DataFrame, facts: DataFrame, on, flags: dict | None = None, counts: dict | None = None,
+             latest: dict | None = None, right_on=None) -> DataFrame:
+    """J8/J10/J11/J12 for many predicates: ONE aggregate of the fact per key and
+    one left join, however many columns are asked for.
+
+    ``flags``: name -> predicate (1/0); ``counts``: name -> predicate (0 when
+    none); ``latest``: name -> (column, predicate or None), NULL when none.
+    """
+    flags, counts, latest = flags or {}, counts or {}, latest or {}
+    rk = _keys(right_on) if right_on is not None else _keys(on)
+    aggs = [F.max(F.when(p, 1).otherwise(0)).alias(n) for n, p in flags.items()]
+    aggs += [F.count_if(p).alias(n) for n, p in counts.items()]
+    aggs += [F.max(F.when(p, F.col(c)) if p is not None else F.col(c)).alias(n) for n, (c, p) in latest.items()]
+    return enrich(df, facts.groupBy(*rk).agg(*aggs), on, right_on=rk, defaults={n: 0 for n in (*flags, *counts)})
+
+
 def count_matching(df: DataFrame, facts: DataFrame, on, name: str, predicate: Column | None = None,
                    right_on=None) -> DataFrame:
     """Per key, number of fact rows satisfying ``predicate`` (0 when none)."""
@@ -162,14 +178,15 @@ def fill_for_codes(df: DataFrame, code_col: str, codes, fills: dict) -> DataFram
     })
 
 
-def anti(df: DataFrame, other: DataFrame, on, right_on=None) -> DataFrame:
-    """Rows of ``df`` whose key is absent from ``other`` (NULL keys kept)."""
+def anti(df: DataFrame, other: DataFrame, on, right_on=None, null_safe: bool = False) -> DataFrame:
+    """Rows of ``df`` whose key is absent from ``other`` (NULL keys kept,
+    or with ``null_safe`` compared like any other)."""
     lk = _keys(on)
     rk = _keys(right_on) if right_on is not None else lk
     tmp = [f"__a{i}" for i in range(len(rk))]
     o = other.select(*[F.col(r).alias(t) for r, t in zip(rk, tmp)])
-    return df.join(o, reduce(lambda a, b: a & b, [F.col(l) == F.col(t) for l, t in zip(lk, tmp)]),
-                   "left_anti")
+    same = [F.col(l).eqNullSafe(F.col(t)) if null_safe else F.col(l) == F.col(t) for l, t in zip(lk, tmp)]
+    return df.join(o, reduce(lambda a, b: a & b, same), "left_anti")
 
 
 def semi(df: DataFrame, other: DataFrame, on, right_on=None) -> DataFrame:

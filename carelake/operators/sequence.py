@@ -1,14 +1,16 @@
-"""Per-entity sequence logic (W1-W6) without skew-prone windows.
+"""Per-entity sequence logic (W1-W6) that a hot key doesn't stall.
 
-A window ``partitionBy(key)`` puts every row of a key in one task; with a key
-holding a third of the rows that task is the job. These operators use
-``min_by``/``max_by`` aggregates instead: partial aggregation runs on the map
-side, so each reducer sees at most one candidate per key per map task.
+Whole-row picks are ``row_number() = 1``: Spark plans a WindowGroupLimit on
+the map side as well, so each task sends one candidate row per key to the
+shuffle. Narrow picks (a value or two) are ``min_by``/``max_by`` aggregates,
+and partition totals an aggregate and a join.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from carelake.functions._col import as_col
@@ -17,17 +19,13 @@ from carelake.functions.dates import day_span
 __all__ = ["last_per", "first_per", "dedupe", "first_last", "partition_total", "latest_scaled"]
 
 
-def _order(order) -> Column:
-    order = [order] if isinstance(order, (str, Column)) else list(order)
-    return F.struct(*[as_col(o) for o in order]) if len(order) > 1 else as_col(order[0])
-
-
-def _pick(df: DataFrame, key, order, fn) -> DataFrame:
+def _pick(df: DataFrame, key, order, last: bool) -> DataFrame:
+    """The first row of each key; a NULL in the order ranks behind any value."""
     keys = [key] if isinstance(key, str) else list(key)
-    rest = [c for c in df.columns if c not in keys]
-    row = F.struct(*[F.col(c) for c in rest])
-    picked = df.groupBy(*keys).agg(fn(row, _order(order)).alias("__r"))
-    return picked.select(*[F.col(c) if c in keys else F.col(f"__r.{c}").alias(c) for c in df.columns])
+    order = [as_col(o) for o in ([order] if isinstance(order, (str, Column)) else order)]
+    by = [o.desc_nulls_last() if last else o.asc_nulls_last() for o in order]
+    w = Window.partitionBy(*keys).orderBy(*by)
+    return df.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
 
 
 def last_per(df: DataFrame, key, order) -> DataFrame:
@@ -36,11 +34,11 @@ def last_per(df: DataFrame, key, order) -> DataFrame:
     Give a unique tiebreak as the last order column to make the pick
     deterministic.
     """
-    return _pick(df, key, order, F.max_by)
+    return _pick(df, key, order, last=True)
 
 
 def first_per(df: DataFrame, key, order) -> DataFrame:
-    return _pick(df, key, order, F.min_by)
+    return _pick(df, key, order, last=False)
 
 
 def dedupe(df: DataFrame, subset=None, keep: str = "first", order=None) -> DataFrame:
@@ -82,11 +80,12 @@ def partition_total(df: DataFrame, part, value: str, name: str = "partition_tota
     The aggregate has one row per partition key and is computed with partial
     combining; its join back is planned by AQE (broadcast when the measured
     size is small, otherwise a skew-split shuffle join). A hot partition key
-    never lands in a single window task.
+    never lands in a single window task. The NULL partition has its sum, too.
     """
     parts = [part] if isinstance(part, str) else list(part)
-    tot = df.groupBy(*parts).agg(F.sum(value).alias(name))
-    return df.join(tot, parts, "left")
+    tot = df.groupBy(*[F.col(p).alias(f"__p_{p}") for p in parts]).agg(F.sum(value).alias(name))
+    same = reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.col(f"__p_{p}")) for p in parts])
+    return df.join(tot, same, "left").drop(*[f"__p_{p}" for p in parts])
 
 
 def latest_scaled(df: DataFrame, order: str, value: str, factor: float, name: str) -> DataFrame:

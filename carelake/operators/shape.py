@@ -155,6 +155,13 @@ def apply_spec(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df.select(*out)
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Explicit types on write (``DataFrame.to`` reorders and casts)."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]).to(schema)
+def conformed(c: Column, have: T.DataType, want: T.DataType, date_formats=("yyyy-MM-dd",)) -> Column:
+    """One column in the target's type; text that can't be converted is NULL."""
+    return c if have == want else _coerce_to(c, want, date_formats)
+
+
+def conform(df: DataFrame, schema: T.StructType, date_formats=("yyyy-MM-dd",)) -> DataFrame:
+    """Explicit types on write, in the target's order (tolerant casts:
+    one bad cell is NULL and doesn't fail the load)."""
+    return df.select(*[conformed(F.col(f.name), df.schema[f.name].dataType, f.dataType, date_formats).alias(f.name)
+                       for f in schema.fields])

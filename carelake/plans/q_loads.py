@@ -8,6 +8,7 @@ import warnings
 
 from pyspark.sql import functions as F
 
+from carelake.operators.lookup import enrich
 from carelake.operators.setops import id_difference, union_distinct, union_ragged, union_tagged
 from carelake.operators.shape import add_missing, cast_all_but, rename_positional
 from carelake.plans.registry import query
@@ -62,13 +63,12 @@ def new_rows_composite(t):
 
 
 @query("new_ids_as_text", """
-SELECT DISTINCT user_id FROM events WHERE CAST(user_id AS VARCHAR) NOT IN
-  (SELECT CAST(c_custkey AS VARCHAR) FROM customer WHERE c_custkey < 100)
+SELECT o_orderkey FROM orders WHERE CAST(o_custkey AS VARCHAR) NOT IN (SELECT CAST(user_id AS VARCHAR) FROM events)
 """)
 def new_ids_as_text(t):
     """Ids compared as text on both sides."""
-    known = t.customer.filter(F.col("c_custkey") < 100).select(F.col("c_custkey").cast("string").alias("id"))
-    return G.new_ids(t.events.select("user_id").distinct(), known, "user_id", ids_key="id")
+    known = t.events.select(F.col("user_id").cast("string").alias("id"))
+    return G.new_ids(t.orders.select("o_orderkey", "o_custkey"), known, "o_custkey", ids_key="id").select("o_orderkey")
 
 
 _SRC_SQL = """SELECT l_partkey, CASE WHEN l_partkey % 10 = 0 THEN NULL ELSE max(l_extendedprice / l_quantity) END AS p_retailprice
@@ -83,7 +83,7 @@ FROM part t LEFT JOIN ({_SRC_SQL}) s ON t.p_partkey = s.l_partkey
 def merge_update(t):
     """K8: update matched keys from the source (a matched NULL overwrites)."""
     li = t.lineitem.filter(F.col("l_shipdate") >= F.lit(_ts(2001, 1, 1)))
-    src = li.groupBy("l_partkey").agg(F.max(F.col("l_extendedprice") / F.col("l_quantity")).alias("v")).select(
+    src = li.groupBy("l_partkey").agg(F.max(F.try_divide("l_extendedprice", "l_quantity")).alias("v")).select(
         F.col("l_partkey").alias("p_partkey"),
         F.when(F.col("l_partkey") % 10 != 0, F.col("v")).alias("p_retailprice"))
     target = t.part.select("p_partkey", "p_brand", "p_retailprice")
@@ -132,6 +132,138 @@ def refresh_window(t):
     return K.refresh_window_df(target, new, "o_orderdate", _ts(2001, 3, 1))
 
 
+_LATE_SQL = """SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderdate END AS o_orderdate, o_totalprice FROM orders"""
+
+
+@query("refresh_window_late_rows", f"""
+WITH o AS ({_LATE_SQL}),
+keep AS (SELECT * FROM o WHERE o_orderkey % 3 <> 0 AND NOT coalesce(o_orderdate >= TIMESTAMP '2001-03-01', FALSE)),
+new AS (SELECT o_orderkey, o_orderdate, round(o_totalprice * 2, 2) AS o_totalprice FROM o
+        WHERE o_orderdate IS NULL OR o_orderdate >= TIMESTAMP '2001-02-01')
+SELECT * FROM keep UNION ALL SELECT * FROM new WHERE o_orderdate >= TIMESTAMP '2001-03-01'
+UNION ALL SELECT * FROM new WHERE NOT coalesce(o_orderdate >= TIMESTAMP '2001-03-01', FALSE)
+  AND o_orderkey NOT IN (SELECT o_orderkey FROM keep)
+""")
+def refresh_window_late_rows(t):
+    """K5: the batch also holds undated rows and rows from before the window;
+    those the target lacks are added by key, and a second run adds none."""
+    day = F.when(F.col("o_orderkey") % 11 != 0, F.col("o_orderdate")).alias("o_orderdate")
+    o = t.orders.select("o_orderkey", day, "o_totalprice")
+    lo = _ts(2001, 3, 1)
+    target = o.filter(F.col("o_orderkey") % 3 != 0)
+    new = o.filter(F.col("o_orderdate").isNull() | (F.col("o_orderdate") >= F.lit(_ts(2001, 2, 1)))).withColumn(
+        "o_totalprice", F.round(F.col("o_totalprice") * 2, 2))
+    once = K.refresh_window_df(target, new, "o_orderdate", lo, key="o_orderkey")
+    return K.refresh_window_df(once, new, "o_orderdate", lo, key="o_orderkey")
+
+
+@query("refresh_partitions", """
+SELECT o_orderkey, o_totalprice * 2 AS v, CAST(date_trunc('month', o_orderdate) AS DATE) AS day FROM orders
+WHERE o_orderdate >= TIMESTAMP '2001-03-01' AND o_orderdate < TIMESTAMP '2001-05-01'
+UNION ALL
+SELECT o_orderkey, o_totalprice, CAST(date_trunc('month', o_orderdate) AS DATE) FROM orders
+WHERE o_orderdate < TIMESTAMP '2001-03-01' OR o_orderdate >= TIMESTAMP '2001-06-01'
+""")
+def refresh_partitions(t):
+    """K5 by partition: only the months of the window are rewritten; a month that
+    the new extract no longer has is emptied."""
+    spark = t.orders.sparkSession
+    path = work_dir(spark, "refresh-partitions") + "/table"
+    o = t.orders.select("o_orderkey", F.col("o_totalprice").alias("v"), F.trunc(F.to_date("o_orderdate"), "MM").alias("day"))
+    K.overwrite(o, path, partition_by="day")
+    lo, hi = dt.date(2001, 3, 1), dt.date(2001, 6, 1)
+    new = o.filter((F.col("day") >= F.lit(lo)) & (F.col("day") < F.lit(dt.date(2001, 5, 1)))).withColumn("v", F.col("v") * 2)
+    K.refresh_partitions(new, path, "day", lo, hi)
+    return spark.read.parquet(path).select("o_orderkey", "v", "day")
+
+
+@query("reload_partitioned", """
+SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders WHERE o_orderpriority <> '5-LOW'
+""")
+def reload_partitioned(t):
+    """K2: a partitioned reload whose data no longer has one partition: that
+    partition is gone from the table as well."""
+    spark = t.orders.sparkSession
+    path = work_dir(spark, "reload") + "/table"
+    o = t.orders.select("o_orderkey", "o_totalprice", "o_orderpriority")
+    K.overwrite(o, path, partition_by="o_orderpriority")
+    K.overwrite(o.filter(F.col("o_orderpriority") != "5-LOW"), path, partition_by="o_orderpriority")
+    return spark.read.parquet(path).select("o_orderkey", "o_totalprice", "o_orderpriority")
+
+
+@query("typed_write_bad_text", """
+SELECT o_orderkey + 9007199254740993 AS id, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE CAST(o_orderkey AS BIGINT) END AS n,
+       CAST(CASE WHEN o_orderkey % 5 <> 0 THEN o_orderdate END AS DATE) AS day,
+       (SELECT CAST(count(*) FILTER (o_orderkey % 7 = 0) AS BIGINT) FROM orders) AS bad_n,
+       (SELECT CAST(count(*) FILTER (o_orderkey % 5 = 0) AS BIGINT) FROM orders) AS bad_day
+FROM orders
+""")
+def typed_write_bad_text(t):
+    """Text columns written with the target's types: bad cells are NULL
+    and counted, ids above 2**53 keep every digit."""
+    from pyspark.sql import types as T
+    spark = t.orders.sparkSession
+    path = work_dir(spark, "typed") + "/table"
+    raw = t.orders.select(
+        F.col("o_orderkey").cast("decimal(38,0)").__add__(F.lit(9007199254740993).cast("decimal(38,0)")).cast("string").alias("id"),
+        F.when(F.col("o_orderkey") % 7 == 0, "n/a").otherwise(F.col("o_orderkey").cast("string")).alias("n"),
+        F.when(F.col("o_orderkey") % 5 == 0, "99/99").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("day"))
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("n", T.LongType()), T.StructField("day", T.DateType())])
+    _, bad = K.write_with_schema(raw, schema, path)
+    return spark.read.parquet(path).withColumns({"bad_n": F.lit(bad["n"]).cast("bigint"),
+                                                 "bad_day": F.lit(bad["day"]).cast("bigint")})
+
+
+@query("publish_panel", """
+WITH p AS (SELECT strftime(o_orderdate, '%Y%m') AS period, o_orderpriority AS item, CAST(count(*) AS BIGINT) AS n
+           FROM orders GROUP BY 1, 2),
+t AS (SELECT 'panel' AS part, period, item, n FROM p)
+SELECT * FROM t
+UNION ALL SELECT 'log', '2001-06', 'panel', CAST(count(*) AS BIGINT) FROM p WHERE period <= '200106'
+UNION ALL SELECT 'log', '2001-07', 'panel', CAST(count(*) AS BIGINT) FROM p WHERE period > '200106'
+UNION ALL SELECT 'run 1', NULL, 'panel', CAST(count(*) AS BIGINT) FROM p WHERE period <= '200106'
+UNION ALL SELECT 'run 1 empty', NULL, 'none', 0
+UNION ALL SELECT 'run 2 closed', NULL, 'panel', 0
+UNION ALL SELECT 'run 3', NULL, 'panel', CAST(count(*) AS BIGINT) FROM p WHERE period > '200106'
+UNION ALL SELECT 'export', NULL, 'panel', CAST(count(*) AS BIGINT) FROM p
+UNION ALL SELECT 'export empty', NULL, 'panel', 0
+""")
+def publish_panel(t):
+    """Three runs of a publisher. June publishes half of the
+    periods and stops on an empty output; a second June run finds the gate
+    closed; July brings all periods again and only the new ones are added.
+    Returns target, log and summaries read back, and the CSV exports' counts."""
+    spark = t.orders.sparkSession
+    base = work_dir(spark, "publish")
+    p = t.orders.groupBy(F.date_format("o_orderdate", "yyyyMM").alias("period"), F.col("o_orderpriority").alias("item")).agg(
+        F.count(F.lit(1)).alias("n"))
+    june = p.filter(F.col("period") <= "200106")
+    none = p.filter(F.col("period").isNull())
+    runs = []
+    for name, day, specs in (("run 1", dt.date(2001, 6, 3), [K.PublishSpec("panel", june, period_col="period"),
+                                                             K.PublishSpec("none", none, mode="overwrite")]),
+                             ("run 2", dt.date(2001, 6, 20), [K.PublishSpec("panel", june, period_col="period")]),
+                             ("run 3", dt.date(2001, 7, 3), [K.PublishSpec("panel", p, period_col="period")])):
+        s = K.publish_all(specs, f"{base}/out", f"{base}/log", day)
+        state = F.when(F.col("loaded") == 0, " closed").when(F.col("loaded") < 0, " empty").otherwise("")
+        runs.append(s.select(F.concat(F.lit(name), state).alias("part"), F.lit(None).cast("string").alias("period"),
+                             F.col("table").alias("item"), F.col("rows").alias("n")))
+    target = spark.read.schema("item string, n bigint, period string").parquet(f"{base}/out/panel")
+    log = K.read_log(spark, f"{base}/log")
+    out = target.select(F.lit("panel").alias("part"), "period", "item", "n").unionByName(
+        log.select(F.lit("log").alias("part"), F.date_format("fechaCargue", "yyyy-MM").alias("period"),
+                   F.col("idBigquery").alias("item"), F.col("totalRegistros").alias("n")))
+    for r in runs:
+        out = out.unionByName(r)
+    K.export_csv(target, f"{base}/csv")
+    exported = spark.read.option("sep", ";").option("header", "true").csv(f"{base}/csv")
+    empty = K.export_csv(target.filter("false"), f"{base}/csv2")
+    out = out.unionByName(exported.agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit("export").alias("part"), F.lit(None).cast("string").alias("period"), F.lit("panel").alias("item"), "n"))
+    return out.unionByName(spark.createDataFrame([("export empty", None, "panel", empty)],
+                                                 "part string, period string, item string, n bigint"))
+
+
 @query("replace_period", """
 SELECT l_orderkey, l_linenumber, period, l_quantity FROM (
   SELECT *, strftime(l_shipdate, '%Y%m') AS period FROM lineitem) x WHERE period <> '200006'
@@ -143,7 +275,8 @@ def replace_period(t):
     """K6: every row of period 200006 replaced by the new extract of it."""
     li = t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag",
                            F.date_format("l_shipdate", "yyyyMM").alias("period"))
-    new = li.filter(F.col("l_returnflag") == "N").withColumn("l_quantity", F.col("l_quantity") + 1)
+    new = li.filter((F.col("l_returnflag") == "N") & (F.col("period") == "200006")).withColumn(
+        "l_quantity", F.col("l_quantity") + 1)
     return K.replace_period_df(li.drop("l_returnflag"), new.drop("l_returnflag"), "period", "200006")
 
 
@@ -171,13 +304,9 @@ def _gate_sql(name, lo, hi):
 def load_gate(t):
     """Loads already logged today / this month / this week (half-open
     7 days, and the legacy window that leaves out the Sunday)."""
-    log = _log(t).cache()
-    out = None
-    for g, lg in (("daily", False), ("monthly", False), ("weekly", False), ("weekly", True)):
-        n = G.gate(log, "tabla_1-URGENT", g, _GATE_ON, legacy_week=lg).select(
-            F.col("totalCargues").alias(f"n_{g}{'_legacy' if lg else ''}"))
-        out = n if out is None else out.crossJoin(n)
-    return out
+    return G.gates(_log(t), "tabla_1-URGENT", _GATE_ON, {
+        f"n_{g}{'_legacy' if lg else ''}": (g, lg)
+        for g, lg in (("daily", False), ("monthly", False), ("weekly", False), ("weekly", True))})
 
 
 @query("range_empty", """
@@ -201,11 +330,11 @@ SELECT w.watermark, CAST(count(o.o_orderkey) AS BIGINT) AS n_after FROM w LEFT J
 GROUP BY w.watermark
 """)
 def high_watermark(t):
-    """target's max date, then only rows after it (the value stays in the plan)."""
-    w = G.watermark_of(t.orders.filter(F.col("o_orderdate") < F.lit(_ts(2001, 1, 1))), "o_orderdate")
-    after = t.orders.join(F.broadcast(w), F.col("o_orderdate") > F.col("watermark"), "inner")
-    n = after.agg(F.count(F.lit(1)).alias("n_after"))
-    return w.crossJoin(n)
+    """The target's max date, then a scan of only the rows after it."""
+    target = t.orders.filter(F.col("o_orderdate") < F.lit(_ts(2001, 1, 1)))
+    after = G.rows_after(t.orders, "o_orderdate", target)
+    return after.agg(F.count("o_orderkey").alias("n_after")).join(  # one row each
+        G.watermark_of(target, "o_orderdate"), how="cross").select("watermark", "n_after")
 
 
 @query("fallback_period", """
@@ -313,38 +442,42 @@ def schema_drift_union(t):
     return add_missing(u, ["flag"], 0).select("id", "name", "site", "balance", "flag", "part")
 
 
-_STAR = {
+_STAR = {  # table -> columns, key, what an earlier load held
     "dim_site": ("nation", ["n_nationkey", "n_name"], ["n_nationkey"], "n_regionkey < 2"),
     "dim_professional": ("supplier", ["s_suppkey", "s_name"], ["s_suppkey"], "s_nationkey < 10"),
     "dim_exam": ("part", ["p_partkey", "p_type"], ["p_partkey"], "p_size < 20"),
-    "fact_study": ("lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"],
-                   ["l_orderkey", "l_linenumber"], "l_shipdate < TIMESTAMP '2000-01-01'"),
 }
 
 
-@query("imaging_star_load", " UNION ALL ".join(
-    f"""SELECT '{n}' AS table_name, CAST(count(*) AS BIGINT) AS n_rows FROM (
-      SELECT {', '.join(c)} FROM {tb} WHERE {sd}
-      UNION ALL SELECT {', '.join('b.' + x for x in c)} FROM {tb} b
-      WHERE NOT EXISTS (SELECT 1 FROM (SELECT * FROM {tb} WHERE {sd}) s WHERE {' AND '.join(f's.{k} = b.{k}' for k in ks)}))"""
-    for n, (tb, c, ks, sd) in _STAR.items()))
+@query("imaging_star_load", """
+SELECT l.l_orderkey, l.l_linenumber, l.l_extendedprice, p_type AS exam, s_name AS professional, n_name AS site
+FROM lineitem l JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
+""")
 def imaging_star_load(t):
     """Three dimensions and a fact, each loaded through its own keyed
     dedupe (G5) and append (K1) into tables seeded with an earlier load;
-    returns the row count of every table read back."""
+    returns the star read back, the fact with all three dimensions."""
     spark = t.orders.sparkSession
     base = work_dir(spark, "star")
-    out = None
-    for name, (table, cols, keys, seed) in _STAR.items():
-        src = getattr(t, table)
+
+    def load(name, src, keys, seed):
         path = f"{base}/{name}"
-        K.overwrite(src.filter(seed).select(*cols), path)
-        fresh = G.new_rows(src.select(*cols), spark.read.parquet(path), keys).checkpoint(eager=True)
-        K.append(fresh, path)
-        n = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n_rows")).select(
-            F.lit(name).alias("table_name"), "n_rows")
-        out = n if out is None else out.unionByName(n)
-    return out
+        K.overwrite(src.filter(seed), path)
+        K.append(G.new_rows(src, spark.read.parquet(path), keys).checkpoint(eager=True), path)
+        return spark.read.parquet(path)
+
+    dim = {n: load(n, getattr(t, table).select(*cols, *(["n_regionkey"] if table == "nation" else []),
+                                               *(["s_nationkey"] if table == "supplier" else []),
+                                               *(["p_size"] if table == "part" else [])), keys, seed)
+           for n, (table, cols, keys, seed) in _STAR.items()}
+    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate")
+    # (order, line) repeats in the line table: the key of a fact row is the row itself
+    fact = load("fact_study", li, li.columns, "l_shipdate < TIMESTAMP_NTZ '2000-01-01 00:00:00'")
+    j = enrich(fact, dim["dim_exam"].select("p_partkey", F.col("p_type").alias("exam")), "l_partkey", right_on="p_partkey", how="inner")
+    j = enrich(j, dim["dim_professional"].select("s_suppkey", "s_nationkey", F.col("s_name").alias("professional")), "l_suppkey",
+               right_on="s_suppkey", how="inner")
+    j = enrich(j, dim["dim_site"].select("n_nationkey", F.col("n_name").alias("site")), "s_nationkey", right_on="n_nationkey", how="inner")
+    return j.select("l_orderkey", "l_linenumber", "l_extendedprice", "exam", "professional", "site")
 
 
 @query("roll_history", """

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from carelake.plans.registry import query
 from carelake.session import work_dir
 from carelake.streaming.streams import (
-    file_stream, run_available, stream_append_new, stream_counts, stream_dedupe, stream_refresh,
+    event_time, file_stream, stream_append_new, stream_counts, stream_counts_table, stream_dedupe_load, stream_refresh,
 )
 
 
@@ -27,13 +27,14 @@ def _events_stream(t):
 SELECT DISTINCT user_id, event_type FROM events
 """)
 def stream_dedupe_q(t):
-    """One row per (patient, test) within a delay that covers the data."""
+    """One row per (patient, test): within two days by the stream's state,
+    beyond them by the target, however long the history is."""
     spark = t.events.sparkSession
     base = work_dir(spark, "stream-dedupe")
-    s = stream_dedupe(_events_stream(t), ["user_id", "event_type"], "ts", "60 days")
-    w = s.select("user_id", "event_type").writeStream.format("parquet").option("path", f"{base}/out")
-    run_available(w, f"{base}/chk")
-    return spark.read.parquet(f"{base}/out")
+    s = event_time(_events_stream(t), "ts").select("user_id", "event_type", "ts")
+    spark.createDataFrame([], s.schema).write.parquet(f"{base}/out")
+    stream_dedupe_load(s, f"{base}/out", ["user_id", "event_type"], "ts", "2 days", f"{base}/chk")
+    return spark.read.parquet(f"{base}/out").select("user_id", "event_type")
 
 
 @query("stream_keyed_load", """
@@ -51,23 +52,50 @@ def stream_keyed_load(t):
 
 
 @query("stream_daily_counts", """
-WITH w AS (SELECT max(ts) - INTERVAL 1 DAY AS wm FROM events)
 SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start,
        CAST(date_trunc('day', ts) + INTERVAL 1 DAY AS TIMESTAMP) AS window_end,
        event_type, CAST(count(*) AS BIGINT) AS n
-FROM events, w GROUP BY 1, 2, 3, wm HAVING max(date_trunc('day', ts) + INTERVAL 1 DAY) <= wm
+FROM events GROUP BY 1, 2, 3
 """)
 def stream_daily_counts(t):
-    """Daily counts per test; a day is emitted once the watermark
-    (latest event - 1 day) has passed its end."""
+    """Daily counts per test, the days that are still open included."""
     spark = t.events.sparkSession
     base = work_dir(spark, "stream-counts")
     c = stream_counts(_events_stream(t), "ts", "1 day", "event_type", "1 day")
     out = c.select(F.col("window.start").cast("timestamp_ntz").alias("window_start"),
                    F.col("window.end").cast("timestamp_ntz").alias("window_end"), "event_type", "n")
-    run_available(out.writeStream.format("parquet").outputMode("append").option("path", f"{base}/out"),
-                  f"{base}/chk")
-    return spark.read.parquet(f"{base}/out")
+    return stream_counts_table(out, f"{base}/out", ["window_start", "window_end", "event_type"], f"{base}/chk")
+
+
+@query("stream_refresh_split_period", """
+SELECT event_id, user_id, value, CAST(ts AS DATE) AS day FROM events
+""")
+def stream_refresh_split_period(t):
+    """T4: every day comes in two files, and so in two micro-batches; both
+    halves are in the refreshed table."""
+    spark = t.events.sparkSession
+    base = work_dir(spark, "stream-split")
+    e = t.events.select("event_id", "user_id", "value", F.to_date("ts").alias("day"))
+    e.withColumn("value", F.col("value") * 2).write.partitionBy("day").parquet(f"{base}/table")
+    for half in (0, 1):
+        e.filter(F.col("event_id") % 2 == half).coalesce(1).write.mode("append").parquet(f"{base}/landing")
+    s = file_stream(spark, f"{base}/landing", e.schema, max_files=1)
+    stream_refresh(s, f"{base}/table", "day", f"{base}/chk")
+    return spark.read.parquet(f"{base}/table").select("event_id", "user_id", "value", "day")
+
+
+@query("stream_keyed_null_replay", """
+SELECT CASE WHEN event_id % 50 <> 0 THEN event_id END AS event_id, user_id FROM events
+""")
+def stream_keyed_null_replay(t):
+    """A table that holds NULL keys gets the whole stream replayed: nothing
+    is added, NULL keys included."""
+    spark = t.events.sparkSession
+    base = work_dir(spark, "stream-null")
+    key = F.when(F.col("event_id") % 50 != 0, F.col("event_id")).alias("event_id")
+    t.events.select(key, "user_id").write.parquet(f"{base}/table")
+    stream_append_new(_events_stream(t).select(key, "user_id"), f"{base}/table", "event_id", f"{base}/chk")
+    return spark.read.parquet(f"{base}/table")
 
 
 @query("stream_refresh", """

@@ -8,7 +8,7 @@ Settings chosen for scale:
 * Session time zone UTC and ANSI mode on (coercions use ``try_*``).
 * The work folder (for copy-on-write table rewrites and streaming
   checkpoints) is read from ``spark.checkpoint.dir``; only when it is unset
-  (local tests) a scratch folder is created.
+  and the master is local (tests) a scratch folder is created.
 """
 
 from __future__ import annotations
@@ -59,13 +59,17 @@ def apply_runtime_conf(spark: SparkSession) -> None:
 def work_dir(spark: SparkSession, name: str | None = None) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
-    ``spark.checkpoint.dir`` names the shared folder on a cluster; it is only
-    set here when absent (local runs and tests), to a new scratch folder.
+    ``spark.checkpoint.dir`` names the shared folder on a cluster. Where it is
+    unset, a local master (tests) gets a new scratch folder; any other master
+    is refused, because each executor would write to its own disk.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="carelake-")
         spark.conf.set("spark.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)

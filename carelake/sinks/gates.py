@@ -17,7 +17,7 @@ from carelake.functions.dates import in_range, monday_of
 from carelake.operators.lookup import anti
 
 __all__ = [
-    "gate", "range_probe", "watermark_of", "new_rows", "new_ids", "fallback_period",
+    "gate", "gates", "rows_after", "range_probe", "watermark_of", "new_rows", "new_ids", "fallback_period",
     "load_window", "mark_new_vs_previous",
 ]
 
@@ -40,6 +40,19 @@ def load_window(grain: str, on: dt.date, legacy_week: bool = False) -> tuple[dt.
     raise ValueError(f"unknown grain {grain!r}")
 
 
+def gates(log: DataFrame, table: str, on: dt.date, grains: dict, table_col: str = "idBigquery",
+          at_col: str = "fechaCargue") -> DataFrame:
+    """G1-G3 for several grains at once: one row, one scan of the log.
+
+    ``grains``: column name -> (grain, legacy_week). The scan is bounded by
+    the widest window.
+    """
+    days = {n: load_window(g, on, lg) for n, (g, lg) in grains.items()}
+    lo, hi = min(d[0] for d in days.values()), max(d[1] for d in days.values())
+    hits = log.filter((F.col(table_col) == F.lit(table)) & in_range(at_col, lo, hi))
+    return hits.agg(*[F.count_if(in_range(at_col, a, z)).alias(n) for n, (a, z) in days.items()])
+
+
 def gate(log: DataFrame, table: str, grain: str, on: dt.date, legacy_week: bool = False,
          table_col: str = "idBigquery", at_col: str = "fechaCargue") -> DataFrame:
     """``totalCargues`` loads of ``table`` in the grain's window and
@@ -57,21 +70,32 @@ def range_probe(df: DataFrame, col: str, lo, hi) -> DataFrame:
 
 
 def watermark_of(df: DataFrame, col: str, name: str = "watermark") -> DataFrame:
-    """``max(col)`` as a one-row frame (join it, don't collect it)."""
+    """``max(col)`` as a one-row frame."""
     return df.agg(F.max(col).alias(name))
 
 
+def rows_after(df: DataFrame, col: str, target: DataFrame, target_col: str | None = None) -> DataFrame:
+    """Rows after the target's high watermark, all rows for an empty target.
+
+    The watermark is one value on the driver, so that it is a literal in the
+    scan's filters (row groups and partitions are pruned).
+    """
+    at = watermark_of(target, target_col or col).first()[0]
+    return df if at is None else df.filter(F.col(col) > F.lit(at))
+
+
 def new_rows(batch: DataFrame, target: DataFrame, key, since=None, since_col: str | None = None,
-             target_key=None) -> DataFrame:
+             target_key=None, null_safe: bool = False) -> DataFrame:
     """Batch rows whose key is absent from the target.
 
     ``since`` limits the target to recent rows (partition-prunable filter).
     Duplicates inside the batch are kept; an empty batch gives an empty
-    result; NULL keys are kept (they match nothing).
+    result; NULL keys are kept (they match nothing), or with ``null_safe``
+    match the target's NULL keys, so that a replay adds nothing twice.
     """
     if since is not None:
         target = target.filter(F.col(since_col) >= F.lit(since))
-    return anti(batch, target, key, right_on=target_key)
+    return anti(batch, target, key, right_on=target_key, null_safe=null_safe)
 
 
 def new_ids(batch: DataFrame, ids: DataFrame, key: str, ids_key: str | None = None) -> DataFrame:

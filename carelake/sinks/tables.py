@@ -17,18 +17,20 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from carelake.operators.shape import conform
+from carelake.functions import coerce as C
+from carelake.operators.shape import conform, conformed
 from carelake.session import work_dir
 
 __all__ = [
-    "append", "overwrite", "rewrite", "refresh_window_df", "refresh_window", "replace_period_df",
+    "append", "overwrite", "overwrite_partitions", "only", "rewrite", "refresh_window_df", "refresh_window",
+    "refresh_partitions", "export_csv", "replace_period_df",
     "replace_period", "merge_update_df", "update_from_df", "write_with_schema", "LOG_SCHEMA",
     "log_load", "snapshot_csv", "PublishSpec", "publish_all", "create_table", "drop_table",
     "run_summary", "jdbc_write", "dual_write",
@@ -57,8 +59,36 @@ def append(df: DataFrame, path: str, fmt: str = "parquet", partition_by=None) ->
 
 
 def overwrite(df: DataFrame, path: str, fmt: str = "parquet", partition_by=None) -> int:
-    """K2/K7: truncate and reload (``df`` must not read ``path``; see rewrite)."""
-    return _write(df, path, "overwrite", fmt, partition_by)
+    """K2/K7: truncate and reload (``df`` must not read ``path``; see rewrite).
+
+    The write says so itself (static partition overwrite): under the session's
+    dynamic mode a partition that is absent from ``df`` would survive.
+    """
+    return _write(df, path, "overwrite", fmt, partition_by, partitionOverwriteMode="static")
+
+
+def overwrite_partitions(df: DataFrame, path: str, partition_by) -> int:
+    """Replace exactly the partitions that ``df`` holds rows of."""
+    return _write(df, path, "overwrite", "parquet", partition_by, partitionOverwriteMode="dynamic")
+
+
+def only(df: DataFrame, cond: Column, what: str) -> DataFrame:
+    """``df``, failing the job on the first row that doesn't meet ``cond`` (NULL fails too)."""
+    bad = F.raise_error(F.concat(F.lit(f"row outside of {what}: "), F.to_json(F.struct(*df.columns)))).cast("boolean")
+    return df.filter(F.when(F.coalesce(cond, F.lit(False)), F.lit(True)).otherwise(bad))
+
+
+def _append_rest(keep: DataFrame, new: DataFrame, inside: Column, what: str, key) -> DataFrame:
+    """Kept target rows plus the batch. Batch rows that are not ``inside`` the
+    reloaded part would be appended again by every run: with ``key`` they are
+    added unless the kept rows hold their key (NULL keys compare equal), and
+    without one they fail the job. None is dropped."""
+    from carelake.sinks.gates import new_rows
+    if key is None:
+        return keep.unionByName(only(new, inside, what), allowMissingColumns=True)
+    ok = F.coalesce(inside, F.lit(False))
+    rest = new_rows(new.filter(~ok), keep, key, null_safe=True)
+    return keep.unionByName(new.filter(ok), allowMissingColumns=True).unionByName(rest, allowMissingColumns=True)
 
 
 def rewrite(state: DataFrame, path: str, partition_by=None) -> int:
@@ -71,31 +101,54 @@ def rewrite(state: DataFrame, path: str, partition_by=None) -> int:
     return overwrite(state.checkpoint(eager=True), path, partition_by=partition_by)
 
 
-def refresh_window_df(target: DataFrame, new: DataFrame, col: str, lo) -> DataFrame:
-    """K5 state: target rows before the window start, plus the new rows.
+def refresh_window_df(target: DataFrame, new: DataFrame, col: str, lo, key=None) -> DataFrame:
+    """K5 state: target rows before the window start, plus the whole batch.
 
-    ``~coalesce(col >= lo, false)``: rows with a NULL date are kept.
+    Target rows with a NULL date are kept. Batch rows before the window or
+    without a date are added by ``key``, or fail the job (see _append_rest).
     """
     keep = target.filter(~F.coalesce(F.col(col) >= F.lit(lo), F.lit(False)))
-    return keep.unionByName(new.filter(F.col(col) >= F.lit(lo)), allowMissingColumns=True)
+    return _append_rest(keep, new, F.col(col) >= F.lit(lo), f"{col} >= {lo}", key)
 
 
-def refresh_window(spark: SparkSession, path: str, new: DataFrame, col: str, lo) -> int:
+def refresh_window(spark: SparkSession, path: str, new: DataFrame, col: str, lo, key=None) -> int:
     """K5: idempotent window reload of an unpartitioned table (copy-on-write)."""
-    return rewrite(refresh_window_df(spark.read.parquet(path), new, col, lo), path)
+    return rewrite(refresh_window_df(spark.read.parquet(path), new, col, lo, key), path)
+
 
+def refresh_partitions(new: DataFrame, path: str, day_col: str, lo, hi) -> int:
+    """K5 on a table partitioned by a date: only partitions in ``[lo, hi)`` are rewritten.
 
-def replace_period_df(target: DataFrame, new: DataFrame, period_col: str, value) -> DataFrame:
-    """K6 state: every period but ``value`` kept, ``value`` replaced by ``new``."""
+    Dates of the window that the batch lacks are emptied as well (their rows
+    were deleted at the source); batch rows outside the window fail the job.
+    Every other partition stays as it is, whatever becomes of the run.
+    """
+    spark = new.sparkSession
+    n = overwrite_partitions(only(new, (F.col(day_col) >= F.lit(lo)) & (F.col(day_col) < F.lit(hi)),
+                                  f"{day_col} in [{lo}, {hi})"), path, day_col)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    have = {r[0] for r in spark.read.parquet(path).filter((F.col(day_col) >= F.lit(lo)) & (F.col(day_col) < F.lit(hi)))
+            .select(day_col).distinct().collect()}  # a row per partition
+    held = {r[0] for r in new.select(day_col).distinct().collect()}
+    for day in have - held:
+        p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{day_col}={day}")
+        p.getFileSystem(conf).delete(p, True)
+    return n
+
+
+def replace_period_df(target: DataFrame, new: DataFrame, period_col: str, value, key=None) -> DataFrame:
+    """K6 state: every period but ``value`` kept, ``value`` replaced by the batch.
+
+    Batch rows of another period are added by ``key``, or fail the job.
+    """
     keep = target.filter(~F.coalesce(F.col(period_col) == F.lit(value), F.lit(False)))
-    return keep.unionByName(new.filter(F.col(period_col) == F.lit(value)), allowMissingColumns=True)
+    return _append_rest(keep, new, F.col(period_col) == F.lit(value), f"{period_col} = {value}", key)
 
 
 def replace_period(new: DataFrame, path: str, period_col: str, value) -> int:
-    """K6 on a table partitioned by ``period_col``: dynamic partition
-    overwrite replaces exactly that partition (other periods untouched)."""
-    new.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    return overwrite(new.filter(F.col(period_col) == F.lit(value)), path, partition_by=period_col)
+    """K6 on a table partitioned by ``period_col``: replaces exactly that
+    partition; batch rows of another period fail the job."""
+    return overwrite_partitions(only(new, F.col(period_col) == F.lit(value), f"{period_col} = {value}"), path, period_col)
 
 
 def merge_update_df(target: DataFrame, source: DataFrame, keys, set_cols, when: Column | None = None,
@@ -119,12 +172,15 @@ def merge_update_df(target: DataFrame, source: DataFrame, keys, set_cols, when:
     if when is not None:
         matched = matched & F.coalesce(when, F.lit(False))
 
+    # A filter, not a value: it stays in the plan whatever columns are selected.
+    dup = F.raise_error(F.lit("merge source has duplicate keys")).cast("boolean")
+    j = j.filter(F.when(F.col("__n") > 1, dup).otherwise(F.lit(True)))
+
     def new_value(c: str) -> Column:
         m = matched
         if only_changed:
             m = m & F.coalesce(F.col(c) != F.col(f"__s_{c}"), F.lit(False))
-        dup = F.raise_error(F.lit("merge source has duplicate keys")).cast(target.schema[c].dataType)
-        return (F.when(F.col("__n") > 1, dup).when(m, F.col(f"__s_{c}")).otherwise(F.col(c))).alias(c)
+        return F.when(m, F.col(f"__s_{c}")).otherwise(F.col(c)).alias(c)
 
     return j.select(*[new_value(c) if c in set_cols else F.col(c) for c in target.columns])
 
@@ -137,9 +193,20 @@ def update_from_df(target: DataFrame, source: DataFrame, keys, set_cols, floor_c
     return merge_update_df(target, source, keys, set_cols, when=when, only_changed=True)
 
 
-def write_with_schema(df: DataFrame, schema: T.StructType, path: str, mode: str = "append") -> int:
-    """Explicit target types on write."""
-    return _write(conform(df, schema), path, mode)
+def write_with_schema(df: DataFrame, schema: T.StructType, path: str, mode: str = "append",
+                      date_formats=("yyyy-MM-dd",)) -> tuple[int, dict[str, int]]:
+    """Explicit target types on write: rows written, and per column the
+    cells that held a value and could not be converted (written as NULL)."""
+    typed = conform(df, schema, date_formats)
+    flagged = df.select(*[F.col(c).alias(f"__r_{c}") for c in df.columns])
+    both = flagged.select("*", *[conformed(F.col(f"__r_{f.name}"), df.schema[f.name].dataType, f.dataType, date_formats)
+                                 .alias(f.name) for f in schema.fields])
+    obs = Observation(f"w{uuid.uuid4().hex[:8]}")
+    bad = [F.sum(C.bad_value(f"__r_{f.name}", f.name)).alias(f"bad_{f.name}") for f in schema.fields]
+    out = both.observe(obs, F.count(F.lit(1)).alias("n"), *bad).select(*typed.columns)
+    out.write.mode(mode).parquet(path)
+    got = obs.get
+    return int(got.get("n", 0) or 0), {f.name: int(got.get(f"bad_{f.name}") or 0) for f in schema.fields}
 
 
 def log_load(spark: SparkSession, log_path: str, n: int, table: str, at: dt.datetime) -> int:
@@ -162,32 +229,58 @@ class PublishSpec:
     mode: str = "append"
     period_col: str | None = None
     grain: str = "monthly"
-    extra: dict = field(default_factory=dict)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
+def read_log(spark: SparkSession, log_path: str) -> DataFrame:
+    """The load log; empty before the first load. Any other failure is one."""
+    if path_exists(spark, log_path):
+        return spark.read.schema(LOG_SCHEMA).parquet(log_path)
+    return spark.createDataFrame([], LOG_SCHEMA)
 
 
 def publish_all(specs, base: str, log_path: str, run: dt.date, at: dt.datetime | None = None) -> DataFrame:
-    """For each spec: gate on the load log, write (append or
-    overwrite), log the load; returns the run summary (one row per table)."""
+    """For each spec: gate on the load log, drop the rows whose
+    period the target already holds, stop on an empty batch, write (append or
+    overwrite), log the load; returns the run summary (one row per table).
+
+    ``loaded``: 1 written, 0 gate closed, -1 nothing to write (the target is
+    left as it is: an empty batch never empties a table).
+    """
+    from carelake.operators.lookup import anti
     from carelake.sinks.gates import gate
     spark = specs[0].df.sparkSession if specs else None
     at = at or dt.datetime.combine(run, dt.time())
     rows = []
     for s in specs:
-        try:
-            log = spark.read.schema(LOG_SCHEMA).parquet(log_path)
-        except Exception:  # noqa: BLE001  (no log yet)
-            log = spark.createDataFrame([], LOG_SCHEMA)
-        proceed = gate(log, s.table, s.grain, run).first()["proceed"] == 1
-        n = 0
-        if proceed:
-            path = f"{base.rstrip('/')}/{s.table}"
-            n = _write(s.df, path, s.mode, partition_by=s.period_col)
-            if n:
-                log_load(spark, log_path, n, s.table, at)
-        rows.append((s.table, int(n), at, int(proceed)))
+        if gate(read_log(spark, log_path), s.table, s.grain, run).first()["proceed"] != 1:
+            rows.append((s.table, 0, at, 0))
+            continue
+        path = f"{base.rstrip('/')}/{s.table}"
+        df = s.df
+        if s.period_col and s.mode == "append" and path_exists(spark, path):
+            df = anti(df, spark.read.parquet(path).select(s.period_col).distinct(), s.period_col)
+        work_dir(spark)
+        df = df.checkpoint(eager=True)  # once, whether it turns out empty or not
+        n = 0 if df.isEmpty() else (append if s.mode == "append" else overwrite)(df, path, partition_by=s.period_col)
+        if n:
+            log_load(spark, log_path, n, s.table, at)
+        rows.append((s.table, int(n), at, 1 if n else -1))
     return run_summary(spark, rows)
 
 
+def export_csv(df: DataFrame, path: str) -> int:
+    """A report as ``;`` CSV with a header, only if it has rows (an empty
+    one leaves the earlier export); returns the number of rows."""
+    if df.isEmpty():
+        return 0
+    return _write(df, path, "overwrite", "csv", sep=";", header="true")
+
+
 def run_summary(spark: SparkSession, rows) -> DataFrame:
     """``(table, rows, load time, loaded)`` as a small DataFrame."""
     return spark.createDataFrame(rows, "table string, rows bigint, loaded_at timestamp_ntz, loaded int")

@@ -9,6 +9,7 @@ over paths.
 from __future__ import annotations
 
 import fnmatch
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,14 +82,20 @@ def drop_footer_rows(df: DataFrame, key: str, pattern: str = r"^[0-9]+$") -> Dat
 
 def scan_sheet(spark: SparkSession, path: str, tag: str | None = "sheet") -> DataFrame:
     """``{"columns": [...], "rows": [[...], ...]}`` envelopes -> a table
-    of strings. One envelope per line; the header is read once from the
-    first envelope (schema metadata, one small row to the driver)."""
+    of strings. One envelope per line.
+
+    Each envelope's own header places its values; the result has every
+    column that any of them names, in order of first place then name, NULL
+    where an envelope lacks it. Only header names reach the driver. A sheet
+    is one row of the file and so one task (the format's own limit: such
+    sheets hold at most some 10 million cells).
+    """
     env = spark.read.schema("columns array<string>, rows array<array<string>>, sheet string").json(path)
-    names = env.select("columns").first()["columns"]
-    row = F.explode("rows").alias("__row")
-    cols = [F.get(F.col("__row"), i).alias(n) for i, n in enumerate(names)]
-    body = env.select(*([F.col("sheet")] if tag else []), row).select(*cols, *([F.col("sheet").alias(tag)] if tag else []))
-    return body
+    heads = env.select(F.posexplode("columns").alias("at", "name")).groupBy("name").agg(F.min("at").alias("at"))
+    names = [r["name"] for r in heads.orderBy("at", "name").collect()]
+    body = env.select("columns", "sheet", F.explode("rows").alias("__row"))
+    cols = [F.get(F.col("__row"), (F.array_position("columns", n) - 1).cast("int")).alias(n) for n in names]
+    return body.select(*cols, *([F.col("sheet").alias(tag)] if tag else []))
 
 
 def list_files(spark: SparkSession, directory: str, pattern: str = "*") -> list[str]:
@@ -103,11 +110,13 @@ def list_files(spark: SparkSession, directory: str, pattern: str = "*") -> list[
 
 
 def latest_file(spark: SparkSession, directory: str, pattern: str, exclude_prefix: str = "~$") -> str:
-    """Newest ``*YYYYMM`` file by name, lock files excluded; fails when none."""
+    """The file of the newest ``YYYYMM`` in its name (of equals the last
+    name), whatever stands before it; lock files excluded; fails when none."""
     names = [n for n in list_files(spark, directory, pattern) if not n.startswith(exclude_prefix)]
-    if not names:
-        raise FileNotFoundError(f"no file matching {pattern} in {directory}")
-    return f"{directory.rstrip('/')}/{names[-1]}"
+    dated = [(max(p), n) for n in names if (p := re.findall(r"(?<!\d)\d{6}(?!\d)", n))]
+    if not dated:
+        raise FileNotFoundError(f"no dated file matching {pattern} in {directory}")
+    return f"{directory.rstrip('/')}/{max(dated)[1]}"
 
 
 def existing_paths(spark: SparkSession, paths) -> list[str]:

@@ -12,7 +12,8 @@ discarding known keys, or by deleting and reloading the window. As streams:
   window is emitted once, when the watermark passes its end; later rows for
   it are dropped (the late-data cut-off).
 * T4 ``stream_refresh``: ``foreachBatch`` + dynamic partition overwrite: a
-  micro-batch replaces exactly the periods it carries.
+  micro-batch replaces exactly the periods it carries, by all rows that the
+  stream has brought of them so far.
 
 Every query checkpoints into the shared folder named by
 ``spark.checkpoint.dir`` so a restarted query resumes where it stopped.
@@ -26,10 +27,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from carelake.session import work_dir
 from carelake.sinks.gates import new_rows
-from carelake.sinks.tables import append
+from carelake.operators.lookup import semi
+from carelake.sinks.tables import append, overwrite_partitions
 
 __all__ = ["event_time", "stream_dedupe", "stream_append_new", "stream_counts", "stream_refresh",
-           "run_available", "file_stream"]
+           "run_available", "file_stream", "stream_dedupe_load", "stream_counts_table"]
 
 
 def file_stream(spark: SparkSession, directory: str, schema, glob: str | None = None,
@@ -55,6 +57,27 @@ def stream_dedupe(sdf: DataFrame, key, ts: str, delay: str) -> DataFrame:
     return event_time(sdf, ts).withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
 
 
+def stream_dedupe_load(sdf: DataFrame, table_path: str, key, ts: str, delay: str,
+                       checkpoint: str | None = None) -> StreamingQuery:
+    """T1 beyond the delay: duplicates within it are dropped by the stream's
+    bounded state, older ones by the target (T2)."""
+    return stream_append_new(stream_dedupe(sdf, key, ts, delay), table_path, key, checkpoint)
+
+
+def stream_counts_table(counts: DataFrame, path: str, keys, checkpoint: str | None = None) -> DataFrame:
+    """T3 with its open windows: every trigger's changed counts are staged under
+    their epoch (update mode); the result is the latest count of each key."""
+    spark = counts.sparkSession
+    checkpoint = checkpoint or work_dir(spark, "chk-counts")
+
+    def stage(batch: DataFrame, epoch: int) -> None:
+        if not batch.isEmpty():
+            overwrite_partitions(batch.withColumn("epoch", F.lit(epoch)), path, "epoch")
+
+    run_available(counts.writeStream.outputMode("update").foreachBatch(stage), checkpoint)
+    return spark.read.parquet(path).groupBy(*keys).agg(F.max_by("n", "epoch").alias("n"))
+
+
 def stream_counts(sdf: DataFrame, ts: str, width: str, keys, delay: str) -> DataFrame:
     """Rows per tumbling window (and keys), late rows beyond ``delay`` cut."""
     keys = [keys] if isinstance(keys, str) else list(keys)
@@ -72,26 +95,38 @@ def run_available(sdf_writer, checkpoint: str) -> StreamingQuery:
     return q
 
 
-def stream_append_new(sdf: DataFrame, table_path: str, key, checkpoint: str | None = None) -> StreamingQuery:
+def stream_append_new(sdf: DataFrame, table_path: str, key, checkpoint: str | None = None, since=None,
+                      since_col: str | None = None) -> StreamingQuery:
     """Continuous keyed load: each micro-batch minus the keys already in
-    the target is appended."""
+    the target is appended (NULL keys compare equal, so a replay adds nothing
+    twice). ``since`` bounds the part of the target that is looked at."""
     spark = sdf.sparkSession
     checkpoint = checkpoint or work_dir(spark, "chk-append")
 
     def load(batch: DataFrame, epoch: int) -> None:
         target = batch.sparkSession.read.parquet(table_path)
-        append(new_rows(batch, target, key), table_path)
+        append(new_rows(batch, target, key, since=since, since_col=since_col, null_safe=True), table_path)
 
     return run_available(sdf.writeStream.foreachBatch(load), checkpoint)
 
 
 def stream_refresh(sdf: DataFrame, table_path: str, period: str, checkpoint: str | None = None) -> StreamingQuery:
-    """T4: each micro-batch replaces the partitions (periods) it contains."""
+    """T4: each micro-batch replaces the partitions (periods) it contains.
+
+    A period can come in several micro-batches: each batch is first staged
+    under its epoch (a replay replaces it), then its periods are rebuilt from
+    all staged rows.
+    """
     spark = sdf.sparkSession
     checkpoint = checkpoint or work_dir(spark, "chk-refresh")
+    staged = f"{checkpoint.rstrip('/')}-staged"
 
     def refresh(batch: DataFrame, epoch: int) -> None:
-        batch.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        batch.write.mode("overwrite").partitionBy(period).parquet(table_path)
+        if batch.isEmpty():
+            return
+        overwrite_partitions(batch.withColumn("__epoch", F.lit(epoch)), staged, "__epoch")
+        all_ = batch.sparkSession.read.schema(batch.schema).parquet(staged)
+        state = semi(all_, batch.select(period).distinct(), period)
+        overwrite_partitions(state, table_path, period)
 
     return run_available(sdf.writeStream.foreachBatch(refresh), checkpoint)
