@@ -13,7 +13,7 @@ from carelake.functions.labels import bins, label
 from carelake.operators import filters as FL
 from carelake.operators.aggregate import all_of, grouped_with_total, ratio
 from carelake.operators.lookup import (
-    StatusRule, enrich, fill_for_codes, flag_in, last_value, match_marker, status_by_priority,
+    StatusRule, enrich, fill_for_codes, flags_in, status_by_priority,
 )
 from carelake.operators.sequence import dedupe, last_per
 from carelake.operators.setops import union_distinct, union_tagged
@@ -186,10 +186,9 @@ def chronic_panel(t):
     reg = _with_site(affiliates(t.customer), t).filter(F.col("c_mktsegment").isin("AUTOMOBILE", "MACHINERY"))
     reg = reg.select("c_custkey", "n_name", "age")
     lb = t.orders.filter(in_range("o_orderdate", _LB, _RUN, lo_inclusive=False))
-    reg = flag_in(reg, lb, "c_custkey", "covered", right_on="o_custkey")
-    for name, pred in (("exam_a", F.col("o_orderpriority") == "1-URGENT"), ("exam_b", F.col("o_orderstatus") == "F"),
-                       ("exam_c", F.col("o_totalprice") > 300000)):
-        reg = flag_in(reg, lb.filter(pred), "c_custkey", name, right_on="o_custkey")
+    reg = flags_in(reg, lb, "c_custkey", right_on="o_custkey", flags={
+        "covered": F.lit(True), "exam_a": F.col("o_orderpriority") == "1-URGENT", "exam_b": F.col("o_orderstatus") == "F",
+        "exam_c": F.col("o_totalprice") > 300000})
     res = t.orders.filter(F.col("o_orderdate") < F.lit(_ts(_RUN.year, _RUN.month, _RUN.day))).select(
         F.col("o_custkey").alias("patient"), F.col("o_orderdate").alias("result_date"),
         F.col("o_orderkey").alias("result_id"), F.round(F.col("o_totalprice") / 40000, 1).alias("result"))
@@ -205,51 +204,84 @@ def chronic_panel(t):
 
 
 # ---------------------------------------------------------------- D13
+# Labels of unmatched rows.
+_NO_TARIFF, _OTHER_SITE, _OTHER_DX = "SIN TARIFA", "OTRA SEDE", "OTRAS PATOLOGIAS"
+_CONDITIONS = {"1-URGENT": "AGUDO", "2-HIGH": "AGUDO", "5-LOW": "CRONICO"}
+
+
 @query("invoice_enrichment", f"""
-WITH l AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate FROM lineitem),
-p AS (SELECT p_partkey, p_retailprice AS tariff, p_brand AS section FROM part WHERE p_size <= 40),
-st AS (SELECT s_suppkey, max(CASE WHEN s_acctbal > 5000 THEN 2 WHEN s_acctbal > 0 THEN 1 END) AS lvl
-       FROM supplier WHERE s_suppkey % 10 <> 0 GROUP BY 1),
-rich AS (SELECT c_custkey FROM customer WHERE c_acctbal > 5000),
-j AS (SELECT l.*, 
-        CASE WHEN l_suppkey IN (1, 2, 3) AND tariff IS NULL THEN 0.0 ELSE tariff END AS tariff,
-        CASE WHEN l_suppkey IN (1, 2, 3) AND section IS NULL THEN 'SIN TARIFA' ELSE section END AS section,
-        o_orderpriority, coalesce(n_name, 'OTRA SEDE') AS n_name,
-        CASE WHEN st.lvl = 2 THEN 'ACTIVO' WHEN st.lvl = 1 THEN 'INACTIVO' ELSE 'EXTERNO' END AS prof_status,
-        CASE WHEN o_custkey IN (SELECT c_custkey FROM rich) THEN 'SI' ELSE 'NO' END AS attended
-      FROM l LEFT JOIN p ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey
-      LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey
-      LEFT JOIN st ON l_suppkey = s_suppkey)
-SELECT * EXCLUDE (rn, l_quantity, l_shipdate) FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_partkey
-  ORDER BY l_linenumber DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC, l_shipdate DESC) AS rn FROM j) x
-WHERE rn = 1
+WITH l0 AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_partkey ORDER BY l_linenumber DESC, l_suppkey DESC, l_quantity DESC,
+              l_extendedprice DESC, l_discount DESC, l_tax DESC, l_returnflag DESC, l_linestatus DESC, l_shipdate DESC) AS rn FROM lineitem),
+l AS (SELECT *, CASE WHEN l_orderkey % 7 = 0 THEN -l_partkey ELSE l_partkey END AS code FROM l0 WHERE rn = 1),
+al AS (SELECT l_orderkey, l_partkey, CAST(sum(CASE WHEN l_discount > 0.05 THEN CAST(l_quantity AS BIGINT) END) AS BIGINT) AS allergen_total
+       FROM lineitem GROUP BY 1, 2),
+au AS (SELECT l_orderkey, l_partkey, l_suppkey, max(l_tax) AS authorized FROM lineitem WHERE l_returnflag = 'A' GROUP BY 1, 2, 3),
+st AS (SELECT s_suppkey, s_nationkey, max(CASE WHEN s_acctbal > 5000 THEN 2 WHEN s_acctbal > 0 THEN 1 END) AS lvl FROM supplier GROUP BY 1, 2),
+pop AS (SELECT c_nationkey, CAST(count(*) AS BIGINT) AS population FROM customer GROUP BY 1),
+bud AS (SELECT c_nationkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, CAST(count(*) AS BIGINT) AS budget
+        FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2)
+SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_extendedprice,
+  CASE WHEN l.l_suppkey IN (1, 2, 3) AND p_retailprice IS NULL THEN 0.0 ELSE p_retailprice END AS tariff,
+  CASE WHEN l.l_suppkey IN (1, 2, 3) AND p_brand IS NULL THEN '{_NO_TARIFF}' ELSE p_brand END AS section,
+  CAST(p_size AS BIGINT) AS cost, coalesce(p_type, '{_OTHER_DX}') AS diagnosis, o_orderpriority,
+  coalesce(n_name, '{_OTHER_SITE}') AS n_name, population, bud.budget, al.allergen_total, au.authorized,
+  CASE WHEN st.lvl = 2 THEN 'ACTIVO' WHEN st.lvl = 1 THEN 'INACTIVO' ELSE 'EXTERNO' END AS prof_status,
+  s_nationkey = c.c_nationkey AS home_site,
+  CASE WHEN c_acctbal > 5000 THEN 'SI' ELSE 'NO' END AS attended, CASE WHEN c_acctbal < 0 THEN 'ALTO' ELSE 'BAJO' END AS risk,
+  CASE o_orderpriority WHEN '1-URGENT' THEN 'AGUDO' WHEN '2-HIGH' THEN 'AGUDO' WHEN '5-LOW' THEN 'CRONICO' ELSE 'SIN CONDICION' END AS condition
+FROM l JOIN orders ON l.l_orderkey = o_orderkey LEFT JOIN part ON l.code = p_partkey
+LEFT JOIN al ON l.l_orderkey = al.l_orderkey AND l.l_partkey = al.l_partkey
+LEFT JOIN au ON l.l_orderkey = au.l_orderkey AND l.l_partkey = au.l_partkey AND l.l_suppkey = au.l_suppkey
+LEFT JOIN customer c ON o_custkey = c_custkey LEFT JOIN nation ON c.c_nationkey = n_nationkey
+LEFT JOIN pop ON pop.c_nationkey = c.c_nationkey LEFT JOIN st ON l.l_suppkey = s_suppkey
+LEFT JOIN bud ON bud.c_nationkey = c.c_nationkey AND bud.month = CAST(date_trunc('month', o_orderdate) AS DATE)
 """)
 def invoice_enrichment(t):
-    """Invoice lines + catalog tariff (J3) with a fixed fill for three
-    providers (J15) + authorization (J4) + patient site (J1, J17) +
-    professional state (J18) + attended marker (J16), then keep the last
-    line per (order, code) (W4)."""
-    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
-                           "l_extendedprice", "l_shipdate")
-    cat = t.part.filter(F.col("p_size") <= 40).select("p_partkey", F.col("p_retailprice").alias("tariff"),
-                                                      F.col("p_brand").alias("section"))
-    j = enrich(li, cat, "l_partkey", right_on="p_partkey")
-    j = fill_for_codes(j, "l_suppkey", [1, 2, 3], {"tariff": 0.0, "section": "SIN TARIFA"})
-    j = enrich(j, t.orders.select("o_orderkey", "o_custkey", "o_orderpriority"), "l_orderkey",
-               right_on="o_orderkey", how="inner")
-    j = enrich(j, t.customer.select("c_custkey", "c_nationkey"), "o_custkey", right_on="c_custkey")
-    j = enrich(j, _sites(t), "c_nationkey", right_on="n_nationkey", small=True, defaults={"n_name": "OTRA SEDE"})
-    staff = t.supplier.filter(F.col("s_suppkey") % 10 != 0)
-    prof = status_by_priority(t.supplier.select("s_suppkey"), staff, "s_suppkey",
+    """D13 in full: invoice lines, deduped first on (order, code) (W4), with
+    order-and-code allergen totals, 3-key authorizations, tariff, section,
+    cost and diagnosis from one catalog join (J3, J15, J17), encounter (J4),
+    patient site, attended and risk from one affiliate join (J16, J17), site
+    population, (site, month) budget (J2), professional state and home site
+    (J18) and health condition (J14 label).
+
+    What depends on an order's lines alone (the dedupe, both totals) is taken
+    in windows over one shuffle by order and code; every other side has one
+    row per key. The sides of 25 sites are small by nature; the (site, month)
+    budget is left to the planner."""
+    from pyspark.sql import Window
+    w = Window.partitionBy("l_orderkey", "l_partkey")
+    own = Window.partitionBy("l_orderkey", "l_partkey", "l_suppkey")
+    last = [F.col(c).desc() for c in ("l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+                                      "l_returnflag", "l_linestatus", "l_shipdate")]
+    li = t.lineitem.withColumns({
+        "allergen_total": F.sum(F.when(F.col("l_discount") > 0.05, F.col("l_quantity").cast("bigint"))).over(w),
+        "authorized": F.max(F.when(F.col("l_returnflag") == "A", F.col("l_tax"))).over(own),
+        "rn": F.row_number().over(w.orderBy(*last))}).filter("rn = 1")
+    li = li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "allergen_total", "authorized",
+                   F.when(F.col("l_orderkey") % 7 == 0, -F.col("l_partkey")).otherwise(F.col("l_partkey")).alias("code"))
+    cat = t.part.select("p_partkey", F.col("p_retailprice").alias("tariff"), F.col("p_brand").alias("section"),
+                        F.col("p_size").cast("bigint").alias("cost"), F.col("p_type").alias("diagnosis"))
+    o = t.orders.select("o_orderkey", "o_custkey", "o_orderpriority", F.trunc(F.to_date("o_orderdate"), "MM").alias("month"))
+    c = t.customer.select("c_custkey", "c_nationkey", F.when(F.col("c_acctbal") > 5000, "SI").otherwise("NO").alias("attended"),
+                          F.when(F.col("c_acctbal") < 0, "ALTO").otherwise("BAJO").alias("risk"))
+    o = enrich(o, c, "o_custkey", right_on="c_custkey").withColumn("attended", F.coalesce("attended", F.lit("NO")))
+    bud = o.filter("c_nationkey IS NOT NULL").groupBy(F.col("c_nationkey").alias("bs"), F.col("month").alias("bm")).agg(
+        F.count(F.lit(1)).alias("budget"))
+    o = enrich(o, bud, ["c_nationkey", "month"], right_on=["bs", "bm"])
+    j = enrich(li, o, "l_orderkey", right_on="o_orderkey", how="inner")
+    j = enrich(j, cat, "code", right_on="p_partkey")
+    j = fill_for_codes(j, "l_suppkey", [1, 2, 3], {"tariff": 0.0, "section": _NO_TARIFF})
+    sites = enrich(_sites(t), t.customer.groupBy(F.col("c_nationkey").alias("k")).agg(F.count(F.lit(1)).alias("population")),
+                   "n_nationkey", right_on="k")
+    j = enrich(j, sites, "c_nationkey", right_on="n_nationkey", small=True, defaults={"n_name": _OTHER_SITE})
+    prof = status_by_priority(t.supplier.select("s_suppkey", "s_nationkey"), t.supplier.select("s_suppkey", "s_acctbal"), "s_suppkey",
                               [StatusRule("ACTIVO", F.col("s_acctbal") > 5000), StatusRule("INACTIVO", F.col("s_acctbal") > 0)],
                               "EXTERNO", name="prof_status")
-    j = enrich(j, prof, "l_suppkey", right_on="s_suppkey")
-    j = j.withColumn("prof_status", F.coalesce("prof_status", F.lit("EXTERNO")))
-    j = match_marker(j, t.customer.filter(F.col("c_acctbal") > 5000), "o_custkey", "attended", right_on="c_custkey")
-    j = dedupe(j, ["l_orderkey", "l_partkey"], keep="last",
-               order=["l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"])
-    return j.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "tariff", "section",
-                    "o_orderpriority", "n_name", "prof_status", "attended")
+    j = enrich(j, prof, "l_suppkey", right_on="s_suppkey", defaults={"prof_status": "EXTERNO"})
+    return j.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "tariff", "section", "cost",
+                    F.coalesce("diagnosis", F.lit(_OTHER_DX)).alias("diagnosis"), "o_orderpriority", "n_name", "population",
+                    "budget", "allergen_total", "authorized", "prof_status", (F.col("s_nationkey") == F.col("c_nationkey")).alias("home_site"),
+                    "attended", "risk", label("o_orderpriority", _CONDITIONS, default="SIN CONDICION").alias("condition"))
 
 
 # ---------------------------------------------------------------- D18
@@ -293,16 +325,17 @@ def budget_compliance(t):
     sheet = union_tagged({"INGRESOS NETOS": rev.select("site", "y", "m", txt("v").alias("txt")),
                           "DESCUENTOS": rev.select("site", "y", "m", txt("d").alias("txt"))}, "item")
     net = sheet.filter(F.col("item") == "INGRESOS NETOS").select(
-        "site", "y", "m", C.locale_number("txt", as_int=True).alias("actual"))
-    a, b = net.alias("a"), net.alias("b")
-    cmp = a.join(b, (F.col("a.site") == F.col("b.site")) & (F.col("a.m") == F.col("b.m")) &
-                 (F.col("a.y") == F.col("b.y") + 1)).select(
-        F.col("a.site").alias("site"), F.col("a.y").alias("y"), F.col("a.m").alias("m"),
-        F.col("a.actual").alias("actual"), F.col("b.actual").alias("budget"))
-    tot = cmp.filter(F.col("site") != "ASIA").groupBy("y", "m").agg(
-        F.sum("actual").alias("actual"), F.sum("budget").alias("budget")).withColumn("site", F.lit("RED SIN ASIA"))
-    out = cmp.unionByName(tot)
-    return out.withColumn("compliance", F.round(F.col("actual").cast("double") / F.col("budget"), 4))
+        "site", "y", "m", C.locale_number("txt", as_int=True).alias("v"))
+    # A month is its own year's actual and the next year's budget; sites of the
+    # network row are counted for it as well. The revenue is aggregated once.
+    both = F.explode(F.array(F.struct(F.col("y").alias("y"), F.col("v").alias("actual"), F.lit(None).cast("bigint").alias("budget")),
+                             F.struct((F.col("y") + 1).alias("y"), F.lit(None).cast("bigint").alias("actual"), F.col("v").alias("budget"))))
+    cmp = net.select("site", "m", both.alias("x")).groupBy("site", F.col("x.y").alias("y"), "m").agg(
+        F.max("x.actual").alias("actual"), F.max("x.budget").alias("budget")).filter("actual IS NOT NULL AND budget IS NOT NULL")
+    rows = F.when(F.col("site") == "ASIA", F.array("site")).otherwise(F.array(F.col("site"), F.lit("RED SIN ASIA")))
+    out = cmp.select(F.explode(rows).alias("site"), "y", "m", "actual", "budget").groupBy("site", "y", "m").agg(
+        F.sum("actual").alias("actual"), F.sum("budget").alias("budget"))
+    return out.withColumn("compliance", F.round(F.try_divide(F.col("actual").cast("double"), F.col("budget")), 4))
 
 
 # ---------------------------------------------------------------- D19
@@ -355,13 +388,11 @@ def family_planning(t):
     with no flag excluded (F16)."""
     w = affiliates(t.customer).filter((F.col("sex") == "F") & F.col("age").between(14, 49)).select("c_custkey", "age")
     o = t.orders
-    for name, pred in (("f_urgent", F.col("o_orderpriority") == "1-URGENT"),
-                       ("f_2000", F.year("o_orderdate") == 2000),
-                       ("f_open", (F.col("o_orderstatus") == "O") & (F.col("o_totalprice") > 400000)),
-                       ("f_low", (F.col("o_orderpriority") == "5-LOW") & (F.col("o_orderstatus") == "P"))):
-        w = flag_in(w, o.filter(pred), "c_custkey", name, right_on="o_custkey")
-    w = last_value(w, o, "c_custkey", "o_orderdate", "last_control", right_on="o_custkey",
-                   predicate=F.col("o_orderpriority") == "3-MEDIUM")
+    w = flags_in(w, o, "c_custkey", right_on="o_custkey", flags={
+        "f_urgent": F.col("o_orderpriority") == "1-URGENT", "f_2000": F.year("o_orderdate") == 2000,
+        "f_open": (F.col("o_orderstatus") == "O") & (F.col("o_totalprice") > 400000),
+        "f_low": (F.col("o_orderpriority") == "5-LOW") & (F.col("o_orderstatus") == "P")},
+        latest={"last_control": ("o_orderdate", F.col("o_orderpriority") == "3-MEDIUM")})
     return FL.wide_exclusion(w, ["f_urgent", "f_2000", "f_open", "f_low"], when=F.col("age") >= 18)
 
 
@@ -435,7 +466,7 @@ def dental_control(t):
 SELECT l_orderkey, l_linenumber, s_name AS professional, coalesce(p_type, 'OTRAS PATOLOGIAS') AS chapter,
        CASE WHEN s_nationkey IS NULL THEN '' ELSE CAST(s_nationkey AS VARCHAR) END AS prof_site
 FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey
-LEFT JOIN (SELECT * FROM part WHERE p_size > 5) p ON l_partkey = p_partkey
+LEFT JOIN part p ON CASE WHEN l_orderkey % 9 = 0 THEN -l_partkey ELSE l_partkey END = p_partkey
 WHERE l_shipdate >= TIMESTAMP '2001-02-01' AND l_shipdate < TIMESTAMP '2001-03-01'
 """)
 def diagnosis_enrichment(t):
@@ -444,10 +475,11 @@ def diagnosis_enrichment(t):
     from carelake.functions.dates import lagged_month
     lo, hi = lagged_month(dt.date(2001, 3, 10), 25)
     li = t.lineitem.filter(in_range("l_shipdate", lo, hi + dt.timedelta(days=1)))
-    li = li.select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey")
+    lost = F.when(F.col("l_orderkey") % 9 == 0, -F.col("l_partkey")).otherwise(F.col("l_partkey"))
+    li = li.select("l_orderkey", "l_linenumber", "l_suppkey", lost.alias("l_partkey"))
     j = enrich(li, t.supplier.select("s_suppkey", F.col("s_name").alias("professional"), "s_nationkey"),
                "l_suppkey", right_on="s_suppkey")
-    j = enrich(j, t.part.filter(F.col("p_size") > 5).select("p_partkey", F.col("p_type").alias("chapter")),
+    j = enrich(j, t.part.select("p_partkey", F.col("p_type").alias("chapter")),
                "l_partkey", right_on="p_partkey", defaults={"chapter": "OTRAS PATOLOGIAS"})
     return j.select("l_orderkey", "l_linenumber", "professional", "chapter",
                     C.null_literals(F.col("s_nationkey").cast("string"), "").alias("prof_site"))
@@ -484,7 +516,7 @@ def last_visit_per_patient(t):
 # ---------------------------------------------------------------- G13
 @query("month_window_incremental", """
 WITH batch AS (SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '2001-02-01' AND o_orderdate < TIMESTAMP '2001-03-01'),
-log AS (SELECT o_orderdate AS fechaCargue, 'novedades' AS idBigquery FROM orders WHERE o_orderpriority = '9-NEVER')
+log AS (SELECT o_orderdate AS fechaCargue, 'novedades' AS idBigquery FROM orders WHERE o_orderdate < TIMESTAMP '2001-03-01')
 SELECT o_orderkey, o_custkey FROM batch
 WHERE (SELECT count(*) FROM log WHERE idBigquery = 'novedades' AND fechaCargue >= TIMESTAMP '2001-03-01'
        AND fechaCargue < TIMESTAMP '2001-04-01') = 0
@@ -492,17 +524,32 @@ WHERE (SELECT count(*) FROM log WHERE idBigquery = 'novedades' AND fechaCargue >
 """)
 def month_window_incremental(t):
     """Previous month's novelties (F8 lag window), keyed dedupe (G5),
-    loaded only when this month's gate is open (G2): the gate is a one-row
-    frame joined into the plan, not a driver-side branch."""
+    loaded only when this month's gate is open (G2); the log holds loads of
+    every earlier month."""
+    return _novelties(t, dt.date(2001, 3, 10))
+
+
+def _novelties(t, run):
+    """The one-row gate is decided first: a closed one plans no extract at all."""
     from carelake.functions.dates import lagged_month
     from carelake.sinks.gates import gate, new_rows
-    lo, hi = lagged_month(dt.date(2001, 3, 10), 15)
-    batch = t.orders.filter(in_range("o_orderdate", lo, hi + dt.timedelta(days=1))).select("o_orderkey", "o_custkey")
-    target = t.orders.filter(F.col("o_orderdate") < F.lit(_ts(2001, 2, 15)))
-    log = t.orders.filter(F.col("o_orderpriority") == "9-NEVER").select(
+    log = t.orders.filter(F.col("o_orderdate") < F.lit(_ts(2001, 3, 1))).select(
         F.col("o_orderdate").alias("fechaCargue"), F.lit("novedades").alias("idBigquery"))
-    g = gate(log, "novedades", "monthly", dt.date(2001, 3, 10)).select("proceed")
-    return new_rows(batch, target, "o_orderkey").crossJoin(F.broadcast(g)).filter("proceed = 1").drop("proceed")
+    none = t.orders.sparkSession.createDataFrame([], t.orders.select("o_orderkey", "o_custkey").schema)
+    if gate(log, "novedades", "monthly", run).first()["proceed"] != 1:
+        return none
+    lo, hi = lagged_month(run, 15)
+    batch = t.orders.filter(in_range("o_orderdate", lo, hi + dt.timedelta(days=1))).select("o_orderkey", "o_custkey")
+    return new_rows(batch, t.orders.filter(F.col("o_orderdate") < F.lit(_ts(2001, 2, 15))), "o_orderkey")
+
+
+@query("month_window_closed", """
+SELECT o_orderkey, o_custkey FROM orders
+WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderdate >= TIMESTAMP '2001-02-01' AND o_orderdate < TIMESTAMP '2001-03-01')
+""")
+def month_window_closed(t):
+    """The log has a load of the run's month: nothing is extracted."""
+    return _novelties(t, dt.date(2001, 2, 20))
 
 
 @query("sorted_report", """
@@ -517,19 +564,26 @@ def sorted_report(t):
 
 
 @query("tariff_correction_staged", """
-SELECT p_partkey, CASE WHEN s.k IS NOT NULL THEN s.v ELSE p_retailprice END AS p_retailprice, p_size
-FROM part LEFT JOIN (SELECT p_partkey AS k, round(p_retailprice * 1.1, 2) AS v FROM part WHERE p_size = 7) s ON p_partkey = s.k
+WITH fix AS (SELECT l_orderkey, l_linenumber, l_partkey, max(l_extendedprice * 2) AS v FROM lineitem
+             WHERE l_returnflag = 'R' GROUP BY 1, 2, 3)
+SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, CASE WHEN f.l_orderkey IS NOT NULL THEN f.v ELSE l.l_extendedprice END AS l_extendedprice
+FROM lineitem l LEFT JOIN fix f ON l.l_orderkey = f.l_orderkey AND l.l_linenumber = f.l_linenumber AND l.l_partkey = f.l_partkey
 """)
 def tariff_correction_staged(t):
-    """The correction list is staged as a temporary view,
-    merged by key into the tariff table, then the view is dropped."""
+    """The correction list is staged as a temporary view of a name
+    of its own, merged by its three keys (order, site order, code) into the
+    invoice lines; the view is dropped once the merge is planned."""
+    import uuid
+
     from carelake.sinks.tables import merge_update_df
-    spark = t.part.sparkSession
-    view = "stage_tariff_fix"
-    t.part.filter(F.col("p_size") == 7).select(
-        "p_partkey", F.round(F.col("p_retailprice") * 1.1, 2).alias("p_retailprice")).createOrReplaceTempView(view)
-    return merge_update_df(t.part.select("p_partkey", "p_retailprice", "p_size"), spark.table(view),
-                           "p_partkey", ["p_retailprice"])
+    spark = t.lineitem.sparkSession
+    view = f"stage_tariff_fix_{uuid.uuid4().hex[:12]}"
+    keys = ["l_orderkey", "l_linenumber", "l_partkey"]
+    t.lineitem.filter(F.col("l_returnflag") == "R").groupBy(*keys).agg(
+        F.max(F.col("l_extendedprice") * 2).alias("l_extendedprice")).createOrReplaceTempView(view)
+    out = merge_update_df(t.lineitem.select(*keys, "l_extendedprice"), spark.table(view), keys, ["l_extendedprice"])
+    spark.catalog.dropTempView(view)
+    return out
 
 
 @query("audit_forms", """

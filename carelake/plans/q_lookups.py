@@ -10,45 +10,46 @@ from carelake.functions.dates import full_months, in_range
 from carelake.functions.labels import classify, label
 from carelake.operators.aggregate import all_of
 from carelake.operators.lookup import (
-    StatusRule, anti, count_matching, enrich, fill_for_codes, fill_from, flag_in, inverse_flag,
+    StatusRule, anti, count_matching, enrich, fill_for_codes, fill_from, flag_in, flags_in, inverse_flag,
     last_value, match_marker, overwrite_from, status_by_priority,
 )
 from carelake.plans.registry import query
 
 
-def _cust_subset(t):
-    """A dimension that does not cover every key (sites 0..19 only)."""
-    return t.customer.filter(F.col("c_nationkey") < 20)
+# Every seventh encounter names a patient that the roll doesn't have.
+_LOST_SQL = "(SELECT * REPLACE (CASE WHEN o_orderkey % 7 = 0 THEN -o_custkey ELSE o_custkey END AS o_custkey) FROM orders)"
 
 
-@query("enrich_left", """
-SELECT o_orderkey, o_custkey, c_name, c_mktsegment
-FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_nationkey < 20) c ON o_custkey = c_custkey
+def _lost(t):
+    return t.orders.withColumn("o_custkey", F.when(F.col("o_orderkey") % 7 == 0, -F.col("o_custkey")).otherwise(F.col("o_custkey")))
+
+
+@query("enrich_left", f"""
+SELECT o_orderkey, o_custkey, c_name, c_mktsegment FROM {_LOST_SQL} o LEFT JOIN customer ON o_custkey = c_custkey
 """)
 def enrich_left(t):
     """Left enrichment on one key; unmatched keys keep NULL attributes."""
-    return enrich(t.orders.select("o_orderkey", "o_custkey"), _cust_subset(t), "o_custkey",
+    return enrich(_lost(t).select("o_orderkey", "o_custkey"), t.customer, "o_custkey",
                   right_on="c_custkey", select=["c_name", "c_mktsegment"])
 
 
 _TARIFF_SQL = """(SELECT l_partkey AS t_part, l_suppkey AS t_supp,
-                   max(l_extendedprice / l_quantity) AS unit_tariff
-            FROM lineitem WHERE l_shipdate < TIMESTAMP '1998-01-01' GROUP BY 1, 2)"""
+                   max(l_extendedprice / l_quantity) AS unit_tariff FROM lineitem GROUP BY 1, 2)"""
 
 
 def _tariff(t):
-    li = t.lineitem.filter(F.col("l_shipdate") < F.lit(dt.datetime(1998, 1, 1)))
-    return li.groupBy(F.col("l_partkey").alias("t_part"), F.col("l_suppkey").alias("t_supp")).agg(
-        F.max(F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_tariff"))
+    return t.lineitem.groupBy(F.col("l_partkey").alias("t_part"), F.col("l_suppkey").alias("t_supp")).agg(
+        F.max(F.try_divide("l_extendedprice", "l_quantity")).alias("unit_tariff"))
 
 
 @query("enrich_composite", f"""
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, unit_tariff
-FROM lineitem LEFT JOIN {_TARIFF_SQL} tr ON l_partkey = t_part AND l_suppkey = t_supp
+FROM (SELECT * REPLACE (CASE WHEN l_orderkey % 7 = 0 THEN -l_suppkey ELSE l_suppkey END AS l_suppkey) FROM lineitem) l LEFT JOIN {_TARIFF_SQL} tr ON l_partkey = t_part AND l_suppkey = t_supp
 """)
 def enrich_composite(t):
     """Left join on a composite key (code, provider)."""
-    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    lost = F.when(F.col("l_orderkey") % 7 == 0, -F.col("l_suppkey")).otherwise(F.col("l_suppkey"))
+    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", lost.alias("l_suppkey"))
     return enrich(li, _tariff(t), ["l_partkey", "l_suppkey"], right_on=["t_part", "t_supp"])
 
 
@@ -67,15 +68,16 @@ def enrich_renamed_keys(t):
 @query("inner_lookup", """
 SELECT l.l_orderkey, l.l_linenumber, o.o_orderpriority, p.p_brand
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-LEFT JOIN (SELECT * FROM part WHERE p_size <= 25) p ON l.l_partkey = p.p_partkey
+LEFT JOIN part p ON CASE WHEN l.l_orderkey % 7 = 0 THEN -l.l_partkey ELSE l.l_partkey END = p.p_partkey
 WHERE o.o_orderstatus = 'F'
 """)
 def inner_lookup(t):
     """Inner join with a filter, then a left lookup, projected."""
     o = t.orders.filter(F.col("o_orderstatus") == "F").select("o_orderkey", "o_orderpriority")
-    j = enrich(t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey"), o, "l_orderkey",
+    lost = F.when(F.col("l_orderkey") % 7 == 0, -F.col("l_partkey")).otherwise(F.col("l_partkey"))
+    j = enrich(t.lineitem.select("l_orderkey", "l_linenumber", lost.alias("l_partkey")), o, "l_orderkey",
                right_on="o_orderkey", how="inner")
-    j = enrich(j, t.part.filter(F.col("p_size") <= 25), "l_partkey", right_on="p_partkey", select=["p_brand"])
+    j = enrich(j, t.part, "l_partkey", right_on="p_partkey", select=["p_brand"])
     return j.select("l_orderkey", "l_linenumber", "o_orderpriority", "p_brand")
 
 
@@ -125,13 +127,11 @@ f AS (SELECT u.user_id,
 SELECT *, CASE WHEN has_purchase = 1 AND has_signup = 1 AND has_big_click = 1 THEN 1 ELSE 0 END AS all_exams FROM f
 """)
 def exam_flags(t):
-    """Per-patient flags for tests in a list, and the all-of flag."""
-    e = t.events
-    u = e.select("user_id").distinct()
-    for name, pred in (("has_purchase", F.col("event_type") == "purchase"),
-                       ("has_signup", F.col("event_type") == "signup"),
-                       ("has_big_click", (F.col("event_type") == "click") & (F.col("value") > 100))):
-        u = flag_in(u, e.filter(pred), "user_id", name)
+    """Per-patient flags for tests in a list, and the all-of flag; one
+    aggregate of the results whatever the number of flags."""
+    flags = {"has_purchase": F.col("event_type") == "purchase", "has_signup": F.col("event_type") == "signup",
+             "has_big_click": (F.col("event_type") == "click") & (F.col("value") > 100)}
+    u = flags_in(t.events.select("user_id").distinct(), t.events, "user_id", flags)
     return u.withColumn("all_exams", all_of("has_purchase", "has_signup", "has_big_click"))
 
 
@@ -160,15 +160,15 @@ def correlated_last_date(t):
 
 _PRICES_SQL = """(SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice / l_quantity AS unit_price,
             p_retailprice, p_brand
-     FROM lineitem LEFT JOIN (SELECT p_partkey, p_retailprice, p_brand FROM part WHERE p_size <= 25) p
-     ON l_partkey = p_partkey)"""
+     FROM lineitem LEFT JOIN part ON CASE WHEN l_orderkey % 7 = 0 THEN -l_partkey ELSE l_partkey END = p_partkey)"""
 
 
 def _prices(t):
-    p = t.part.filter(F.col("p_size") <= 25).select("p_partkey", "p_retailprice", "p_brand")
-    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey",
-                           (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"))
-    return enrich(li, p, "l_partkey", right_on="p_partkey")
+    p = t.part.select("p_partkey", "p_retailprice", "p_brand")
+    lost = F.when(F.col("l_orderkey") % 7 == 0, -F.col("l_partkey")).otherwise(F.col("l_partkey"))
+    li = t.lineitem.select("l_orderkey", "l_linenumber", lost.alias("code"),
+                           F.try_divide("l_extendedprice", "l_quantity").alias("unit_price"))
+    return enrich(li, p, "code", right_on="p_partkey")
 
 
 @query("coalesce_fill", f"""
@@ -218,13 +218,13 @@ def match_marker_q(t):
                         right_on="c_custkey").drop("o_custkey")
 
 
-@query("unmatched_default", """
+@query("unmatched_default", f"""
 SELECT o_orderkey, coalesce(c_mktsegment, 'OTRO') AS c_mktsegment, coalesce(c_acctbal, 0.0) AS c_acctbal
-FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_nationkey < 20) c ON o_custkey = c_custkey
+FROM {_LOST_SQL} o LEFT JOIN customer ON o_custkey = c_custkey
 """)
 def unmatched_default(t):
     """Unmatched rows get stated defaults."""
-    return enrich(t.orders.select("o_orderkey", "o_custkey"), _cust_subset(t), "o_custkey",
+    return enrich(_lost(t).select("o_orderkey", "o_custkey"), t.customer, "o_custkey",
                   right_on="c_custkey", select=["c_mktsegment", "c_acctbal"],
                   defaults={"c_mktsegment": "OTRO", "c_acctbal": 0.0}).drop("o_custkey")
 

@@ -36,7 +36,7 @@ def partition_total_window(t):
     j = partition_total(o, "month", "o_totalprice", "month_total")
     return j.select("o_orderkey", "month", "o_totalprice",
                     F.round("month_total", 2).alias("month_total"),
-                    F.round(F.col("o_totalprice") / F.col("month_total"), 4).alias("share"))
+                    F.round(F.try_divide("o_totalprice", "month_total"), 4).alias("share"))
 
 
 @query("last_result_per_patient", """
