@@ -26,6 +26,9 @@ How large groups stay linear
        R meets RARE members at most), so no link between candidates is lost, and
        members of one component are never paired.
 
+    Texts are shuffled nowhere: signatures and shingle sets are made where documents are read, the latter only
+    for ids in a broadcast filter of at most MOST_BITS bits.
+
 Defined results
     Texts without words (null, empty) and rows with a null id are in no class but their own.
     A text of under five words is one shingle. ``doc_id`` names a text; repeated rows share their class.
