@@ -3,10 +3,10 @@
 Method
     Word unigrams and bigrams are hashed to ``BUCKETS`` bins. Two multinomials are
     counted: the raw corpus (every document) and the trusted target (about
-    ``TRUSTED_SAMPLE`` documents whose ``labels.quality`` is 1). With a Dirichlet prior of ``PRIOR``
-    raw-distributed counts, ``llr = mean over n-grams of log p_target - log p_raw``,
+    ``TRUSTED_SAMPLE``, half at most, of the documents whose ``labels.quality`` is 1). With a Dirichlet
+    prior of PRIOR times the target's size in raw-distributed counts, ``llr = mean over n-grams of log p_target - log p_raw``,
     so length does not matter. A rare n-gram, seen or not, stays near 0.
-    The threshold is the value between the scores of trusted (1) and rejected (0)
+    The threshold is the value between the scores of the other trusted (1) and the rejected (0)
     labelled documents which has the best balanced accuracy over a fixed grid of
     score bins; every document is then held against it.
 
@@ -35,8 +35,8 @@ from pyspark.sql import types as T
 from carelake.llm import base, ftrl
 
 BUCKETS = 1 << 16
-PRIOR = 20_000.0
-#: About so many trusted documents, drawn by a hash of the id, make the target multinomial.
+PRIOR = 0.1
+#: About so many trusted documents (half of them at most), drawn by a hash of the id, make the target multinomial.
 TRUSTED_SAMPLE = 50_000
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
@@ -50,9 +50,14 @@ STATS = [("n_words", T.LongType()), ("word_chars", T.LongType()), ("n_symbols",
 
 @dataclass(frozen=True)
 class QualityModel:
-    """``weights``: log p_target - log p_raw by bucket; ``threshold``: least score that is kept."""
+    """``weights``: log p_target - log p_raw by bucket; ``part``: share of the trusted ids they were learned from."""
     weights: np.ndarray
-    threshold: float | None = None
+    part: float
+
+
+def drawn(col: str, part: float) -> F.Column:
+    """Whether an id is in the sample."""
+    return F.pmod(F.xxhash64(col), F.lit(1_000_000)) < F.lit(part * 1_000_000)
 
 
 def grams(h: np.ndarray) -> np.ndarray:
@@ -99,8 +104,8 @@ def base_counts(text: str | None, h: np.ndarray) -> tuple[int, int, int, int, in
 def fit_ratio(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> QualityModel:
     """Both multinomials in one scan: each row carries a flag if it is in the trusted sample."""
     good = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("l_id")).distinct()
-    part = ftrl.share(good.count(), TRUSTED_SAMPLE)
-    good = good.where(F.pmod(F.xxhash64("l_id"), F.lit(1_000_000)) < part * 1_000_000)
+    part = min(0.5, ftrl.share(good.count(), TRUSTED_SAMPLE))
+    good = good.where(drawn("l_id", part))
     tagged = (docs.select(F.col(id_col).alias("l_id"), F.col(text_col).alias("l_text"))
               .join(F.broadcast(good.withColumn("l_good", F.lit(True))), "l_id", "left"))
 
@@ -116,15 +121,16 @@ def fit_ratio(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col
         at = np.flatnonzero(n[0])
         yield {"bucket": at, "raw": n[0][at], "target": n[1][at]}
 
-    part = base.emit(tagged, ["l_text", "l_good"], "bucket long, raw long, target long", run)
-    rows = part.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).collect()
+    counts = base.emit(tagged, ["l_text", "l_good"], "bucket long, raw long, target long", run)
+    rows = counts.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).collect()
     raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
     for r in rows:  # BUCKETS rows at most
         raw[r.bucket], target[r.bucket] = r.raw, r.target
     p_raw = (raw + 1) / (raw.sum() + BUCKETS)
     if not target.sum():
-        return QualityModel(np.zeros(BUCKETS))
-    return QualityModel(np.log((target + PRIOR * p_raw) / (target.sum() + PRIOR) / p_raw))
+        return QualityModel(np.zeros(BUCKETS), part)
+    prior = PRIOR * target.sum()
+    return QualityModel(np.log((target + prior * p_raw) / (target.sum() + prior) / p_raw), part)
 
 
 def score(docs: DataFrame, model: QualityModel, keep: list[str], text_col: str = "text") -> DataFrame:
@@ -145,12 +151,14 @@ def score(docs: DataFrame, model: QualityModel, keep: list[str], text_col: str =
     return base.append_columns(docs, text_col, keep, [*STATS, ("llr", T.DoubleType())], make)
 
 
-def fit_threshold(scored: DataFrame, labels: DataFrame) -> float:
+def fit_threshold(scored: DataFrame, labels: DataFrame, model: QualityModel) -> float:
     """The bin edge with the best balanced accuracy between labels 0 and 1 (of equals the middle one).
 
-    Only rows that the base rules pass decide, as only they are held against it.
+    Only rows that the base rules pass decide, as only they are held against it, and of the
+    trusted ones those that the target was not learned from.
     """
     marks = labels.where("quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    marks = marks.where((F.col("quality") == 0) | ~drawn("doc_id", model.part))
     bins = (scored.where(~base_failed()).join(marks, "doc_id")
             .select("quality", F.floor(F.least(F.greatest(F.col("llr"), F.lit(-BIN_LIMIT)), F.lit(BIN_LIMIT))
                                        * BINS_A_UNIT).cast("int").alias("bin"))
@@ -174,7 +182,7 @@ def apply_rules(docs: DataFrame, labels: DataFrame, keep: list[str] | None = Non
     """One row per document: ``keep`` columns (doc_id first), base counts, base_failed, kept, llr."""
     model = fit_ratio(docs, labels)
     scored = base.stash(score(docs, model, ["doc_id"]), "quality")
-    threshold = fit_threshold(scored, labels)
+    threshold = fit_threshold(scored, labels, model)
     out = scored.withColumn("base_failed", base_failed())
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= F.lit(threshold)))
 
@@ -186,7 +194,7 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     ids are judged by their own text.
     """
     model = fit_ratio(docs, labels)
-    threshold = fit_threshold(base.stash(score(docs, model, ["doc_id"]), "quality"), labels)
+    threshold = fit_threshold(base.stash(score(docs, model, ["doc_id"]), "quality"), labels, model)
     out = score(docs, model, docs.columns)
     names = [f"c{i}" for i in range(len(docs.columns))]
     tmp = out.toDF(*names, *[n for n, _ in STATS], "llr")
