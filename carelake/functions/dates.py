@@ -19,7 +19,7 @@ __all__ = [
     "age_years", "age_months", "mid_month", "full_months", "day_span",
     "in_range", "in_days", "prev_week", "current_week", "fortnight",
     "prev_month", "lagged_month", "prev_iso_week", "day_window", "last_24h",
-    "period_path", "SPANISH_MONTHS", "monday_of",
+    "period_path", "SPANISH_MONTHS", "monday_of", "week_start", "weekday",
 ]
 
 # Spanish month names used in file and folder names.
@@ -87,6 +87,16 @@ def monday_of(d: dt.date) -> dt.date:
     return d - dt.timedelta(days=d.weekday())
 
 
+def week_start(c) -> Column:
+    """The Monday of each row's week, as a date (NULL stays NULL)."""
+    return F.date_trunc("week", as_col(c)).cast("date")
+
+
+def weekday(c) -> Column:
+    """0 = Monday ... 6 = Sunday."""
+    return F.weekday(as_col(c))
+
+
 def prev_week(run: dt.date, legacy: bool = False) -> tuple[dt.date, dt.date]:
     """previous week, inclusive day bounds.
 

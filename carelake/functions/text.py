@@ -10,6 +10,7 @@ from carelake.functions._col import as_col
 __all__ = [
     "digits_only", "strip_letters", "strip_unit", "accent_fold", "time_of_day",
     "first_dash_number", "concat_nullsafe", "trim_concat", "blank",
+    "drop_days", "from_char", "capitalize",
 ]
 
 # Accented capitals folded by the source jobs, and their plain forms.
@@ -47,6 +48,22 @@ def time_of_day(c) -> Column:
     return F.element_at(F.split(F.trim(as_col(c).cast("string")), " "), -1)
 
 
+def drop_days(c) -> Column:
+    """``'2 days'`` / ``'2 days 08:30:00'`` with the day words removed and trimmed."""
+    return F.trim(F.regexp_replace(as_col(c).cast("string"), r"\bdays?\b", ""))
+
+
+def from_char(c, n: int) -> Column:
+    """The text without its first ``n`` characters (a fixed-width prefix)."""
+    return F.substring(as_col(c).cast("string"), n + 1, 2**31 - 1)
+
+
+def capitalize(c) -> Column:
+    """First character upper, the rest lower."""
+    s = as_col(c).cast("string")
+    return F.concat(F.upper(F.substring(s, 1, 1)), F.lower(F.substring(s, 2, 2**31 - 1)))
+
+
 def first_dash_number(c) -> Column:
     """Digits of the first ``-digits`` group, NULL when absent."""
     v = F.regexp_extract(as_col(c).cast("string"), r"-([0-9]+)", 1)

@@ -11,7 +11,7 @@ from carelake.functions._col import as_col
 from carelake.functions.text import blank
 
 __all__ = [
-    "drop_blank_rows", "truncate_at_blank", "drop_sentinels", "wide_exclusion", "like_any",
+    "drop_blank_rows", "blank_row_counts", "truncate_at_blank", "drop_sentinels", "wide_exclusion", "like_any",
     "latest_period", "either_equals", "drop_footer", "since_coerced", "not_equal_keep_null",
 ]
 
@@ -24,6 +24,13 @@ def drop_blank_rows(df: DataFrame, cols) -> DataFrame:
     return df.filter(~reduce(lambda a, b: a & b, [blank(c) for c in cols]))
 
 
+def blank_row_counts(df: DataFrame, cols, by=None) -> DataFrame:
+    """``kept`` and ``removed`` rows of drop_blank_rows, per ``by`` group; one pass."""
+    gone = reduce(lambda a, b: a & b, [blank(c) for c in cols])
+    keys = [by] if isinstance(by, str) else list(by or [])
+    return df.groupBy(*keys).agg(F.count_if(~gone).alias("kept"), F.count_if(gone).alias("removed"))
+
+
 def truncate_at_blank(df: DataFrame, cols, order: str, by=None) -> DataFrame:
     """keep the rows before the first all-blank row (per ``by`` group).
 

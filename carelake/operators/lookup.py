@@ -24,7 +24,7 @@ from carelake.functions._col import as_col
 
 __all__ = [
     "enrich", "flag_in", "flags_in", "inverse_flag", "match_marker", "count_matching", "last_value",
-    "status_by_priority", "fill_from", "overwrite_from", "fill_for_codes", "anti", "semi",
+    "status_by_priority", "fill_from", "overwrite_from", "fill_for_codes", "anti", "semi", "unknown_codes",
     "StatusRule",
 ]
 
@@ -159,6 +159,12 @@ def status_by_priority(df: DataFrame, facts: DataFrame, on, rules, default: str,
     return enrich(df, a, on, right_on=rk).withColumn(name, lab.otherwise(F.lit(default))).drop("__lvl")
 
 
+def unknown_codes(facts: DataFrame, col: str, known) -> DataFrame:
+    """Rows per state code that is neither NULL nor one of the ``known`` ones."""
+    return (facts.filter(F.col(col).isNotNull() & ~F.col(col).isin(*known)).groupBy(col)
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
 def fill_from(df: DataFrame, dst: str, src, name: str | None = None) -> DataFrame:
     """Missing ``dst`` values take ``src`` (``fillna(other)``)."""
     return df.withColumn(name or dst, F.coalesce(F.col(dst), as_col(src)))

@@ -18,7 +18,7 @@ from carelake.functions._col import as_col
 
 __all__ = [
     "select_required", "rename", "rename_positional", "rename_checked", "add_missing",
-    "drop_cols", "insert_at", "with_literal", "cast_groups", "cast_all_but",
+    "drop_cols", "drop_incomplete", "insert_at", "with_literal", "cast_groups", "cast_all_but",
     "split_key", "broadcast_scalar", "TableSpec", "apply_spec", "conform",
 ]
 
@@ -62,6 +62,17 @@ def drop_cols(df: DataFrame, cols) -> DataFrame:
     return df.drop(*cols)
 
 
+def drop_incomplete(df: DataFrame, keep=()) -> DataFrame:
+    """Drop every column that has a missing value (``keep`` excepted).
+
+    One aggregate finds them; only one row of flags reaches the driver. An
+    empty table keeps all columns.
+    """
+    cols = [c for c in df.columns if c not in keep]
+    has = df.agg(*[F.coalesce(F.max(F.col(c).isNull()), F.lit(False)).alias(c) for c in cols]).first()
+    return df.drop(*[c for c in cols if has[c]])
+
+
 def insert_at(df: DataFrame, pos: int, name: str, expr) -> DataFrame:
     """A derived column at a given position."""
     cols = [c for c in df.columns if c != name]

@@ -119,6 +119,18 @@ def parametric_cohorts(t):
     return cohort_counts(p, "p_brand", PARAMETRIC, age="p_size", sex="sex")
 
 
+DENTAL = [cohort("le", 5), cohort("between", 6, 11), cohort("between", 12, 17), cohort("ge", 18), cohort("ge", 18, sex="F")]
+
+
+@query("dental_cohorts", f"""
+SELECT CASE WHEN grouping(n_name) = 1 THEN '{NETWORK_LABEL}' ELSE n_name END AS n_name, {cohort_sql(DENTAL)}
+FROM ({AFFILIATES_SQL}) a JOIN nation n ON a.c_nationkey = n.n_nationkey GROUP BY GROUPING SETS ((n_name), ())
+""")
+def dental_cohorts(t):
+    """D3: five parametric cohorts per site with the network total."""
+    return cohort_counts(site_roll(t), "n_name", DENTAL, total_label=NETWORK_LABEL)
+
+
 @query("new_affiliates", f"""
 WITH cur AS (SELECT DISTINCT o_custkey FROM orders
              WHERE o_orderdate >= TIMESTAMP '2001-01-01' AND o_orderdate < TIMESTAMP '2001-02-01'),

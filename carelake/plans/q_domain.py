@@ -369,6 +369,89 @@ def referral_panel(t):
     return grouped_with_total(r.unionByName(p), ["n_name"], aggs, "NETWORK TOTAL")
 
 
+@query("maternal_referrals", f"""
+WITH a AS (SELECT x.*, n_name FROM ({AFFILIATES_SQL}) x JOIN nation ON c_nationkey = n_nationkey),
+m AS (SELECT n_name, CAST(count(*) AS BIGINT) AS maternal FROM a WHERE sex = 'F' AND age BETWEEN 10 AND 49 GROUP BY 1),
+r AS (SELECT n_name, CAST(count(*) AS BIGINT) AS n_referrals, CAST(count(DISTINCT o_custkey) AS BIGINT) AS n_women,
+        CAST(count(*) FILTER (s_nationkey = c_nationkey) AS BIGINT) AS n_home,
+        CAST(count(*) FILTER (s_acctbal > 5000) AS BIGINT) AS n_active
+      FROM orders JOIN a ON o_custkey = c_custkey JOIN supplier ON s_suppkey = 1 + o_custkey % (SELECT max(s_suppkey) FROM supplier)
+      WHERE sex = 'F' AND age BETWEEN 10 AND 49 AND o_orderpriority IN ('1-URGENT', '2-HIGH') GROUP BY 1),
+j AS (SELECT m.n_name, maternal, coalesce(n_referrals, 0) AS n_referrals, coalesce(n_women, 0) AS n_women,
+        coalesce(n_home, 0) AS n_home, coalesce(n_active, 0) AS n_active FROM m LEFT JOIN r ON m.n_name = r.n_name)
+SELECT * FROM j UNION ALL SELECT 'NETWORK TOTAL', CAST(sum(maternal) AS BIGINT), CAST(sum(n_referrals) AS BIGINT), CAST(sum(n_women) AS BIGINT),
+  CAST(sum(n_home) AS BIGINT), CAST(sum(n_active) AS BIGINT) FROM j
+""")
+def maternal_referrals(t):
+    """Referrals of women aged 10-49 with the maternal population of each
+    site and its total (A5), the professional's state and home site (J18)."""
+    from carelake.operators.aggregate import with_total_row
+    a = _with_site(affiliates(t.customer), t).filter((F.col("sex") == "F") & F.col("age").between(10, 49))
+    a = a.select("c_custkey", "c_nationkey", "n_name")
+    top = t.supplier.agg(F.max("s_suppkey").alias("top"))
+    o = t.orders.filter(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")).select("o_custkey")
+    o = broadcast_scalar(o, top).select("o_custkey", (F.col("o_custkey") % F.col("top") + 1).alias("prof"))
+    o = enrich(o, a, "o_custkey", right_on="c_custkey", how="inner")
+    prof = status_by_priority(t.supplier.select("s_suppkey", "s_nationkey"), t.supplier.select("s_suppkey", "s_acctbal"), "s_suppkey",
+                              [StatusRule("ACTIVO", F.col("s_acctbal") > 5000)], "OTRO", name="state")
+    o = enrich(o, prof, "prof", right_on="s_suppkey", how="inner")
+    r = o.groupBy(F.col("n_name").alias("rn")).agg(
+        F.count(F.lit(1)).alias("n_referrals"), F.count_distinct("o_custkey").alias("n_women"),
+        F.count_if(F.col("s_nationkey") == F.col("c_nationkey")).alias("n_home"), F.count_if(F.col("state") == "ACTIVO").alias("n_active"))
+    m = a.groupBy("n_name").agg(F.count(F.lit(1)).alias("maternal"))
+    j = enrich(m, r, "n_name", right_on="rn", defaults={c: 0 for c in ("n_referrals", "n_women", "n_home", "n_active")})
+    return with_total_row(j, ["n_name"], ["maternal", "n_referrals", "n_women", "n_home", "n_active"], "NETWORK TOTAL", "n_name")
+
+
+@query("encounter_audit_load", f"""
+WITH enc AS (SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS day, {VISIT_SQL} AS visit_type FROM orders
+  WHERE o_orderdate >= TIMESTAMP '2001-01-01' AND o_orderdate < TIMESTAMP '2001-03-01'),
+d AS (SELECT *, row_number() OVER (PARTITION BY o_custkey, day, visit_type ORDER BY o_orderkey) AS rn,
+       day < DATE '2001-02-10' AS before FROM enc),
+first AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey, day, visit_type ORDER BY o_orderkey) AS r2 FROM d WHERE before) x WHERE r2 = 1),
+feb AS (SELECT * FROM d WHERE rn = 1 AND day >= DATE '2001-02-01'),
+pop AS (SELECT c_nationkey, CAST(count(*) AS BIGINT) AS population FROM customer GROUP BY 1),
+rows AS (SELECT o_orderkey, o_custkey, day, visit_type FROM first
+  UNION ALL SELECT o_orderkey, o_custkey, day, visit_type FROM feb
+  WHERE NOT EXISTS (SELECT 1 FROM first f WHERE f.o_custkey = feb.o_custkey AND f.day = feb.day AND f.visit_type = feb.visit_type))
+SELECT o_orderkey, day, visit_type, population, DATE '2001-03-15' AS period FROM rows JOIN customer ON o_custkey = c_custkey
+JOIN pop ON pop.c_nationkey = customer.c_nationkey
+""")
+def encounter_audit_load(t):
+    """D7 as a load: February's encounters, deduped in the batch and against the
+    recent target rows by (patient, day, type) (G6, G8), appended (K1); the
+    population of the last month that has one is used for March (G10)."""
+    from carelake.sinks.gates import fallback_period, new_rows
+    from carelake.sinks.tables import append, overwrite
+    from carelake.session import work_dir
+    spark = t.orders.sparkSession
+    path = work_dir(spark, "audit") + "/table"
+    key = ["o_custkey", "day", "visit_type"]
+    enc = t.orders.filter(in_range("o_orderdate", _ts(2001, 1, 1), _ts(2001, 3, 1))).select(
+        "o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("day"), visit_type().alias("visit_type"))
+    overwrite(dedupe(enc.filter(F.col("day") < F.lit(dt.date(2001, 2, 10))), key, order="o_orderkey"), path)
+    feb = dedupe(enc.filter(F.col("day") >= F.lit(dt.date(2001, 2, 1))), key, order="o_orderkey")
+    append(new_rows(feb, spark.read.parquet(path), key, since=dt.date(2001, 2, 1), since_col="day").checkpoint(eager=True), path)
+    months = t.customer.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("population"))
+    months = months.withColumn("period", F.lit(dt.date(2001, 1, 15))).unionByName(months.selectExpr(
+        "c_nationkey", "population * 0 AS population", "DATE '2000-12-15' AS period"))
+    pop = fallback_period(months, "period", dt.date(2001, 3, 15))
+    out = enrich(spark.read.parquet(path), t.customer.select("c_custkey", "c_nationkey"), "o_custkey", right_on="c_custkey", how="inner")
+    return enrich(out, pop, "c_nationkey", how="inner").select("o_orderkey", "day", "visit_type", "population", "period")
+
+
+@query("audit_form_discards", """
+SELECT o_orderstatus AS form, CAST(count(*) FILTER (o_orderkey % 50 <> 0) AS BIGINT) AS kept,
+       CAST(count(*) FILTER (o_orderkey % 50 = 0) AS BIGINT) AS removed FROM orders GROUP BY 1
+""")
+def audit_form_discards(t):
+    """Rows kept and removed as blank per form."""
+    k = F.col("o_orderkey")
+    f = t.orders.select(F.col("o_orderstatus").alias("form"), F.when(k % 50 != 0, F.col("o_orderpriority")).alias("pregunta"),
+                        F.when(k % 50 == 0, F.lit("  ")).otherwise("5").alias("calificacion"))
+    return FL.blank_row_counts(f, ["pregunta", "calificacion"], by="form")
+
+
 # ---------------------------------------------------------------- D6
 @query("family_planning", f"""
 WITH w AS (SELECT c_custkey, age FROM ({AFFILIATES_SQL}) a WHERE sex = 'F' AND age BETWEEN 14 AND 49),

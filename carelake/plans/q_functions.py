@@ -226,6 +226,34 @@ def time_of_day(t):
     return t.events.select("event_id", X.time_of_day(raw).alias("hhmmss"))
 
 
+@query("time_text_forms", """
+SELECT event_id, trim(regexp_replace(raw, '\\bdays?\\b', '', 'g')) AS no_days, raw[8:] AS tail,
+       upper(event_type[1]) || lower(event_type[2:]) AS kind,
+       CAST(date_trunc('week', ts) AS DATE) AS week_start, CAST(isodow(ts) - 1 AS INTEGER) AS weekday
+FROM (SELECT *, event_id % 3 || ' days ' || strftime(ts, '%H:%M:%S') AS raw FROM events) x
+""")
+def time_text_forms(t):
+    """Day words removed, fixed-width prefix cut, capitalized text,
+    Monday of the week and weekday number as columns."""
+    from carelake.functions.dates import week_start, weekday
+    raw = F.concat((F.col("event_id") % 3).cast("string"), F.lit(" days "), F.date_format("ts", "HH:mm:ss"))
+    return t.events.select("event_id", X.drop_days(raw).alias("no_days"), X.from_char(raw, 7).alias("tail"),
+                           X.capitalize("event_type").alias("kind"), week_start("ts").alias("week_start"),
+                           weekday("ts").alias("weekday"))
+
+
+@query("sheet_complete_columns", """
+SELECT c_custkey, CAST(c_nationkey AS VARCHAR) AS sede FROM customer
+""")
+def sheet_complete_columns(t):
+    """One column read as text, columns with any missing value dropped."""
+    from carelake.operators.shape import cast_groups, drop_incomplete
+    c = t.customer.select("c_custkey", F.col("c_nationkey").alias("sede"),
+                          F.when(F.col("c_custkey") % 10 != 0, F.col("c_name")).alias("nombre"),
+                          F.when(F.col("c_custkey") > 5, F.col("c_acctbal")).alias("saldo"))
+    return drop_incomplete(cast_groups(c, strings=["sede"]))
+
+
 @query("concat_nullsafe", """
 SELECT c_custkey, coalesce(c_name, '') || ' ' || coalesce(seg, '') AS full_name,
        trim(c_name || ' ' || seg) AS trimmed, upper(c_name) AS upper_name, lower(c_mktsegment) AS lower_seg

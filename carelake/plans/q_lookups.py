@@ -11,7 +11,7 @@ from carelake.functions.labels import classify, label
 from carelake.operators.aggregate import all_of
 from carelake.operators.lookup import (
     StatusRule, anti, count_matching, enrich, fill_for_codes, fill_from, flag_in, flags_in, inverse_flag,
-    last_value, match_marker, overwrite_from, status_by_priority,
+    last_value, match_marker, overwrite_from, status_by_priority, unknown_codes,
 )
 from carelake.plans.registry import query
 
@@ -252,6 +252,18 @@ def priority_status(t):
                               right_on="o_custkey")
 
 
+@query("unknown_state_codes", f"""
+SELECT state, CAST(count(*) AS BIGINT) AS n FROM (SELECT {_STATE_SQL} AS state FROM orders) s
+WHERE state IS NOT NULL AND state NOT IN ('1', '2', '3') GROUP BY 1
+""")
+def unknown_state_codes(t):
+    """State codes that no rule knows are counted, not just labelled."""
+    k = F.col("o_orderkey")
+    state = (F.when(k % 11 == 0, F.lit(None).cast("string")).when(k % 13 == 0, "4")
+             .when(F.col("o_orderstatus") == "O", "1").when(F.col("o_orderstatus") == "F", "2").otherwise("3"))
+    return unknown_codes(t.orders.select(state.alias("state")), "state", ["1", "2", "3"])
+
+
 @query("code_to_label", """
 SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN 'URGENTE' WHEN '2-HIGH' THEN 'ALTA'
        WHEN '3-MEDIUM' THEN 'MEDIA' END AS priority_label
