@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 
 from carelake.llm import base, gbdt
 
-TRAIN_PAGES, SEED = 700, 11
+TRAIN_PAGES, SEED = 1000, 11
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Content that is never text.
@@ -92,6 +92,8 @@ class Page:
         opaque = 0
         for m in iter(lambda: TOKEN.search(html, at), None):
             if m.start() > at and not opaque:
+                if len(stack) == 1 and html[at:m.start()].strip():
+                    stack.append(self._body())
                 runs.append((stack[-1], html[at:m.start()]))
             at = m.end()
             name = m[2] or m[5]
@@ -150,8 +152,19 @@ class Page:
                 end = html.lower().find(f"</{name}", at) if not html.isascii() else _find(html, name, at)
                 at = end if end >= 0 else len(html)
         if at < len(html) and not opaque:
+            if len(stack) == 1 and html[at:].strip():
+                stack.append(self._body())
             runs.append((stack[-1], html[at:]))
 
+    def _body(self) -> int:
+        """The body that text outside of any element implies."""
+        self.tag.append("body")
+        self.attrs.append("")
+        self.parent.append(0)
+        self.depth.append(1)
+        self.runs.append((len(self.tag) - 1, None))
+        return len(self.tag) - 1
+
     def features(self) -> np.ndarray:
         """One row per element."""
         n = len(self.tag)
@@ -270,7 +283,7 @@ class Page:
         return keep
 
     def text(self, keep: np.ndarray) -> str:
-        """Kept blocks joined by newlines; text directly in the root has no element that could be kept."""
+        """Kept blocks joined by newlines."""
         blocks, now = [], []
         for e, t in self.runs:
             if t is None:
@@ -337,6 +350,10 @@ class page_maker:
             return f"<{tag}>{inner}</{tag}>"
         return f'<{tag} {r.choice(["class", "class", "id"])}="{word}">{inner}</{tag}>'
 
+    def heading(self) -> str:
+        h = f"h{self.r.randint(1, 4)}"
+        return f"<{h}>{self.words(1, 3)}</{h}>"
+
     def boiler(self) -> str:
         r = self.r
         kind = r.choice(["menu", "menu", "ad", "ad", "notice", "form", "talk", "side", "share", "edge"])
@@ -359,15 +376,20 @@ class page_maker:
             each = "".join(f'<{tag} class="{r.choice(["comment", "reply", "comment-body"])}"><b>{self.words(1, 2)}</b>'
                            f"<p>{self.prose(3)}</p></{tag}>" for _ in range(r.randint(1, 6)))
             word = r.choice(["comments", "commentlist", "discussion", "replies", "comments-area", "reviews"])
-            return f'<{r.choice(["section", "div"])} {r.choice(["class", "id"])}="{word}"><h3>{self.words(1, 3)}</h3>{each}</div>'
+            tag = r.choice(["section", "div", "div", "ol"])
+            return f'<{tag} {r.choice(["class", "id"])}="{word}">{self.heading()}{each}</{tag}>'
         if kind == "side":
             items = "".join(f'<li><a href="/{i}">{self.words(3, 8)}</a></li>' for i in range(r.randint(2, 6)))
-            return r.choice([f"<aside><h3>{self.words(1, 3)}</h3><ul>{items}</ul></aside>",
+            word = r.choice(TELLS["side"].split())
+            return r.choice([f"<aside>{self.heading()}<ul>{items}</ul></aside>",
+                             f'<div class="{word}"><p>{self.prose(3)}</p></div>',
+                             f'<div id="{word}">{self.heading()}<p>{self.prose(3)}</p></div>',
                              f'<div class="sidebar"><p>{self.prose(2)}</p><ul>{items}</ul></div>',
-                             self.named("aside", ("side",), f"<p>{self.prose(2)}</p>")])
+                             f"<aside><p>{self.prose(2)}</p></aside>", self.named("aside", ("side",), f"<p>{self.prose(2)}</p>")])
         if kind == "share":
             return self.named("div", ("share",), " ".join(f'<a href="/{i}">{self.words(1, 1)}</a>' for i in range(3)))
-        return f'<div class="{r.choice(["copyright", "legal", "colophon"])}">&copy; {self.sentence()}</div>'
+        line = f"&copy; {r.choice(['', '2020 '])}{self.sentence(1, 4)} {r.choice(['', self.sentence(2, 6)])}"
+        return r.choice([f'<div class="{r.choice(["copyright", "legal", "colophon"])}">{line}</div>', f"<div>{line}</div>"])
 
     def make(self) -> str:
         """A page; the elements of its article have the attribute data-main."""
@@ -392,9 +414,11 @@ class page_maker:
             return (f"<table{m}><tr{m}><td{m}>{self.words(1, 3)}</td><td{m}>{self.words(1, 4)}</td></tr></table>")
 
         parts = [block() for _ in range(r.choice([1, 2, 3, 5, 8, 14]))]
+        if r.random() < 0.15:  # next to nothing
+            parts = [f"<p{m}>{self.sentence(1, 3)}</p>" for _ in range(r.randint(1, 2))]
         for _ in range(r.choice([0, 0, 0, 1, 1, 2])):
             parts.insert(r.randint(0, len(parts)), self.boiler())
-        title = self.words(3, 10)
+        title = self.words(1, 10)
         head = r.choice(["", f"<h1{m}>{title}</h1>", f"<h1{m}>{title}</h1>", f"<header{m}><h1{m}>{title}</h1></header>"])
         body = head + "".join(parts)
         word = r.choice(TELLS["main"].split())
@@ -409,6 +433,8 @@ class page_maker:
             top.insert(0, self.named("header", ("edge",), f'<a href="/">{self.words(1, 3)}</a>'))
         if r.random() < 0.7:
             end.append(f"<footer>{r.choice(['', '&copy; '])}{self.words(1, 3)} &middot; {self.prose(2)}</footer>")
+        if r.random() < 0.04:  # bare text
+            return f"<body{m}>" + body if r.random() < 0.5 else f"<body{m}>{self.prose()}"
         html = (f"<!DOCTYPE html><html><head><title>{title}</title><style>p{{}}</style></head><body>"
                 + "".join(top) + wrap % body + "".join(end) + "</body></html>")
         return html if r.random() < 0.9 else html[:-14]
@@ -431,7 +457,7 @@ def train(pages: int = TRAIN_PAGES, seed: int = SEED) -> gbdt.Trees:
         keep[0] = False
         xs.append(page.features()[keep])
         ys.append(main[keep])
-    return gbdt.fit(np.concatenate(xs), np.concatenate(ys).astype(float))
+    return gbdt.fit(np.concatenate(xs), np.concatenate(ys).astype(float), trees=80)
 
 
 def extract(pages: DataFrame, keep: list[str], html_col: str = "html", trees: gbdt.Trees | None = None) -> DataFrame:

@@ -105,7 +105,9 @@ def text_of(html, trees):
 def test_page_parser():
     p = html_text.Page("<ul><li>a<li>b</ul><p>c<div>d</p>e<br>f</div><script>var a='<p>x</p>'</script>g<!-- no --> h &amp; i")
     keep = np.ones(len(p.tag), bool)
-    assert p.text(keep) == "a\nb\nc\nd\ne f"  # text right in the root belongs to no element
+    assert p.text(keep) == "a\nb\nc\nd\ne f\ng h & i"
+    bare = html_text.Page("bare <b>text</b>")
+    assert bare.text(np.ones(len(bare.tag), bool)) == "bare text"
     for html in (None, "", "   ", "<", "<p", "<p class='", "</p>", "text only", "<p>" * 5000 + "deep", "<a <b> c", "&#xD800; &bogus; <p>&#xD800;"):
         q = html_text.Page(html)
         q.text(q.decode(np.ones(len(q.tag))))
