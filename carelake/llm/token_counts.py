@@ -2,7 +2,7 @@
 
 Method
     Texts are cut into pre-tokens (runs without white space, with a leading word mark). Each
-    task puts the distinct pre-tokens of its rows in a trie. Walking it, the unigram forward score of a
+    task walks the trie of its batches' distinct pre-tokens. The unigram forward score of a
     prefix (the best score of any segmentation into pieces, and of equals the fewest pieces)
     is computed once and serves all pre-tokens that start with it; at a terminal the number of pieces is
     stored. Characters without a piece count one token for each UTF-8 byte.
@@ -10,12 +10,12 @@ Method
     and a piece's log-probability is that of Zipf's law, -log(rank + 10).
 
 Scale
-    No shuffle: rows are counted where they are read. A trie holds at most ``MOST_NODES`` prefixes and is
-    emptied beyond that, so memory is bounded and counts are the same.
+    No shuffle: rows are counted where they are read. A task remembers the counts of at most ``MOST_KNOWN``
+    pre-tokens and forgets all beyond that, so memory is bounded and counts are the same.
 
 Defined results
     Null, empty and blank texts: 0 pre-tokens, 0 tokens. Very long pre-tokens take time in
-    proportion to their length and are not kept in the trie beyond ``KEPT_CHARS`` characters. Repeated rows
+    proportion to their length and are not remembered beyond ``KEPT_CHARS`` characters. Repeated rows
     each get their row.
 """
 
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -31,7 +32,7 @@ from carelake.llm import base
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-MOST_NODES = 400_000
+MOST_KNOWN = 400_000
 KEPT_CHARS = 64
 #: Score of a character without a piece, a byte: below every piece's.
 BYTE_SCORE = -20.0
@@ -47,93 +48,74 @@ def read_scores(path: str = VOCABULARY) -> dict[str, float]:
 
 
 class PieceTrie:
-    """Distinct pre-tokens as a trie whose nodes carry the forward score and token count of their prefix."""
+    """Token counts of pre-tokens, and the forward pass that finds them along a trie.
 
-    def __init__(self, scores: dict[str, float], most: int = MOST_NODES):
+    The distinct pre-tokens of a batch, sorted, are their trie in depth-first order: the path to the
+    current node is kept with the forward score and token count of each prefix, and only what
+    a pre-token doesn't share with the one before it is computed.
+    """
+
+    def __init__(self, scores: dict[str, float], most: int = MOST_KNOWN):
         self.most = most
-        self.longest = max(map(len, scores), default=1)
-        # pieces by their reversed text, as a trie: the pieces that end at a place are found in one walk back
-        self.back: dict = {}
+        # pieces by their reversed text, as nodes [score or None, children]: the pieces
+        # that end at a place are found in one walk back
+        self.back: dict[str, list] = {}
         for p, s in scores.items():
-            node = self.back
+            level, node = self.back, None
             for c in reversed(p):
-                node = node.setdefault(c, {})
-            node[""] = s
-        self.clear()
-
-    def clear(self) -> None:
-        self.child: list[dict[str, int]] = [{}]
-        self.parent, self.char = [-1], [""]
-        self.best, self.count = [0.0], [0]
+                node = level.setdefault(c, [None, {}])
+                level = node[1]
+            if node is not None:
+                node[0] = s
         self.known: dict[str, int] = {}
 
-    def tokens(self, word: str) -> int:
-        """Tokens of the best segmentation of a pre-token."""
-        n = self.known.get(word)
-        if n is None:
-            n = self._insert(word)
-            if len(word) <= KEPT_CHARS:
-                self.known[word] = n
-        return n
-
-    def _insert(self, word: str) -> int:
-        if len(word) > KEPT_CHARS:
-            return self._plain(word)
-        if len(self.child) > self.most:
-            self.clear()
-        node = 0
-        for c in word:
-            nxt = self.child[node].get(c)
-            if nxt is None:
-                nxt = len(self.child)
-                self.child[node][c] = nxt
-                self.child.append({})
-                self.parent.append(node)
-                self.char.append(c)
-                self._forward(nxt)
-            node = nxt
-        return self.count[node]
-
-    def _forward(self, node: int) -> None:
-        """Score of a new prefix from those of the shorter prefixes on its path."""
-        c = self.char[node]
-        up = self.parent[node]
-        size = len(c.encode("utf-8", "replace"))
-        best, count = self.best[up] + BYTE_SCORE * size, self.count[up] + size
-        at, step = node, self.back
-        while at > 0:
-            step = step.get(self.char[at])
-            if step is None:
-                break
-            at = self.parent[at]
-            s = step.get("")
-            if s is not None:
-                score = self.best[at] + s
-                if score > best or score == best and self.count[at] + 1 < count:
-                    best, count = score, self.count[at] + 1
-        self.best.append(best)
-        self.count.append(count)
-
-    def _plain(self, word: str) -> int:
-        """The same recurrence over one long word, without nodes."""
+    def counts(self, words: Iterable[str]) -> dict[str, int]:
+        """Tokens of the best segmentation of each pre-token."""
+        known = self.known
+        out = {}
+        new = []
+        for w in words:
+            n = known.get(w)
+            if n is None:
+                new.append(w)
+            else:
+                out[w] = n
+        new.sort()
+        self._walk(new, out)
+        if len(known) + len(new) > self.most:
+            known.clear()
+        known.update((w, out[w]) for w in new[:self.most] if len(w) <= KEPT_CHARS)
+        return out
+
+    def _walk(self, words: list[str], out: dict[str, int]) -> None:
+        back = self.back
         best, count = [0.0], [0]
-        for i, c in enumerate(word):
-            size = len(c.encode("utf-8", "replace"))
-            b, n = best[i] + BYTE_SCORE * size, count[i] + size
-            at, step = i, self.back
-            while at >= 0:
-                step = step.get(word[at])
-                if step is None:
-                    break
-                s = step.get("")
-                if s is not None:
-                    score = best[at] + s
-                    if score > b or score == b and count[at] + 1 < n:
-                        b, n = score, count[at] + 1
-                at -= 1
-            best.append(b)
-            count.append(n)
-        return count[-1]
+        before = ""
+        for w in words:
+            size = len(w)
+            k, most = 0, min(len(before), size)
+            while k < most and before[k] == w[k]:
+                k += 1
+            del best[k + 1:], count[k + 1:]
+            for i in range(k, size):
+                c = w[i]
+                n = 1 if c < "\x80" else len(c.encode("utf-8", "replace"))
+                b, m = best[i] + BYTE_SCORE * n, count[i] + n
+                node, j = back.get(c), i
+                while node is not None:
+                    s = node[0]
+                    if s is not None:
+                        s += best[j]
+                        if s > b or s == b and count[j] + 1 < m:
+                            b, m = s, count[j] + 1
+                    if not j:
+                        break
+                    j -= 1
+                    node = node[1].get(w[j])
+                best.append(b)
+                count.append(m)
+            out[w] = count[size]
+            before = w
 
 
 def count_tokens(docs: DataFrame, keep: list[str], vocabulary: str = VOCABULARY, text_col: str = "text") -> DataFrame:
@@ -146,10 +128,11 @@ def count_tokens(docs: DataFrame, keep: list[str], vocabulary: str = VOCABULARY,
         def fn(texts):
             pre, tokens = [], []
             for t in texts:
-                words = Counter(t.split()) if t else {}
-                pre.append(sum(words.values()))
-                tokens.append(sum(trie.tokens(MARK + w) * n for w, n in words.items()))
-            return [pre, tokens]
+                pre.append(Counter(t.split()) if t else {})
+            known = trie.counts({MARK + w for ws in pre for w in ws})
+            for ws in pre:
+                tokens.append(sum(known[MARK + w] * n for w, n in ws.items()))
+            return [[sum(ws.values()) for ws in pre], tokens]
         return fn
 
     return base.append_columns(docs, text_col, keep, [("n_pretokens", T.LongType()), ("n_tokens", T.LongType())], make)
