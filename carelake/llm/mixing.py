@@ -33,7 +33,7 @@ from carelake.llm import base
 WEIGHTS = (3, 1, 2)
 BUDGET_NUM, BUDGET_DEN = 3, 2
 EPOCHS = 2
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 4_000
 ZOOM_BINS, LAST_ROWS = 1000, 20_000
 
 
@@ -63,11 +63,17 @@ def targets(sizes: dict[str | None, int], weights: tuple = WEIGHTS) -> dict[str
     return {s: (i, float(EPOCHS * sizes[s]) if s in capped else level * weight[s]) for i, s in enumerate(order)}
 
 
+def marks() -> list[F.Column]:
+    """Two independent 64-bit hashes of a row: together its key, never null."""
+    return [F.xxhash64("doc_id", "source", "text", F.lit(1)).alias("mark"),
+            F.xxhash64(F.lit(2), "text", "source", "doc_id").alias("mark2")]
+
+
 def finish_times(docs: DataFrame, weights: tuple = WEIGHTS) -> tuple[DataFrame, int]:
-    """Rows ``doc_id, mark, size, h, si, source_size, target, done`` (words of the source up to the row's end) and the budget."""
+    """Rows ``doc_id, mark, mark2, size, h, si, source_size, target, done`` (words of the source up to the row's end) and the budget."""
     spark = docs.sparkSession
     narrow = base.stash(docs.select("doc_id", "source", size_of().alias("size"), shuffle_hash("doc_id").alias("h"),
-                                    F.xxhash64("text").alias("mark")), "sizes")
+                                    *marks()), "sizes")
     rows = narrow.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()
     plan = targets({r.source: r["size"] for r in rows}, weights)
     table = [(r.source, *plan[r.source], r["size"], max(1, math.ceil(r.n / BUCKET_ROWS))) for r in rows]
@@ -81,7 +87,7 @@ def finish_times(docs: DataFrame, weights: tuple = WEIGHTS) -> tuple[DataFrame,
     inside = F.sum("size").over(Window.partitionBy("si", "bucket").orderBy("h", "doc_id", "size", "mark")
                                 .rowsBetween(Window.unboundedPreceding, 0))
     out = x.withColumn("inside", inside).join(sums, ["si", "bucket"])
-    out = out.select("doc_id", "mark", "size", "h", "si", "source_size", "target",
+    out = out.select("doc_id", "mark", "mark2", "size", "h", "si", "source_size", "target",
                      (F.col("before") + F.col("inside")).alias("done"))
     budget = BUDGET_NUM * sum(r["size"] for r in rows) // BUDGET_DEN
     return base.stash(out, "finish"), budget
@@ -92,10 +98,10 @@ def finish(epoch: int) -> F.Column:
 
 
 def copies(times: DataFrame) -> DataFrame:
-    """A row ``v, si, h, doc_id, size, mark, epoch`` for each copy on offer that has words."""
+    """A row ``v, si, h, doc_id, size, mark, epoch, mark2`` for each copy on offer that has words."""
     each = F.explode(F.array(*[F.struct(finish(e).alias("v"), F.lit(e).alias("epoch")) for e in range(EPOCHS)]))
-    return times.where("size > 0").select("si", "h", "doc_id", "size", "mark", each.alias("x")).select(
-        "x.v", "si", "h", "doc_id", "size", "mark", "x.epoch")
+    return times.where("size > 0").select("si", "h", "doc_id", "size", "mark", "mark2", each.alias("x")).select(
+        "x.v", "si", "h", "doc_id", "size", "mark", "x.epoch", "mark2")
 
 
 ORDER = ["v", "si", "h", "doc_id", "size", "mark", "epoch"]
@@ -155,14 +161,17 @@ def taken(docs: DataFrame, weights: tuple = WEIGHTS) -> DataFrame:
 
 
 def mix(docs: DataFrame, weights: tuple = WEIGHTS) -> DataFrame:
-    """``docs``' rows, each as often as the mix takes it, range-sorted by virtual finish time."""
+    """``docs``' rows, each as often as the mix takes it, range-sorted by virtual finish time.
+
+    Texts are shuffled twice: by row key to meet their copies, and by finish time.
+    """
     times, budget = finish_times(docs, weights)
     offered = copies(times)
     kept = offered.where(before_cut(find_cut(offered, budget), {c: F.col(c) for c in ORDER}))
-    kept = kept.groupBy(F.col("doc_id").alias("llm id"), F.col("mark").alias("llm mark")).agg(
-        F.collect_list("v").alias("llm v"))
-    row = docs.withColumn("llm m", F.xxhash64("text")).dropDuplicates(["doc_id", "source", "llm m"])
-    out = row.join(kept, F.col("doc_id").eqNullSafe(F.col("llm id")) & (F.col("llm m") == F.col("llm mark")))
+    keys = ["llm k1", "llm k2"]  # one key for both: repeated rows meet the list of all their copies once
+    kept = kept.groupBy(F.col("mark").alias(keys[0]), F.col("mark2").alias(keys[1])).agg(F.collect_list("v").alias("llm v"))
+    row = docs.withColumns(dict(zip(keys, marks()))).dropDuplicates(keys)
+    out = row.join(kept, keys)
     out = out.select(*[F.col(base._q(c)) for c in docs.columns], F.explode("llm v").alias("llm v"))
     # finish times are unique but for ties between sources; the range sort spreads copies of one document
     return out.repartitionByRange(F.col("llm v")).sortWithinPartitions("llm v", "doc_id").drop("llm v")
