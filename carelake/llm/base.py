@@ -22,6 +22,8 @@ from xxhash import xxh3_64_intdigest
 WORD = r"[^\x20\x09-\x0D]+"
 #: Characters of text that one numpy step holds; longer texts form a step of their own.
 STEP_CHARS = 1_000_000
+#: Rows of an Arrow batch at most: whole texts in batches of Spark's default 10,000 rows take too much memory.
+BATCH_ROWS = 1_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -127,11 +129,19 @@ def append_columns(df: DataFrame, text_col: str, keep: list[str], fields: list[t
                     + [pa.array(v, k) for v, k in zip(vals, kinds)],
                     names=[f.name for f in out])
 
+    _small_batches(src)
     res = src.mapInArrow(run, out)
     return res.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)],
                       *[F.col(f"f{i}").alias(n) for i, (n, _) in enumerate(fields)])
 
 
+def _small_batches(df: DataFrame) -> None:
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(key, "10000")) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+
+
 def _slices(col: pa.Array) -> Iterator[tuple[int, int]]:
     import pyarrow.compute as pc
     n = pc.fill_null(pc.binary_length(col), 0).to_numpy(zero_copy_only=False)
@@ -160,6 +170,7 @@ def emit(df: DataFrame, cols: list[str], schema: str | T.StructType,
             yield pa.RecordBatch.from_arrays([pa.array(d[n], k) for n, k in zip(names, kinds)], names=names)
 
     src = df.select(*[F.col(_q(c)).alias(f"c{i}") for i, c in enumerate(cols)])
+    _small_batches(src)
     return src.mapInArrow(go, st)
 
 
