@@ -1,10 +1,11 @@
 """Licence scan by canonical digests: normalise a text, digest it, look the digest up.
 
 Method
-    A text is lower-cased, its copyright lines are dropped, equivalent spellings are made one
+    A text is lower-cased, lines that name a copyright holder are dropped, equivalent spellings are made one
     (licence/license and so on), and everything but letters and digits becomes one space. The MD5 of the
     result is hash-joined with the digests of known licences. Entire texts are compared: the
-    document as a whole, and each of its lines as a text of its own (notices stand on one line).
+    document as a whole (without its holder lines, and with them as they may be words of the licence itself),
+    and each of its lines as a text of its own (notices stand on one line).
 
 Scale
     DataFrame functions only, one pass over the texts. Known licences are a table of fixed rows
@@ -80,29 +81,38 @@ INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS
 ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF
 THIS SOFTWARE."""),
 ]
-#: A line that only names copyright holders.
+#: A line of lower-case text that names a copyright holder: the word with (c), the sign, a year, a place for one, or by;
+#: the sign or (c) before a year; the word or (c) and a few words that licences don't go on with there.
+HOLDER_LINE = (r"(?m)^[^\p{L}\n]*(copyright[ \t:,]*(\(c\)|©|by\b|[^\p{L}\n]*\d{4}|[\[{<])|©|\(c\)[^\p{L}\n]*(\d{4}|[\[{<]|copyright\b)"
+               r"|copyright[ \t:,]+(?!(holder|owner|notice|law|license|licence|interest|permission|statement|disclaimer|treat|"
+               r"doctrine|the|and|or|on|in|of|to|are|is|if|for|with|that|as)[\p{L}]*\b)\S+([ \t]+\S+){0,4}[ \t\r]*$"
+               r"|\(c\)[ \t]+(?!(you|the|under|representations|any|if)\b)\S+([ \t]+\S+){0,4}[ \t\r]*$"
+               r"|all rights reserved\b)[^\n]*")
+#: The lines that the SQL drops: any that begin with the word.
 COPYRIGHT_LINE = r"(?m)^[^\p{L}\n]*(copyright|\(c\)|©|all rights reserved)([^\p{L}\p{N}\n][^\n]*)?$"
 OTHER = r"[^\p{L}\p{N}]+"
 
 
-def normal(col: F.Column) -> F.Column:
-    """Lower-cased words of a text without its copyright lines, spellings made one; empty for null."""
-    x = F.regexp_replace(F.lower(F.coalesce(col, F.lit(""))), COPYRIGHT_LINE, " ")
-    x = F.concat(F.lit(" "), F.regexp_replace(x, OTHER, " "), F.lit(" "))
-    for a, b in SPELLINGS:
-        x = F.replace(x, F.lit(f" {a} "), F.lit(f" {b} "))
-    return F.trim(x)
+def without_holders(low: F.Column) -> F.Column:
+    """A lower-case text without the lines that name a copyright holder."""
+    return F.regexp_replace(low, HOLDER_LINE, " ")
 
 
-def digest(col: F.Column) -> F.Column:
-    n = normal(col)
+def digest(low: F.Column) -> F.Column:
+    """MD5 of the words of a lower-case text, spellings made one; null without words."""
+    x = F.concat(F.lit(" "), F.regexp_replace(low, OTHER, " "), F.lit(" "))
+    for a, b in SPELLINGS:
+        x = F.replace(x, F.lit(f" {a} "), F.lit(f" {b} "))
+    n = F.trim(x)
     return F.when(n != "", F.md5(n))
 
 
 def known_table(spark: SparkSession, known: DataFrame | None = None) -> DataFrame:
     """``digest, license``: one row per digest (of several licences with one text the least id)."""
     known = known if known is not None else spark.createDataFrame(KNOWN, "license string, text string")
-    return (known.select(digest(F.col("text")).alias("digest"), "license").where("digest is not null")
+    low = F.lower(F.col("text"))
+    return (known.select("license", F.explode(F.array(without_holders(low), low)).alias("low"))
+            .select(digest(F.col("low")).alias("digest"), "license").where("digest is not null")
             .groupBy("digest").agg(F.min("license").alias("license")))
 
 
@@ -111,10 +121,16 @@ def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     table = known_table(docs.sparkSession, known)
     n = table.count()
     side = F.broadcast(table) if n <= MOST_KNOWN else table
-    parts = docs.select("doc_id", F.explode(F.concat(
-        F.array(F.struct(F.lit(True).alias("whole"), F.coalesce("text", F.lit("")).alias("t"))),
-        F.transform(F.split(F.coalesce("text", F.lit("")), "\n"),
-                    lambda t: F.struct(F.lit(False).alias("whole"), t.alias("t"))))).alias("x")).select("doc_id", "x.*")
+
+    def part(whole: bool, t: F.Column) -> F.Column:
+        return F.struct(F.lit(whole).alias("whole"), t.alias("t"))
+
+    low = docs.select("doc_id", F.lower(F.coalesce("text", F.lit(""))).alias("low"))
+    both = low.select("doc_id", "low", without_holders(F.col("low")).alias("bare"))
+    parts = both.select("doc_id", F.explode(F.concat(
+        F.array(part(True, F.col("bare"))),
+        F.when(F.col("low") != F.col("bare"), F.array(part(True, F.col("low")))).otherwise(F.array()),
+        F.transform(F.split("bare", "\n"), lambda t: part(False, t)))).alias("x")).select("doc_id", "x.*")
     found = parts.select("doc_id", "whole", digest(F.col("t")).alias("digest")).join(side, "digest", "left")
     return found.groupBy("doc_id").agg(
         F.min(F.when(F.col("whole"), F.col("license"))).alias("license"),

@@ -127,6 +127,29 @@ def test_license_scan(spark, make_docs):
     assert licenses.scan(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def reflowed(text, width):
+    """The paragraphs of a text filled to a width; each on a line of its own for None."""
+    import textwrap
+    paras = [" ".join(p.split()) for p in re.split(r"\n\s*\n", text.strip())]
+    return "\n\n".join(p if width is None else textwrap.fill(p, width, break_on_hyphens=False) for p in paras)
+
+
+HOLDERS = ["Copyright (c) 2020 Jane Doe\nAll rights reserved.", "© Jane Doe and others", "Copyright 1999-2004, The Foo Project",
+           "(c) Jane Doe", "Copyright by the authors", "Copyright Jane Doe"]
+
+
+def test_license_texts_in_any_wrapping(spark, make_docs):
+    full = [(i, t) for i, t in licenses.KNOWN if len(t) > 400]
+    rows, want = [], {}
+    for i, t in full:
+        for w in (24, 40, *range(60, 101, 3), 120, None):
+            for head in ("", HOLDERS[len(rows) % len(HOLDERS)] + "\n\n"):
+                want[len(rows)] = i
+                rows.append((len(rows), head + reflowed(t, w)))
+    got = {r.doc_id: r.license for r in licenses.scan(make_docs(rows)).collect()}
+    assert {k: rows[k][1] for k in want if got[k] != want[k]} == {}
+
+
 def test_token_counts_match_plain_recurrence(spark, make_docs, monkeypatch):
     scores = token_counts.read_scores()
 
