@@ -5,7 +5,13 @@ Method
     (licence/license and so on), and everything but letters and digits becomes one space. The MD5 of the
     result is hash-joined with the digests of known licences. Entire texts are compared: the
     document as a whole (without its holder lines, and with them as they may be words of the licence itself),
-    and each of its lines as a text of its own (notices stand on one line).
+    and each of its lines and paragraphs as a text of its own (notices stand on one line or are a paragraph;
+    lines without a letter or digit, as in comments, part paragraphs).
+
+Known
+    ``KNOWN`` (one-line notices, MIT, ISC, 0BSD), which the SQL shares, and ``more_known()``: the full texts in
+    ``license_texts`` with and without what follows their terms, BSD-2-Clause and BSD-3-Clause, each short text
+    also under its title, and the usual paragraphs and SPDX lines of source files.
 
 Scale
     DataFrame functions only, one pass over the texts. Known licences are a table of fixed rows
@@ -20,6 +26,9 @@ Defined results
 
 from __future__ import annotations
 
+from itertools import product
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -81,6 +90,66 @@ INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS
 ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF
 THIS SOFTWARE."""),
 ]
+#: Full texts by SPDX id, one file each, as their publishers give them.
+TEXTS = Path(__file__).parent / "license_texts"
+#: The line after which a full text only says how to apply it.
+END_OF_TERMS = "END OF TERMS AND CONDITIONS"
+TITLES = {
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)", "License: MIT"],
+    "ISC": ["ISC License", "The ISC License", "ISC License (ISC)"],
+    "0BSD": ["BSD Zero Clause License", "Zero-Clause BSD", "BSD Zero Clause License (0BSD)"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "The BSD 2-Clause License", 'BSD 2-Clause "Simplified" License', "Simplified BSD License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "The BSD 3-Clause License", 'BSD 3-Clause "New" or "Revised" License',
+                     "BSD License", "The BSD License", "New BSD License", "Revised BSD License"],
+    "Unlicense": ["The Unlicense", "Unlicense"],
+}
+#: BSD texts: the clauses' numbers (or none, as with bullets), the names in them, and the parties of the disclaimer.
+BSD_HEAD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+following conditions are met:
+
+{0} Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+disclaimer.
+
+{1} Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+disclaimer in the documentation and/or other materials provided with the distribution.
+"""
+BSD_THIRD = """
+{0} Neither the name of {1} nor the names of its contributors may be used to endorse or promote products derived from
+this software without specific prior written permission.
+"""
+BSD_TAIL = """
+THIS SOFTWARE IS PROVIDED BY THE {0} AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT
+LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT
+SHALL THE {1} OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR
+BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT
+(INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE
+POSSIBILITY OF SUCH DAMAGE."""
+BSD_NUMBERS = [("1.", "2.", "3."), ("a.", "b.", "c."), ("*", "*", "*")]
+BSD_NAMES = ["the copyright holder", "the copyright holders", "the University", "the organization", "the <organization>",
+             "the author", "the names of the copyright holders"]
+BSD_PARTIES = [("COPYRIGHT HOLDERS", "COPYRIGHT OWNER"), ("COPYRIGHT HOLDERS", "COPYRIGHT HOLDERS"),
+               ("COPYRIGHT HOLDER", "COPYRIGHT HOLDER"), ("REGENTS", "REGENTS"), ("AUTHOR", "AUTHOR"), ("AUTHORS", "AUTHORS")]
+#: Paragraphs of source files: the GNU licences' by id, name and version.
+GNU = [("GPL-2.0", "GNU General Public License", "2"), ("GPL-3.0", "GNU General Public License", "3"),
+       ("LGPL-2.0", "GNU Library General Public License", "2"), ("LGPL-2.1", "GNU Lesser General Public License", "2.1"),
+       ("LGPL-3.0", "GNU Lesser General Public License", "3"), ("AGPL-3.0", "GNU Affero General Public License", "3")]
+GNU_NOTICE = "This {0} is free software; you can redistribute it and/or modify it under the terms of the {1} as published by the Free Software Foundation{2}"
+NOTICES: list[tuple[str, str]] = [
+    ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in '
+                   "compliance with the License."),
+    ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in '
+                   "compliance with the License. You may obtain a copy of the License at"),
+    *[("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance '
+                     f"with the License. You may obtain a copy of the License at {http}://www.apache.org/licenses/LICENSE-2.0")
+      for http in ("http", "https")],
+    *[("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+                  f"distributed with this file, You can obtain one at {http}://mozilla.org/MPL/2.0/.") for http in ("http", "https")],
+    *[(x, f"SPDX-License-Identifier: {x}") for x in (
+        "0BSD", "AGPL-3.0", "AGPL-3.0-only", "AGPL-3.0-or-later", "BSD-2-Clause", "CC-BY-4.0", "CC-BY-SA-4.0", "CC0-1.0", "GPL-2.0",
+        "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0", "GPL-3.0-only", "GPL-3.0-or-later", "ISC", "LGPL-2.1", "LGPL-2.1-only",
+        "LGPL-2.1-or-later", "LGPL-3.0", "LGPL-3.0-only", "LGPL-3.0-or-later", "Unlicense")],
+]
 #: A line of lower-case text that names a copyright holder: the word with (c), the sign, a year, a place for one, or by;
 #: the sign or (c) before a year; the word or (c) and a few words that licences don't go on with there.
 HOLDER_LINE = (r"(?m)^[^\p{L}\n]*(copyright[ \t:,]*(\(c\)|©|by\b|[^\p{L}\n]*\d{4}|[\[{<])|©|\(c\)[^\p{L}\n]*(\d{4}|[\[{<]|copyright\b)"
@@ -91,6 +160,34 @@ HOLDER_LINE = (r"(?m)^[^\p{L}\n]*(copyright[ \t:,]*(\(c\)|©|by\b|[^\p{L}\n]*\d{
 #: The lines that the SQL drops: any that begin with the word.
 COPYRIGHT_LINE = r"(?m)^[^\p{L}\n]*(copyright|\(c\)|©|all rights reserved)([^\p{L}\p{N}\n][^\n]*)?$"
 OTHER = r"[^\p{L}\p{N}]+"
+#: Between paragraphs: lines without a letter or digit.
+PARAGRAPH_END = r"\n(?:[^\p{L}\p{N}\n]*\n)+"
+
+
+def more_known() -> list[tuple[str, str]]:
+    """Licences and notices besides ``KNOWN``, in the forms that they come in."""
+    short = [(i, t) for i, t in KNOWN if "\n" in t]
+    for n, parties in product(BSD_NUMBERS, BSD_PARTIES):
+        head, tail = BSD_HEAD.format(*n), BSD_TAIL.format(*parties)
+        short.append(("BSD-2-Clause", head + tail))
+        short += [("BSD-3-Clause", head + BSD_THIRD.format(n[2], x) + tail) for x in BSD_NAMES]
+    out = list(NOTICES)
+    for file in sorted(TEXTS.glob("*.txt")):
+        text = file.read_text(encoding="utf-8")
+        terms = text.split(END_OF_TERMS)[0]
+        forms = {text, terms, terms + END_OF_TERMS if terms != text else text}
+        forms |= {x.replace("https://", "http://") for x in forms} | {x.replace("http://", "https://") for x in forms}
+        if file.stem in TITLES:
+            short += [(file.stem, x) for x in sorted(forms)]
+        else:
+            out += [(file.stem, x) for x in sorted(forms)]
+    out += short + [(i, f"{title}\n\n{t}") for i, t in short for title in TITLES[i]]
+    for (i, name, v), kind in product(GNU, ("program", "library", "software", "file")):
+        out += [(f"{i}-or-later", GNU_NOTICE.format(kind, name, x)) for x in (
+            f"; either version {v} of the License, or (at your option) any later version.", f", version {v} or later.")]
+        out += [(i, GNU_NOTICE.format(kind, name, x)) for x in (f", version {v}.", f"; version {v} of the License.",
+                                                                 f"; version {v}.", f", version {v} of the License.")]
+    return out
 
 
 def without_holders(low: F.Column) -> F.Column:
@@ -109,7 +206,7 @@ def digest(low: F.Column) -> F.Column:
 
 def known_table(spark: SparkSession, known: DataFrame | None = None) -> DataFrame:
     """``digest, license``: one row per digest (of several licences with one text the least id)."""
-    known = known if known is not None else spark.createDataFrame(KNOWN, "license string, text string")
+    known = known if known is not None else spark.createDataFrame(KNOWN + more_known(), "license string, text string")
     low = F.lower(F.col("text"))
     return (known.select("license", F.explode(F.array(without_holders(low), low)).alias("low"))
             .select(digest(F.col("low")).alias("digest"), "license").where("digest is not null")
@@ -117,24 +214,28 @@ def known_table(spark: SparkSession, known: DataFrame | None = None) -> DataFram
 
 
 def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
-    """``doc_id, license, notices``: the licence that a whole text is, and the sorted licences of its lines."""
+    """``doc_id, license, notices``: the licence that a whole text is, and the sorted ones of its lines and paragraphs."""
     table = known_table(docs.sparkSession, known)
     n = table.count()
     side = F.broadcast(table) if n <= MOST_KNOWN else table
 
-    def part(whole: bool, t: F.Column) -> F.Column:
-        return F.struct(F.lit(whole).alias("whole"), t.alias("t"))
+    def part(whole: bool, notice: bool | F.Column, t: F.Column) -> F.Column:
+        return F.struct(F.lit(whole).alias("whole"), F.lit(notice).alias("notice"), t.alias("t"))
 
     low = docs.select("doc_id", F.lower(F.coalesce("text", F.lit(""))).alias("low"))
     both = low.select("doc_id", "low", without_holders(F.col("low")).alias("bare"))
-    parts = both.select("doc_id", F.explode(F.concat(
-        F.array(part(True, F.col("bare"))),
-        F.when(F.col("low") != F.col("bare"), F.array(part(True, F.col("low")))).otherwise(F.array()),
-        F.transform(F.split("bare", "\n"), lambda t: part(False, t)))).alias("x")).select("doc_id", "x.*")
-    found = parts.select("doc_id", "whole", digest(F.col("t")).alias("digest")).join(side, "digest", "left")
+    paras = F.split("bare", PARAGRAPH_END)  # one of a single line is a line, one that is all is the whole text
+    none = F.array().cast("array<struct<whole:boolean,notice:boolean,t:string>>")
+    parts = both.withColumn("paras", paras).select("doc_id", F.explode(F.concat(
+        F.array(part(True, F.size("paras") == 1, F.col("bare"))),
+        F.when(F.col("low") != F.col("bare"), F.array(part(True, False, F.col("low")))).otherwise(none),
+        F.when(F.size("paras") > 1, F.transform(F.filter("paras", lambda t: F.contains(t, F.lit("\n"))),
+                                                lambda t: part(False, True, t))).otherwise(none),
+        F.transform(F.split("bare", "\n"), lambda t: part(False, True, t)))).alias("x")).select("doc_id", "x.*")
+    found = parts.select("doc_id", "whole", "notice", digest(F.col("t")).alias("digest")).join(side, "digest", "left")
     return found.groupBy("doc_id").agg(
         F.min(F.when(F.col("whole"), F.col("license"))).alias("license"),
-        F.concat_ws(",", F.array_sort(F.collect_set(F.when(~F.col("whole"), F.col("license"))))).alias("notices"))
+        F.concat_ws(",", F.array_sort(F.collect_set(F.when(F.col("notice"), F.col("license"))))).alias("notices"))
 
 
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -150,6 +150,53 @@ def test_license_texts_in_any_wrapping(spark, make_docs):
     assert {k: rows[k][1] for k in want if got[k] != want[k]} == {}
 
 
+def test_license_full_texts(spark, make_docs):
+    files = {f.stem: f.read_text(encoding="utf-8") for f in licenses.TEXTS.glob("*.txt")}
+    assert {"Apache-2.0", "MPL-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "CC0-1.0", "Unlicense"} <= files.keys()
+    bsd = licenses.BSD_HEAD.format("*", "*") + licenses.BSD_TAIL.format("COPYRIGHT HOLDERS", "COPYRIGHT OWNER")
+    mit = next(t for i, t in licenses.KNOWN if t.startswith("Permission is hereby granted, free"))
+    isc = next(t for i, t in licenses.KNOWN if i == "ISC")
+    texts = [*files.items(), ("MIT", mit), ("MIT", "MIT License\n\n" + mit), ("MIT", "The MIT License (MIT)\n\nCopyright (c) 2020 A\n\n" + mit),
+             ("ISC", "ISC License\n\nCopyright (c) 2011, A\n\n" + isc), ("BSD-2-Clause", "BSD 2-Clause License\n\nCopyright (c) 2011, A\n\n" + bsd),
+             ("Unlicense", "The Unlicense\n\n" + files["Unlicense"])]
+    rows, want = [], {}
+    for i, t in texts:
+        for w in (50, 65, 72, 79, 100, None):
+            if "Copyright (c) 2" in t or i in files and t == files[i]:
+                forms = [reflowed(t, w)] if "Copyright (c) 2" in t else [t, reflowed(t, w)]
+            else:
+                forms = [reflowed(t, w), HOLDERS[w % 3 if w else 0] + "\n\n" + reflowed(t, w)]
+            for x in forms:
+                want[len(rows)] = i
+                rows.append((len(rows), x))
+    got = {r.doc_id: r.license for r in licenses.scan(make_docs(rows)).collect()}
+    assert [(want[k], rows[k][1][:200]) for k in want if got[k] != want[k]] == []
+
+
+def test_license_paragraphs(spark, make_docs):
+    gpl = """# Copyright (C) 2020 Jane Doe
+#
+# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version."""
+    apache = """/*
+ * Licensed under the Apache License, Version 2.0 (the "License");
+ * you may not use this file except in compliance with the License.
+ * You may obtain a copy of the License at
+ *
+ *     http://www.apache.org/licenses/LICENSE-2.0
+ *
+ * Unless required by applicable law ...
+ */
+int main;"""
+    rows = [(1, "code\n\n" + gpl + "\n#\n# This program is distributed\n\nmore code"), (2, apache), (3, gpl), (4, gpl + "\nmore"),
+            (5, apache + "\n\n" + gpl), (6, "two\nlines\n\n\nof\nno licence")]
+    got = {r.doc_id: (r.license, r.notices) for r in licenses.scan(make_docs(rows)).collect()}
+    assert got == {1: (None, "GPL-3.0-or-later"), 2: (None, "Apache-2.0"), 3: ("GPL-3.0-or-later", "GPL-3.0-or-later"), 4: (None, ""),
+                   5: (None, "Apache-2.0,GPL-3.0-or-later"), 6: (None, "")}
+
+
 def test_token_counts_match_plain_recurrence(spark, make_docs, monkeypatch):
     scores = token_counts.read_scores()
 
