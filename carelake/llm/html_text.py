@@ -71,6 +71,8 @@ _TAG = {t: i for i, t in enumerate(TAGS)}
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)"
                    r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>", re.S)
 ATTR = re.compile(r"(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
+#: End tags of RAW elements, in any case (of ASCII letters only), in the page as it is.
+_END = {t: re.compile(rf"</{t}(?=[\s/>]|\Z)", re.I | re.A) for t in RAW}
 PARTS = re.compile(r"[A-Z]?[a-z]+")
 
 
@@ -149,8 +151,8 @@ class Page:
             stack.append(e)
             opaque += name in OPAQUE
             if name in RAW:
-                end = html.lower().find(f"</{name}", at) if not html.isascii() else _find(html, name, at)
-                at = end if end >= 0 else len(html)
+                end = _END[name].search(html, at)
+                at = end.start() if end else len(html)
         if at < len(html) and not opaque:
             if len(stack) == 1 and html[at:].strip():
                 stack.append(self._body())
@@ -297,11 +299,6 @@ class Page:
         return "\n".join(b for b in out if b)
 
 
-def _find(html: str, name: str, at: int) -> int:
-    end = html.find(f"</{name}", at)
-    return end if end >= 0 else html.lower().find(f"</{name}", at)
-
-
 ABOVE = ("article", "main", "nav", "header", "footer", "aside", "form", "ul", "table", "p")
 NAMES = (["depth", "own", "text", "share", "link density", "tag density", "stop density", "paragraphs", "items",
           "controls", "children", "links", "mark", "place", "share of parent", "share of longest sibling", "siblings",

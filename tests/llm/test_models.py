@@ -114,6 +114,19 @@ def test_page_parser():
         q.features()
 
 
+@pytest.mark.parametrize("html, want", [
+    ("<script>a</SCRIPT><p>Article</p><script>b</script><p>End</p>", "Article\nEnd"),
+    ("<STYLE>a</sTyLe ><p>Article</p><style>b</style><p>End</p>", "Article\nEnd"),
+    ("<title>T</TITLE\n><p>İstanbul</p><TextArea>x</TEXTAREA><p>End</p><title>U</title>", "İstanbul\nEnd"),
+    ("<body><p>" + "İ" * 30 + "</p><script>a</script><b>One</b> two<p>Three</p>", "İ" * 30 + "\nOne two\nThree"),
+    ("<p>ı ſ</p><script>a</ſcript><p>b</p></script><p>End</p>", "ı ſ\nEnd"),
+    ("<script>a</scripty><p>no</p></script><p>End</p>", "End"),
+    ("<p>a</p><script>never closed <p>x</p>", "a")])
+def test_end_tags_of_raw_elements(html, want):
+    p = html_text.Page(html)
+    assert p.text(p.decode(np.ones(len(p.tag)))) == want
+
+
 def test_decoding_is_consistent():
     p = html_text.Page("<div><nav><a>x</a></nav><p>y</p></div>")
     keep = p.decode(np.array([0, -1.0, -5.0, 2.0, 3.0]))
