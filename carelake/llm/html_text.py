@@ -46,6 +46,8 @@ RAW = frozenset("script style textarea title noscript iframe template".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure "
                   "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup p pre section "
                   "summary table tbody td tfoot th thead tr ul caption".split())
+#: Start tags that don't end an open head; any other, or text, does and implies the body.
+IN_HEAD = frozenset("title meta link base style script noscript noframes template".split())
 #: A start tag that ends an open element of these.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}}
@@ -79,10 +81,12 @@ PARTS = re.compile(r"[A-Z]?[a-z]+")
 class Page:
     """Elements in page order (0 is the root) and text runs with the element they stand in."""
 
-    __slots__ = ("tag", "attrs", "parent", "runs", "depth")
+    __slots__ = ("tag", "attrs", "parent", "runs", "depth", "implied")
 
     def __init__(self, html: str | None):
         self.tag, self.attrs, self.parent, self.depth = ["#root"], [""], [-1], [0]
+        #: The body that the end of a head implied.
+        self.implied = -1
         #: (element, text) or (element, None) for a block boundary
         self.runs: list[tuple[int, str | None]] = []
         if html:
@@ -93,6 +97,8 @@ class Page:
         stack, at = [0], 0
         opaque = 0
         for m in iter(lambda: TOKEN.search(html, at), None):
+            if opaque == 1 and tag[stack[-1]] == "head" and html[at:m.start()].strip():
+                opaque = self._end_head(stack)
             if m.start() > at and not opaque:
                 if len(stack) == 1 and html[at:m.start()].strip():
                     stack.append(self._body())
@@ -119,6 +125,10 @@ class Page:
                     if name == "p":  # an end without a start is an empty paragraph
                         runs.append((stack[-1], None))
                 continue
+            if opaque == 1 and tag[stack[-1]] == "head" and name not in IN_HEAD and name != "body":
+                if name in ("head", "html"):  # a second one is nothing
+                    continue
+                opaque = self._end_head(stack)
             if name in CLOSES or name in BLOCK:
                 ends = CLOSES.get(name, ())
                 for k in range(len(stack) - 1, 0, -1):
@@ -132,6 +142,9 @@ class Page:
                         break
             if name in ("html", "body") and name in tag[1:3]:
                 continue
+            if name == "body" and not opaque and self.implied in stack:
+                self.attrs[self.implied] = m[3] or m[6] or ""
+                continue
             if name == "br":
                 runs.append((stack[-1], " "))
                 continue
@@ -153,20 +166,30 @@ class Page:
             if name in RAW:
                 end = _END[name].search(html, at)
                 at = end.start() if end else len(html)
+        if opaque == 1 and tag[stack[-1]] == "head" and html[at:].strip():
+            opaque = self._end_head(stack)
         if at < len(html) and not opaque:
             if len(stack) == 1 and html[at:].strip():
                 stack.append(self._body())
             runs.append((stack[-1], html[at:]))
 
-    def _body(self) -> int:
-        """The body that text outside of any element implies."""
+    def _body(self, parent: int = 0) -> int:
+        """The body that text outside of any element, or the end of a head, implies."""
         self.tag.append("body")
         self.attrs.append("")
-        self.parent.append(0)
-        self.depth.append(1)
+        self.parent.append(parent)
+        self.depth.append(self.depth[parent] + 1)
         self.runs.append((len(self.tag) - 1, None))
         return len(self.tag) - 1
 
+    def _end_head(self, stack: list[int]) -> int:
+        """Closes the head on top, by what can't be in one; the number of opaque elements that are still open."""
+        stack.pop()
+        if not any(self.tag[e] == "body" for e in stack):
+            self.implied = self._body(stack[-1])
+            stack.append(self.implied)
+        return 0
+
     def features(self) -> np.ndarray:
         """One row per element."""
         n = len(self.tag)

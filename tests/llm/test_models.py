@@ -127,6 +127,35 @@ def test_end_tags_of_raw_elements(html, want):
     assert p.text(p.decode(np.ones(len(p.tag)))) == want
 
 
+HEAD = "<title>T</title><meta charset=utf-8><link href=x><script>x='<p>'</script><noscript><p>no</p></noscript>"
+
+
+@pytest.mark.parametrize("html, want", [
+    ("<html><head><title>T</title><h1>Big</h1><p>Story</p></html>", "Big\nStory"),
+    (f"<html><head>\n{HEAD}\n<article><p>Story</p></article></body></html>", "Story"),
+    (f"<head>{HEAD}Text <b>more</b><p>Story", "Text more\nStory"),
+    (f"<html><head>{HEAD}Only text", "Only text"),
+    (f"<html><head>{HEAD}<br>a<br>b", "a b"),
+    (f"<html><head><head><html>{HEAD}<custom-tag></custom-tag><link href=y></head><body class=x><p>Story</p></body></html>", "Story"),
+    (f"<html><head>{HEAD}<noframes>old</noframes></head><body><p>Story</p></body></html>", "Story"),
+    (f"<html><head>{HEAD} <!-- <p>c</p> -->\n<body><p>Story</p></body></html>", "Story")])
+def test_head_without_end(html, want):
+    p = html_text.Page(html)
+    assert p.text(p.decode(np.ones(len(p.tag)))) == want
+    assert p.tag.count("body") == 1
+
+
+def test_page_text_without_head_and_body_tags(trees):
+    maker = html_text.page_maker(5)
+    pages = [x for x in (maker.make() for _ in range(60)) if "</head><body>" in x]
+    assert len(pages) > 40
+    for html in pages:
+        bare = html_text.Page(html.replace("</head><body>", ""))
+        full = html_text.Page(html)
+        assert bare.tag == full.tag and bare.parent == full.parent and bare.depth == full.depth
+        assert text_of(html.replace("</head><body>", ""), trees) == text_of(html, trees)
+
+
 def test_decoding_is_consistent():
     p = html_text.Page("<div><nav><a>x</a></nav><p>y</p></div>")
     keep = p.decode(np.array([0, -1.0, -5.0, 2.0, 3.0]))
