@@ -30,9 +30,9 @@ How large groups stay linear
     for ids in a broadcast filter of at most MOST_BITS bits.
 
 Defined results
-    Texts without words (null, empty) and rows with a null id are in no class but their own.
-    A text of under five words is one shingle. ``doc_id`` names a text; repeated rows share their class.
-    Class id: the least doc_id of the class. Other columns are never read.
+    Texts without words (null, empty) are in no class but their own. Rows with a null id are each
+    a row of their own: null class, kept. A text of under five words is one shingle. ``doc_id`` names a
+    text; repeated rows share their class. Class id: the least doc_id of the class. Other columns are never read.
 """
 
 from __future__ import annotations
@@ -294,6 +294,19 @@ def keep_one(docs: DataFrame) -> DataFrame:
     return kept.unionAll(docs.where("doc_id is null"))
 
 
+def without_id(docs: DataFrame) -> DataFrame:
+    """``doc_id, class_id, n_shingles`` of the rows with a null id: both null, and the shingles counted."""
+    def run(batches):
+        for b, a, z, texts in base.read_texts(batches, 1):
+            yield {"doc_id": [None] * (z - a), "class_id": [None] * (z - a),
+                   "n_shingles": [len(np.unique(shingles(fold_words(t)))) for t in texts]}
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return base.emit(docs.where("doc_id is null"), ["doc_id", "text"], f"doc_id {kind}, class_id {kind}, n_shingles long", run)
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = near_classes(base.table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"), "n_shingles")
+    docs = base.table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = near_classes(docs).unionAll(without_id(docs))
+    kept = F.col("doc_id").isNull() | (F.col("doc_id") == F.col("class_id"))
+    return out.select("doc_id", "class_id", kept.alias("kept"), "n_shingles")

@@ -82,6 +82,15 @@ def test_keep_one(spark, make_docs):
     assert near_dedup.near_classes(odd).count() == odd.where("doc_id is not null").count()
 
 
+def test_rows_without_id_are_rows_of_the_result(spark, make_docs, tmp_path):
+    rows = odd_rows(6) + [(None, None), (None, "a b c d e f"), (None, "a b c d e f")]
+    make_docs(rows).write.parquet(str(tmp_path / "documents.parquet"))
+    out = near_dedup.op7_near_dedup(spark, str(tmp_path)).collect()
+    assert sorted(str(r.doc_id) for r in out) == sorted(str(r[0]) for r in rows)
+    assert sorted(tuple(r)[1:] for r in out if r.doc_id is None) == [(None, True, n) for n in (0, 2, 2, 4)]
+    assert all(r.kept == (r.doc_id == r.class_id) for r in out if r.doc_id is not None)
+
+
 def test_signatures_estimate_weighted_jaccard():
     rng = np.random.default_rng(0)
     h = rng.integers(0, 2**63, 300).astype(np.uint64)
