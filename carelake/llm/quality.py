@@ -19,7 +19,8 @@ Scale
 Defined results
     Null, empty or blank text: no words, all counts 0, ``base_failed`` true. Rows with
     a null id are scored and never labelled. Repeated rows each get their row. No labels
-    of either kind: threshold ``-inf``, so only the base rules reject. Empty table: no rows.
+    of either kind, no trusted document besides the target's, or scores that don't separate the labels:
+    threshold ``-inf``, so only the base rules reject. Empty table: no rows.
     Other columns are never read.
 """
 
@@ -55,9 +56,13 @@ class QualityModel:
     part: float
 
 
+def _turn(col: str) -> F.Column:
+    return F.pmod(F.xxhash64(col), F.lit(1_000_000))
+
+
 def drawn(col: str, part: float) -> F.Column:
     """Whether an id is in the sample."""
-    return F.pmod(F.xxhash64(col), F.lit(1_000_000)) < F.lit(part * 1_000_000)
+    return _turn(col) < F.lit(part * 1_000_000)
 
 
 def grams(h: np.ndarray) -> np.ndarray:
@@ -102,12 +107,30 @@ def base_counts(text: str | None, h: np.ndarray) -> tuple[int, int, int, int, in
 
 
 def fit_ratio(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> QualityModel:
-    """Both multinomials in one scan: each row carries a flag if it is in the trusted sample."""
-    good = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("l_id")).distinct()
-    part = min(0.5, ftrl.share(good.count(), TRUSTED_SAMPLE))
-    good = good.where(drawn("l_id", part))
-    tagged = (docs.select(F.col(id_col).alias("l_id"), F.col(text_col).alias("l_text"))
-              .join(F.broadcast(good.withColumn("l_good", F.lit(True))), "l_id", "left"))
+    """Both multinomials in one scan: each row carries a flag if it is in the trusted sample.
+
+    A draw that takes no trusted document (of a few labels) is replaced by the trusted document of the least hash.
+    """
+    trusted = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("l_id")).distinct()
+    part = min(0.5, ftrl.share(trusted.count(), TRUSTED_SAMPLE))
+    texts = docs.select(F.col(id_col).alias("l_id"), F.col(text_col).alias("l_text"))
+    raw, target = _counts(texts, trusted.where(drawn("l_id", part)))
+    if not target.sum():
+        have = texts.where(F.col("l_text").rlike(base.WORD)).join(trusted.where(~drawn("l_id", part)), "l_id", "left_semi")
+        least = have.agg(F.min(_turn("l_id")).alias("t")).first().t
+        if least is not None:
+            part = (least + 0.5) / 1_000_000
+            raw, target = _counts(texts, trusted.where(drawn("l_id", part)))
+    p_raw = (raw + 1) / (raw.sum() + BUCKETS)
+    if not target.sum():
+        return QualityModel(np.zeros(BUCKETS), part)
+    prior = PRIOR * target.sum()
+    return QualityModel(np.log((target + prior * p_raw) / (target.sum() + prior) / p_raw), part)
+
+
+def _counts(texts: DataFrame, good: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """How often each bucket is in the texts (l_id, l_text), and in those of the ids in ``good (l_id)``."""
+    tagged = texts.join(F.broadcast(good.withColumn("l_good", F.lit(True))), "l_id", "left")
 
     def run(batches):
         n = np.zeros((2, BUCKETS), np.int64)
@@ -126,11 +149,7 @@ def fit_ratio(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col
     raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
     for r in rows:  # BUCKETS rows at most
         raw[r.bucket], target[r.bucket] = r.raw, r.target
-    p_raw = (raw + 1) / (raw.sum() + BUCKETS)
-    if not target.sum():
-        return QualityModel(np.zeros(BUCKETS), part)
-    prior = PRIOR * target.sum()
-    return QualityModel(np.log((target + prior * p_raw) / (target.sum() + prior) / p_raw), part)
+    return raw, target
 
 
 def score(docs: DataFrame, model: QualityModel, keep: list[str], text_col: str = "text") -> DataFrame:
@@ -152,7 +171,7 @@ def score(docs: DataFrame, model: QualityModel, keep: list[str], text_col: str =
 
 
 def fit_threshold(scored: DataFrame, labels: DataFrame, model: QualityModel) -> float:
-    """The bin edge with the best balanced accuracy between labels 0 and 1 (of equals the middle one).
+    """The bin edge with the best balanced accuracy between labels 0 and 1 (of equals the middle one); -inf if none separates them.
 
     Only rows that the base rules pass decide, as only they are held against it, and of the
     trusted ones those that the target was not learned from.
@@ -170,6 +189,8 @@ def fit_threshold(scored: DataFrame, labels: DataFrame, model: QualityModel) ->
         return float("-inf")
     below = np.concatenate([[0], n.cumsum(1)[0]]) / n[0].sum()
     above = 1 - np.concatenate([[0], n.cumsum(1)[1]]) / n[1].sum()
+    if (below + above).max() <= 1 + 1e-12:  # no edge is better than none: the scores don't separate the labels
+        return float("-inf")
     good = np.flatnonzero(below + above >= (below + above).max() - 1e-12)
     return (int(good[len(good) // 2]) - BIN_LIMIT * BINS_A_UNIT) / BINS_A_UNIT
 

@@ -49,6 +49,29 @@ def test_quality_rules(spark, make_docs):
     assert quality.apply_rules(spark.createDataFrame([], DOCS), labels).count() == 0
 
 
+@pytest.mark.parametrize("n_good", [1, 2, 3])
+def test_few_trusted_labels(spark, make_docs, n_good):
+    """Trusted ids of which the hash draw takes none, and one that is in no document."""
+    good = [f"the {a} and the {b} of a {c} in some {d} place" for a, b, c, d in
+            zip("abcdefghij", "klmnopqrst", "bdfhjlnprt", "acegikmoqs")]
+    rows = []
+    for i in range(80):
+        words = " ".join(good[(i * 7 + k) % 10] + f" n{i}x{k}" for k in range(9))
+        rows.append((i, words if i % 4 else " ".join(w + "***" for w in words.split())))
+    clean = spark.range(80).where("id % 4 > 0")
+    missed = [r.id for r in clean.where(~quality.drawn("id", 0.5)).orderBy("id").limit(n_good).collect()]
+    gone = spark.range(1000, 1100).where(~quality.drawn("id", 0.5)).first().id
+    labels = spark.createDataFrame([(i, 1, 0) for i in [*missed, gone]] + [(i, 0, 0) for i in range(0, 40, 4)],
+                                   "doc_id long, quality int, toxic int")
+    out = {r.doc_id: r for r in quality.apply_rules(make_docs(rows), labels).collect()}
+    assert len(missed) == n_good and all(out[i].kept for i in range(80) if i % 4)
+    if n_good > 1:  # one is learned from, the others are held against the rejected ones
+        assert not any(out[i].kept for i in range(0, 80, 4))
+    only = labels.where(f"quality = 0 or doc_id = {gone}")  # nothing to learn from
+    out = {r.doc_id: r for r in quality.apply_rules(make_docs(rows), only).collect()}
+    assert all(r.kept != r.base_failed for r in out.values())
+
+
 def ascii_lower(x):
     return "".join(c.lower() if c.isascii() else c for c in x)
 
