@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from carelake.llm import (
     decontaminate, html_text, langid, licenses, mixing, near_dedup, packing, quality, token_counts, toxicity,
+    whitening,
 )
 
 QUERIES = {
@@ -17,6 +18,7 @@ QUERIES = {
     "op8_quality_rules": quality.op8_quality_rules,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_benchmark_decontamination": decontaminate.op10_benchmark_decontamination,
+    "op12_embedding_whitening": whitening.op12_embedding_whitening,
 }
 
 ORACLES: dict[str, str] = {

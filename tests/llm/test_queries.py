@@ -18,6 +18,10 @@ COLUMNS = {
     "op10_benchmark_decontamination": [("doc_id", "bigint"), ("n_words", "bigint"), ("n_hit", "bigint"), ("n_items", "bigint"),
                                        ("items_sha256", "string"), ("contaminated", "boolean")],
 }
+NEW_COLUMNS = {
+    "op12_embedding_whitening": [("vec_id", "bigint"), ("component", "int"), ("n", "bigint"), ("deviation", "bigint"),
+                                 ("whitened", "double"), ("explained", "double"), ("identity_error", "double")],
+}
 
 
 @pytest.mark.parametrize("name", sorted(COLUMNS))
@@ -29,6 +33,14 @@ def test_columns_and_rows(spark, name):
     assert df.count() == spark.read.parquet(f"{SF}/{table}.parquet").count()
 
 
+@pytest.mark.parametrize("name", sorted(NEW_COLUMNS))
+def test_columns(spark, name):
+    from carelake.llm.queries import QUERIES
+    df = QUERIES[name](spark, SF)
+    assert [t for t in df.dtypes if t in NEW_COLUMNS[name]] == NEW_COLUMNS[name]
+    assert df.count() > 0
+
+
 def test_sql_oracles(spark):
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     from oracle_check import compare
