@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from carelake.llm import (
     decontaminate, html_text, langid, licenses, mixing, near_dedup, packing, quality, token_counts, toxicity,
-    whitening,
+    variants, whitening,
 )
 
 QUERIES = {
@@ -19,6 +19,7 @@ QUERIES = {
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_benchmark_decontamination": decontaminate.op10_benchmark_decontamination,
     "op12_embedding_whitening": whitening.op12_embedding_whitening,
+    "op13_spelling_variants": variants.op13_spelling_variants,
 }
 
 ORACLES: dict[str, str] = {

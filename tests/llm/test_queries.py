@@ -21,6 +21,8 @@ COLUMNS = {
 NEW_COLUMNS = {
     "op12_embedding_whitening": [("vec_id", "bigint"), ("component", "int"), ("n", "bigint"), ("deviation", "bigint"),
                                  ("whitened", "double"), ("explained", "double"), ("identity_error", "double")],
+    "op13_spelling_variants": [("word", "string"), ("form", "string"), ("root", "string"), ("n", "bigint"), ("n_near", "bigint"),
+                               ("form_n", "bigint")],
 }
 
 
