@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from carelake.llm import (
-    decontaminate, html_text, langid, licenses, mixing, near_dedup, packing, quality, token_counts, toxicity,
-    variants, whitening,
+    decontaminate, html_text, langid, licenses, mixing, near_dedup, packing, quality, secrets, token_counts,
+    toxicity, variants, whitening,
 )
 
 QUERIES = {
@@ -18,6 +18,7 @@ QUERIES = {
     "op8_quality_rules": quality.op8_quality_rules,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_benchmark_decontamination": decontaminate.op10_benchmark_decontamination,
+    "op11_secret_scan": secrets.op11_secret_scan,
     "op12_embedding_whitening": whitening.op12_embedding_whitening,
     "op13_spelling_variants": variants.op13_spelling_variants,
 }

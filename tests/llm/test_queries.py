@@ -19,6 +19,8 @@ COLUMNS = {
                                        ("items_sha256", "string"), ("contaminated", "boolean")],
 }
 NEW_COLUMNS = {
+    "op11_secret_scan": [("doc_id", "bigint"), ("n_assign", "bigint"), ("n_access", "bigint"), ("n_hex", "bigint"),
+                         ("base_sha256", "string"), ("spans", "string")],
     "op12_embedding_whitening": [("vec_id", "bigint"), ("component", "int"), ("n", "bigint"), ("deviation", "bigint"),
                                  ("whitened", "double"), ("explained", "double"), ("identity_error", "double")],
     "op13_spelling_variants": [("word", "string"), ("form", "string"), ("root", "string"), ("n", "bigint"), ("n_near", "bigint"),
