@@ -47,7 +47,7 @@ MIN_VALUE, MIN_ACCESS, MIN_HEX = 8, 16, 32
 
 MIN_LEN, MIN_BITS, LAST_LEN = 16, 64, 128
 ALPHA, FDR = 1e-4, 0.01
-SIMULATED = 9_999
+SIMULATED, SIM_TASKS = 9_999, 64
 #: Values of q that are told apart.
 GRID = np.logspace(-4, -1, 61)
 
@@ -234,7 +234,7 @@ def learn(docs: DataFrame, text_col: str = "text") -> dict[tuple[int, int], floa
     spark = docs.sparkSession
     found, pairs = survey(docs, text_col)
     found = found.select("enc", F.least("len", F.lit(LAST_LEN)).alias("len"), "p")
-    strata = found.select("enc", "len").distinct()
+    strata = found.select("enc", "len").distinct().repartition(SIM_TASKS, "enc", "len")
 
     def simulate(batches) -> Iterator[dict]:
         for b in batches:
