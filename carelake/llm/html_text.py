@@ -26,6 +26,7 @@ Defined results
 
 from __future__ import annotations
 
+import functools
 import html as refs
 import random
 import re
@@ -39,10 +40,9 @@ from carelake.llm import base, gbdt
 TRAIN_PAGES, SEED = 1000, 11
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Content that is never text.
-OPAQUE = frozenset("script style template noscript iframe object svg math canvas audio video head title textarea "
-                   "select option button map".split())
-RAW = frozenset("script style textarea title noscript iframe template".split())
+#: Content that is never text, whatever the trees say: code, the head, what a form or a medium shows.
+OPAQUE = frozenset("script style template iframe svg canvas audio video head title textarea select option".split())
+RAW = frozenset("script style textarea title iframe template".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure "
                   "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup p pre section "
                   "summary table tbody td tfoot th thead tr ul caption".split())
@@ -51,6 +51,7 @@ IN_HEAD = frozenset("title meta link base style script noscript noframes templat
 #: A start tag that ends an open element of these.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}}
+NONE, PARAGRAPH = frozenset(), frozenset(["p"])
 SCOPE = frozenset("ul ol dl table div section article main aside nav header footer form blockquote td th body li".split())
 
 #: Tokens of class, id and role by what they tell.
@@ -67,17 +68,63 @@ TELLS = {
 }
 _TELL = {w: i for i, ws in enumerate(TELLS.values()) for w in ws.split()}
 TAGS = ("p", "div", "span", "a", "li", "ul", "ol", "h1", "h2", "h3", "article", "main", "section", "nav", "header",
-        "footer", "aside", "form", "table", "td", "blockquote", "pre", "figure", "body", "label", "b")
+        "footer", "aside", "form", "table", "td", "blockquote", "pre", "figure", "body", "label", "b", "button", "noscript")
 _TAG = {t: i for i, t in enumerate(TAGS)}
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)"
-                   r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>", re.S)
+TOKEN = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)"
+                   r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)", re.S)
 ATTR = re.compile(r"(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
 #: End tags of RAW elements, in any case (of ASCII letters only), in the page as it is.
 _END = {t: re.compile(rf"</{t}(?=[\s/>]|\Z)", re.I | re.A) for t in RAW}
 PARTS = re.compile(r"[A-Z]?[a-z]+")
 
 
+class Open:
+    """The open elements, with the places of each tag among them: every question takes the same time at any depth."""
+
+    __slots__ = ("items", "places", "blocks", "scopes", "opaque")
+
+    def __init__(self):
+        self.items: list[tuple[int, str]] = []
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = [-1]
+        self.scopes: list[int] = [-1]
+        self.opaque = 0
+
+    def push(self, e: int, name: str) -> None:
+        at = len(self.items)
+        self.items.append((e, name))
+        self.places.setdefault(name, []).append(at)
+        if name in BLOCK:
+            self.blocks.append(at)
+        if name in SCOPE:
+            self.scopes.append(at)
+        self.opaque += name in OPAQUE
+
+    def cut(self, at: int) -> None:
+        """Closes the elements from this place on."""
+        while len(self.items) > at:
+            name = self.items.pop()[1]
+            self.places[name].pop()
+            if name in BLOCK:
+                self.blocks.pop()
+            if name in SCOPE:
+                self.scopes.pop()
+            self.opaque -= name in OPAQUE
+
+    def last(self, name: str) -> int:
+        """The place of the innermost of these; -1 if none is open."""
+        return at[-1] if (at := self.places.get(name)) else -1
+
+    @property
+    def top(self) -> int:
+        return self.items[-1][0]
+
+    def in_head(self) -> bool:
+        """Whether an open head is the innermost element."""
+        return self.opaque == 1 and self.items[-1][1] == "head"
+
+
 class Page:
     """Elements in page order (0 is the root) and text runs with the element they stand in."""
 
@@ -93,102 +140,95 @@ class Page:
             self._parse(html)
 
     def _parse(self, html: str) -> None:
-        tag, parent, depth, runs = self.tag, self.parent, self.depth, self.runs
-        stack, at = [0], 0
-        opaque = 0
+        tag, runs = self.tag, self.runs
+        stack, at = Open(), 0
+        stack.push(0, "#root")
         for m in iter(lambda: TOKEN.search(html, at), None):
-            if opaque == 1 and tag[stack[-1]] == "head" and html[at:m.start()].strip():
-                opaque = self._end_head(stack)
-            if m.start() > at and not opaque:
-                if len(stack) == 1 and html[at:m.start()].strip():
-                    stack.append(self._body())
-                runs.append((stack[-1], html[at:m.start()]))
+            self._text(stack, html, at, m.start())
             at = m.end()
             name = m[2] or m[5]
             if not name:
                 continue
             name = name.lower()
             if m[1] or m[4]:
-                inline = name not in BLOCK and name not in OPAQUE
-                for k in range(len(stack) - 1, 0, -1):
-                    own = tag[stack[k]]
-                    if own == name:
-                        for e in stack[k:]:
-                            opaque -= tag[e] in OPAQUE
-                        if name in BLOCK:
-                            runs.append((stack[k - 1], None))
-                        del stack[k:]
-                        break
-                    if inline and own in BLOCK:
-                        break
-                else:
-                    if name == "p":  # an end without a start is an empty paragraph
-                        runs.append((stack[-1], None))
+                self._end(stack, name)
                 continue
-            if opaque == 1 and tag[stack[-1]] == "head" and name not in IN_HEAD and name != "body":
+            if stack.in_head() and name not in IN_HEAD and name != "body":
                 if name in ("head", "html"):  # a second one is nothing
                     continue
-                opaque = self._end_head(stack)
-            if name in CLOSES or name in BLOCK:
-                ends = CLOSES.get(name, ())
-                for k in range(len(stack) - 1, 0, -1):
-                    own = tag[stack[k]]
-                    if own in ends or own == "p":
-                        for e in stack[k:]:
-                            opaque -= tag[e] in OPAQUE
-                        del stack[k:]
-                        break
-                    if own in SCOPE:
-                        break
+                self._end_head(stack)
+            if name in CLOSES or name in BLOCK:  # an open paragraph or item of the same list ends here
+                k = max(stack.last(t) for t in CLOSES.get(name, NONE) | PARAGRAPH)
+                if k > 0 and k >= stack.scopes[-1]:
+                    stack.cut(k)
+            attrs = m[3] or m[6] or ""
             if name in ("html", "body") and name in tag[1:3]:
                 continue
-            if name == "body" and not opaque and self.implied in stack:
-                self.attrs[self.implied] = m[3] or m[6] or ""
+            if name == "body" and not stack.opaque and self.implied > 0 and any(
+                    stack.items[k][0] == self.implied for k in stack.places["body"][:2]):
+                self.attrs[self.implied] = attrs
                 continue
             if name == "br":
-                runs.append((stack[-1], " "))
+                runs.append((stack.top, " "))
                 continue
-            e = len(tag)
-            tag.append(name)
-            self.attrs.append(m[3] or m[6] or "")
-            parent.append(stack[-1])
-            depth.append(depth[stack[-1]] + 1)
+            e = self._add(name, attrs, stack.top)
             if name in BLOCK:
                 runs.append((e, None))
-            if name == "body" and opaque:  # a head that was not closed
-                stack = [x for x in stack if tag[x] not in OPAQUE]
-                opaque = 0
-                parent[e] = stack[-1]
+            if name == "body" and stack.opaque:  # a head that was not closed
+                held = [x for x in stack.items if x[1] not in OPAQUE]
+                stack = Open()
+                for x in held:
+                    stack.push(*x)
+                self.parent[e] = stack.top
             if name in VOID or (m[3] or "").endswith("/") and name in OPAQUE:
                 continue
-            stack.append(e)
-            opaque += name in OPAQUE
+            stack.push(e, name)
             if name in RAW:
                 end = _END[name].search(html, at)
                 at = end.start() if end else len(html)
-        if opaque == 1 and tag[stack[-1]] == "head" and html[at:].strip():
-            opaque = self._end_head(stack)
-        if at < len(html) and not opaque:
-            if len(stack) == 1 and html[at:].strip():
-                stack.append(self._body())
-            runs.append((stack[-1], html[at:]))
-
-    def _body(self, parent: int = 0) -> int:
-        """The body that text outside of any element, or the end of a head, implies."""
-        self.tag.append("body")
-        self.attrs.append("")
+        self._text(stack, html, at, len(html))
+
+    def _text(self, stack: Open, html: str, a: int, z: int) -> None:
+        """The text between two tags."""
+        if a >= z or stack.opaque > 1 or stack.opaque and not stack.in_head():
+            return
+        if stack.in_head():
+            if not html[a:z].strip():
+                return
+            self._end_head(stack)
+        if len(stack.items) == 1 and html[a:z].strip():
+            stack.push(self._body(), "body")
+        self.runs.append((stack.top, html[a:z]))
+
+    def _end(self, stack: Open, name: str) -> None:
+        """An end tag: closes the innermost element of the name, an inline one only within its block."""
+        k = stack.last(name)
+        if k > 0 and (name in BLOCK or name in OPAQUE or k > stack.blocks[-1]):
+            if name in BLOCK:
+                self.runs.append((stack.items[k - 1][0], None))
+            stack.cut(k)
+        elif name == "p":  # an end without a start is an empty paragraph
+            self.runs.append((stack.top, None))
+
+    def _add(self, name: str, attrs: str, parent: int) -> int:
+        self.tag.append(name)
+        self.attrs.append(attrs)
         self.parent.append(parent)
         self.depth.append(self.depth[parent] + 1)
-        self.runs.append((len(self.tag) - 1, None))
         return len(self.tag) - 1
 
-    def _end_head(self, stack: list[int]) -> int:
-        """Closes the head on top, by what can't be in one; the number of opaque elements that are still open."""
-        stack.pop()
-        if not any(self.tag[e] == "body" for e in stack):
-            self.implied = self._body(stack[-1])
-            stack.append(self.implied)
-        return 0
+    def _body(self, parent: int = 0) -> int:
+        """The body that text outside of any element, or the end of a head, implies."""
+        e = self._add("body", "", parent)
+        self.runs.append((e, None))
+        return e
+
+    def _end_head(self, stack: Open) -> None:
+        """Closes the head on top, by what can't be in one."""
+        stack.cut(len(stack.items) - 1)
+        if stack.last("body") < 0:
+            self.implied = self._body(stack.top)
+            stack.push(self.implied, "body")
 
     def features(self) -> np.ndarray:
         """One row per element."""
@@ -460,16 +500,37 @@ class page_maker:
         return html if r.random() < 0.9 else html[:-14]
 
 
+def with_inline(html: str, maker: page_maker) -> str:
+    """The page with formulas, fallbacks and buttons in some of its paragraphs, and a notice for readers without scripts."""
+    r = maker.r
+
+    def more(m: re.Match) -> str:
+        x = r.random()
+        if x < 0.15:
+            t = r.choice(["math", "object", "noscript", "kbd", "i", "custom-part"])
+            return f"{m[0]}{maker.words(1, 3)} <{t}>{maker.words(1, 6)}</{t}> "
+        if x < 0.25:
+            return f"{m[0]}<button>{maker.words(1, 2)}</button> "
+        return m[0]
+
+    html = re.sub(r"<p[^>]*>", more, html)
+    if r.random() < 0.5:
+        html = html.replace("<body>", f"<body><noscript>{r.choice(['<p>', '<div>', ''])}{maker.sentence()}</noscript>")
+    return html
+
+
+@functools.lru_cache(maxsize=2)
 def train(pages: int = TRAIN_PAGES, seed: int = SEED) -> gbdt.Trees:
-    """The trees, from generated pages."""
-    maker = page_maker(seed)
+    """The trees, from generated pages; kept for later calls of the process."""
+    maker, other = page_maker(seed), page_maker(seed + 1)
     xs, ys = [], []
-    for _ in range(pages):
-        page = Page(maker.make())
+    for i in range(pages):
+        html = maker.make()
+        page = Page(html if i % 4 else with_inline(html, other))
         main = np.array(["data-main" in a for a in page.attrs])
-        for e in range(1, len(main)):  # inline elements belong where they stand
+        for e in range(1, len(main)):  # inline elements belong where they stand, but for buttons
             if page.tag[e] not in BLOCK:
-                main[e] = main[page.parent[e]]
+                main[e] = main[page.parent[e]] and page.tag[e] != "button"
         for e in range(len(main) - 1, 0, -1):
             if main[e] and page.tag[page.parent[e]] in ("html", "body", "#root"):
                 main[page.parent[e]] = True

@@ -45,6 +45,119 @@ def test_held_out_rows_are_not_learned_from(make_docs):
     assert np.array_equal(langid.fit(docs).table, langid.fit(spoiled).table)
 
 
+def plain_grams(text):
+    """n-grams as the docstring says, character by character."""
+    cp = "".join(c if c.isalpha() else " " for c in text.lower())
+    cp = " " + "".join(c for i, c in enumerate(cp) if c != " " or i and cp[i - 1] != " ")
+    out, h = [], [0] * len(cp)
+    for n in (1, 2, 3):
+        h = [((h[i] + ord(cp[i + n - 1]) + n) * 0x9E3779B1) % 2 ** 32 for i in range(len(cp) - n + 1)]
+        h = [x ^ x >> 15 for x in h]
+        out += [(x * 0x85EBCA6B) % 2 ** 32 >> 16 for x in h]
+    return out
+
+
+def test_language_id_dense(spark, make_docs):
+    """TF-IDF, FTRL, softmax and temperature in plain float64 Python on all rows, against fit and predict."""
+    import math
+    import zlib
+    from collections import Counter
+
+    from pyspark.sql import functions as F
+    rows = corpus(200, seed=7)
+    docs = make_docs(rows)
+    mine = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 != 2]
+    df = Counter(g for r in mine for g in set(plain_grams(r[1])))
+    idf = lambda g: math.log((1 + len(mine)) / (1 + df[g])) + 1
+
+    def features(text, scale=1.0):
+        c = Counter(plain_grams(text))
+        return {g: 100.0 * n / sum(c.values()) * idf(g) for g, n in c.items()}
+
+    keys = {r.doc_id: (r.turn, r.shard) for r in docs.withColumn("turn", F.xxhash64("doc_id", "text", F.lit(1))).withColumn(
+        "shard", F.pmod(F.xxhash64("turn"), F.lit(ftrl.SHARDS + 2))).collect()}
+    langs = sorted({r[2] for r in mine})
+    shards = []
+    for shard in range(ftrl.SHARDS):
+        z, n = {}, {}
+        part = sorted((keys[r[0]][0], langs.index(r[2]), r[1]) for r in mine if keys[r[0]][1] == shard)
+
+        def weight(f, k):
+            zz, nn, l1 = z.get((f, k), 0.0), n.get((f, k), 0.0), 0.0 if f == "bias" else langid.L1
+            return 0.0 if abs(zz) <= l1 else -(zz - math.copysign(l1, zz)) / ((1 + math.sqrt(nn)) / langid.ALPHA + langid.L2)
+        if not part:
+            continue
+        for _ in range(langid.PASSES):
+            for _, y, text in part:
+                x = {**{g: float(np.float32(v)) for g, v in features(text).items()}, "bias": 1.0}
+                w = {(f, k): weight(f, k) for f in x for k in range(3)}
+                s = [sum(x[f] * w[f, k] for f in x) for k in range(3)]
+                e = [math.exp(v - max(s)) for v in s]
+                for k in range(3):
+                    for f in x:
+                        g = x[f] * (e[k] / sum(e) - (k == y))
+                        old = n.get((f, k), 0.0)
+                        z[f, k] = z.get((f, k), 0.0) + g - (math.sqrt(old + g * g) - math.sqrt(old)) / langid.ALPHA * w[f, k]
+                        n[f, k] = old + g * g
+        shards.append({fk: weight(*fk) for fk in z})
+    mean = lambda f, k: sum(s.get((f, k), 0.0) for s in shards) / len(shards)
+    model = langid.fit(docs)
+    got = {r.doc_id: r for r in langid.predict(docs, model, ["doc_id"]).collect()}
+    for i, text, *_ in rows[:60]:
+        s = [(sum(v * mean(g, k) for g, v in features(text).items()) + mean("bias", k)) / model.temperature for k in range(3)]
+        e = [math.exp(v - max(s)) for v in s]
+        assert got[i].lang_pred == langs[s.index(max(s))]
+        assert got[i].score == pytest.approx(max(e) / sum(e), abs=1e-4)
+
+
+def many_languages(n, docs_each, seed=2):
+    """n languages, each of six syllables of its own."""
+    r = random.Random(seed)
+    rows = []
+    for k in range(n):
+        own = ["".join(r.choices("abcdefghijklmnopqrstuvwxyzäöüñçéè", k=3)) for _ in range(6)]
+        rows += [(1000 * k + j, " ".join("".join(r.choices(own, k=r.randint(1, 3))) for _ in range(30)), f"l{k:03}", "s")
+                 for j in range(docs_each)]
+    return rows
+
+
+def test_language_blocks(spark, make_docs):
+    """Languages beyond one block are learned and found, also with names of results among the kept columns."""
+    rows = many_languages(7, 24)
+    docs = make_docs(rows).selectExpr("*", "'x' as lang_pred", "2 as score", "'t' as t", "'p' as p")
+    model = langid.fit(docs, width=3)
+    assert [len(m.langs) for m in (model, *model.more)] == [3, 3, 1]
+    out = langid.predict(docs, model, ["doc_id", "lang", "t"])
+    assert out.columns == ["doc_id", "lang", "t", "lang_pred", "score"] and {r.t for r in out.collect()} == {"t"}
+    assert out.where("lang_pred <> lang").count() == 0 and out.where("score between 0 and 1").count() == len(rows)
+    odd = make_docs([(1, None), (2, ""), (3, "12 ."), (None, rows[-1][1])])
+    got = {r.doc_id: (r.lang_pred, r.score == 0) for r in langid.predict(odd, model, ["doc_id"]).collect()}
+    assert got == {1: ("und", True), 2: ("und", True), 3: ("und", True), None: (rows[-1][2], False)}
+
+
+def test_250_languages(make_docs):
+    rows = many_languages(250, 8)
+    model = langid.fit(make_docs(rows))
+    assert [len(m.langs) for m in (model, *model.more)] == [200, 50]
+    out = langid.predict(make_docs(rows), model, ["lang"])
+    right = {r.lang for r in out.where("lang_pred = lang").collect()}
+    assert len(right) == 250 and out.where("lang_pred = lang").count() > 0.95 * len(rows)
+
+
+def test_language_ties_and_limit(make_docs, monkeypatch):
+    """Equal probabilities: the first language by name; too many lang values fail by name."""
+    at = np.array([1, 2])
+    tie = langid.LangModel(("aa", "bb"), np.zeros((langid.DIMS, 2), np.float32), np.zeros(2), 1.0)
+    assert tie.best(at) == ("aa", 0.5)
+    text = "same words here"
+    docs = make_docs([(i, text, "bb" if i % 2 else "aa") for i in range(0, 80)])
+    model = langid.fit(docs)
+    assert len({(r.lang_pred, r.score) for r in langid.predict(docs, model, ["doc_id"]).collect()}) == 1
+    monkeypatch.setattr(langid, "MAX_LANGS", 1)
+    with pytest.raises(ValueError, match="values in lang"):
+        langid.fit(docs)
+
+
 def test_toxicity(spark, make_docs):
     r = random.Random(5)
     rows, marks = [], []
@@ -127,6 +240,53 @@ def test_end_tags_of_raw_elements(html, want):
     assert p.text(p.decode(np.ones(len(p.tag)))) == want
 
 
+@pytest.mark.parametrize("html, want", [
+    ("<p>a</p><!--><p>b</p>", "a\nb"), ("<p>a</p><!---><p>b</p><!-- x --><p>c</p>", "a\nb\nc"),
+    ("<p>a</p><!-- x --!><p>b</p><!-- - -- ->- --><p>c</p>", "a\nb\nc"), ("<p>a</p><!-- never closed <p>b</p>", "a"),
+    ("<p>Let <math>x=3</math> be given</p>", "Let x=3 be given"), ("<p>a <object>b</object> <noscript>c <b>d</b></noscript> e</p>", "a b c d e"),
+    ("<p>a</p><select><option>b<option>c</select><video>d</video><p>e</p>", "a\ne"),
+    ("<head><noscript><link href=x>a<p>b</p></noscript><title>t</title></head><p>c</p>", "c")])
+def test_comments_and_opaque_elements(html, want):
+    p = html_text.Page(html)
+    assert p.text(p.decode(np.ones(len(p.tag)))) == want
+
+
+def test_formulas_stay_and_buttons_go(trees):
+    filler = "<p>A paragraph of the story that is long enough to be one. It goes on for a while, and then ends.</p>"
+    html = (f"<html><body><noscript>Please switch scripts on.</noscript><article><h1>Title</h1>{filler}<p>Let <math>x=3</math> be given, as we said. "
+            f"It is <object>small</object> here.</p>{filler}<p>More <button>Click</button></p></article></body></html>")
+    got = text_of(html, trees)
+    assert "Let x=3 be given, as we said. It is small here." in got and "Click" not in got and "scripts" not in got
+
+
+@pytest.mark.parametrize("html", ["<span>" * 50_000 + "</i>" * 100_000, "<h1>" * 50_000, "<div>" * 30_000 + "<body>" * 50_000, "<a '" * 50_000 + '"',
+                                  "<ul><li>" * 30_000, "<p><span>" * 50_000, "</b>" * 100_000])
+def test_parser_is_linear(html):
+    import time
+    t = time.perf_counter()
+    p = html_text.Page(html)
+    p.text(p.decode(np.ones(len(p.tag))))
+    assert time.perf_counter() - t < 2
+
+
+def test_decoding_is_the_best_choice():
+    """Against every consistent choice of subtrees on small random trees."""
+    import itertools
+    r = random.Random(3)
+    for _ in range(60):
+        n = r.randint(2, 9)
+        p = html_text.Page("")
+        for e in range(1, n):
+            p._add(r.choice(["div", "p", "b", "script"]), "", r.randrange(e))
+        logits = np.array([r.gauss(0, 1) for _ in range(n)])
+        kept = p.decode(logits.copy())
+        free = [e for e in range(1, n) if p.tag[e] not in html_text.OPAQUE]
+        best = max(sum(logits[e] for e in c) for k in range(len(free) + 1) for c in itertools.combinations(free, k)
+                   if all(p.parent[e] in (0, *c) for e in c))
+        assert kept[0] and all(kept[p.parent[e]] for e in range(1, n) if kept[e])
+        assert sum(logits[e] for e in range(1, n) if kept[e]) == pytest.approx(best)
+
+
 HEAD = "<title>T</title><meta charset=utf-8><link href=x><script>x='<p>'</script><noscript><p>no</p></noscript>"
 
 
