@@ -20,19 +20,22 @@ How large groups stay linear
        Members that match none of them elect leaders of their own, once more.
     3. What is then still in another component than its leader is checked against the other members of
        that leader's group, but only against those that can reach the similarity. Let R be the
-       shingles outside of the leader that at most RARE members have, i a text's shingles not in R, and s the
+       shingles outside of the leader that at most RARE members have, i a text's shingles not in R, n all of them, and s the
        ones of R that two texts share: their intersection is at most min(i_a, i_b) + s. Pairs that
-       min(i_a, i_b) alone allows and pairs that share of R are two plain joins (a shingle of
-       R meets RARE members at most), so no link between candidates is lost, and
+       share of R meet in a plain join (a shingle of R meets RARE members at most). Pairs that min(i_a, i_b) alone allows
+       have 5 i >= 4 n on both sides; those members meet on the n - ceil(4 n / 5) + 1 rarest of their shingles, of
+       which two texts of the similarity share one. So no link between candidates is lost, and
        members of one component are never paired.
+    A bucket's members meet its leaders in salted joins: one more salt for each SALT_ROWS members.
 
     Texts are shuffled nowhere: signatures and shingle sets are made where documents are read, the latter only
     for ids in a broadcast filter of at most MOST_BITS bits.
 
 Defined results
     Texts without words (null, empty) are in no class but their own. Rows with a null id are each
-    a row of their own: null class, kept. A text of under five words is one shingle. ``doc_id`` names a
-    text; repeated rows share their class. Class id: the least doc_id of the class. Other columns are never read.
+    a row of their own: null class, kept. A text of under five words is one shingle. Repeated rows share their class; different
+    texts under one id are documents of their own, each with the class of its text. Class id: the least doc_id of the class
+    (of an id with several texts, classes may have the same). Other columns are never read.
 """
 
 from __future__ import annotations
@@ -53,6 +56,8 @@ K = BANDS * ROWS
 NUM, DEN = 4, 5
 #: Leaders of a bucket, elections, members that share a rare shingle, and bits of the id filter at most.
 LEADERS, TURNS, RARE, MOST_BITS = 4, 2, 8, 1 << 27
+#: Members of a bucket that one task compares with its leaders.
+SALT_ROWS = 256
 
 
 def shingles(ws: list[bytes]) -> np.ndarray:
@@ -117,10 +122,11 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
 
 
 def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", by_count: bool = False) -> DataFrame:
-    """``doc_id, digest, n, keys``: digest of the words, number of different shingles, band keys (none without words)."""
+    """``doc_id, digest, n, keys, mark, mark2``: digest of the words, number of different shingles, band keys (none without words), row key."""
     def run(batches):
         for b, a, z, texts in base.read_texts(batches, 1):
-            out = {"doc_id": b.column(0).slice(a, z - a), "digest": [], "n": [], "keys": [None] * (z - a)}
+            out = {"doc_id": b.column(0).slice(a, z - a), "digest": [], "n": [], "keys": [None] * (z - a),
+                   "mark": b.column(2).slice(a, z - a), "mark2": b.column(3).slice(a, z - a)}
             sets, counts, who = [], [], []
             for i, t in enumerate(texts):
                 ws = fold_words(t)
@@ -139,8 +145,14 @@ def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", by_c
             yield out
 
     ids = docs.where(F.col(id_col).isNotNull())
-    kind = ids.schema[id_col].dataType.simpleString()
-    return base.emit(ids, [id_col, text_col], f"doc_id {kind}, digest binary, n int, keys array<long>", run)
+    ids = ids.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *row_marks(id_col, text_col))
+    kind = ids.schema["id"].dataType.simpleString()
+    return base.emit(ids, ids.columns, f"doc_id {kind}, digest binary, n int, keys array<long>, mark long, mark2 long", run)
+
+
+def row_marks(id_col: str = "doc_id", text_col: str = "text") -> list[F.Column]:
+    """Two independent 64-bit hashes of id and text: together a row's key."""
+    return [F.xxhash64(id_col, text_col, F.lit(3)).alias("mark"), F.xxhash64(F.lit(4), text_col, id_col).alias("mark2")]
 
 
 def id_bits(nodes: DataFrame, most: int = MOST_BITS) -> tuple[np.ndarray, int]:
@@ -161,12 +173,12 @@ def _spots(col: str, size: int) -> list[F.Column]:
 
 
 def shingle_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``node, toks``: the different shingles of the documents in ``nodes (node)``, and of few others.
+    """``node, toks``: the different shingles of the texts in ``nodes (node, digest, id)``.
 
-    Documents are picked by a broadcast filter of bounded size, so texts are not shuffled; what it
-    lets through wrongly finds no partner in the joins that follow.
+    Documents are picked by a broadcast filter of their ids, of bounded size, so texts are not shuffled; what it
+    lets through wrongly has the digest of no node.
     """
-    bits, size = id_bits(nodes)
+    bits, size = id_bits(nodes.select(F.col("id").alias("node")))
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches):
@@ -179,14 +191,15 @@ def shingle_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
                 p = b.column(k).to_numpy(zero_copy_only=False)
                 ok &= (have[p >> 6] >> (p & 63)) & 1 == 1
             b = b.filter(pa.array(ok))
-            for c, a, z, texts in base.read_texts([b], 1):
-                yield {"node": c.column(0).slice(a, z - a),
-                       "toks": [np.unique(shingles(fold_words(t))).view(np.int64) for t in texts]}
+            for _, _, _, texts in base.read_texts([b], 1):
+                folded = [fold_words(t) for t in texts]
+                yield {"digest": [xxh3_128_digest(b" ".join(ws)) for ws in folded],
+                       "toks": [np.unique(shingles(ws)).view(np.int64) for ws in folded]}
 
     ids = docs.where("doc_id is not null").select(
         "doc_id", "text", *[x.alias(f"p{i}") for i, x in enumerate(_spots("doc_id", size))])
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return base.emit(ids, ids.columns, f"node {kind}, toks array<long>", run).dropDuplicates(["node"])
+    found = base.emit(ids, ids.columns, "digest binary, toks array<long>", run).dropDuplicates(["digest"])
+    return found.join(nodes.select("digest", "node"), "digest").select("node", "toks")
 
 
 def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -203,34 +216,45 @@ def similar(both="both", na="na", nb="nb") -> F.Column:
 
 
 def leaders(members: DataFrame) -> DataFrame:
-    """``key, rank, leader``: of each bucket's members (key, node, size) the LEADERS that share buckets with most."""
+    """``key, size, rank, leader``: of each bucket's members (key, node, size) the LEADERS that share buckets with most."""
     rank = members.groupBy("node").agg(F.sum("size").alias("c"))
     by = Window.partitionBy("key").orderBy(F.desc("c"), "node")
     top = members.join(rank, "node").withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= LEADERS)
-    return top.select("key", "rank", F.col("node").alias("leader"))
+    return top.select("key", "size", "rank", F.col("node").alias("leader"))
 
 
 def near_classes(docs: DataFrame) -> DataFrame:
     """``doc_id, class_id, n_shingles`` for every row with an id."""
+    sk, of = _text_classes(docs)
+    return sk.join(of, "digest", "left").select(
+        "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.col("n").cast("long").alias("n_shingles"))
+
+
+def _text_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The sketches, and ``digest, node, comp, class_id`` of each different text that has words; texts are numbered by ``node``."""
     sk = base.stash(sketch(docs), "sketch")
     reps = base.stash(sk.where("n > 0").groupBy("digest").agg(
-        F.min("doc_id").alias("node"), F.any_value("keys").alias("keys")), "reps")
-    found = base.stash(_classes(docs, reps.select("node", "keys")), "classes")
-    of = reps.select("digest", "node").join(found, "node", "left").select(
-        "digest", F.coalesce("comp", "node").alias("c"))
-    return sk.join(of, "digest", "left").select(
-        "doc_id", F.coalesce("c", "doc_id").alias("class_id"), F.col("n").cast("long").alias("n_shingles"))
+        F.min("doc_id").alias("id"), F.any_value("keys").alias("keys"))
+        .withColumn("node", F.monotonically_increasing_id()), "reps")
+    found = base.stash(_classes(docs, reps), "classes")
+    of = base.stash(reps.select("digest", "node", "id").join(found, "node", "left").select(
+        "digest", "node", "id", F.coalesce("comp", "node").alias("comp")), "of")
+    least = of.groupBy("comp").agg(F.min("id").alias("class_id"))
+    return sk, base.stash(of.join(least, "comp").select("digest", "node", "comp", "class_id"), "text-classes")
 
 
 def _classes(docs: DataFrame, reps: DataFrame) -> DataFrame:
     rows = reps.select("node", F.explode("keys").alias("key"))
     sizes = rows.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     members = base.stash(rows.join(sizes, "key"), "members")
-    sets = base.stash(shingle_sets(docs, members.select("node").distinct()), "sets")
+    linked = reps.select("node", "digest", "id").join(members.select("node").distinct(), "node")
+    sets = base.stash(shingle_sets(docs, base.stash(linked, "linked")), "sets")
     links, groups = None, None
     for turn in range(TURNS):
-        led = base.stash(members.join(leaders(members), "key").where("node <> leader")
-                         .select("key", "rank", "leader", "node"), "led")
+        salts = F.ceil(F.col("size") / SALT_ROWS)
+        salted = members.withColumn("salt", F.pmod(F.xxhash64("node", F.lit(5)), salts))
+        led = base.stash(salted.join(leaders(members).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1))).drop("size"),
+                                     ["key", "salt"]).where("node <> leader").select("key", "rank", "leader", "node"), "led")
         pairs = led.select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
         checked = base.stash(verify(pairs, sets), "checked")
         if groups is None:
@@ -274,9 +298,7 @@ def _rest(groups: DataFrame, comps: DataFrame, sets: DataFrame) -> DataFrame:
     member = base.stash(member, "groups")
     once = ~F.col("y.out") | (F.col("x.node") < F.col("y.node"))
     apart = (F.col("x.leader") == F.col("y.leader")) & (F.col("x.c") != F.col("y.c")) & once
-    x, y = member.where("out").alias("x"), member.alias("y")
-    alike = x.join(y, apart & ((NUM + DEN) * F.least("x.i", "y.i") >= NUM * (F.col("x.n") + F.col("y.n"))))
-    pairs = alike.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    pairs = _alike(member, sets, apart)
     shared = g.where("df > 1").join(member.select("leader", "node", "i"), ["leader", "node"])
     x, y = shared.where("out").alias("x"), shared.alias("y")
     shared = (x.join(y, (F.col("x.tok") == F.col("y.tok")) & apart)
@@ -287,11 +309,38 @@ def _rest(groups: DataFrame, comps: DataFrame, sets: DataFrame) -> DataFrame:
     return verify(pairs, sets).where(similar()).select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
+def _alike(member: DataFrame, sets: DataFrame, apart: F.Column) -> DataFrame:
+    """Pairs of a straggler and a member of its leader's group, ``a, b``, whose shingles that aren't rare may suffice.
+
+    Such members have 5 i >= 4 n. They meet on their rarest shingles: if two texts share so much, they share one of the first
+    n - ceil(4 n / 5) + 1 of each, in one order of all shingles.
+    """
+    able = member.where(DEN * F.col("i") >= NUM * F.col("n"))
+    able = base.stash(able.join(able.where("out").select("leader").distinct(), "leader", "left_semi"), "able")
+    toks = base.stash(able.join(sets, "node").select("leader", "node", "c", "out", "i", "n", F.explode("toks").alias("tok")), "able-toks")
+    df = toks.groupBy("leader", "tok").agg(F.count("*").alias("df"))
+    first = Window.partitionBy("leader", "node").orderBy("df", "tok")  # a text's own shingles
+    head = (toks.join(df.where("df > 1"), ["leader", "tok"], "left").fillna(1, ["df"])
+            .withColumn("at", F.row_number().over(first))
+            .where(F.col("at") <= F.col("n") - F.ceil(F.lit(NUM) * F.col("n") / DEN) + 1).where("df > 1"))
+    head = base.stash(head, "able-heads")
+    x, y = head.where("out").alias("x"), head.alias("y")
+    enough = (NUM + DEN) * F.least("x.i", "y.i") >= NUM * (F.col("x.n") + F.col("y.n"))
+    return x.join(y, (F.col("x.tok") == F.col("y.tok")) & apart & enough).select(
+        F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of each class, that of its least id; rows with a null id stay."""
-    stay = near_classes(docs).where("doc_id = class_id").select(F.col("doc_id").alias("llm id")).distinct()
-    kept = docs.join(stay, F.col("doc_id") == F.col("llm id"), "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionAll(docs.where("doc_id is null"))
+    """``docs`` with one row of each class, one of its least id; rows with a null id or without words stay."""
+    sk, of = _text_classes(docs)
+    ids = sk.join(of, "digest", "left").select("comp", F.struct("doc_id", "mark", "mark2").alias("row"))
+    stay = ids.groupBy("comp").agg(F.min("row").alias("row")).where("comp is not null").select(
+        F.col("row.mark").alias("llm k1"), F.col("row.mark2").alias("llm k2"))
+    keys = ["llm k1", "llm k2"]
+    marked = docs.where("doc_id is not null").withColumns(dict(zip(keys, row_marks())))
+    wordless = sk.where("n = 0").select(F.col("mark").alias(keys[0]), F.col("mark2").alias(keys[1])).distinct()
+    kept = marked.join(stay, keys, "left_semi").dropDuplicates(keys).unionAll(marked.join(wordless, keys, "left_semi"))
+    return kept.drop(*keys).unionAll(docs.where("doc_id is null"))
 
 
 def without_id(docs: DataFrame) -> DataFrame:

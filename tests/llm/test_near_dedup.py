@@ -145,3 +145,41 @@ def test_pipeline_stages(spark, tmp_path):
     packs = corpus_pipeline.STAGES[-1][1](spark, docs, sf)
     ids = {i for r in packs.select("doc_ids").collect() for i in r.doc_ids}
     assert ids == {r.doc_id for r in docs.collect()}
+
+
+def test_texts_under_one_id(make_docs):
+    """Different texts with one id are documents of their own, whatever the order of rows."""
+    r = random.Random(12)
+    a, b, c = (family(r, 90, 4, 1) for _ in range(3))
+    rows = [(5, a[0]), (5, b[0]), (5, c[0])] + [(10 + i, t) for i, t in enumerate(a[1:])] + [(20 + i, t) for i, t in enumerate(b[1:])]
+    rows += [(5, None), (5, ""), (5, b[0]), (3, c[1])]
+    for order in (rows, rows[::-1]):
+        docs = make_docs(order)
+        kept = [(x.doc_id, x.text) for x in near_dedup.keep_one(docs).collect()]
+        assert sorted(kept, key=str) == sorted([(5, a[0]), (5, b[0]), (3, c[1]), (5, None), (5, "")], key=str)
+        got = sorted((x.doc_id, x.class_id) for x in near_dedup.near_classes(docs).collect())
+        assert got == sorted([(i, 3 if t in (c[0], c[1]) else 5) for i, t in rows])
+
+
+def test_clashing_columns(make_docs):
+    rows = [(i, t) for i, t in enumerate(family(random.Random(3), 60, 5, 1))]
+    docs = make_docs(rows).selectExpr("*", "1 as node", "2 as class_id", "3 as mark", "'x' as digest", "4 as `llm k1x`")
+    out = near_dedup.keep_one(docs)
+    assert out.columns == docs.columns and [x.doc_id for x in out.collect()] == [0]
+
+
+def test_template_family(make_docs):
+    """A hot family on one template, about half like its leader: links among stragglers only."""
+    r = random.Random(21)
+    template, rows = words(r, 120), []
+    for g in range(12):  # groups alike inside, and 0.5 to 0.79 like each other
+        own = list(template)
+        for k in range(9):
+            own[(g * 7 + k * 13) % 120] = f"group{g}x{k}"
+        for m in range(8):
+            t = list(own)
+            t[r.randrange(120)] = f"m{m}g{g}"
+            rows.append((len(rows), " ".join(t)))
+    r.shuffle(rows)
+    got = {x.doc_id: x.class_id for x in near_dedup.near_classes(make_docs(rows)).collect()}
+    assert got == brute(rows)
