@@ -9,10 +9,13 @@ Method
     a length limit, or the whole document by a coverage limit.
 
 Scale
-    Documents are never shuffled: the automaton goes to the tasks. Items are cut into
+    The automaton goes to the tasks. Items are cut into
     blocks of at most ``BLOCK_WORDS`` words, one automaton each, so what is broadcast is
     bounded whatever the size of the test set; the documents are streamed once for each
-    block and only the hit spans of different blocks are merged by document.
+    block and only the hit spans of different blocks are merged, by a key of the text. An automaton
+    keeps its states in flat arrays, with a dictionary only for those with several ways on. Texts are not
+    shuffled, but when ``clean`` has several blocks and more than ``MOST_HIT`` different texts with hits: then
+    these meet their spans in a shuffle join instead of a broadcast one.
     A text is only walked inside runs of words that all occur in the block and are as long as its
     shortest window: a match cannot lie elsewhere.
 
@@ -27,6 +30,7 @@ from __future__ import annotations
 
 import itertools
 import re
+from array import array
 from collections.abc import Iterable
 
 import numpy as np
@@ -39,6 +43,8 @@ from carelake.llm import base
 WINDOW = 13
 COVERAGE = 20  # contaminated if hit words * COVERAGE >= words
 BLOCK_WORDS = 1_000_000
+#: Different texts with hits whose spans are broadcast.
+MOST_HIT = 50_000
 #: Bytes that are part of a word after lower-casing A-Z: 0-9, a-z and everything beyond ASCII.
 _KEEP = bytes(c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256))
 
@@ -57,14 +63,16 @@ class ItemAutomaton:
     def __init__(self, items: Iterable[tuple[str | None, list[bytes]]], window: int = WINDOW):
         self.window = window
         self.vocab: dict[bytes, int] = {}
-        self.step: list[dict[int, int]] = [{}]
-        self.link, self.length = [-1], [0]
+        #: A state's only way on (word, state): -1 for none; -2 for several, which ``ways`` has.
+        self.word, self.to = array("i", [-1]), array("i", [-1])
+        self.ways: dict[int, dict[int, int]] = {}
+        self.link, self.length = array("i", [-1]), array("i", [0])
         self.items: list[str | None] = []
         words_of = []
         for name, ws in items:
             if ws:
                 self.items.append(name)
-                words_of.append([self.vocab.setdefault(w, len(self.vocab)) for w in ws])
+                words_of.append(array("i", [self.vocab.setdefault(w, len(self.vocab)) for w in ws]))
         for seq in words_of:
             last = 0
             for c in seq:
@@ -73,68 +81,99 @@ class ItemAutomaton:
         self.least = min([window, *map(len, words_of)]) if words_of else 0
         self._mark(words_of)
 
+    def _way(self, s: int, c: int) -> int:
+        """The state after word c, -1 if there is none."""
+        w = self.word[s]
+        if w == c:
+            return self.to[s]
+        return self.ways[s].get(c, -1) if w == -2 else -1
+
+    def _lead(self, s: int, c: int, t: int) -> None:
+        w = self.word[s]
+        if w == -2:
+            self.ways[s][c] = t
+        elif w in (-1, c):
+            self.word[s], self.to[s] = c, t
+        else:
+            self.ways[s] = {w: self.to[s], c: t}
+            self.word[s] = -2
+
     def _extend(self, last: int, c: int) -> int:
-        nxt = self.step[last].get(c)
-        if nxt is not None:
+        nxt = self._way(last, c)
+        if nxt >= 0:
             return nxt if self.length[nxt] == self.length[last] + 1 else self._split(last, c, nxt)
-        new = self._state(self.length[last] + 1, {})
+        new = self._state(self.length[last] + 1)
         p = last
-        while p >= 0 and c not in self.step[p]:
-            self.step[p][c] = new
+        while p >= 0 and self._way(p, c) < 0:
+            self._lead(p, c, new)
             p = self.link[p]
         if p < 0:
             self.link[new] = 0
         else:
-            q = self.step[p][c]
+            q = self._way(p, c)
             self.link[new] = q if self.length[q] == self.length[p] + 1 else self._split(p, c, q)
         return new
 
-    def _state(self, length: int, step: dict[int, int]) -> int:
-        self.step.append(step)
+    def _state(self, length: int) -> int:
+        self.word.append(-1)
+        self.to.append(-1)
         self.length.append(length)
         self.link.append(0)
-        return len(self.step) - 1
+        return len(self.word) - 1
 
     def _split(self, p: int, c: int, q: int) -> int:
-        clone = self._state(self.length[p] + 1, dict(self.step[q]))
+        clone = self._state(self.length[p] + 1)
+        self.word[clone], self.to[clone] = self.word[q], self.to[q]
+        if self.word[q] == -2:
+            self.ways[clone] = dict(self.ways[q])
         self.link[clone], self.link[q] = self.link[q], clone
-        while p >= 0 and self.step[p].get(c) == q:
-            self.step[p][c] = clone
+        while p >= 0 and self._way(p, c) == q:
+            self._lead(p, c, clone)
             p = self.link[p]
         return clone
 
-    def _mark(self, words_of: list[list[int]]) -> None:
-        """``found[s]``: (length, items) of the windows that are suffixes of state s's strings, own class only;
-        ``up[s]``: nearest state on the suffix chain, s included, that has any."""
-        self.found: dict[int, dict[int, set[int]]] = {}
+    def _mark(self, words_of: list) -> None:
+        """The windows (size, item) that are suffixes of a state's strings, own class only, stand in ``size`` and ``item`` from
+        ``first[state]`` on; ``up``: the nearest state on the suffix chain, the state included, that has any."""
+        state, size, item = array("i"), array("i"), array("i")
         for k, seq in enumerate(words_of):
-            size = min(self.window, len(seq))
+            least = min(self.window, len(seq))
             s = n = 0
             for c in seq:
                 s, n = self._next(s, n, c)
-                while self.length[self.link[s]] >= size and s:
+                while self.length[self.link[s]] >= least and s:
                     s = self.link[s]
                     n = self.length[s]
-                if n >= size:
-                    self.found.setdefault(s, {}).setdefault(size, set()).add(k)
-        order = sorted(range(len(self.step)), key=self.length.__getitem__)
-        self.up = [-1] * len(order)
-        for s in order:
-            self.up[s] = s if s in self.found else (self.up[self.link[s]] if s else -1)
+                if n >= least:
+                    state.append(s)
+                    size.append(least)
+                    item.append(k)
+        found = np.unique(np.stack([np.frombuffer(x, np.int32) for x in (state, size, item)]), axis=1) if state else np.zeros((3, 0), np.int32)
+        count = np.bincount(found[0], minlength=len(self.word)).astype(np.int32)
+        self.first = array("i", np.concatenate([[0], np.cumsum(count)]).astype(np.int32).tobytes())
+        self.size, self.item = array("i", found[1].tobytes()), array("i", found[2].tobytes())
+        length, link = np.frombuffer(self.length, np.int32), np.frombuffer(self.link, np.int32)
+        up = np.where(count > 0, np.arange(len(count), dtype=np.int32), np.int32(-1))
+        order = np.argsort(length, kind="stable")
+        for s in order[count[order] == 0].tolist():  # a link is shorter than its state, so it is done before
+            if s:
+                up[s] = up[link[s]]
+        self.up = array("i", up.tobytes())
 
     def _next(self, s: int, n: int, c: int) -> tuple[int, int]:
         """State and length of the longest match after reading c."""
-        while s and c not in self.step[s]:
+        t = self._way(s, c)
+        while s and t < 0:
             s = self.link[s]
             n = self.length[s]
-        t = self.step[s].get(c)
-        return (t, n + 1) if t is not None else (0, 0)
+            t = self._way(s, c)
+        return (t, n + 1) if t >= 0 else (0, 0)
 
     def longest(self, ws: list[bytes]) -> list[int]:
         """Length of the longest match that ends at each word."""
         out, s, n = [], 0, 0
         for w in ws:
-            c = self.vocab.get(w, -1)
+            c = self.vocab.get(w, -3)
             s, n = self._next(s, n, c)
             out.append(n)
         return out
@@ -158,9 +197,10 @@ class ItemAutomaton:
                 u = self.up[s]
                 longest = 0
                 while u >= 0:
-                    for size, ks in self.found[u].items():
+                    for k in range(self.first[u], self.first[u + 1]):
+                        size = self.size[k]
                         if size <= n:
-                            items |= ks
+                            items.add(self.item[k])
                             longest = max(longest, size)
                     u = self.up[self.link[u]] if u else -1
                 if longest:
@@ -223,27 +263,35 @@ def find_hits(docs: DataFrame, items: DataFrame, keep: list[str], window: int =
     first, second = next(it, []), next(it, None)
     if second is None:
         return _scan(docs, ItemAutomaton(first, window), keep, text_col, cut_from)
-    mark = "llm row digest"
-    docs = docs.withColumn(mark, F.md5(F.coalesce(F.col(text_col), F.lit(""))))
+    marks = ["llm t1", "llm t2"]  # hits are a matter of the text alone
+    t = F.col(base._q(text_col))
+    docs = docs.withColumns({marks[0]: F.xxhash64(t, F.lit(1)), marks[1]: F.xxhash64(F.lit(2), t)})
     parts = None
     for block in itertools.chain([first, second], it):
-        part = _scan(docs, ItemAutomaton(block, window), [mark], text_col).where("n_items > 0").dropDuplicates([mark])
-        part = base.stash(part.select(mark, "spans", "item_ids", "n_items"), "hits")
+        part = _scan(docs, ItemAutomaton(block, window), marks, text_col).where("n_items > 0").dropDuplicates(marks)
+        part = base.stash(part.select(*marks, "spans", "item_ids", "n_items"), "hits")
         parts = part if parts is None else parts.unionAll(part)
-    found = parts.groupBy(mark).agg(
-        F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans2"),
-        F.array_sort(F.flatten(F.collect_list("item_ids"))).alias("items2"), F.sum("n_items").alias("n2"))
-    out = _scan(docs, ItemAutomaton([], window), [*keep, mark, text_col], text_col)
-    n = len(keep)
-    out = out.toDF(*[f"k{i}" for i in range(n)], mark, "llm text", *[f for f, _ in FIELDS])
-    out = out.join(found, mark, "left")
-    cols = [F.col(f"k{i}").alias(c) for i, c in enumerate(keep)] + [
+    found = base.stash(parts.groupBy(*marks).agg(
+        F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans2"),  # a row a block
+        F.array_sort(F.flatten(F.collect_list("item_ids"))).alias("items2"), F.sum("n_items").alias("n2")), "all-hits")
+    side = F.broadcast(found) if found.count() <= MOST_HIT else found
+    held = [*keep, *marks] + ([text_col] if cut_from is not None else [])
+    out = _scan(docs, ItemAutomaton([], window), held, text_col)  # counts the words
+    names = [f"k{i}" for i in range(len(keep))]
+    out = out.toDF(*names, *marks, *(["llm text"] if cut_from is not None else []), *[f for f, _ in FIELDS]).join(side, marks, "left")
+    cols = [F.col(k).alias(c) for k, c in zip(names, keep)] + [
         "n_words", F.coalesce("spans2", "spans").alias("spans"), F.coalesce("items2", "item_ids").alias("item_ids"),
         F.coalesce("n2", "n_items").alias("n_items")]
     if cut_from is None:
         return out.select(*cols)
-    cutter = F.udf(lambda t, spans: cut(t, merge(spans or []), cut_from), "string")
-    return out.select(*cols, F.when(F.col("n2") > 0, cutter("llm text", "spans2")).alias("cut"))
+
+    @F.pandas_udf("string")
+    def cutter(texts, spans):
+        import pandas as pd
+        return pd.Series([cut(t, merge([list(x) for x in s]), cut_from) if s is not None and len(s) else None
+                          for t, s in zip(texts, spans)], dtype=object)
+
+    return out.select(*cols, cutter("llm text", "spans2").alias("cut"))
 
 
 def cut(text: str | None, spans: list[list[int]], least: int) -> str | None:
