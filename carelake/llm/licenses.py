@@ -214,7 +214,7 @@ def known_table(spark: SparkSession, known: DataFrame | None = None) -> DataFram
 
 
 def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
-    """``doc_id, license, notices``: the licence that a whole text is, and the sorted ones of its lines and paragraphs."""
+    """``doc_id, license, notices`` of each row: the licence that its whole text is, and the sorted ones of its lines and paragraphs."""
     table = known_table(docs.sparkSession, known)
     n = table.count()
     side = F.broadcast(table) if n <= MOST_KNOWN else table
@@ -222,20 +222,21 @@ def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     def part(whole: bool, notice: bool | F.Column, t: F.Column) -> F.Column:
         return F.struct(F.lit(whole).alias("whole"), F.lit(notice).alias("notice"), t.alias("t"))
 
-    low = docs.select("doc_id", F.lower(F.coalesce("text", F.lit(""))).alias("low"))
-    both = low.select("doc_id", "low", without_holders(F.col("low")).alias("bare"))
+    # the parts of a row are made and, but for one record, put together again in its task
+    low = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.lower(F.coalesce("text", F.lit(""))).alias("low"))
+    both = low.select("row", "doc_id", "low", without_holders(F.col("low")).alias("bare"))
     paras = F.split("bare", PARAGRAPH_END)  # one of a single line is a line, one that is all is the whole text
     none = F.array().cast("array<struct<whole:boolean,notice:boolean,t:string>>")
-    parts = both.withColumn("paras", paras).select("doc_id", F.explode(F.concat(
+    parts = both.withColumn("paras", paras).select("row", "doc_id", F.explode(F.concat(
         F.array(part(True, F.size("paras") == 1, F.col("bare"))),
         F.when(F.col("low") != F.col("bare"), F.array(part(True, False, F.col("low")))).otherwise(none),
         F.when(F.size("paras") > 1, F.transform(F.filter("paras", lambda t: F.contains(t, F.lit("\n"))),
                                                 lambda t: part(False, True, t))).otherwise(none),
-        F.transform(F.split("bare", "\n"), lambda t: part(False, True, t)))).alias("x")).select("doc_id", "x.*")
-    found = parts.select("doc_id", "whole", "notice", digest(F.col("t")).alias("digest")).join(side, "digest", "left")
-    return found.groupBy("doc_id").agg(
+        F.transform(F.split("bare", "\n"), lambda t: part(False, True, t)))).alias("x")).select("row", "doc_id", "x.*")
+    found = parts.select("row", "doc_id", "whole", "notice", digest(F.col("t")).alias("digest")).join(side, "digest", "left")
+    return found.groupBy("row", "doc_id").agg(
         F.min(F.when(F.col("whole"), F.col("license"))).alias("license"),
-        F.concat_ws(",", F.array_sort(F.collect_set(F.when(F.col("notice"), F.col("license"))))).alias("notices"))
+        F.concat_ws(",", F.array_sort(F.collect_set(F.when(F.col("notice"), F.col("license"))))).alias("notices")).drop("row")
 
 
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -255,16 +256,17 @@ def _oracle() -> str:
 with known as (
   select md5(n) as digest, min(license) as license
   from (select license, {_sql('text')} as n from (values {rows}) v(license, text)) group by 1),
+docs as (select row_number() over () as rn, doc_id, text from documents),
 parts as (
-  select doc_id, true as whole, coalesce(text, '') as t from documents
+  select rn, doc_id, true as whole, coalesce(text, '') as t from docs
   union all
-  select doc_id, false, unnest(string_split(coalesce(text, ''), chr(10))) from documents),
+  select rn, doc_id, false, unnest(string_split(coalesce(text, ''), chr(10))) from docs),
 found as (
-  select p.doc_id, p.whole, k.license
-  from (select doc_id, whole, {_sql('t')} as n from parts) p left join known k on p.n <> '' and md5(p.n) = k.digest)
+  select p.rn, p.doc_id, p.whole, k.license
+  from (select rn, doc_id, whole, {_sql('t')} as n from parts) p left join known k on p.n <> '' and md5(p.n) = k.digest)
 select doc_id, min(license) filter (whole) as license,
        coalesce(array_to_string(list_sort(list_distinct(list(license) filter (not whole and license is not null))), ','), '') as notices
-from found group by doc_id
+from found group by rn, doc_id
 """
 
 

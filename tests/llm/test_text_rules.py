@@ -4,6 +4,7 @@ import hashlib
 import re
 
 import pytest
+from pyspark.sql import functions as F
 from conftest import DOCS, odd_rows
 
 from carelake.llm import decontaminate, licenses, quality, token_counts
@@ -144,9 +145,10 @@ def test_license_scan(spark, make_docs):
     rows = [(1, mit), (2, "Copyright (c) 2020 Jane Doe\nAll rights reserved.\n\n" + mit.upper().replace(",", " ;")),
             (3, "Code here.\nReleased under the MIT Licence\nLicensed under CC BY-NC 4.0!"), (4, "Released under the MIT License today."),
             (5, None), (6, ""), (7, "***"), (None, "released under the mit license"), (8, "copyrighted text"), (3, "SPDX-License-Identifier: MIT")]
-    got = {r.doc_id: (r.license, r.notices) for r in licenses.scan(make_docs(rows)).collect()}
-    assert got == {1: ("MIT", ""), 2: ("MIT", ""), 3: ("MIT", "CC-BY-NC-4.0,MIT"), 4: (None, ""), 5: (None, ""), 6: (None, ""),
-                   7: (None, ""), None: ("MIT", "MIT"), 8: (None, "")}
+    rows += [(None, "no licence"), (None, None)]  # rows of one id, null included, are rows of their own
+    got = sorted(((r.doc_id, r.license, r.notices) for r in licenses.scan(make_docs(rows).withColumn("row", F.lit(1))).collect()), key=str)
+    assert got == sorted([(1, "MIT", ""), (2, "MIT", ""), (3, None, "CC-BY-NC-4.0,MIT"), (3, "MIT", "MIT"), (4, None, ""), (5, None, ""), (6, None, ""),
+                          (7, None, ""), (None, "MIT", "MIT"), (None, None, ""), (None, None, ""), (8, None, "")], key=str)
     assert licenses.scan(spark.createDataFrame([], DOCS)).count() == 0
 
 
