@@ -183,6 +183,61 @@ def test_toxicity(spark, make_docs):
     assert toxicity.score(spark.createDataFrame([], DOCS), one, ["doc_id"]).count() == 0
 
 
+def test_toxicity_without_a_usable_sample(spark, make_docs):
+    """Labels of documents that aren't there, or of one class there: the share of labels, not all toxic."""
+    docs = make_docs([(i, f"text number {i} of the table") for i in range(40)])
+    absent = spark.createDataFrame([(1000 + i, 1, int(i < 20)) for i in range(100)], "doc_id long, quality int, toxic int")
+    one = spark.createDataFrame([(i, 1, 0) for i in range(40)] + [(1000 + i, 1, 1) for i in range(20)], "doc_id long, quality int, toxic int")
+    for labels in (absent, one):
+        model = toxicity.fit(docs, labels)
+        assert toxicity.score(docs, model, ["doc_id"]).where("score >= 0.5").count() == 0 and len(model.at) == 0
+
+
+def test_toxicity_sample_is_bounded_and_once(spark, make_docs, monkeypatch):
+    """A repeated document counts once; long texts give their features of the least hash; scoring uses all."""
+    r = random.Random(6)
+    rows = [(i, " ".join(r.choices("alpha beta gamma delta epsilon".split(), k=30)) + (" badword" if i % 3 == 1 else "")) for i in range(90)]
+    labels = spark.createDataFrame([(i, 1, int(i % 3 == 1)) for i in range(90)], "doc_id long, quality int, toxic int")
+    a, b = toxicity.fit(make_docs(rows), labels), toxicity.fit(make_docs(rows + [rows[1]] * 50).selectExpr("*", "1 as label", "2 as turn"), labels)
+    assert np.array_equal(a.at, b.at) and np.array_equal(a.weight, b.weight) and a.bias == b.bias
+    at = np.arange(100_000, dtype=np.int64)
+    some = toxicity.few(at)
+    assert len(some) == toxicity.SAMPLE_FEATURES and (np.diff(some) > 0).all() and np.array_equal(toxicity.few(at[:50]), at[:50])
+
+
+def test_toxicity_by_plain_ftrl(spark, make_docs):
+    """Fit and score against FTRL-proximal in plain Python over all labelled rows."""
+    import math
+    import zlib
+
+    from pyspark.sql import functions as F
+    r = random.Random(9)
+    rows = [(i, " ".join(r.choices("alpha beta gamma delta epsilon zeta".split(), k=12)) + (" badword" if i % 4 == 1 else "")) for i in range(120)]
+    labels = {i: int(i % 4 == 1) for i, _ in rows}
+    docs = make_docs(rows)
+    turn = {x.doc_id: x.t for x in docs.select("doc_id", F.xxhash64("doc_id", F.lit(9)).alias("t")).collect()}
+    feats = {i: toxicity.features(t).tolist() + ["bias"] for i, t in rows}
+    z, n = {}, {}
+
+    def weight(f):
+        zz, l1 = z.get(f, 0.0), 0.0 if f == "bias" else toxicity.L1
+        return 0.0 if abs(zz) <= l1 else -(zz - math.copysign(l1, zz)) / ((1 + math.sqrt(n.get(f, 0.0))) / toxicity.ALPHA + toxicity.L2)
+
+    order = sorted((turn[i], i) for i, _ in rows if zlib.crc32(str(i).encode()) % 5)
+    for _ in range(toxicity.PASSES):
+        for _, i in order:
+            w = {f: weight(f) for f in feats[i]}
+            g = 1 / (1 + math.exp(-sum(w.values()))) - labels[i]
+            for f in feats[i]:
+                old = n.get(f, 0.0)
+                z[f] = z.get(f, 0.0) + g - (math.sqrt(old + g * g) - math.sqrt(old)) / toxicity.ALPHA * w[f]
+                n[f] = old + g * g
+    table = spark.createDataFrame([(i, 1, t) for i, t in labels.items()], "doc_id long, quality int, toxic int")
+    got = {x.doc_id: x.score for x in toxicity.score(docs, toxicity.fit(docs, table), ["doc_id"]).collect()}
+    for i, _ in rows:
+        assert got[i] == pytest.approx(1 / (1 + math.exp(-sum(map(weight, feats[i])))), abs=1e-9)
+
+
 def test_temperature_and_ftrl():
     rng = np.random.default_rng(0)
     z = rng.normal(size=(4000, 3))
