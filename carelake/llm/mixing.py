@@ -18,7 +18,8 @@ Scale
 
 Defined results
     Null or blank text has size 0 and takes nothing. Null source is a source of its own, the last in
-    order. A null id hashes to -1. Repeated rows are documents of their own. An empty table gives no rows.
+    order. Rows with a null id are shuffled by their text. Repeated rows are documents of their own. An empty table gives no rows.
+    More than ``MOST_SOURCES`` sources are an error: each has a weight, a target and a row on the driver.
 """
 
 from __future__ import annotations
@@ -34,13 +35,14 @@ WEIGHTS = (3, 1, 2)
 BUDGET_NUM, BUDGET_DEN = 3, 2
 EPOCHS = 2
 BUCKET_ROWS = 4_000
+MOST_SOURCES = 100_000
 ZOOM_BINS, LAST_ROWS = 1000, 20_000
 
 
 def shuffle_hash(col: str) -> F.Column:
-    """60 bits of the id's MD5."""
-    return F.coalesce(F.conv(F.substring(F.md5(F.col(col).cast("string").cast("binary")), 1, 15), 16, 10).cast("long"),
-                      F.lit(-1).cast("long"))
+    """60 bits of the MD5 of the id; of the text (of the empty one for null) where the id is null."""
+    key = F.coalesce(F.col(col).cast("string"), F.concat(F.lit("text:"), F.coalesce("text", F.lit(""))))
+    return F.conv(F.substring(F.md5(key.cast("binary")), 1, 15), 16, 10).cast("long")
 
 
 def size_of(text_col: str = "text") -> F.Column:
@@ -74,13 +76,15 @@ def finish_times(docs: DataFrame, weights: tuple = WEIGHTS) -> tuple[DataFrame,
     spark = docs.sparkSession
     narrow = base.stash(docs.select("doc_id", "source", size_of().alias("size"), shuffle_hash("doc_id").alias("h"),
                                     *marks()), "sizes")
-    rows = narrow.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()
+    rows = narrow.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).limit(MOST_SOURCES + 1).collect()
+    if len(rows) > MOST_SOURCES:
+        raise ValueError(f"more than {MOST_SOURCES} sources")
     plan = targets({r.source: r["size"] for r in rows}, weights)
     table = [(r.source, *plan[r.source], r["size"], max(1, math.ceil(r.n / BUCKET_ROWS))) for r in rows]
     kind = narrow.schema["source"].dataType.simpleString()
     by = spark.createDataFrame(table, f"s {kind}, si int, target double, source_size long, nb long")
     x = narrow.join(by, F.col("source").eqNullSafe(F.col("s")), "left").withColumn(
-        "bucket", F.when(F.col("h") < 0, -1).otherwise(F.shiftright(F.shiftright("h", 30) * F.col("nb"), 30)))
+        "bucket", F.shiftright(F.shiftright("h", 30) * F.col("nb"), 30))
     sums = x.groupBy("si", "bucket").agg(F.sum("size").alias("b"))
     before = F.sum("b").over(Window.partitionBy("si").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
     sums = sums.select("si", "bucket", F.coalesce(before, F.lit(0)).alias("before"))
@@ -184,7 +188,7 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE = r"""
 with d as (
   select doc_id, source, cast(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as bigint) as size,
-         coalesce(cast('0x' || substr(md5(cast(doc_id as varchar)), 1, 15) as bigint), -1) as h
+         cast('0x' || substr(md5(coalesce(cast(doc_id as varchar), 'text:' || coalesce(text, ''))), 1, 15) as bigint) as h
   from documents),
 s as (
   select source, cast(sum(size) as bigint) as source_size,
