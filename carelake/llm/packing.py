@@ -16,7 +16,7 @@ Scale
 
 Defined results
     Null and empty texts have no ids and are in no row. Ids of a document are the concatenation of its
-    segments by ``part``. Repeated rows are packed as often as they come; rows with a null id are
+    segments by ``part``, and those that the tokenizer gives for the whole text, however long its runs are. Repeated rows are packed as often as they come; rows with a null id are
     packed with a null id. ``pack_id`` numbers rows by input partition and differs if that changes.
 """
 
@@ -37,8 +37,8 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 ROW_TOKENS = 2048
 BLOCK_TOKENS = 4_000_000
-#: Unbroken runs are cut here, as the splitter's own time grows with their square.
-_RUN = re.compile(r"\S{20000}|\s{5000}")
+#: White space (as the splitter sees it) that the splitter isn't given, as it recurses over its length.
+_BLANKS = re.compile(r"[^\S\x1c-\x1f]{5000,}")
 
 
 def read_ranks(path: str = VOCABULARY) -> dict[bytes, int]:
@@ -52,8 +52,8 @@ class Encoder:
 
     def __init__(self, ranks: dict[bytes, int]):
         import tiktoken
-        self._encode = tiktoken.Encoding("public", pat_str=SPLIT, mergeable_ranks=ranks,
-                                         special_tokens={}).encode_ordinary
+        whole = tiktoken.Encoding("public", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+        self._encode, self._piece = whole.encode_ordinary, whole._encode_single_piece
         self.end = max(ranks.values()) + 1
         self.dtype = np.dtype("<u2") if self.end < 1 << 16 else np.dtype("<u4")
 
@@ -64,9 +64,10 @@ class Encoder:
         out = []
         last = 0
         if len(text) > 5000:
-            for m in _RUN.finditer(text):
-                out += self._encode(text[last:m.end()])
-                last = m.end()
+            for m in _BLANKS.finditer(text):  # one piece, but for the last blank if a word follows: that joins it
+                end = m.end() - (m.end() < len(text))
+                out += self._encode(text[last:m.start()]) + self._piece(text[m.start():end])
+                last = end
         out += self._encode(text[last:] if last else text)
         out.append(self.end)
         return np.array(out, self.dtype)

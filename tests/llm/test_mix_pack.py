@@ -96,3 +96,34 @@ def test_pack_round_trip(spark, make_docs):
 
 def test_pack_of_nothing(spark):
     assert packing.pack(spark.createDataFrame([], DOCS)).count() == 0
+
+
+@pytest.mark.parametrize("text", ["abc1" * 6_000, "x" * 30_000 + "1" * 30_000, "漢" * 25_000 + "!?" * 9_000, "a  b" + " " * 6_000, " \n" * 4_000 + "end",
+                                  "w" + "\t" * 7_000 + " it's" + "\u3000" * 5_001, "\x1f" * 6_000 + " \x1c " * 3_000 + "x", " " * 5_000 + "'s" + "\n" * 5_000])
+def test_long_runs_keep_the_tokenizers_ids(text):
+    import tiktoken
+    ranks = packing.read_ranks()
+    plain = tiktoken.Encoding("plain", pat_str=packing.SPLIT, mergeable_ranks=ranks, special_tokens={}).encode_ordinary(text)
+    enc = packing.Encoder(ranks)
+    assert enc.ids(text).tolist() == [*plain, enc.end]
+
+
+def test_blanks_beyond_the_splitters_depth():
+    enc = packing.Encoder(packing.read_ranks())
+    back = {v: k for k, v in packing.read_ranks().items()}
+    text = "a" + " " * 3_000_000 + "b" + "\n" * 3_000_000
+    assert b"".join(back[i] for i in enc.ids(text)[:-1].tolist()) == text.encode()
+
+
+def test_null_ids_are_shuffled_by_text(spark, make_docs):
+    """Rows without an id spread over the buckets; the result equals the plain cumulative sum in hash order."""
+    rows = [(None, f"text {i} " + "w " * (i % 9), "en", f"s{i % 2}") for i in range(300)] + [(i, "t " * (i % 7), "en", "s0") for i in range(100)]
+    docs = make_docs(rows)
+    times, budget = mixing.finish_times(docs)
+    got = times.collect()
+    assert len({r.h for r in got}) > 390 and min(r.h for r in got) >= 0
+    for si in (0, 1):
+        total = 0
+        for r in sorted((r for r in got if r.si == si), key=lambda r: r.h):
+            total += r.size
+            assert r.done == total
