@@ -130,7 +130,9 @@ def fit_ratio(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col
 
 def _counts(texts: DataFrame, good: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """How often each bucket is in the texts (l_id, l_text), and in those of the ids in ``good (l_id)``."""
-    tagged = texts.join(F.broadcast(good.withColumn("l_good", F.lit(True))), "l_id", "left")
+    good = base.stash(good.withColumn("l_good", F.lit(True)), "trusted-ids")
+    few = good.count() <= 4 * TRUSTED_SAMPLE  # as the draw gives, whatever its luck
+    tagged = texts.join(F.broadcast(good) if few else good, "l_id", "left")
 
     def run(batches):
         n = np.zeros((2, BUCKETS), np.int64)
@@ -215,12 +217,12 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     ids are judged by their own text.
     """
     model = fit_ratio(docs, labels)
-    threshold = fit_threshold(base.stash(score(docs, model, ["doc_id"]), "quality"), labels, model)
-    out = score(docs, model, docs.columns)
     names = [f"c{i}" for i in range(len(docs.columns))]
-    tmp = out.toDF(*names, *[n for n, _ in STATS], "llr")
-    tmp = tmp.where(~base_failed() & (F.col("llr") >= F.lit(threshold)))
-    return tmp.select(*[F.col(n).alias(c) for n, c in zip(names, docs.columns)])
+    rows = score(docs, model, docs.columns).toDF(*names, *[n for n, _ in STATS], "llr")
+    rows = base.stash(rows, "quality")  # texts are hashed once for the verdict and its threshold
+    threshold = fit_threshold(rows.withColumnRenamed(names[docs.columns.index("doc_id")], "doc_id"), labels, model)
+    kept = rows.where(~base_failed() & (F.col("llr") >= F.lit(threshold)))
+    return kept.select(*[F.col(n).alias(c) for n, c in zip(names, docs.columns)])
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

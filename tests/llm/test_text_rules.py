@@ -73,6 +73,64 @@ def test_few_trusted_labels(spark, make_docs, n_good):
     assert all(r.kept != r.base_failed for r in out.values())
 
 
+def test_ratio_and_threshold_by_counting(spark, make_docs):
+    """Log-ratios from plain counters and the threshold from a scan of every edge, against the operator on random texts."""
+    import math
+    import random
+    from collections import Counter
+
+    from carelake.llm import base
+    r = random.Random(3)
+    rows = []
+    for i in range(160):
+        pool = ["good", "plain", "text", "words", "that", "read"] if i % 3 else ["spam", "click", "words", "text", "win", "now"]
+        rows.append((i, " ".join(r.choice(pool) + str(r.randrange(30)) for _ in range(r.randint(45, 90)))))
+    docs = make_docs(rows).selectExpr("*", "1 as n_words", "2 as llr", "'x' as l_id", "3 as quality")  # clashing names
+    marks = {i: int(i % 3 > 0) for i in range(120)} | {7: 0, 9: 1}
+    labels = spark.createDataFrame([(i, q, 0) for i, q in marks.items()], "doc_id long, quality int, toxic int")
+    part = min(0.5, 50_000 / sum(marks.values()))
+    inside = {x.id for x in spark.range(160).where(quality.drawn("id", part)).collect()}
+    grams = {i: Counter(quality.grams(base.word_hashes(base.words(t))).tolist()) for i, t in rows}
+    raw, target = Counter(), Counter()
+    for i, c in grams.items():
+        raw += c
+        if marks.get(i) == 1 and i in inside:
+            target += c
+    n_raw, n_target = sum(raw.values()), sum(target.values())
+    p_raw = lambda b: (raw[b] + 1) / (n_raw + quality.BUCKETS)
+    prior = quality.PRIOR * n_target
+    w = lambda b: math.log((target[b] + prior * p_raw(b)) / (n_target + prior) / p_raw(b))
+    llr = {i: sum(n * w(b) for b, n in c.items()) / sum(c.values()) for i, c in grams.items()}
+    failed = {i: brute_counts(t)[0] < 50 or 100 * brute_counts(t)[4] > 50 * brute_counts(t)[0] for i, t in rows}
+    judged = [(llr[i], q) for i, q in marks.items() if not failed[i] and (q == 0 or i not in inside)]
+    n = Counter(q for _, q in judged)
+    edges = [k / quality.BINS_A_UNIT for k in range(-2000, 2003)]
+    score = [sum(x < e for x, q in judged if q == 0) / n[0] + sum(x >= e for x, q in judged if q == 1) / n[1] for e in edges]
+    best = [e for e, s in zip(edges, score) if s >= max(score) - 1e-12]
+    threshold = best[len(best) // 2]
+    got = {x.doc_id: x for x in quality.apply_rules(docs, labels).collect()}
+    for i, _ in rows:
+        assert got[i].llr == pytest.approx(llr[i], abs=1e-9)
+        assert got[i].kept == (not failed[i] and got[i].llr >= threshold)
+    assert {x.doc_id for x in quality.keep_good(docs, labels).collect()} == {i for i in got if got[i].kept}
+    assert quality.keep_good(docs, labels).columns == docs.columns
+
+
+def test_ties_at_the_threshold(spark):
+    """Equal ratios fall on one side: a score on the edge is kept; equal scores of both labels decide nothing."""
+    import numpy as np
+    model = quality.QualityModel(np.zeros(quality.BUCKETS), 0.0)
+    schema = "doc_id long, n_words long, n_repeat_words long, llr double"
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(8)], "doc_id long, quality int, toxic int")
+    apart = spark.createDataFrame([(i, 100, 0, 0.5 if i % 2 else -0.5) for i in range(8)], schema)
+    t = quality.fit_threshold(apart, labels, model)
+    assert -0.5 < t <= 0.5
+    edge = spark.createDataFrame([(i, 100, 0, 0.005 if i % 2 else 0.0) for i in range(8)], schema)
+    assert quality.fit_threshold(edge, labels, model) == 0.005
+    same = spark.createDataFrame([(i, 100, 0, 0.25) for i in range(8)], schema)
+    assert quality.fit_threshold(same, labels, model) == float("-inf")
+
+
 def ascii_lower(x):
     return "".join(c.lower() if c.isascii() else c for c in x)
 
