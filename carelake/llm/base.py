@@ -53,9 +53,27 @@ def stash(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, tag)
     df.write.parquet(path)
+    _MADE.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Paths of the intermediate tables that this process has written and not dropped.
+_MADE: list[str] = []
+
+
+def stashes() -> list[str]:
+    return list(_MADE)
+
+
+def drop_stashes(spark: SparkSession, paths: list[str]) -> None:
+    """Deletes intermediate tables of this process (other paths are left alone)."""
+    for p in paths:
+        if p in _MADE:
+            _MADE.remove(p)
+            path = spark._jvm.org.apache.hadoop.fs.Path(p)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def share(spark: SparkSession, value) -> Callable[[], object]:
     """Broadcast an object of this package's own classes by value; call the result in a task to get it."""
     sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))

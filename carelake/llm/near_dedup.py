@@ -318,15 +318,21 @@ def _alike(member: DataFrame, sets: DataFrame, apart: F.Column) -> DataFrame:
     able = member.where(DEN * F.col("i") >= NUM * F.col("n"))
     able = base.stash(able.join(able.where("out").select("leader").distinct(), "leader", "left_semi"), "able")
     toks = base.stash(able.join(sets, "node").select("leader", "node", "c", "out", "i", "n", F.explode("toks").alias("tok")), "able-toks")
-    df = toks.groupBy("leader", "tok").agg(F.count("*").alias("df"))
-    first = Window.partitionBy("leader", "node").orderBy("df", "tok")  # a text's own shingles
-    head = (toks.join(df.where("df > 1"), ["leader", "tok"], "left").fillna(1, ["df"])
-            .withColumn("at", F.row_number().over(first))
-            .where(F.col("at") <= F.col("n") - F.ceil(F.lit(NUM) * F.col("n") / DEN) + 1).where("df > 1"))
-    head = base.stash(head, "able-heads")
-    x, y = head.where("out").alias("x"), head.alias("y")
-    enough = (NUM + DEN) * F.least("x.i", "y.i") >= NUM * (F.col("x.n") + F.col("y.n"))
-    return x.join(y, (F.col("x.tok") == F.col("y.tok")) & apart & enough).select(
+    df = toks.groupBy("leader", "tok").agg(F.count("*").alias("df")).where("df > 1")
+    own = toks.join(df, ["leader", "tok"], "left").groupBy("leader", "node").agg(
+        *[F.any_value(c).alias(c) for c in ("c", "out", "i", "n")],
+        F.sort_array(F.collect_list(F.struct(F.coalesce("df", F.lit(1)).alias("df"), "tok"))).alias("toks"))  # a text's own shingles
+    first = F.expr(f"transform(slice(toks, 1, cast(n - ceil({NUM} * n / {DEN}) + 1 as int)), x -> x.tok)")
+    rows = own.where(F.size("toks") > 0).withColumn("head", first)
+    rows = rows.select("leader", "node", "c", "out", "i", "n", "head", F.posexplode("head").alias("at", "tok"), "toks")
+    rows = base.stash(rows.where(F.expr("toks[at].df > 1")).drop("toks"), "able-heads")
+    x, y = rows.where("out").alias("x"), rows.alias("y")
+    need = NUM * (F.col("x.n") + F.col("y.n"))
+    enough = (NUM + DEN) * F.least("x.i", "y.i") >= need
+    # they meet where their heads first agree: from there on, enough of both must be left
+    once = F.array_intersect("x.head", "y.head")[0] == F.col("x.tok")
+    left = (NUM + DEN) * F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at")) >= need
+    return x.join(y, (F.col("x.tok") == F.col("y.tok")) & apart & enough & left & once).select(
         F.col("x.node").alias("a"), F.col("y.node").alias("b"))
 
 

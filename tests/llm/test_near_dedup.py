@@ -183,3 +183,21 @@ def test_template_family(make_docs):
     r.shuffle(rows)
     got = {x.doc_id: x.class_id for x in near_dedup.near_classes(make_docs(rows)).collect()}
     assert got == brute(rows)
+
+
+def test_pipeline_drops_its_tables(spark):
+    """run() gives the stages' rows and leaves the last stage's table only."""
+    import os
+
+    import pytest
+
+    import corpus_pipeline
+    from carelake.llm import base
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("test tables not present")
+    before = set(base.stashes())
+    out = corpus_pipeline.run(spark, sf)
+    left = [p for p in base.stashes() if p not in before]
+    assert len(left) == 1 and "stage-token_output" in left[0]
+    assert out.count() > 0 and sum(len(r.doc_ids) for r in out.select("doc_ids").collect()) > 50
