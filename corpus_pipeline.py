@@ -1,15 +1,21 @@
 """Corpus pipeline: quality rules, near-duplicates, benchmark passages, source mix, packed token ids.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and
-read again as the next stage's docs. All but the last return the columns of ``documents``.
+read again as the next stage's docs. All but the last return the columns of ``documents``. As a stage's
+output is written by then, the next one first drops the intermediate tables that the stage left.
 """
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from carelake.llm import base, decontaminate, mixing, near_dedup, packing, quality
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose text the base rules and the likelihood ratio keep."""
@@ -36,20 +42,44 @@ def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return packing.pack(docs)
 
 
-STAGES = [
+#: Intermediate tables of the stage that ran last.
+_left: list[str] = []
+
+
+def sweeping(stage: Stage) -> Stage:
+    """The stage, dropping first what the one before left."""
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        base.drop_stashes(spark, _left)
+        before = set(base.stashes())
+        out = stage(spark, docs, sf_dir)
+        _left[:] = [p for p in base.stashes() if p not in before]
+        return out
+
+    return run_stage
+
+
+STAGES = [(name, sweeping(stage)) for name, stage in (
     ("quality_rules", quality_rules),
     ("near_dedup", near_dedup_stage),
     ("decontamination", decontamination),
     ("source_mix", source_mix),
     ("token_output", token_output),
-]
+)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     out = base.table(spark, sf_dir, "documents")
+    written: list[str] = []
     for name, stage in STAGES:
-        out = base.stash(stage(spark, out, sf_dir), f"stage-{name}")
+        new = stage(spark, out, sf_dir)
+        before = set(base.stashes())
+        out = base.stash(new, f"stage-{name}")
+        base.drop_stashes(spark, written)  # the stage before has been read
+        written = [p for p in base.stashes() if p not in before]
+    base.drop_stashes(spark, _left)
+    _left.clear()
     return out
 
 
