@@ -17,14 +17,15 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from carelake.functions._col import as_col
 
 __all__ = [
     "enrich", "flag_in", "flags_in", "inverse_flag", "match_marker", "count_matching", "last_value",
-    "status_by_priority", "fill_from", "overwrite_from", "fill_for_codes", "anti", "semi", "unknown_codes",
+    "status_by_priority", "fill_from", "overwrite_from", "fill_for_codes", "anti", "semi", "as_of", "unknown_codes",
     "StatusRule",
 ]
 
@@ -195,6 +196,30 @@ def anti(df: DataFrame, other: DataFrame, on, right_on=None, null_safe: bool = F
     return df.join(o, reduce(lambda a, b: a & b, same), "left_anti")
 
 
+def as_of(df: DataFrame, other: DataFrame, on, at: str, other_at: str, cols) -> DataFrame:
+    """``df`` with ``cols`` of the latest row of ``other`` at or before ``at``, per key (G10 for each key and time).
+
+    Both sides meet by key and *distinct* time: a window runs over the times
+    of a key, not over its rows, so a key with very many rows is no task of
+    its own; the rows get the result by a plain join. ``other`` has one row
+    per key and time (of several the greatest counts). NULL keys are a key,
+    a NULL time finds nothing.
+    """
+    keys, cols = _keys(on), list(cols)
+    got = [f"__v_{c}" for c in cols]
+    times = df.select(*keys, F.col(at).alias("__at")).distinct().withColumn("__s", F.lit(None).cast(
+        T.StructType([T.StructField(g, other.schema[c].dataType) for g, c in zip(got, cols)])))
+    known = other.groupBy(*keys, F.col(other_at).alias("__at")).agg(
+        F.max(F.struct(*[F.col(c).alias(g) for g, c in zip(got, cols)])).alias("__s")).filter("__at is not null")
+    w = Window.partitionBy(*keys).orderBy("__at").rangeBetween(Window.unboundedPreceding, 0)
+    filled = times.withColumn("__asked", F.lit(True)).unionByName(known.withColumn("__asked", F.lit(False))).withColumn(
+        "__s", F.last("__s", ignorenulls=True).over(w)).filter("__asked and __at is not null")
+    side = filled.select(*[F.col(k).alias(f"__k_{k}") for k in keys], "__at", *[F.col(f"__s.{g}").alias(g) for g in got])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys] + [F.col(at) == F.col("__at")])
+    out = df.join(side, same, "left").drop("__at", *[f"__k_{k}" for k in keys])
+    return out.withColumnsRenamed(dict(zip(got, cols)))
+
+
 def semi(df: DataFrame, other: DataFrame, on, right_on=None) -> DataFrame:
     """Rows of ``df`` whose key exists in ``other`` (no row multiplication)."""
     lk = _keys(on)

@@ -56,9 +56,10 @@ def dedupe(df: DataFrame, subset=None, keep: str = "first", order=None) -> DataF
 
 def first_last(df: DataFrame, key, ts: str, value: str, tiebreak: str | None = None) -> DataFrame:
     """Per key the first and last value and date, the day span, the
-    change (first - last) and the number of rows, in one aggregate."""
+    change (first - last) and the number of rows, in one aggregate. Rows
+    without a date count, but are neither first nor last."""
     keys = [key] if isinstance(key, str) else list(key)
-    order = F.struct(F.col(ts), F.col(tiebreak)) if tiebreak else F.col(ts)
+    order = F.when(F.col(ts).isNotNull(), F.struct(F.col(ts), F.col(tiebreak))) if tiebreak else F.col(ts)
     g = df.groupBy(*keys).agg(
         F.min_by(F.struct(F.col(ts).alias("d"), F.col(value).alias("v")), order).alias("__f"),
         F.max_by(F.struct(F.col(ts).alias("d"), F.col(value).alias("v")), order).alias("__l"),

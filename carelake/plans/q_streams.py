@@ -15,6 +15,7 @@ from carelake.plans.registry import query
 from carelake.session import work_dir
 from carelake.streaming.streams import (
     event_time, file_stream, stream_append_new, stream_counts, stream_counts_table, stream_dedupe_load, stream_refresh,
+    stream_windows,
 )
 
 
@@ -71,16 +72,16 @@ def stream_daily_counts(t):
 SELECT event_id, user_id, value, CAST(ts AS DATE) AS day FROM events
 """)
 def stream_refresh_split_period(t):
-    """T4: every day comes in two files, and so in two micro-batches; both
-    halves are in the refreshed table."""
+    """T4: every day comes in two files of one extract, and so in two
+    micro-batches; both halves are in the refreshed table."""
     spark = t.events.sparkSession
     base = work_dir(spark, "stream-split")
     e = t.events.select("event_id", "user_id", "value", F.to_date("ts").alias("day"))
     e.withColumn("value", F.col("value") * 2).write.partitionBy("day").parquet(f"{base}/table")
     for half in (0, 1):
-        e.filter(F.col("event_id") % 2 == half).coalesce(1).write.mode("append").parquet(f"{base}/landing")
-    s = file_stream(spark, f"{base}/landing", e.schema, max_files=1)
-    stream_refresh(s, f"{base}/table", "day", f"{base}/chk")
+        e.filter(F.col("event_id") % 2 == half).withColumn("extract", F.lit(1)).coalesce(1).write.mode("append").parquet(f"{base}/landing")
+    s = file_stream(spark, f"{base}/landing", e.withColumn("extract", F.lit(1)).schema, max_files=1)
+    stream_refresh(s, f"{base}/table", "day", f"{base}/chk", extract="extract")
     return spark.read.parquet(f"{base}/table").select("event_id", "user_id", "value", "day")
 
 
@@ -110,3 +111,64 @@ def stream_refresh_q(t):
     s = _events_stream(t).select("event_id", "user_id", "value", F.to_date("ts").alias("day"))
     stream_refresh(s, f"{base}/table", "day", f"{base}/chk")
     return spark.read.parquet(f"{base}/table").select("event_id", "user_id", "value", "day")
+
+
+_DAY_SQL = "CASE WHEN user_id % 17 <> 0 THEN CAST(ts AS DATE) END"
+
+
+@query("stream_refresh_versions", f"""
+SELECT event_id, {_DAY_SQL} AS day, CASE WHEN again THEN value + 1 ELSE value END AS value
+FROM (SELECT *, coalesce(dayofmonth({_DAY_SQL}) % 3 = 0, true) AS again FROM events)
+WHERE NOT (again AND event_id % 10 = 0)
+""")
+def stream_refresh_versions(t):
+    """T4/K5: a first extract in two files; then every third day and the rows
+    without a day are extracted again, in two files, changed and without the
+    rows that the source has deleted; then an extract that is older than both
+    comes late. Each micro-batch reads the periods it brings."""
+    spark = t.events.sparkSession
+    base = work_dir(spark, "stream-versions")
+    day = F.when(F.col("user_id") % 17 != 0, F.to_date("ts"))
+    e = t.events.select("event_id", "value", day.alias("day"))
+    again = e.filter(F.coalesce(F.dayofmonth("day") % 3 == 0, F.lit(True)) & (F.col("event_id") % 10 != 0)).withColumn(
+        "value", F.col("value") + 1)
+    for df, extract in ((e, 20240201), (again, 20240202)):
+        for half in (0, 1):
+            df.filter(F.col("event_id") % 2 == half).withColumn("extract", F.lit(extract)).coalesce(1).write.mode(
+                "append").parquet(f"{base}/landing")
+    late = e.filter(F.col("event_id") % 5 == 0).withColumn("value", -F.col("value")).withColumn("extract", F.lit(20240131))
+    late.coalesce(1).write.mode("append").parquet(f"{base}/landing")
+    s = file_stream(spark, f"{base}/landing", late.schema, max_files=1)
+    stream_refresh(s, f"{base}/table", "day", f"{base}/chk", extract="extract")
+    return spark.read.schema(e.schema).parquet(f"{base}/table").select("event_id", "day", "value")
+
+
+_LATE_SQL = "event_id % 10 = 0 AND ts < TIMESTAMP '2024-01-15'"
+
+
+@query("stream_weekly_late", f"""
+SELECT 'count' AS part, CAST(date_trunc('week', ts) AS TIMESTAMP) AS week, event_type, CAST(NULL AS BIGINT) AS event_id,
+       CAST(count(*) AS BIGINT) AS n
+FROM events WHERE NOT ({_LATE_SQL}) GROUP BY 2, 3
+UNION ALL
+SELECT 'late', NULL, event_type, event_id, 1 FROM events WHERE {_LATE_SQL}
+""")
+def stream_weekly_late(t):
+    """Weekly counts per test (weeks from Monday, open ones included);
+    rows of the first weeks that come after all others are in the side table."""
+    spark = t.events.sparkSession
+    base = work_dir(spark, "stream-weeks")
+    e = t.events.select("event_id", "event_type", "ts")
+    late = (F.col("event_id") % 10 == 0) & (F.col("ts") < F.lit(dt.datetime(2024, 1, 15)))
+    early = F.col("ts") < F.lit(dt.datetime(2024, 1, 15))
+    for part in (e.filter(early & ~late), e.filter(~early), e.filter(late)):
+        part.coalesce(1).write.mode("append").parquet(f"{base}/landing")
+    s = file_stream(spark, f"{base}/landing", e.schema, max_files=1)
+    n = stream_windows(s, "ts", "7 days", "event_type", dt.timedelta(days=7), f"{base}/weeks", f"{base}/late", f"{base}/chk",
+                       start="4 days")
+    rest = spark.read.schema(e.schema).parquet(f"{base}/late")
+    null = F.lit(None)
+    return n.select(F.lit("count").alias("part"), F.col("window_start").alias("week"), "event_type",
+                    null.cast("long").alias("event_id"), "n").unionByName(
+        rest.select(F.lit("late").alias("part"), null.cast("timestamp_ntz").alias("week"), "event_type", "event_id",
+                    F.lit(1).cast("long").alias("n")))

@@ -108,11 +108,11 @@ def new_ids(batch: DataFrame, ids: DataFrame, key: str, ids_key: str | None = No
 
 def fallback_period(df: DataFrame, period_col: str, on: dt.date) -> DataFrame:
     """Rows of the latest period <= ``on``, relabelled with ``on``
-    (reuse last month's population when this month has none)."""
-    cand = df.filter(F.col(period_col) <= F.lit(on))
-    latest = cand.agg(F.max(period_col).alias("__p"))
-    return (cand.join(F.broadcast(latest), F.col(period_col) == F.col("__p"))
-            .drop("__p").withColumn(period_col, F.lit(on)))
+    (reuse last month's population when this month has none). The period is one
+    value on the driver, so that it is a literal in the scan's filters."""
+    latest = df.filter(F.col(period_col) <= F.lit(on)).agg(F.max(period_col)).first()[0]
+    rows = df.filter(F.lit(False)) if latest is None else df.filter(F.col(period_col) == F.lit(latest))
+    return rows.withColumn(period_col, F.lit(on))
 
 
 def mark_new_vs_previous(current: DataFrame, previous: DataFrame, key: str, name: str = "nuevo") -> DataFrame:

@@ -33,7 +33,8 @@ __all__ = [
     "refresh_partitions", "export_csv", "replace_period_df",
     "replace_period", "merge_update_df", "update_from_df", "write_with_schema", "LOG_SCHEMA",
     "log_load", "snapshot_csv", "PublishSpec", "publish_all", "create_table", "drop_table",
-    "run_summary", "jdbc_write", "dual_write",
+    "run_summary", "jdbc_write", "dual_write", "in_values", "drop_partitions", "merge_partitions", "load_once", "committed",
+    "save_bucketed",
 ]
 
 LOG_SCHEMA = T.StructType([
@@ -72,6 +73,24 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by) -> int:
     return _write(df, path, "overwrite", "parquet", partition_by, partitionOverwriteMode="dynamic")
 
 
+def in_values(col: str, values) -> Column:
+    """``col`` is one of the literal values, NULL among them if it is one (partitions are pruned by it)."""
+    some = [v for v in values if v is not None]
+    cond = F.col(col).isin(some) if some else F.lit(False)
+    return cond | F.col(col).isNull() if len(some) < len(list(values)) else cond
+
+
+def drop_partitions(spark: SparkSession, path: str, parts: DataFrame) -> int:
+    """Deletes the partitions of a table that the rows of ``parts`` name, outermost column first (a row a partition)."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    named = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    rows = parts.select(*[F.col(c).cast("string") for c in parts.columns]).distinct().collect()
+    for r in rows:
+        p = jvm.org.apache.hadoop.fs.Path("/".join([path.rstrip("/"), *[named.getPartitionPathString(c, r[c]) for c in parts.columns]]))
+        p.getFileSystem(conf).delete(p, True)
+    return len(rows)
+
+
 def only(df: DataFrame, cond: Column, what: str) -> DataFrame:
     """``df``, failing the job on the first row that doesn't meet ``cond`` (NULL fails too)."""
     bad = F.raise_error(F.concat(F.lit(f"row outside of {what}: "), F.to_json(F.struct(*df.columns)))).cast("boolean")
@@ -193,6 +212,71 @@ def update_from_df(target: DataFrame, source: DataFrame, keys, set_cols, floor_c
     return merge_update_df(target, source, keys, set_cols, when=when, only_changed=True)
 
 
+def merge_partitions(spark: SparkSession, path: str, source: DataFrame, keys, set_cols, partition_by: str,
+                     when: Column | None = None, only_changed: bool = False) -> int:
+    """K8/K9 on a partitioned table: only partitions that hold a matched key are rewritten.
+
+    The touched partitions (one value each on the driver) are a literal filter of
+    the scan, so the others are neither read for the new state nor written. The
+    number of rows written; the duplicate-key check is merge_update_df's.
+    """
+    from carelake.operators.lookup import semi
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    set_cols = [set_cols] if isinstance(set_cols, str) else list(set_cols)
+    if partition_by in set_cols:
+        raise ValueError(f"{partition_by} is the partition column: an update of it would move rows")
+    target = spark.read.parquet(path)
+    found = source.select(partition_by) if partition_by in keys else semi(
+        target.select(*keys, partition_by), source, keys).select(partition_by)
+    touched = [r[0] for r in found.distinct().collect()]
+    if not touched:
+        return 0
+    work_dir(spark)
+    state = merge_update_df(target.filter(in_values(partition_by, touched)), source, keys, set_cols, when, only_changed)
+    return overwrite_partitions(state.checkpoint(eager=True), path, partition_by)
+
+
+def load_once(df: DataFrame, path: str, log_path: str, load_id: str, table: str, at: dt.datetime) -> int:
+    """K1+K12 as one commit: the rows under ``load_id=``, then the log row that makes them count.
+
+    A run that stops between the two leaves rows that ``committed`` doesn't
+    show; the rerun under the same id replaces them, and its log row.
+    """
+    spark = df.sparkSession
+    n = write_load(df, path, load_id)
+    row = spark.createDataFrame([(load_id, at, n, table)], LOG_SCHEMA)
+    overwrite_partitions(row, log_path, ["idBigquery", "id"])
+    return n
+
+
+def write_load(df: DataFrame, path: str, load_id: str) -> int:
+    """The first half of ``load_once``: the load's rows, in place of those of an earlier try."""
+    spark = df.sparkSession
+    n = overwrite_partitions(df.withColumn("load_id", F.lit(load_id)), path, "load_id")
+    if not n:
+        drop_partitions(spark, path, spark.createDataFrame([(load_id,)], "load_id string"))
+    return n
+
+
+def committed(spark: SparkSession, path: str, log_path: str, table: str, schema) -> DataFrame:
+    """The rows of the loads that the log names, with their ``load_id``."""
+    from carelake.operators.lookup import semi
+    kind = T.StructType(list(T.StructType.fromDDL(schema) if isinstance(schema, str) else schema) + [T.StructField("load_id", T.StringType())])
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], kind)
+    loads = read_log(spark, log_path).filter(F.col("idBigquery") == F.lit(table)).select(F.col("id").alias("load_id"))
+    return semi(spark.read.schema(kind).parquet(path), loads, "load_id")
+
+
+def save_bucketed(df: DataFrame, name: str, path: str, key, buckets: int) -> DataFrame:
+    """A catalog table at ``path`` in hash buckets of ``key``, sorted in them: a join
+    by the key with as many shuffle partitions reads it without an exchange, so
+    that a keyed load (G5-G8) shuffles its batch only."""
+    keys = [key] if isinstance(key, str) else list(key)
+    df.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def write_with_schema(df: DataFrame, schema: T.StructType, path: str, mode: str = "append",
                       date_formats=("yyyy-MM-dd",)) -> tuple[int, dict[str, int]]:
     """Explicit target types on write: rows written, and per column the
@@ -245,7 +329,7 @@ def read_log(spark: SparkSession, log_path: str) -> DataFrame:
 
 def publish_all(specs, base: str, log_path: str, run: dt.date, at: dt.datetime | None = None) -> DataFrame:
     """For each spec: gate on the load log, drop the rows whose
-    period the target already holds, stop on an empty batch, write (append or
+    period the target already holds (the NULL period is one), stop on an empty batch, write (append or
     overwrite), log the load; returns the run summary (one row per table).
 
     ``loaded``: 1 written, 0 gate closed, -1 nothing to write (the target is
@@ -263,7 +347,7 @@ def publish_all(specs, base: str, log_path: str, run: dt.date, at: dt.datetime |
         path = f"{base.rstrip('/')}/{s.table}"
         df = s.df
         if s.period_col and s.mode == "append" and path_exists(spark, path):
-            df = anti(df, spark.read.parquet(path).select(s.period_col).distinct(), s.period_col)
+            df = anti(df, spark.read.schema(df.schema).parquet(path).select(s.period_col).distinct(), s.period_col, null_safe=True)
         work_dir(spark)
         df = df.checkpoint(eager=True)  # once, whether it turns out empty or not
         n = 0 if df.isEmpty() else (append if s.mode == "append" else overwrite)(df, path, partition_by=s.period_col)
