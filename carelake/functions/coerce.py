@@ -42,10 +42,11 @@ def coerce_int(c, default: int | None = 0) -> Column:
 
     ``'2.9'`` -> 2, ``'-2.9'`` -> -2, ``' 7 '`` -> 7, ``'x'``/NULL/``'nan'`` -> 0.
     Every bigint keeps its value (a double would corrupt ids above 2**53).
+    Whole numbers are read as such; only other text goes through the decimal.
     """
     d = as_col(c).try_cast("decimal(38,9)")
     whole = F.when(d < 0, F.ceil(d)).otherwise(F.floor(d))
-    i = whole.try_cast("bigint")
+    i = F.coalesce(as_col(c).try_cast("bigint"), whole.try_cast("bigint"))
     return i if default is None else F.coalesce(i, F.lit(int(default)).cast("bigint"))
 
 

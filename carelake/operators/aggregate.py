@@ -176,3 +176,38 @@ def indicator_sum(pred: Column) -> Column:
 def all_of(*flags) -> Column:
     """1 iff every flag is 1."""
     return F.when(reduce(lambda x, y: x & y, [as_col(f) == 1 for f in flags]), 1).otherwise(0)
+
+
+def distinct_with_total(df: DataFrame, key: str, distinct: dict, sums: dict, label: str) -> DataFrame:
+    """A10+A5: exact distinct counts and sums per ``key``, and a total row ``label``.
+
+    ``distinct``: name -> whole-number column (NULL is not counted), ``sums``:
+    name -> column. Distincts are bitmaps of 32,768 numbers each, which add up
+    by OR: rows are aggregated once per (key, bucket) on the map side, and the
+    total is made from the keys' bitmaps, so no row is expanded for a second
+    distinct or for the total.
+    """
+    one = F.lit(None).cast("binary")
+    each = []
+    for name, col in distinct.items():
+        c = F.col(col)
+        part = df.filter(c.isNotNull()).groupBy(F.col(key).alias("__key"), F.bitmap_bucket_number(c).alias("__b")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position(c)).alias("__bits"))
+        each.append(part.select("__key", F.lit(name).alias("__what"), "__b", "__bits"))
+    plain = df.groupBy(F.col(key).alias("__key")).agg(*[F.sum(c).cast("bigint").alias(n) for n, c in sums.items()])
+    bits = reduce(lambda a, b: a.unionByName(b), each) if each else plain.select(
+        "__key", F.lit("").alias("__what"), F.lit(0).cast("bigint").alias("__b"), one.alias("__bits")).filter("false")
+    total = bits.groupBy("__what", "__b").agg(F.bitmap_or_agg("__bits").alias("__bits"))
+    sized = bits.select("__key", F.lit(False).alias("__total"), "__what", F.bitmap_count("__bits").alias("__n")).unionByName(
+        total.select(F.lit(None).cast(df.schema[key].dataType).alias("__key"), F.lit(True).alias("__total"), "__what",
+                     F.bitmap_count("__bits").alias("__n")))
+    zero = [F.lit(0).cast("bigint").alias(n) for n in sums]
+    both = plain.unionByName(plain.groupBy().agg(*[F.sum(n).alias(n) for n in sums]).select(
+        F.lit(None).cast(df.schema[key].dataType).alias("__key"), *sums).withColumn("__t", F.lit(True)), allowMissingColumns=True)
+    rows = both.select("__key", F.coalesce("__t", F.lit(False)).alias("__total"), F.lit("").alias("__what"), F.lit(0).cast("bigint").alias("__n"), *sums)
+    rows = rows.unionByName(sized.select("*", *zero))
+    out = rows.groupBy("__key", "__total").agg(
+        *[F.sum(n).cast("bigint").alias(n) for n in sums],
+        *[F.sum(F.when(F.col("__what") == n, F.col("__n")).otherwise(0)).cast("bigint").alias(n) for n in distinct])
+    name = F.when(F.col("__total"), F.lit(label)).otherwise(F.col("__key").cast("string")).alias(key)
+    return out.select(name, *sums, *distinct)

@@ -25,7 +25,7 @@ from carelake.functions._col import as_col
 
 __all__ = [
     "enrich", "flag_in", "flags_in", "inverse_flag", "match_marker", "count_matching", "last_value",
-    "status_by_priority", "fill_from", "overwrite_from", "fill_for_codes", "anti", "semi", "as_of", "unknown_codes",
+    "status_by_priority", "fill_from", "overwrite_from", "fill_for_codes", "anti", "semi", "as_of", "match_phrases", "unknown_codes",
     "StatusRule",
 ]
 
@@ -220,6 +220,38 @@ def as_of(df: DataFrame, other: DataFrame, on, at: str, other_at: str, cols) ->
     return out.withColumnsRenamed(dict(zip(got, cols)))
 
 
+#: Phrases whose keys are broadcast.
+MOST_PHRASES = 100_000
+
+
+def plain_words(c) -> Column:
+    """Lower-cased text whose words (letters and digits) stand between single spaces, also at both ends."""
+    return F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(as_col(c)), r"[^\p{L}\p{N}]+", " ")), F.lit(" "))
+
+
+def match_phrases(messages: DataFrame, phrases: DataFrame, text: str, phrase: str) -> DataFrame:
+    """Every message with every phrase that its text holds as whole words (columns of both).
+
+    Texts and phrases meet on a shared index of adjacent word pairs (of single
+    words for a one-word phrase): a phrase's key is its pair with the most
+    letters, and a text is indexed by those of its pairs that are a key.
+    What meets is verified. Phrases without a word match nothing.
+    """
+    words = F.split(F.trim(plain_words(phrase)), " ")
+    pairs = F.transform(F.sequence(F.lit(0), F.size(words) - 2), lambda i: F.concat_ws(" ", F.get(words, i), F.get(words, i + 1)))
+    longest = F.array_max(F.transform(pairs, lambda p: F.struct(F.length(p).alias("n"), p.alias("p"))))
+    p = phrases.filter(F.trim(plain_words(phrase)) != "").select(
+        "*", plain_words(phrase).alias("__phrase"), F.when(F.size(words) == 1, F.get(words, 0)).otherwise(longest["p"]).alias("__key"))
+    keys = p.select("__key").distinct()
+    side = F.broadcast(keys) if keys.count() <= MOST_PHRASES else keys
+    m = messages.select("*", plain_words(text).alias("__text"))
+    own = F.split(F.trim("__text"), " ")
+    grams = F.array_distinct(F.concat(own, F.when(F.size(own) < 2, F.array().cast("array<string>")).otherwise(F.transform(
+        F.sequence(F.lit(0), F.size(own) - 2), lambda i: F.concat_ws(" ", F.get(own, i), F.get(own, i + 1))))))
+    found = m.select("*", F.explode(grams).alias("__key")).join(side, "__key", "left_semi")
+    return found.join(p, "__key").filter(F.contains("__text", F.col("__phrase"))).drop("__key", "__text", "__phrase")
+
+
 def semi(df: DataFrame, other: DataFrame, on, right_on=None) -> DataFrame:
     """Rows of ``df`` whose key exists in ``other`` (no row multiplication)."""
     lk = _keys(on)

@@ -176,3 +176,59 @@ def conform(df: DataFrame, schema: T.StructType, date_formats=("yyyy-MM-dd",)) -
     one bad cell is NULL and doesn't fail the load)."""
     return df.select(*[conformed(F.col(f.name), df.schema[f.name].dataType, f.dataType, date_formats).alias(f.name)
                        for f in schema.fields])
+
+
+#: Whole numbers from narrow to wide, then decimals; a column that comes in several kinds takes the widest.
+_WIDER = [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType(), T.DecimalType(38, 9)]
+
+
+def widest(kinds) -> T.DataType:
+    """The type that holds, without loss, what every one of ``kinds`` holds.
+
+    Void gives way; dates and timestamps make a timestamp; a double holds
+    whole numbers of 32 bits; all else that differs is text.
+    """
+    kinds = [k for k in kinds if not isinstance(k, T.NullType)]
+    if not kinds:
+        return T.StringType()
+    if all(k == kinds[0] for k in kinds):
+        return kinds[0]
+    number = [_WIDER[-1] if isinstance(k, T.DecimalType) and k.scale <= 9 and k.precision - k.scale <= 29 else
+              T.DoubleType() if isinstance(k, T.FloatType) else k for k in kinds]
+    if all(k in _WIDER for k in number):
+        return max(number, key=_WIDER.index)
+    if all(k == T.DoubleType() or k in _WIDER[:3] for k in number):
+        return T.DoubleType()
+    if all(isinstance(k, (T.DateType, T.TimestampNTZType)) for k in kinds):
+        return T.TimestampNTZType()
+    return T.StringType()
+
+
+def reconciled(schemas, overrides: dict | None = None) -> T.StructType:
+    """One schema for several: every column that any has, in order of first appearance, with the widest of its types.
+
+    Names are compared without case and surrounding blanks. ``overrides``
+    (name -> type) decides for a column, as the string override of a sheet's code column does.
+    """
+    found: dict[str, list[T.DataType]] = {}
+    names: dict[str, str] = {}
+    for s in schemas:
+        for f in s.fields:
+            k = f.name.strip().lower()
+            names.setdefault(k, f.name.strip())
+            found.setdefault(k, []).append(f.dataType)
+    forced = {k.strip().lower(): v for k, v in (overrides or {}).items()}
+    return T.StructType([T.StructField(names[k], forced.get(k) or widest(v)) for k, v in found.items()])
+
+
+def to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``df`` in a reconciled schema: columns by name, absent ones NULL, others cast (wider types only, so nothing is lost)."""
+    have = {c.strip().lower(): c for c in df.columns}
+    return df.select(*[(F.col(f"`{have[f.name.lower()]}`") if f.name.lower() in have else F.lit(None)).cast(f.dataType).alias(f.name)
+                       for f in schema.fields])
+
+
+def datetime_text(df: DataFrame, fmt: str = "yyyy-MM-dd HH:mm:ss") -> DataFrame:
+    """K7: every date and timestamp column as text of one format (NULL stays NULL)."""
+    kinds = (T.DateType, T.TimestampType, T.TimestampNTZType)
+    return df.select(*[F.date_format(f.name, fmt).alias(f.name) if isinstance(f.dataType, kinds) else F.col(f.name) for f in df.schema.fields])

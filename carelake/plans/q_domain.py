@@ -353,7 +353,9 @@ FROM u GROUP BY GROUPING SETS ((n_name), ())
 """)
 def referral_panel(t):
     """Referrals, distinct patient-months (A10), women referred and the
-    population per site plus the network row, in one aggregation."""
+    population per site plus the network row, whose distinct counts come
+    from the sites' bitmaps."""
+    from carelake.operators.aggregate import distinct_with_total
     a = _with_site(affiliates(t.customer), t).select("c_custkey", "sex", "n_name")
     r = t.orders.filter(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH") &
                         in_range("o_orderdate", _ts(2000, 1, 1), _ts(2001, 1, 1)))
@@ -363,19 +365,21 @@ def referral_panel(t):
         F.when(F.col("sex") == "F", F.col("o_custkey")).alias("woman"), F.lit(0).alias("pop"))
     p = a.select("n_name", F.lit(0).alias("is_ref"), F.lit(None).cast("bigint").alias("pat"),
                  F.lit(None).cast("date").alias("mon"), F.lit(None).cast("bigint").alias("woman"), F.lit(1).alias("pop"))
-    aggs = [F.sum("is_ref").cast("bigint").alias("n_referrals"),
-            F.count_distinct("pat", "mon").alias("n_patient_months"),
-            F.count_distinct("woman").alias("n_women"), F.sum("pop").cast("bigint").alias("population")]
-    return grouped_with_total(r.unionByName(p), ["n_name"], aggs, "NETWORK TOTAL")
+    u = r.unionByName(p)
+    # a patient-month as one number, so that a bitmap can hold it (24 * 12 months a century, 4096 leave room)
+    u = u.withColumn("pat_mon", F.col("pat") * 4096 + F.months_between("mon", F.lit(dt.date(1970, 1, 1))).cast("bigint"))
+    return distinct_with_total(u, "n_name", {"n_patient_months": "pat_mon", "n_women": "woman"},
+                               {"n_referrals": "is_ref", "population": "pop"}, "NETWORK TOTAL")
 
 
 @query("maternal_referrals", f"""
 WITH a AS (SELECT x.*, n_name FROM ({AFFILIATES_SQL}) x JOIN nation ON c_nationkey = n_nationkey),
 m AS (SELECT n_name, CAST(count(*) AS BIGINT) AS maternal FROM a WHERE sex = 'F' AND age BETWEEN 10 AND 49 GROUP BY 1),
 r AS (SELECT n_name, CAST(count(*) AS BIGINT) AS n_referrals, CAST(count(DISTINCT o_custkey) AS BIGINT) AS n_women,
-        CAST(count(*) FILTER (s_nationkey = c_nationkey) AS BIGINT) AS n_home,
-        CAST(count(*) FILTER (s_acctbal > 5000) AS BIGINT) AS n_active
-      FROM orders JOIN a ON o_custkey = c_custkey JOIN supplier ON s_suppkey = 1 + o_custkey % (SELECT max(s_suppkey) FROM supplier)
+        CAST(sum(CASE WHEN s_nationkey = c_nationkey THEN 1 ELSE 0 END) AS BIGINT) AS n_home,
+        CAST(sum(CASE WHEN s_acctbal > 5000 THEN 1 ELSE 0 END) AS BIGINT) AS n_active
+      FROM (SELECT o_custkey, o_orderpriority, 1 + o_custkey % top AS prof FROM orders, (SELECT max(s_suppkey) AS top FROM supplier) mx) o
+      JOIN a ON o_custkey = c_custkey JOIN supplier ON s_suppkey = prof
       WHERE sex = 'F' AND age BETWEEN 10 AND 49 AND o_orderpriority IN ('1-URGENT', '2-HIGH') GROUP BY 1),
 j AS (SELECT m.n_name, maternal, coalesce(n_referrals, 0) AS n_referrals, coalesce(n_women, 0) AS n_women,
         coalesce(n_home, 0) AS n_home, coalesce(n_active, 0) AS n_active FROM m LEFT JOIN r ON m.n_name = r.n_name)

@@ -10,14 +10,18 @@ from __future__ import annotations
 
 import fnmatch
 import re
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from carelake.operators.shape import reconciled, to_schema
+
 __all__ = [
     "scan_jdbc", "scan_sql", "scan_csv", "with_file_name", "drop_footer_rows", "scan_sheet",
     "list_files", "latest_file", "existing_paths", "scan_union", "inline_table", "string_schema",
+    "scan_lines", "drop_last_lines", "parse_lines", "scan_drifting",
 ]
 
 
@@ -80,6 +84,48 @@ def drop_footer_rows(df: DataFrame, key: str, pattern: str = r"^[0-9]+$") -> Dat
     return df.filter(F.trim(F.col(key)).rlike(pattern))
 
 
+def scan_lines(spark: SparkSession, paths, encoding: str = "UTF-8") -> DataFrame:
+    """Lines of text files with their number: ``value, source_file, line_no, n_lines``.
+
+    Files are read in splits as usual. A split's rows have consecutive row
+    ids, so a row's place in its split is its id less the split's least; the
+    number of lines before a split is a running sum over the splits of its
+    file. What is summed and joined has one row a split, not one a line.
+    """
+    read = spark.read.option("encoding", encoding).text(paths if isinstance(paths, (list, tuple)) else [paths])
+    lines = read.select("value", F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("__at"),
+                        F.monotonically_increasing_id().alias("__id"))
+    splits = lines.groupBy("source_file", "__at").agg(F.min("__id").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    w = Window.partitionBy("source_file")  # the splits of a file
+    before = F.coalesce(F.sum("__n").over(w.orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    splits = splits.select(F.col("source_file").alias("__f"), F.col("__at").alias("__a"), "__first", before.alias("__before"),
+                           F.sum("__n").over(w).alias("n_lines"))
+    j = lines.join(splits, (F.col("source_file") == F.col("__f")) & (F.col("__at") == F.col("__a")))
+    return j.select("value", "source_file", (F.col("__before") + F.col("__id") - F.col("__first") + 1).alias("line_no"), "n_lines")
+
+
+def drop_last_lines(lines: DataFrame, n: int = 2) -> DataFrame:
+    """S7 by position: the last ``n`` lines of each file go."""
+    return lines.filter(F.col("line_no") <= F.col("n_lines") - n)
+
+
+def parse_lines(lines: DataFrame, names, sep: str = ",") -> DataFrame:
+    """The text columns of delimited lines, beside file and line number."""
+    row = F.from_csv("value", ", ".join(f"`{n}` string" for n in names), {"sep": sep})
+    return lines.select(row.alias("__r"), *[c for c in lines.columns if c != "value"]).select("__r.*", *[c for c in lines.columns if c != "value"])
+
+
+def scan_drifting(spark: SparkSession, paths, overrides: dict | None = None) -> DataFrame:
+    """Parquet snapshots whose columns and types differ, in one reconciled schema, with their file.
+
+    Only schemas reach the driver, one a snapshot.
+    """
+    frames = [spark.read.parquet(p) for p in paths]
+    schema = reconciled([f.schema for f in frames], overrides)
+    named = [to_schema(f, schema).withColumn("source_file", F.lit(p.rstrip("/").rsplit("/", 1)[-1])) for p, f in zip(paths, frames)]
+    return reduce(lambda a, b: a.unionByName(b), named)
+
+
 def scan_sheet(spark: SparkSession, path: str, tag: str | None = "sheet") -> DataFrame:
     """``{"columns": [...], "rows": [[...], ...]}`` envelopes -> a table
     of strings. One envelope per line.
