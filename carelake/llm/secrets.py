@@ -48,6 +48,8 @@ MIN_VALUE, MIN_ACCESS, MIN_HEX = 8, 16, 32
 MIN_LEN, MIN_BITS, LAST_LEN = 16, 64, 128
 ALPHA, FDR = 1e-4, 0.01
 SIMULATED, SIM_TASKS = 9_999, 64
+#: Strings that are drawn at a time, and draws at most for those that have the encoding.
+DRAWN, MOST_DRAWS = 2_000, 100
 #: Values of q that are told apart.
 GRID = np.logspace(-4, -1, 61)
 
@@ -67,7 +69,7 @@ _AT[np.frombuffer(SYMBOLS.encode(), np.uint8)] = np.arange(len(SYMBOLS))
 _CLASS = np.array([0] * 10 + [1] * 26 + [2] * 26 + [3] * 4)
 _N = len(SYMBOLS)
 #: Letters of both cases count as one, the lower-case one; the last number stands for all other characters.
-_FOLD = np.array([*range(10), *range(36, 62), *range(36, _N + 1)])
+_FOLD = np.array([*range(10), *range(36, 62), *range(36, _N + 1)], np.int16)
 
 
 def encoding(run: str) -> int:
@@ -198,33 +200,35 @@ def written(rng: np.random.Generator, enc: int, length: int, pairs: np.ndarray,
     start = [np.cumsum(np.where(cls == c, use, 0)) / use[cls == c].sum() for c in kinds]
     need = {a for a in range(len(NAMES)) if a < enc and not _SETS[a] >= _SETS[enc]}
     smaller = np.array([[ch in _SETS[a] for ch in alphabet] for a in sorted(need)]).reshape(-1, k)
-    got = []
-    for _ in range(20):
-        x = np.empty((m, length), np.int64)
-        pick = rng.integers(len(kinds), size=m)
+    got, size = [], DRAWN
+    for _ in range(MOST_DRAWS):
+        x = np.empty((size, length), np.int16)
+        pick = rng.integers(len(kinds), size=size)
         for i in range(length):
             if i:
                 cur = x[:, i - 1]
-                leave = rng.random(m) >= stay[cls[cur]]
+                leave = rng.random(size) >= stay[cls[cur]]
                 at = np.searchsorted(kinds, cls[cur])
-                hop = (at + rng.integers(1, max(2, len(kinds)), size=m)) % len(kinds)
+                hop = (at + rng.integers(1, max(2, len(kinds)), size=size)) % len(kinds)
                 pick = np.where(leave, hop, at)
-            u = rng.random(m)
-            first = np.stack([np.searchsorted(s, u, side="right") for s in start])[pick, np.arange(m)]
+            u = rng.random(size)
+            first = np.stack([np.searchsorted(s, u, side="right") for s in start])[pick, np.arange(size)]
             x[:, i] = first if not i else np.where(leave, first, (step[cur] <= u[:, None]).sum(1))
         x = np.minimum(x, k - 1)
-        fits = ~smaller[:, x].all(2).any(0) if len(smaller) else np.ones(m, bool)
+        fits = ~smaller[:, x].all(2).any(0) if len(smaller) else np.ones(size, bool)
         got.append(x[fits])
         if sum(map(len, got)) >= m:
             break
     out = np.concatenate(got)
-    return out[:m] if len(out) else x  # no string of several kinds in 20 rounds: take what text there is
+    return out[:m] if len(out) else x  # no string of several kinds in all draws: take what text there is
 
 
 def thresholds(enc: int, length: int, pairs: np.ndarray, m: int = SIMULATED) -> np.ndarray:
     """For each q of GRID the least p at which at most that share of written strings pass for random."""
     rng = np.random.default_rng([enc, length, 11])
-    p = np.sort(combined(battery(written(rng, enc, length, pairs, m), len(_SETS[enc]))))[::-1]
+    x = written(rng, enc, length, pairs, m)
+    p = [combined(battery(x[a:a + DRAWN].astype(np.int64), len(_SETS[enc]))) for a in range(0, len(x), DRAWN)]
+    p = np.sort(np.concatenate(p))[::-1]
     at = np.floor(GRID * (len(p) + 1)).astype(int) - 1  # so many strings may reach it: (1 + count) / (1 + m) <= q
     return np.where(at >= 0, np.nextafter(p[np.clip(at, 0, len(p) - 1)], 2), np.inf)
 
