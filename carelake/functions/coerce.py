@@ -42,11 +42,14 @@ def coerce_int(c, default: int | None = 0) -> Column:
 
     ``'2.9'`` -> 2, ``'-2.9'`` -> -2, ``' 7 '`` -> 7, ``'x'``/NULL/``'nan'`` -> 0.
     Every bigint keeps its value (a double would corrupt ids above 2**53).
-    Whole numbers are read as such; only other text goes through the decimal.
+    Only text that looks like a number is cast: a failed ``try_cast`` costs an
+    exception. Other types than text are cast as they are.
     """
+    s = as_col(c).cast("string")
     d = as_col(c).try_cast("decimal(38,9)")
-    whole = F.when(d < 0, F.ceil(d)).otherwise(F.floor(d))
-    i = F.coalesce(as_col(c).try_cast("bigint"), whole.try_cast("bigint"))
+    whole = F.when(d < 0, F.ceil(d)).otherwise(F.floor(d)).try_cast("bigint")
+    i = F.when(s.rlike(r"^\s*[+-]?[0-9]{1,18}\s*$"), as_col(c).try_cast("bigint")).when(
+        s.rlike(r"[0-9]") | s.isin("true", "false"), whole)
     return i if default is None else F.coalesce(i, F.lit(int(default)).cast("bigint"))
 
 
