@@ -149,3 +149,116 @@ def population_as_of(t):
         "o_orderkey", F.col("c_nationkey").alias("site"), F.when(F.col("o_orderkey") % 13 != 0, F.to_date("o_orderdate")).alias("day"))
     pop = pop.withColumn("at", F.col("period"))
     return as_of(v, pop, "site", "day", "at", ["period", "population"])
+
+
+# ---------------------------------------------------------------- D20
+_DENTAL_SQL = f"""
+WITH pop AS ({_POP_SQL}),
+v AS (SELECT * FROM (SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS day, CAST(date_trunc('month', o_orderdate) AS DATE) + 14 AS period,
+        c_nationkey AS site, row_number() OVER (PARTITION BY o_custkey, CAST(o_orderdate AS DATE) ORDER BY o_orderkey) AS rn
+      FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderdate >= TIMESTAMP '2000-05-01' AND o_orderdate < TIMESTAMP '2000-08-01') x WHERE rn = 1)
+SELECT v.o_orderkey, v.o_custkey, v.day, strftime(v.period, '%Y%m') AS month, v.site, pop.population
+FROM v ASOF LEFT JOIN pop ON v.site = pop.site AND v.period >= pop.period"""
+
+
+@query("dental_capitation_load", _DENTAL_SQL + """
+UNION ALL SELECT NULL, NULL, NULL, 'loads', NULL, 3
+""")
+def dental_capitation_load(t):
+    """D20 as a load: each month's visits with the population of their period
+    and site (the latest published at or before it), one row per patient and
+    day (W5), behind a monthly gate (G2), in place of the month's rows (K6);
+    a rerun in the month finds the gate closed. Read back with the log's count."""
+    from carelake.functions.dates import in_range, mid_month
+    from carelake.operators.sequence import dedupe
+    spark = t.orders.sparkSession
+    base = work_dir(spark, "dental-load")
+    sites = t.customer.groupBy(F.col("c_nationkey").alias("site")).agg(F.count(F.lit(1)).alias("n")).filter("site % 5 <> 0")
+    pop = sites.select("site", "n", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("k")).select(
+        "site", F.make_date(F.lit(2000), (1 + F.col("k") * (1 + F.col("site") % 3)).cast("int"), F.lit(15)).alias("at"),
+        (F.col("n") + F.col("k")).alias("population"))
+    for run in (dt.date(2000, 6, 3), dt.date(2000, 7, 3), dt.date(2000, 7, 9), dt.date(2000, 8, 3)):
+        if G.gate(K.read_log(spark, f"{base}/log"), "dental", "monthly", run).first()["proceed"] != 1:
+            continue
+        lo = (run.replace(day=1) - dt.timedelta(days=1)).replace(day=1)
+        v = t.orders.filter(in_range("o_orderdate", lo, run.replace(day=1))).join(
+            t.customer.select("c_custkey", F.col("c_nationkey").alias("site")), F.col("o_custkey") == F.col("c_custkey"))
+        v = v.select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("day"), mid_month("o_orderdate").alias("period"), "site")
+        out = as_of(v, pop, "site", "period", "at", ["population"])
+        out = dedupe(out, ["o_custkey", "day"], keep="first", order="o_orderkey").withColumn("month", F.date_format("period", "yyyyMM")).drop("period")
+        n = K.replace_period(out, f"{base}/table", "month", f"{lo:%Y%m}")
+        K.log_load(spark, f"{base}/log", n, "dental", dt.datetime.combine(run, dt.time(6)))
+    cols = ["o_orderkey", "o_custkey", "day", "month", "site", "population"]
+    kinds = {"o_orderkey": "bigint", "o_custkey": "bigint", "day": "date", "month": "string", "site": t.customer.schema["c_nationkey"].dataType.simpleString(),
+             "population": "bigint"}
+    table = spark.read.schema(", ".join(f"{c} {k}" for c, k in kinds.items())).parquet(f"{base}/table").select(*cols)
+    loads = K.read_log(spark, f"{base}/log").agg(F.count(F.lit(1)).alias("population")).withColumn("month", F.lit("loads"))
+    return table.unionByName(loads, allowMissingColumns=True)
+
+
+# ---------------------------------------------------------------- D7
+@query("encounter_audit_publish", """
+WITH e AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, c_nationkey AS site FROM orders JOIN customer ON o_custkey = c_custkey
+           WHERE o_orderdate >= TIMESTAMP '2001-01-01' AND o_orderdate < TIMESTAMP '2001-04-01'),
+n AS (SELECT c_nationkey AS site, CAST(count(*) AS BIGINT) AS population FROM customer GROUP BY 1)
+SELECT 'row' AS part, o_orderkey, day, e.site, CASE WHEN day >= DATE '2001-02-01' OR e.site % 2 = 0 THEN n.population ELSE 0 END AS population FROM e JOIN n ON n.site = e.site
+UNION ALL SELECT 'run 1', CAST(count(*) AS BIGINT), NULL, NULL, 1 FROM e WHERE day < DATE '2001-02-11'
+UNION ALL SELECT 'run 2', CAST(count(*) AS BIGINT), NULL, NULL, 1 FROM e WHERE day >= DATE '2001-02-11'
+UNION ALL SELECT 'run 3', 0, NULL, NULL, -1
+""")
+def encounter_audit_publish(t):
+    """Encounters after the target's high watermark (G9) are published
+    (K15), a run that finds none stops (G12); rows that were loaded with
+    population 0 since February are repaired from the roll where it differs
+    (K9), rewriting the months they are in. Table and run summaries read back."""
+    from carelake.functions.dates import in_range
+    spark = t.orders.sparkSession
+    base = work_dir(spark, "audit-publish")
+    kind = t.customer.schema["c_nationkey"].dataType.simpleString()
+    schema = f"o_orderkey bigint, day date, site {kind}, population bigint, month string"
+    e = t.orders.filter(in_range("o_orderdate", dt.date(2001, 1, 1), dt.date(2001, 4, 1))).join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(
+        F.col("o_orderkey").cast("bigint"), F.to_date("o_orderdate").alias("day"), F.col("c_nationkey").alias("site"))
+    n = t.customer.groupBy(F.col("c_nationkey").alias("site")).agg(F.count(F.lit(1)).alias("population"))
+    e = e.join(n, "site").withColumn("population", F.when(F.col("site") % 2 == 0, F.col("population")).otherwise(F.lit(0).cast("bigint")))
+    e = e.select("o_orderkey", "day", "site", "population", F.date_format("day", "yyyyMM").alias("month"))
+    spark.createDataFrame([], schema).write.partitionBy("month").parquet(f"{base}/out/audit")
+    out = None
+    for name, run, seen in (("run 1", dt.date(2001, 2, 11), dt.date(2001, 2, 11)), ("run 2", dt.date(2001, 4, 1), dt.date(2001, 4, 1)),
+                            ("run 3", dt.date(2001, 5, 1), dt.date(2001, 4, 1))):
+        target = spark.read.schema(schema).parquet(f"{base}/out/audit") if K.path_exists(spark, f"{base}/out/audit") else spark.createDataFrame([], schema)
+        batch = G.rows_after(e.filter(F.col("day") < F.lit(seen)), "day", target)
+        s = K.publish_all([K.PublishSpec("audit", batch.select("o_orderkey", "day", "site", "population", "month"))], f"{base}/out", f"{base}/log", run)
+        s = s.select(F.lit(name).alias("part"), F.col("rows").alias("o_orderkey"), F.col("loaded").cast("bigint").alias("population"))
+        out = s if out is None else out.unionByName(s)
+    loaded = spark.read.schema(schema).parquet(f"{base}/out/audit")
+    # the published rows as a table by month, so that the repair rewrites the months it touches
+    K.overwrite(loaded, f"{base}/table", partition_by="month")
+    wrong = loaded.filter((F.col("population") == 0) & (F.col("day") >= F.lit(dt.date(2001, 2, 1)))).select("o_orderkey", "site", "month")
+    K.merge_partitions(spark, f"{base}/table", wrong.join(n, "site").select("o_orderkey", "month", "population"), ["o_orderkey", "month"], "population", "month",
+                       only_changed=True)
+    table = spark.read.schema(schema).parquet(f"{base}/table").select(F.lit("row").alias("part"), "o_orderkey", "day", "site", "population")
+    return table.unionByName(out, allowMissingColumns=True)
+
+
+# ---------------------------------------------------------------- D9
+@query("pregnancy_tests", """
+WITH w AS (SELECT c_custkey, c_nationkey AS site FROM customer WHERE c_custkey % 2 = 1),
+r AS (SELECT user_id, CAST(ts AS DATE) AS day, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn
+      FROM events JOIN w ON user_id = c_custkey WHERE value > 50 AND ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-02-01')
+SELECT r.user_id, r.day, w.site, DATE '2024-01-15' AS fecha_capita,
+       CASE WHEN EXISTS (SELECT 1 FROM orders WHERE o_custkey = r.user_id AND o_orderpriority = '3-MEDIUM') THEN 'SI' ELSE 'NO' END AS controlada
+FROM r JOIN w ON r.user_id = w.c_custkey WHERE rn = 1
+""")
+def pregnancy_tests(t):
+    """D9 extract: the month's positive pregnancy tests, the first of each
+    woman, with the capitation period and whether she has a prenatal control (J16)."""
+    from carelake.functions.dates import in_range
+    from carelake.operators.lookup import enrich, match_marker
+    from carelake.operators.sequence import first_per
+    women = t.customer.filter(F.col("c_custkey") % 2 == 1).select("c_custkey", F.col("c_nationkey").alias("site"))
+    tests = t.events.filter(in_range("ts", dt.date(2024, 1, 1), dt.date(2024, 2, 1)) & (F.col("value") > 50))
+    tests = enrich(tests.select("user_id", "ts", "event_id"), women, "user_id", right_on="c_custkey", how="inner")
+    first = first_per(tests, "user_id", ["ts", "event_id"]).withColumn("fecha_capita", F.lit(dt.date(2024, 1, 15)))
+    controls = t.orders.filter(F.col("o_orderpriority") == "3-MEDIUM").select("o_custkey")
+    return match_marker(first, controls, "user_id", "controlada", right_on="o_custkey").select(
+        "user_id", F.to_date("ts").alias("day"), "site", "fecha_capita", "controlada")
