@@ -631,12 +631,20 @@ def _novelties(t, run):
 
 
 @query("month_window_closed", """
-SELECT o_orderkey, o_custkey FROM orders
+SELECT 'row' AS part, CAST(o_orderkey AS BIGINT) AS n FROM orders
 WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderdate >= TIMESTAMP '2001-02-01' AND o_orderdate < TIMESTAMP '2001-03-01')
+UNION ALL SELECT 'loads of the month', CAST(count(*) AS BIGINT) FROM orders WHERE o_orderdate >= TIMESTAMP '2001-02-01' AND o_orderdate < TIMESTAMP '2001-03-01'
 """)
 def month_window_closed(t):
-    """The log has a load of the run's month: nothing is extracted."""
-    return _novelties(t, dt.date(2001, 2, 20))
+    """The log has a load of the run's month: nothing is extracted; the
+    gate's own count of loads is the other row."""
+    from carelake.sinks.gates import gate
+    run = dt.date(2001, 2, 20)
+    log = t.orders.filter(F.col("o_orderdate") < F.lit(_ts(2001, 3, 1))).select(
+        F.col("o_orderdate").alias("fechaCargue"), F.lit("novedades").alias("idBigquery"))
+    loads = gate(log, "novedades", "monthly", run).select(F.lit("loads of the month").alias("part"), F.col("totalCargues").cast("bigint").alias("n"))
+    rows = _novelties(t, run).select(F.lit("row").alias("part"), F.col("o_orderkey").cast("bigint").alias("n"))
+    return rows.unionByName(loads)
 
 
 @query("sorted_report", """
