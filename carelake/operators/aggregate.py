@@ -118,10 +118,22 @@ def grouped_with_total(df: DataFrame, keys, aggs, label: str, label_col: str | N
 
 def with_total_row(agg: DataFrame, keys, sum_cols, label: str, label_col: str) -> DataFrame:
     """A5 for additive measures: append ``sum(col)`` over ``label_col`` (per
-    remaining keys) to an aggregated frame, labelled ``label``."""
+    remaining keys) to a frame aggregated by ``keys``, labelled ``label``.
+
+    Each aggregated row counts for its group and for the total, and both are
+    summed in one more aggregate of those few rows: the frame is planned once.
+    Without remaining keys there is always a total row, of NULLs when ``agg``
+    is empty; a group that happens to be called ``label`` stays a group.
+    """
     outer = [k for k in keys if k != label_col]
-    tot = agg.groupBy(*outer).agg(*[F.sum(c).alias(c) for c in sum_cols]).withColumn(label_col, F.lit(label))
-    return agg.withColumn(label_col, F.col(label_col).cast("string")).unionByName(tot.select(*agg.columns))
+    as_group = F.struct(F.lit(0).alias("total"), F.col(label_col).cast("string").alias("name"))
+    as_total = F.struct(F.lit(1).alias("total"), F.lit(label).alias("name"))
+    rows = agg.select(*outer, *sum_cols, F.explode(F.array(as_group, as_total)).alias("__row"))
+    if not outer:
+        nothing = [F.lit(None).cast(agg.schema[c].dataType).alias(c) for c in sum_cols]
+        rows = rows.unionByName(agg.sparkSession.range(1, numPartitions=1).select(*nothing, as_total.alias("__row")))
+    out = rows.groupBy(*outer, "__row").agg(*[F.sum(c).alias(c) for c in sum_cols])
+    return out.withColumn(label_col, F.col("__row.name")).select(*agg.columns)
 
 
 def pivot_count(df: DataFrame, keys, col: str, values, fill: int = 0,

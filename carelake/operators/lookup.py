@@ -1,8 +1,9 @@
 """Join-based enrichment and existence logic.
 
-Broadcast policy: only dimensions with a proven size bound (fixed code
-catalogs, the site list) are broadcast explicitly (``small=True``). Anything
-that grows with the data is left to the planner; with AQE on, a side is
+Broadcast policy: only dimensions that are small by nature (fixed code
+catalogs, the site list) are broadcast explicitly (``small=True``), and only
+after their rows have been counted (``MOST_SMALL``; beyond it the join is
+planned like any other). Anything that grows with the data is left to the planner; with AQE on, a side is
 turned into a broadcast only after its runtime size is measured under
 ``spark.sql.autoBroadcastJoinThreshold``, otherwise it stays a shuffle join
 (with skew-splitting of hot keys).
@@ -24,7 +25,7 @@ from pyspark.sql import types as T
 from carelake.functions._col import as_col
 
 __all__ = [
-    "enrich", "flag_in", "flags_in", "inverse_flag", "match_marker", "count_matching", "last_value",
+    "enrich", "broadcast_small", "flag_in", "flags_in", "inverse_flag", "match_marker", "count_matching", "last_value",
     "status_by_priority", "fill_from", "overwrite_from", "fill_for_codes", "anti", "semi", "as_of", "match_phrases", "unknown_codes",
     "StatusRule",
 ]
@@ -34,8 +35,22 @@ def _keys(on):
     return [on] if isinstance(on, str) else list(on)
 
 
+#: Rows of a dimension that is broadcast on request.
+MOST_SMALL = 100_000
+
+
+def broadcast_small(df: DataFrame, rows_of: DataFrame | None = None, most: int = MOST_SMALL) -> DataFrame:
+    """``df`` hinted for broadcast if it has at most ``most`` rows, else as it is.
+
+    ``rows_of`` is counted in its place: a cheaper frame with as many rows
+    (``df`` before columns were joined to it by unique keys).
+    """
+    counted = (df if rows_of is None else rows_of).limit(most + 1).count()
+    return F.broadcast(df) if counted <= most else df
+
+
 def _maybe_broadcast(df: DataFrame, small: bool) -> DataFrame:
-    return F.broadcast(df) if small else df
+    return broadcast_small(df) if small else df
 
 
 def enrich(df: DataFrame, dim: DataFrame, on, how: str = "left", right_on=None,

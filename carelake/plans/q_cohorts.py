@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from carelake.operators.aggregate import cohort, cohort_counts, pivot_count
+from carelake.operators.lookup import broadcast_small
 from carelake.plans.population import NETWORK_LABEL, STANDARD_COHORTS, cohort_sql, population_cohorts
 from carelake.plans.registry import query
 from carelake.plans.standins import AFFILIATES_SQL, affiliates
 
 
 def site_roll(t):
-    # nation is a fixed 25-row site dimension: broadcasting it is size-bounded.
     return affiliates(t.customer).join(
-        F.broadcast(t.nation.select("n_nationkey", "n_name")),
+        broadcast_small(t.nation.select("n_nationkey", "n_name")),
         F.col("c_nationkey") == F.col("n_nationkey"))
 
 
@@ -40,19 +40,16 @@ def cohort_counts_strict(t):
     return cohort_counts(site_roll(t), "n_name", STANDARD_COHORTS, strict=True)
 
 
-STRICT_BANDS = [c for c in STANDARD_COHORTS if c.name in ("total", "total_f", "women_10_14", "all_lt1", "all_gt64")]
-
-
 @query("cohort_counts_strict_total", f"""
-WITH s AS (SELECT n_name, {cohort_sql(STRICT_BANDS)}
+WITH s AS (SELECT n_name, {cohort_sql(STANDARD_COHORTS)}
 FROM ({AFFILIATES_SQL}) a JOIN nation n ON a.c_nationkey = n.n_nationkey GROUP BY n_name),
-k AS (SELECT * FROM s WHERE {' AND '.join(c.name + ' > 0' for c in STRICT_BANDS)})
+k AS (SELECT * FROM s WHERE {' AND '.join(c.name + ' > 0' for c in STANDARD_COHORTS)})
 SELECT * FROM k UNION ALL
-SELECT '{NETWORK_LABEL}', {', '.join(f'CAST(sum({c.name}) AS BIGINT)' for c in STRICT_BANDS)} FROM k
+SELECT '{NETWORK_LABEL}', {', '.join(f'CAST(sum({c.name}) AS BIGINT)' for c in STANDARD_COHORTS)} FROM k
 """)
 def cohort_counts_strict_total(t):
     """The network total is over the sites that stay."""
-    return cohort_counts(site_roll(t), "n_name", STRICT_BANDS, strict=True, total_label=NETWORK_LABEL)
+    return cohort_counts(site_roll(t), "n_name", STANDARD_COHORTS, strict=True, total_label=NETWORK_LABEL)
 
 
 @query("population_from_branch_files", f"""

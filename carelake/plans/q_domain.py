@@ -13,7 +13,7 @@ from carelake.functions.labels import bins, label
 from carelake.operators import filters as FL
 from carelake.operators.aggregate import all_of, grouped_with_total, ratio
 from carelake.operators.lookup import (
-    StatusRule, enrich, fill_for_codes, flags_in, status_by_priority,
+    broadcast_small,    StatusRule, enrich, fill_for_codes, flags_in, status_by_priority,
 )
 from carelake.operators.sequence import dedupe, last_per
 from carelake.operators.setops import union_distinct, union_tagged
@@ -273,7 +273,7 @@ def invoice_enrichment(t):
     j = fill_for_codes(j, "l_suppkey", [1, 2, 3], {"tariff": 0.0, "section": _NO_TARIFF})
     sites = enrich(_sites(t), t.customer.groupBy(F.col("c_nationkey").alias("k")).agg(F.count(F.lit(1)).alias("population")),
                    "n_nationkey", right_on="k")
-    j = enrich(j, sites, "c_nationkey", right_on="n_nationkey", small=True, defaults={"n_name": _OTHER_SITE})
+    j = enrich(j, broadcast_small(sites, rows_of=t.nation), "c_nationkey", right_on="n_nationkey", defaults={"n_name": _OTHER_SITE})
     prof = status_by_priority(t.supplier.select("s_suppkey", "s_nationkey"), t.supplier.select("s_suppkey", "s_acctbal"), "s_suppkey",
                               [StatusRule("ACTIVO", F.col("s_acctbal") > 5000), StatusRule("INACTIVO", F.col("s_acctbal") > 0)],
                               "EXTERNO", name="prof_status")

@@ -6,6 +6,7 @@ read back."""
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,7 +20,7 @@ from carelake.operators.sequence import dedupe
 from carelake.operators.setops import union_tagged
 from carelake.operators.shape import TableSpec, apply_spec, cast_all_but
 from carelake.plans.chronic import compensation
-from carelake.plans.registry import query
+from carelake.plans.registry import ORACLES, query
 from carelake.plans.standins import AFFILIATES_SQL, affiliates
 from carelake.session import work_dir
 from carelake.sinks import gates as G
@@ -73,7 +74,11 @@ FROM ({_HT_SQL}) r GROUP BY GROUPING SETS ((n_name), ())
 """)
 def hypertension_coverage(t):
     """D11 output: covered over registered per site and network."""
-    return ratio(_hypertension(t), "n_name", F.col("covered").cast("bigint"), F.lit(1).cast("bigint"), "coverage", total_label=TOTAL)
+    return _coverage(_hypertension(t))
+
+
+def _coverage(reg):
+    return ratio(reg, "n_name", F.col("covered").cast("bigint"), F.lit(1).cast("bigint"), "coverage", total_label=TOTAL)
 
 
 @query("chronic_events", f"""
@@ -89,8 +94,12 @@ SELECT * FROM g UNION ALL SELECT '{TOTAL}', {', '.join(f'CAST(sum({k}_{n}_{x}) A
 def chronic_events(t):
     """D11 output: hospital and urgent events and days of registered patients,
     split by coverage (A6), per site and network (A5)."""
+    return _events(t, _hypertension(t))
+
+
+def _events(t, reg):
     from carelake.operators.aggregate import with_total_row
-    reg = _hypertension(t).select("c_custkey", "n_name", "covered")
+    reg = reg.select("c_custkey", "n_name", "covered")
     o = enrich(t.orders.select("o_orderkey", "o_custkey"), reg, "o_custkey", right_on="c_custkey", how="inner")
     li = t.lineitem.filter(F.col("l_returnflag").isin("R", "A")).select("l_orderkey", "l_returnflag", F.col("l_quantity").cast("bigint").alias("days"))
     e = enrich(li, o.select("o_orderkey", "n_name", "covered"), "l_orderkey", right_on="o_orderkey", how="inner")
@@ -136,25 +145,53 @@ def professional_followup(t):
     return g.withColumn("share", F.round(F.try_divide(F.col("n_compensated").cast("double"), F.col("n_patients")), 4))
 
 
-@query("chronic_publish", f"""
-WITH s AS (SELECT n_name, CAST(count(*) AS BIGINT) AS n FROM ({_HT_SQL}) r GROUP BY 1)
-SELECT 'register' AS item, n_name, n FROM s
-UNION ALL SELECT 'loaded register', NULL, CAST(count(*) AS BIGINT) FROM s
-UNION ALL SELECT 'loaded patients', NULL, CAST(count(*) AS BIGINT) FROM ({_HT_SQL}) r
-""")
+# The panel's seven published tables, each with its key and the measures that are read back.
+_PUBLISHED = {
+    "chronic_panel": ("n_name", ("n_registered", "n_covered", "n_screened", "n_with_result", "n_compensated")),
+    "compensation_status": ("patient", ("age", "n_results", "compensated")),
+    "hypertension_register": ("c_custkey", ("age", "covered", "n_nurse", "n_doctor")),
+    "hypertension_coverage": ("n_name", ("numerator", "denominator")),
+    "chronic_events": ("n_name", tuple(f"{k}_{n}_{x}" for k in ("events", "days") for n in ("hospital", "urgent") for x in ("covered", "uncovered"))),
+    "professional_followup": ("professional", ("n_patients", "n_compensated")),
+    "site_register": ("n_name", ("n",)),
+}
+_SITES_SQL = f"SELECT n_name, CAST(count(*) AS BIGINT) AS n FROM ({_HT_SQL}) r GROUP BY 1"
+
+
+def _published_sql() -> str:
+    parts = []
+    for name, (key, measures) in _PUBLISHED.items():
+        sql = ORACLES.get(name, _SITES_SQL)
+        total = " + ".join(f"coalesce({m}, 0) * {i}" for i, m in enumerate(measures, 1))
+        parts.append(f"SELECT '{name}' AS item, CAST({key} AS VARCHAR) AS key, CAST({total} AS BIGINT) AS n FROM ({sql}) x")
+        parts.append(f"SELECT 'loaded {name}', NULL, CAST(count(*) AS BIGINT) FROM ({sql}) x")
+    return " UNION ALL ".join(parts)
+
+
+@query("chronic_publish", _published_sql())
 def chronic_publish(t):
-    """D11 publish: two of the panel's outputs through the gated publisher; a
-    table read back, and the run summary (K17)."""
+    """D11 publish: the panel's seven outputs through the gated publisher, twice
+    in the month (the second run finds every gate closed); each table read back
+    by key with a weighted sum of its measures, and the first run's summary (K17).
+    The register with its contacts is made once for the outputs that need it."""
+    from carelake.plans.q_domain import chronic_panel
+    from carelake.plans.q_sequences import compensation_status
     spark = t.customer.sparkSession
     base = work_dir(spark, "chronic")
-    reg = _register(t)
-    sites = reg.groupBy("n_name").agg(F.count(F.lit(1)).alias("n")).withColumn("period", F.lit("200106"))
-    s = K.publish_all([K.PublishSpec("register", sites, period_col="period"),
-                       K.PublishSpec("patients", reg.withColumn("period", F.lit("200106")), period_col="period")],
-                      f"{base}/out", f"{base}/log", _RUN)
-    back = spark.read.parquet(f"{base}/out/register")
-    return back.select(F.lit("register").alias("item"), "n_name", "n").unionByName(
-        s.select(F.concat(F.lit("loaded "), "table").alias("item"), F.lit(None).cast("string").alias("n_name"), F.col("rows").alias("n")))
+    reg = _hypertension(t).checkpoint(eager=True)
+    outputs = {
+        "chronic_panel": chronic_panel(t), "compensation_status": compensation_status(t), "hypertension_register": reg,
+        "hypertension_coverage": _coverage(reg), "chronic_events": _events(t, reg), "professional_followup": professional_followup(t),
+        "site_register": reg.groupBy("n_name").agg(F.count(F.lit(1)).alias("n")),
+    }
+    specs = [K.PublishSpec(n, outputs[n].withColumn("period", F.lit("200106")), period_col="period") for n in _PUBLISHED]
+    done = K.publish_all(specs, f"{base}/out", f"{base}/log", _RUN)
+    K.publish_all(specs, f"{base}/out", f"{base}/log", _RUN + dt.timedelta(days=9))
+    out = done.select(F.concat(F.lit("loaded "), "table").alias("item"), F.lit(None).cast("string").alias("key"), F.col("rows").alias("n"))
+    for n, (key, measures) in _PUBLISHED.items():
+        total = reduce(lambda a, b: a + b, [F.coalesce(F.col(m).cast("bigint"), F.lit(0)) * i for i, m in enumerate(measures, 1)])
+        out = out.unionByName(spark.read.parquet(f"{base}/out/{n}").select(F.lit(n).alias("item"), F.col(key).cast("string").alias("key"), total.alias("n")))
+    return out
 
 
 # ---------------------------------------------------------------- D20

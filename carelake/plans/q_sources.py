@@ -32,20 +32,21 @@ def roll_files_footer(t):
     dropped by predicate; branch from the file path."""
     spark = t.customer.sparkSession
     base = work_dir(spark, "roll-files")
+    parts = max(4, -(-t.customer.count() // 5_000_000))  # files of a branch: about a million lines each at most
     c = t.customer.select(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("name"),
                           F.col("c_nationkey").cast("string").alias("site"), F.col("c_acctbal").cast("string").alias("balance"),
                           F.col("c_mktsegment").alias("segment"), (F.col("c_nationkey") % 5).alias("branch"),
-                          F.pmod(F.col("c_custkey"), F.lit(4)).alias("part"), F.lit(0).alias("footer"))
+                          F.pmod(F.xxhash64("c_custkey"), F.lit(parts)).alias("part"), F.lit(0).alias("footer"))
     feet = c.groupBy("branch", "part").agg(F.count(F.lit(1)).cast("string").alias("name")).select(
         F.lit("TOTAL").alias("id"), "name", *[F.lit(None).cast("string").alias(x) for x in ("site", "balance", "segment")],
         "branch", "part", F.lit(1).alias("footer"))
     feet = feet.unionByName(feet.select(F.lit("Generado").alias("id"), *[F.lit(None).cast("string").alias(x) for x in
                                                                            ("name", "site", "balance", "segment")],
                                         "branch", "part", F.lit(2).alias("footer")))
-    # Four files per branch, footer lines last in each.
+    # At least four files per branch, footer lines last in each.
     (c.unionByName(feet).repartition("branch", "part").sortWithinPartitions("branch", "part", "footer", "id").drop("footer")
      .write.partitionBy("branch", "part").option("sep", ";").option("encoding", "ISO-8859-1").csv(f"{base}/roll"))
-    paths = [f"{base}/roll/branch={b}/part={p}" for b in range(5) for p in range(4)] + [f"{base}/roll/branch=missing"]
+    paths = [f"{base}/roll/branch={b}/part={p}" for b in range(5) for p in range(parts)] + [f"{base}/roll/branch=missing"]
     df = R.scan_union(spark, paths, names=ROLL_NAMES, sep=";", encoding="ISO-8859-1",
                       dtypes={"balance": T.DoubleType()})
     df = R.drop_footer_rows(df, "id")

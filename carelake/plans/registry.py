@@ -56,6 +56,6 @@ def load_all():
     """Import every query module so that all keys are registered."""
     from carelake.plans import (  # noqa: F401
         q_cohorts, q_aggregates, q_sequences, q_lookups, q_functions, q_filters,
-        q_loads, q_domain, q_streams, q_sources, q_panels, q_commits, q_landed,
+        q_loads, q_domain, q_streams, q_sources, q_panels, q_commits, q_landed, q_routine,
     )
     return QUERIES, ORACLES

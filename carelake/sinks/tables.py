@@ -45,6 +45,11 @@ LOG_SCHEMA = T.StructType([
 ])
 
 
+#: How reports and state files are written; the writer's own timestamp form would drop the microseconds.
+_CSV = {"sep": ";", "header": "true", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+        "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
+
 def _write(df: DataFrame, path: str, mode: str, fmt: str = "parquet", partition_by=None, **opts) -> int:
     obs = Observation(f"w{uuid.uuid4().hex[:8]}")
     w = df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode(mode).format(fmt).options(**opts)
@@ -301,7 +306,7 @@ def log_load(spark: SparkSession, log_path: str, n: int, table: str, at: dt.date
 
 def snapshot_csv(df: DataFrame, path: str, period: str) -> int:
     """Month state file (``;``-separated, header) under ``period=`` ."""
-    return _write(df, f"{path.rstrip('/')}/period={period}", "overwrite", "csv", sep=";", header="true")
+    return _write(df, f"{path.rstrip('/')}/period={period}", "overwrite", "csv", **_CSV)
 
 
 @dataclass
@@ -362,7 +367,7 @@ def export_csv(df: DataFrame, path: str) -> int:
     one leaves the earlier export); returns the number of rows."""
     if df.isEmpty():
         return 0
-    return _write(df, path, "overwrite", "csv", sep=";", header="true")
+    return _write(df, path, "overwrite", "csv", **_CSV)
 
 
 def run_summary(spark: SparkSession, rows) -> DataFrame:
