@@ -20,8 +20,8 @@ Scale
 
 Defined results
     One row per document: null, empty and unknown texts have null ``license`` and no notices. A text that
-    normalises to nothing matches nothing. Repeated rows are one row each as long as their ids
-    differ; rows of one id are one row, with the union of what they hold. Null ids are one such id.
+    normalises to nothing matches nothing. Each row has a row of its own, whether its id is null or
+    another row has it too. Other columns are not read, whatever their names are.
 """
 
 from __future__ import annotations
