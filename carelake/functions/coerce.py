@@ -26,9 +26,12 @@ NULL_WORDS = ("nan", "none", "null", "nul", "nat", "")
 
 
 def to_double(c) -> Column:
-    """Text or number -> double; unparsable, NaN and infinities -> NULL."""
-    d = as_col(c).try_cast("double")
-    return F.when(~F.isnan(d) & (F.abs(d) != F.lit(float("inf"))), d)
+    """Text or number -> double; unparsable, NaN and infinities -> NULL.
+
+    Text without a digit is not cast (a failed ``try_cast`` costs an exception)."""
+    s, d = as_col(c).cast("string"), as_col(c).try_cast("double")
+    looks = s.rlike(r"[0-9]") | s.isin("true", "false")
+    return F.when(looks, F.when(~F.isnan(d) & (F.abs(d) != F.lit(float("inf"))), d))
 
 
 def coerce_float(c, default: float | None = 0.0) -> Column:

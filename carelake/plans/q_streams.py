@@ -52,6 +52,26 @@ def stream_keyed_load(t):
     return spark.read.parquet(f"{base}/table")
 
 
+@query("stream_keyed_partitions", """
+SELECT event_id, user_id, ts, CASE WHEN event_id % 17 <> 0 THEN CAST(ts AS DATE) END AS day FROM events
+UNION ALL SELECT event_id, user_id, ts, DATE '2023-12-01' FROM events WHERE event_id % 5 = 0
+""")
+def stream_keyed_partitions(t):
+    """T2 on a target partitioned by day, with years of history in miniature: a
+    micro-batch is compared with the days it has rows of (rows without a day
+    are one of them); the stream comes twice, under checkpoints of its own."""
+    spark = t.events.sparkSession
+    base = work_dir(spark, "stream-partitions")
+    day = F.when(F.col("event_id") % 17 != 0, F.to_date("ts")).alias("day")
+    cols = ["event_id", "user_id", "ts"]
+    old = t.events.filter("event_id % 5 = 0").select(*cols, F.lit(dt.date(2023, 12, 1)).alias("day"))
+    seen = t.events.filter(F.col("ts") < F.lit(dt.datetime(2024, 1, 15))).select(*cols, day)
+    old.unionByName(seen).write.partitionBy("day").parquet(f"{base}/table")
+    for run in range(2):
+        stream_append_new(_events_stream(t).select(*cols, day), f"{base}/table", "event_id", f"{base}/chk{run}", partition_by="day")
+    return spark.read.schema(f"event_id bigint, user_id {t.events.schema['user_id'].dataType.simpleString()}, ts timestamp_ntz, day date").parquet(f"{base}/table")
+
+
 @query("stream_daily_counts", """
 SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start,
        CAST(date_trunc('day', ts) + INTERVAL 1 DAY AS TIMESTAMP) AS window_end,

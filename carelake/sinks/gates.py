@@ -17,7 +17,7 @@ from carelake.functions.dates import in_range, monday_of
 from carelake.operators.lookup import anti
 
 __all__ = [
-    "gate", "gates", "rows_after", "range_probe", "watermark_of", "new_rows", "new_ids", "fallback_period",
+    "gate", "gates", "rows_after", "range_probe", "watermark_of", "new_rows", "new_in_partitions", "new_ids", "fallback_period",
     "load_window", "mark_new_vs_previous",
 ]
 
@@ -98,6 +98,20 @@ def new_rows(batch: DataFrame, target: DataFrame, key, since=None, since_col: st
     return anti(batch, target, key, right_on=target_key, null_safe=null_safe)
 
 
+def new_in_partitions(batch: DataFrame, target: DataFrame, key, partition_by: str, null_safe: bool = False) -> DataFrame:
+    """G6/G8 against a target partitioned by a column that belongs to the key:
+    only the partitions that the batch has rows of are read.
+
+    Their values, one per partition, are literals in the target's filter (the
+    NULL partition is one), so what a load looks at follows its batch and not
+    the table's history.
+    """
+    from carelake.sinks.tables import in_values
+    keys = [*([key] if isinstance(key, str) else key), partition_by]
+    held = [r[0] for r in batch.select(partition_by).distinct().collect()]  # a row a partition
+    return anti(batch, target.filter(in_values(partition_by, held)), keys, null_safe=null_safe)
+
+
 def new_ids(batch: DataFrame, ids: DataFrame, key: str, ids_key: str | None = None) -> DataFrame:
     """As new_rows with both keys compared as strings."""
     ik = ids_key or key

@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from carelake.session import work_dir
-from carelake.sinks.gates import new_rows
+from carelake.sinks.gates import new_in_partitions, new_rows
 from carelake.sinks.tables import append, drop_partitions, in_values, overwrite_partitions, path_exists
 
 __all__ = ["event_time", "stream_dedupe", "stream_append_new", "stream_counts", "stream_refresh",
@@ -99,16 +99,22 @@ def run_available(sdf_writer, checkpoint: str) -> StreamingQuery:
 
 
 def stream_append_new(sdf: DataFrame, table_path: str, key, checkpoint: str | None = None, since=None,
-                      since_col: str | None = None) -> StreamingQuery:
+                      since_col: str | None = None, partition_by: str | None = None) -> StreamingQuery:
     """Continuous keyed load: each micro-batch minus the keys already in
     the target is appended (NULL keys compare equal, so a replay adds nothing
-    twice). ``since`` bounds the part of the target that is looked at."""
+    twice). The part of the target that is looked at is bounded by ``since``, or
+    by ``partition_by``, the target's partition column, which is then part of the
+    key: a micro-batch reads the partitions that it has rows of."""
     spark = sdf.sparkSession
     checkpoint = checkpoint or work_dir(spark, "chk-append")
 
     def load(batch: DataFrame, epoch: int) -> None:
-        target = batch.sparkSession.read.parquet(table_path)
-        append(new_rows(batch, target, key, since=since, since_col=since_col, null_safe=True), table_path)
+        spark = batch.sparkSession
+        if partition_by is None:
+            append(new_rows(batch, spark.read.parquet(table_path), key, since=since, since_col=since_col, null_safe=True), table_path)
+            return
+        target = spark.read.schema(batch.schema).parquet(table_path) if path_exists(spark, table_path) else batch.limit(0)
+        append(new_in_partitions(batch, target, key, partition_by, null_safe=True), table_path, partition_by=partition_by)
 
     return run_available(sdf.writeStream.foreachBatch(load), checkpoint)
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from carelake.operators.aggregate import with_total_row
 from carelake.operators.lookup import broadcast_small, enrich
+from carelake.sinks import gates as G
 from carelake.sinks import tables as K
 
 TOTAL = "TOTAL"
@@ -58,3 +59,26 @@ def test_exports_keep_microseconds(spark, tmp_path):
     for path in ("report", "state/period=202401"):
         back = spark.read.option("sep", ";").option("header", "true").schema(df.schema).csv(f"{tmp_path}/{path}")
         assert back.first()["ts"] == at
+
+
+def test_new_rows_read_the_partitions_of_their_batch(spark, tmp_path):
+    path, kind = f"{tmp_path}/t", "id long, v string, day date"
+    d1, d2, d3 = (dt.date(2024, 1, i) for i in (1, 2, 3))
+    spark.createDataFrame([(1, "a", d1), (2, "b", d2), (3, "c", None), (None, "n", d2)], kind).write.partitionBy("day").parquet(path)
+    target = spark.read.schema(kind).parquet(path)
+    batch = spark.createDataFrame([(1, "x", d2), (2, "x", d2), (3, "x", None), (None, "x", d2), (4, "x", d3)], kind)
+    assert rows(G.new_in_partitions(batch, target, "id", "day", null_safe=True)) == sorted([(1, "x", d2), (4, "x", d3)], key=repr)
+    assert rows(G.new_in_partitions(batch, target, "id", "day")) == sorted([(1, "x", d2), (4, "x", d3), (3, "x", None), (None, "x", d2)], key=repr)
+    dated = batch.filter("day = DATE '2024-01-02'")
+    plan = G.new_in_partitions(dated, target, "id", "day")._jdf.queryExecution().executedPlan().toString()
+    assert "2024-01-02" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert rows(G.new_in_partitions(batch.filter("id < 0"), target, "id", "day", null_safe=True)) == []
+
+
+def test_double_of_any_type(spark):
+    from carelake.functions.coerce import to_double
+    texts = [("1.5",), (" 7 ",), ("1e3",), ("-.5",), ("n/a",), ("",), ("NaN",), ("Infinity",), (None,), ("x1",)]
+    got = spark.createDataFrame(texts, "s string").select("s", to_double("s").alias("d"))
+    assert [r.d for r in got.collect()] == [1.5, 7.0, 1000.0, -0.5] + [None] * 6
+    other = spark.sql("SELECT 2 AS i, 2.5D AS x, true AS b, double('NaN') AS n, CAST(3.25 AS DECIMAL(5, 2)) AS d")
+    assert tuple(other.select(*[to_double(c) for c in other.columns]).first()) == (2.0, 2.5, 1.0, None, 3.25)
