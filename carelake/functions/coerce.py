@@ -28,9 +28,11 @@ NULL_WORDS = ("nan", "none", "null", "nul", "nat", "")
 def to_double(c) -> Column:
     """Text or number -> double; unparsable, NaN and infinities -> NULL.
 
-    Text without a digit is not cast (a failed ``try_cast`` costs an exception)."""
+    Blank text and text that begins with a letter is not cast (a failed
+    ``try_cast`` costs an exception): digits, signs, the point and blanks all
+    sort before a colon. Of numbers in words only booleans have a value."""
     s, d = as_col(c).cast("string"), as_col(c).try_cast("double")
-    looks = s.rlike(r"[0-9]") | s.isin("true", "false")
+    looks = ((s != "") & (s < ":")) | s.isin("true", "false")
     return F.when(looks, F.when(~F.isnan(d) & (F.abs(d) != F.lit(float("inf"))), d))
 
 

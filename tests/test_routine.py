@@ -77,8 +77,8 @@ def test_new_rows_read_the_partitions_of_their_batch(spark, tmp_path):
 
 def test_double_of_any_type(spark):
     from carelake.functions.coerce import to_double
-    texts = [("1.5",), (" 7 ",), ("1e3",), ("-.5",), ("n/a",), ("",), ("NaN",), ("Infinity",), (None,), ("x1",)]
+    texts = [("1.5",), (" 7 ",), ("1e3",), ("-.5",), ("n/a",), ("",), ("NaN",), ("Infinity",), (None,), ("x1",), ("true",), ("\t8",), ("+9",), (": 1",)]
     got = spark.createDataFrame(texts, "s string").select("s", to_double("s").alias("d"))
-    assert [r.d for r in got.collect()] == [1.5, 7.0, 1000.0, -0.5] + [None] * 6
+    assert [r.d for r in got.collect()] == [1.5, 7.0, 1000.0, -0.5] + [None] * 7 + [8.0, 9.0, None]
     other = spark.sql("SELECT 2 AS i, 2.5D AS x, true AS b, double('NaN') AS n, CAST(3.25 AS DECIMAL(5, 2)) AS d")
     assert tuple(other.select(*[to_double(c) for c in other.columns]).first()) == (2.0, 2.5, 1.0, None, 3.25)
